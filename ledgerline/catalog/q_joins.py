@@ -1,3 +1,151 @@
-"""Registered queries."""
+"""Join operators on the driver tables (J-1 … J-12, F13)."""
 
-from ledgerline.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerline.catalog import register
+from ledgerline.operators import clean, joins, quality
+from ledgerline.session import table
+
+
+@register("join_inner", """
+SELECT o.o_orderkey, c.c_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+def join_inner(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    return o.join(c, o.o_custkey == c.c_custkey, "inner").select("o_orderkey", "c_name")
+
+
+@register("join_left", """
+SELECT s.s_suppkey, n.n_name FROM supplier s
+LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON s.s_nationkey = n.n_nationkey""")
+def join_left(spark, d):
+    s = table(spark, d, "supplier")
+    n = table(spark, d, "nation").filter(F.col("n_regionkey") != 2)
+    return s.join(n, s.s_nationkey == n.n_nationkey, "left").select("s_suppkey", "n_name")
+
+
+@register("join_left_composite", """
+SELECT l.l_orderkey, l.l_linenumber, p.n_lines
+FROM lineitem l LEFT JOIN (
+  SELECT l_partkey, l_suppkey, COUNT(*) AS n_lines FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey, l_suppkey) p
+ON l.l_partkey = p.l_partkey AND l.l_suppkey = p.l_suppkey""")
+def join_left_composite(spark, d):
+    li = table(spark, d, "lineitem")
+    ps = li.filter(F.col("l_returnflag") == "R").groupBy("l_partkey", "l_suppkey") \
+           .agg(F.count(F.lit(1)).alias("n_lines"))
+    return li.join(ps, ["l_partkey", "l_suppkey"], "left").select("l_orderkey", "l_linenumber", "n_lines")
+
+
+@register("join_broadcast_dimension", """
+SELECT o.o_orderkey, n.n_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def join_broadcast_dimension(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    n = joins.broadcast_if_small(table(spark, d, "nation"), max_rows=10_000)
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey) \
+            .select("o_orderkey", "n_name")
+
+
+@register("join_anti", """
+SELECT c_custkey, c_name FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""")
+def join_anti(spark, d):
+    c = table(spark, d, "customer")
+    o = table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return joins.anti(c, o.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]) \
+                .select("c_custkey", "c_name")
+
+
+_EK = "CASE WHEN event_type = 'error' THEN NULL ELSE event_type END"
+
+
+@register("join_null_safe", f"""
+WITH e AS (SELECT event_id, {_EK} AS k FROM events),
+g AS (SELECT k, COUNT(*) AS n_same FROM e GROUP BY k)
+SELECT e.event_id, g.n_same FROM e JOIN g ON e.k IS NOT DISTINCT FROM g.k""")
+def join_null_safe(spark, d):
+    e = table(spark, d, "events").select("event_id", F.expr(_EK).alias("k"))
+    g = e.groupBy("k").agg(F.count(F.lit(1)).alias("n_same"))
+    return e.join(g, joins.null_safe_on(e, g, ["k"]), "inner").select("event_id", "n_same")
+
+
+@register("join_case_insensitive", """
+WITH b AS (SELECT upper(p_brand) AS brand_uc, COUNT(*) AS n_parts FROM part WHERE p_size > 10 GROUP BY upper(p_brand))
+SELECT p.p_partkey, b.n_parts FROM part p
+JOIN b ON lower(p.p_brand) IS NOT DISTINCT FROM lower(b.brand_uc)""")
+def join_case_insensitive(spark, d):
+    p = table(spark, d, "part")
+    b = p.filter(F.col("p_size") > 10).groupBy(F.upper("p_brand").alias("p_brand")) \
+         .agg(F.count(F.lit(1)).alias("n_parts"))
+    return p.join(b, joins.null_safe_on(p, b, ["p_brand"], ci=True), "inner").select("p_partkey", "n_parts")
+
+
+@register("join_trim_key", """
+WITH r AS (SELECT '  ' || CAST(r_regionkey AS VARCHAR) || ' ' AS padded_key, r_name FROM region)
+SELECT n.n_nationkey, r.r_name FROM nation n
+LEFT JOIN r ON trim(CAST(n.n_regionkey AS VARCHAR)) = trim(r.padded_key)""")
+def join_trim_key(spark, d):
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region").select(
+        F.concat(F.lit("  "), F.col("r_regionkey").cast("string"), F.lit(" ")).alias("padded_key"), "r_name")
+    return joins.join_trim(n, r, "n_regionkey", "padded_key").select("n_nationkey", "r_name")
+
+
+@register("join_reconcile", """
+WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer),
+b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F')
+SELECT COALESCE(a.k, b.k) AS c_custkey,
+  CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN a.k IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS side
+FROM a FULL OUTER JOIN b ON a.k = b.k""")
+def join_reconcile(spark, d):
+    c = table(spark, d, "customer")
+    o = table(spark, d, "orders").filter(F.col("o_orderstatus") == "F")
+    return quality.reconcile(c, o, "c_custkey", "o_custkey")
+
+
+@register("join_coalesce_default", """
+SELECT o.o_orderkey, c.c_custkey FROM
+  (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS k FROM orders) o
+JOIN (SELECT c_custkey, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_custkey END AS k FROM customer) c
+ON COALESCE(CAST(o.k AS VARCHAR), '-1') = COALESCE(CAST(c.k AS VARCHAR), '-1')
+WHERE o.k IS NOT NULL""")
+def join_coalesce_default(spark, d):
+    o = table(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"))
+    c = table(spark, d, "customer").select(
+        "c_custkey", F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey")).alias("k"))
+    # NULL keys on the left would pair with every NULL key on the right; the
+    # report keeps only non-NULL left keys so the result stays linear
+    o = o.filter(F.col("k").isNotNull())
+    return o.join(c, joins.null_safe_on(o, c, ["k"], default="-1")).select("o_orderkey", "c_custkey")
+
+
+@register("join_resolve_keys", """
+SELECT l.l_orderkey, l.l_linenumber,
+  COALESCE(CAST(p.p_partkey AS VARCHAR), '-1') AS part_key,
+  COALESCE(CAST(s.s_suppkey AS VARCHAR), '-1') AS supplier_key,
+  COALESCE(CAST(o.o_orderkey AS VARCHAR), '-1') AS order_key
+FROM lineitem l
+LEFT JOIN (SELECT DISTINCT p_partkey FROM part WHERE p_size > 5) p ON l.l_partkey = p.p_partkey
+LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier WHERE s_acctbal > 0) s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderstatus <> 'P') o ON l.l_orderkey = o.o_orderkey""")
+def join_resolve_keys(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    p = table(spark, d, "part").filter(F.col("p_size") > 5)
+    s = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
+    o = table(spark, d, "orders").filter(F.col("o_orderstatus") != "P")
+    out = joins.resolve_keys(li, [(p, "l_partkey", "p_partkey", "p_partkey", "part_key"),
+                                  (s, "l_suppkey", "s_suppkey", "s_suppkey", "supplier_key"),
+                                  (o, "l_orderkey", "o_orderkey", "o_orderkey", "order_key")])
+    return out.select("l_orderkey", "l_linenumber", "part_key", "supplier_key", "order_key")
+
+
+@register("filter_prefilter_semi", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def filter_prefilter_semi(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    keys = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING") \
+                                      .select(F.col("c_custkey").alias("o_custkey"))
+    return clean.prefilter(o, keys, ["o_custkey"])
