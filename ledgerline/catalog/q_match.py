@@ -1,3 +1,156 @@
-"""Registered queries."""
+"""Fuzzy matching and routing (Z1-Z5) on the driver tables.
 
-from ledgerline.catalog import register  # noqa: F401
+Profiles: entity = customer, name = ``c_name``, tax id = nation, address =
+segment text, postcode = nation key.  Names are ``Customer#<number>`` so
+near-duplicates are plentiful; the oracle scores every pair of each block by
+brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerline.catalog import register
+from ledgerline.operators import match
+from ledgerline.session import table
+
+
+def _profile(spark, d, name_expr=None):
+    c = table(spark, d, "customer")
+    name = name_expr if name_expr is not None else F.col("c_name")
+    return c.select(F.col("c_custkey").cast("string").alias("business_entity_id"), name.alias("name"),
+                    F.concat(F.lit("TAX-"), F.col("c_nationkey").cast("string")).alias("tax_id"),
+                    F.col("c_mktsegment").alias("address"),
+                    F.col("c_nationkey").cast("string").alias("postal_code"))
+
+
+_PROFILE_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS business_entity_id, c_name AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id,
+       c_mktsegment AS address, CAST(c_nationkey AS VARCHAR) AS postal_code FROM customer"""
+
+
+@register("match_profile", """
+WITH ids AS (SELECT CAST(s_suppkey AS VARCHAR) AS related_identifier, 'tax_id' AS identifier_type,
+               CASE WHEN s_acctbal >= 0 THEN 'TAX-' || CAST(s_nationkey AS VARCHAR) END AS identifier_value FROM supplier
+             UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'duns', 'D' || CAST(s_suppkey AS VARCHAR) FROM supplier),
+addr AS (SELECT CAST(s.s_suppkey AS VARCHAR) AS related_identifier, 'Dock ' || CAST(s.s_suppkey AS VARCHAR) AS street_line_1,
+               n.n_name AS city, CASE WHEN n.n_regionkey <> 1 THEN r.r_name END AS state_province,
+               CAST(s.s_nationkey AS VARCHAR) AS postal_code
+         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT CAST(s.s_suppkey AS VARCHAR) AS business_entity_id, COALESCE(s.s_name, '') AS name,
+  COALESCE(i.identifier_value, '') AS tax_id,
+  COALESCE(concat_ws(':', COALESCE(a.street_line_1, ''), COALESCE(a.city, ''), COALESCE(a.state_province, '')), '') AS address,
+  COALESCE(a.postal_code, '') AS postal_code
+FROM supplier s
+LEFT JOIN (SELECT DISTINCT related_identifier, identifier_value FROM ids WHERE identifier_type = 'tax_id') i
+  ON CAST(s.s_suppkey AS VARCHAR) = i.related_identifier
+LEFT JOIN addr a ON CAST(s.s_suppkey AS VARCHAR) = a.related_identifier""")
+def match_profile(spark, d):
+    s, n, r = table(spark, d, "supplier"), table(spark, d, "nation"), table(spark, d, "region")
+    sid = F.col("s_suppkey").cast("string")
+    details = s.select(sid.alias("business_entity_id"), F.col("s_name").alias("business_entity_name"))
+    tax = s.select(sid.alias("related_identifier"), F.lit("tax_id").alias("identifier_type"),
+                   F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("TAX-"), F.col("s_nationkey").cast("string")))
+                   .alias("identifier_value"))
+    duns = s.select(sid.alias("related_identifier"), F.lit("duns").alias("identifier_type"),
+                    F.concat(F.lit("D"), sid).alias("identifier_value"))
+    addr = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        sid.alias("related_identifier"), F.concat(F.lit("Dock "), sid).alias("street_line_1"),
+        F.col("n_name").alias("city"),
+        F.when(F.col("n_regionkey") != 1, F.col("r_name")).alias("state_province"),
+        F.col("s_nationkey").cast("string").alias("postal_code"))
+    return match.match_profile(details, tax.unionByName(duns), addr)
+
+
+@register("match_scores", f"""
+WITH p AS ({_PROFILE_SQL}),
+pairs AS (
+  SELECT a.business_entity_id AS src_business_entity_id, b.business_entity_id AS main_business_entity_id,
+    a.tax_id, a.name AS src_name, b.name AS main_name,
+    1.0 - levenshtein(a.name, b.name) / length(a.name) AS name_score, CAST(1.0 AS DOUBLE) AS tax_score,
+    CAST(CASE WHEN a.postal_code = b.postal_code AND a.address = b.address THEN 1.0 ELSE 0.0 END AS DOUBLE) AS address_score
+  FROM p a JOIN p b ON a.tax_id = b.tax_id
+  WHERE a.business_entity_id <> b.business_entity_id AND trim(a.tax_id) <> '' AND length(a.name) > 0)
+SELECT src_business_entity_id, main_business_entity_id, tax_id, src_name, main_name,
+  CAST(round(name_score, 6) AS DECIMAL(10,6)) AS name_score, tax_score, address_score
+FROM pairs WHERE name_score >= 0.8""")
+def match_scores(spark, d):
+    p = _profile(spark, d)
+    s = match.match_scores(p, p)
+    s = s.filter(F.col("src_business_entity_id") != F.col("main_business_entity_id"))
+    return s.withColumn("name_score", F.round("name_score", 6).cast("decimal(10,6)"))
+
+
+_TYPO = "replace(c_name, 'Customer#', 'Custmer#')"
+
+
+@register("match_flag_duplicates", f"""
+WITH src AS (SELECT CAST(c_custkey AS VARCHAR) AS k, {_TYPO} AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id
+             FROM customer WHERE c_mktsegment = 'HOUSEHOLD'),
+main AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id
+         FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
+SELECT s.k AS src_business_entity_id, COUNT(*) AS n_duplicates,
+  CAST(round(max(1.0 - levenshtein(s.name, m.name) / length(s.name)), 6) AS DECIMAL(10,6)) AS best_score
+FROM src s JOIN main m ON s.tax_id = m.tax_id
+WHERE 1.0 - levenshtein(s.name, m.name) / length(s.name) >= 0.85
+GROUP BY s.k""")
+def match_flag_duplicates(spark, d):
+    c = table(spark, d, "customer")
+    prof = _profile(spark, d, F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Custmer#")))
+    src = prof.join(c.filter(F.col("c_mktsegment") == "HOUSEHOLD")
+                    .select(F.col("c_custkey").cast("string").alias("business_entity_id")), "business_entity_id")
+    main = _profile(spark, d).join(c.filter(F.col("c_mktsegment") != "HOUSEHOLD")
+                                   .select(F.col("c_custkey").cast("string").alias("business_entity_id")),
+                                   "business_entity_id")
+    flagged = match.flag_duplicates(match.match_scores(src, main, threshold=0.85), 0.85).filter("is_duplicate")
+    return flagged.groupBy("src_business_entity_id").agg(
+        F.count(F.lit(1)).alias("n_duplicates"),
+        F.round(F.max("name_score"), 6).cast("decimal(10,6)").alias("best_score"))
+
+
+@register("match_drop_known", """
+SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS business_entity_id FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')""")
+def match_drop_known(spark, d):
+    src = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("business_entity_id")).distinct()
+    main = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD") \
+        .select(F.col("c_custkey").cast("string").alias("business_entity_id"))
+    return match.drop_known(src, main, "business_entity_id")
+
+
+@register("match_route", f"""
+WITH src AS (
+  SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'N' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS k,
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN {_TYPO} ELSE c_name END AS name,
+         'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id, c_mktsegment AS address, CAST(c_nationkey AS VARCHAR) AS pc
+  FROM customer),
+main AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id,
+           c_mktsegment AS address, CAST(c_nationkey AS VARCHAR) AS pc
+         FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
+known AS (SELECT k FROM src WHERE k IN (SELECT k FROM main)),
+unknown AS (SELECT * FROM src WHERE k NOT IN (SELECT k FROM main)),
+sc AS (SELECT u.k, m.k AS mk, 1.0 - levenshtein(u.name, m.name) / length(u.name) AS ns,
+         CASE WHEN u.pc = m.pc AND u.address = m.address THEN 1.0 ELSE 0.0 END AS ad
+       FROM unknown u JOIN main m ON u.tax_id = m.tax_id
+       WHERE 1.0 - levenshtein(u.name, m.name) / length(u.name) >= 0.8),
+best AS (SELECT k, mk, ns FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ns DESC, ad DESC, mk DESC) rn FROM sc)
+         WHERE rn = 1)
+SELECT k AS business_entity_id, 'update_known' AS route, k AS target_key, CAST(NULL AS DECIMAL(10,6)) AS name_score FROM known
+UNION ALL
+SELECT u.k, CASE WHEN b.mk IS NOT NULL THEN 'update_matched' ELSE 'insert' END, b.mk,
+       CAST(round(b.ns, 6) AS DECIMAL(10,6))
+FROM unknown u LEFT JOIN best b ON u.k = b.k""")
+def match_route(spark, d):
+    c = table(spark, d, "customer")
+    hh = F.col("c_mktsegment") == "HOUSEHOLD"
+    src = c.select(
+        F.when(hh, F.concat(F.lit("N"), F.col("c_custkey").cast("string")))
+         .otherwise(F.col("c_custkey").cast("string")).alias("business_entity_id"),
+        F.when(hh, F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Custmer#"))).otherwise(F.col("c_name"))
+         .alias("name"),
+        F.concat(F.lit("TAX-"), F.col("c_nationkey").cast("string")).alias("tax_id"),
+        F.col("c_mktsegment").alias("address"), F.col("c_nationkey").cast("string").alias("postal_code"))
+    main = _profile(spark, d).join(c.filter(~hh).select(
+        F.col("c_custkey").cast("string").alias("business_entity_id")), "business_entity_id")
+    out = match.deduplicate(src, main)
+    return out.withColumn("name_score", F.round("name_score", 6).cast("decimal(10,6)"))
