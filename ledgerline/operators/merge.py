@@ -152,7 +152,8 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
                upd_col: str | None = None, ld_col: str | None = None,
                as_of: Column | None = None, ignore_older: bool = False,
                on_duplicates: str = "latest",
-               order: Sequence[Column | str] | None = None) -> MergeResult:
+               order: Sequence[Column | str] | None = None,
+               guard_col: str | None = None) -> MergeResult:
     """SCD type 1 merge on business keys with a change fingerprint.
 
     Source and target rows outside their filters do not take part (target
@@ -160,8 +161,10 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
     ``hash_col`` differs are replaced by the source row (``upd_col`` stamped
     with ``as_of``, load time kept); unmatched source rows are inserted
     (``ld_col`` stamped, ``upd_col`` NULL); equal hashes are unchanged.
-    With ``ignore_older`` a source row whose ``upd_col`` is older than the
-    stored one is ignored (late, out-of-order change).
+    With ``ignore_older`` a source row whose ``guard_col`` (default
+    ``upd_col``) is older than the stored one is ignored (late, out-of-order
+    change).  Use a source-time column as the guard when ``upd_col`` is
+    stamped with the load time.
     """
     as_of = as_of if as_of is not None else now_ms()
     src = source if src_filter is None else source.filter(src_filter)
@@ -179,8 +182,9 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
     j = s.join(t, cond, "full_outer")
     sp, tp = F.col("_s").isNotNull(), F.col("_t").isNotNull()
     changed = ~F.col("s_" + hash_col).eqNullSafe(F.col("t_" + hash_col))
-    if ignore_older and upd_col:
-        newer = F.coalesce(F.col("s_" + upd_col) >= F.col("t_" + upd_col), F.lit(True))
+    guard = guard_col or upd_col
+    if ignore_older and guard:
+        newer = F.coalesce(F.col("s_" + guard) >= F.col("t_" + guard), F.lit(True))
         changed = changed & newer
     outcome = (F.when(sp & tp & changed, F.lit(UPDATE))
                .when(sp & tp, F.lit(UNCHANGED))
