@@ -229,32 +229,33 @@ def relationship_edges(ids: DataFrame, cfg: StagingConfig = StagingConfig()) ->
     * supplier → client (roles supplier/buyer) with the vendor contact id;
     * supplier → firm, only where the supplier carries its own client id.
 
-    Each set is projected to a handful of columns and de-duplicated before
-    the union, so a hot firm id (every client links to it) costs one row
-    per distinct client, not one per landing row.
+    All three edge sets come from one pass over the landing: each row emits
+    an array of up to three edge structs that is exploded and de-duplicated
+    (the partial aggregate before the shuffle collapses the many copies of a
+    hot edge, e.g. every landing row of a client pointing at the firm).
     """
     r = cfg.roles
     none = F.lit(None).cast("string")
-    contact = F.when(valid_name("vendor_contact_name"),
-                     stable_uuid({"stg_business_entity_id": F.col("vendor_entity_id"),
-                                  "contact_name": F.col("vendor_contact_name")}))
-
-    def edge(a, a_contact, b, role_a, role_b, ecid_a, ecid_b):
-        return [a.alias("stg_business_entity_id"), a_contact.alias("business_entity_contact_id"),
-                b.alias("stg_related_business_entity_id"), none.alias("related_business_entity_contact_id"),
-                F.lit(role_a).alias("business_entity_role"), F.lit(role_b).alias("related_business_entity_role"),
-                ecid_a.alias("ecid_a"), ecid_b.alias("ecid_b")]
-
-    c2f = ids.filter(F.col("firm_entity_id").isNotNull() & F.col("buyer_entity_id").isNotNull()).select(
-        *edge(F.col("buyer_entity_id"), none, F.col("firm_entity_id"), r.client, r.firm,
-              F.col("client_id"), none))
-    s2c = ids.filter(F.col("vendor_entity_id").isNotNull() & F.col("buyer_entity_id").isNotNull()).select(
-        *edge(F.col("vendor_entity_id"), contact, F.col("buyer_entity_id"), r.supplier, r.client,
-              F.col("vendor_id"), F.col("client_id")))
-    s2f = ids.filter(F.col("supplier_ecid").isNotNull() & F.col("vendor_entity_id").isNotNull()).select(
-        *edge(F.col("vendor_entity_id"), contact, F.lit(cfg.firm_uuid), r.supplier, r.firm,
-              F.col("vendor_id"), none))
-    return c2f.distinct().unionByName(s2c.distinct()).unionByName(s2f.distinct()).distinct()
+    pre = ids.select("*", F.when(valid_name("vendor_contact_name"), stable_uuid(
+        {"stg_business_entity_id": F.col("vendor_entity_id"),
+         "contact_name": F.col("vendor_contact_name")})).alias("_contact"))
+
+    def edge(cond, a, a_contact, b, role_a, role_b, ecid_a, ecid_b):
+        return F.when(cond, F.struct(
+            a.alias("stg_business_entity_id"), a_contact.alias("business_entity_contact_id"),
+            b.alias("stg_related_business_entity_id"), none.alias("related_business_entity_contact_id"),
+            F.lit(role_a).alias("business_entity_role"), F.lit(role_b).alias("related_business_entity_role"),
+            ecid_a.alias("ecid_a"), ecid_b.alias("ecid_b")))
+
+    vendor, buyer, firm = F.col("vendor_entity_id"), F.col("buyer_entity_id"), F.col("firm_entity_id")
+    edges = F.array(
+        edge(firm.isNotNull() & buyer.isNotNull(), buyer, none, firm, r.client, r.firm, F.col("client_id"), none),
+        edge(vendor.isNotNull() & buyer.isNotNull(), vendor, F.col("_contact"), buyer, r.supplier, r.client,
+             F.col("vendor_id"), F.col("client_id")),
+        edge(F.col("supplier_ecid").isNotNull() & vendor.isNotNull(), vendor, F.col("_contact"),
+             F.lit(cfg.firm_uuid), r.supplier, r.firm, F.col("vendor_id"), none))
+    out = pre.select(F.explode(F.filter(edges, lambda e: e.isNotNull())).alias("_e")).select("_e.*")
+    return out.distinct()
 
 
 def build_relationships(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:

@@ -83,11 +83,29 @@ def _count():
 _counter = _count()
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure a scan feeds at least ``min_partitions`` tasks.
+
+    A parquet file is split by row group; a small table written as one row
+    group is read by a single task, and everything before the first shuffle
+    (projections, melt, explode, key hashing) then runs single-threaded.  When
+    the scan has fewer splits than the default parallelism the rows are
+    spread round-robin (a cheap shuffle of a small input).  Large inputs
+    already have many splits and are returned untouched, so no shuffle is
+    added at scale.  Counting splits plans the scan but runs no job.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n)
+
+
 def read_tables(spark: SparkSession, sf_dir: str,
                 names: list[str] | tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
     """Lazily bind the driver tables (one parquet file each)."""
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    return {n: table(spark, sf_dir, n) for n in names}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table, spread over the available cores (see :func:`spread`)."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))

@@ -30,12 +30,13 @@ def py_stable_uuid(row: dict, decimals=()):
 
 def test_stable_uuid_edge_values(spark):
     rows = [("Acme ", " 12", None), ("\tACME\n", "12", None), ("nan", "NULL", " none "), ("NaT", None, ""),
-            ("O'Brien", "7", "Ünïcode"), (None, None, None), ("a", "b", "c")]
+            ("O'Brien", "7", "Ünïcode"), (None, None, None), ("a", "b", "c"),
+            ("\u00a0Acme\u3000", "\x1c12\x85", None)]
     df = spark.createDataFrame(rows, "name string, code string, extra string")
     got = [r.u for r in df.select(K.stable_uuid(["name", "code", "extra"]).alias("u")).collect()]
     want = [py_stable_uuid({"name": a, "code": b, "extra": c}) for a, b, c in rows]
     assert got == want
-    assert got[0] == got[1] is not None        # case and edge whitespace do not matter
+    assert got[0] == got[1] == got[7] is not None   # case and edge whitespace (any kind) do not matter
     assert got[2] is None and got[3] is None and got[5] is None
 
 
