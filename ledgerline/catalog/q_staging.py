@@ -51,29 +51,43 @@ ids AS (
   FROM landing)"""
 
 
-def landing(spark, d):
+def _links(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    links = li.join(o, li.l_orderkey == o.o_orderkey).select("l_suppkey", "o_custkey").distinct()
+    return li.join(o, li.l_orderkey == o.o_orderkey).select("l_suppkey", "o_custkey").distinct()
+
+
+def _vendors(spark, d):
     s = table(spark, d, "supplier")
-    c = table(spark, d, "customer")
-    j = links.join(s, links.l_suppkey == s.s_suppkey).join(c, links.o_custkey == c.c_custkey)
-    return j.select(
+    return s.select(
+        F.col("s_suppkey").alias("l_suppkey"),
         F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey").cast("string")).alias("vendor_id"),
         F.col("s_name").alias("vendor_name"),
         F.when(F.col("s_acctbal") > 2000, F.concat(F.lit("Contact "), F.col("s_name")))
          .when(F.col("s_acctbal") > 1000, F.lit("none")).alias("vendor_contact_name"),
         F.when(F.col("s_acctbal") > 5000, F.col("s_suppkey").cast("string")).alias("supplier_ecid"),
-        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey").cast("string")).alias("client_id"),
-        F.col("c_name").alias("client_name"),
         F.lit(None).cast("string").alias("company_structure"),
         (F.lit(1900) + F.col("s_nationkey") * 4).cast("string").alias("year_incorporated"),
-        F.col("s_acctbal").cast("decimal(18,2)").cast("string").alias("reported_annual_revenue"),
-    )
+        F.col("s_acctbal").cast("decimal(18,2)").cast("string").alias("reported_annual_revenue"))
+
+
+def _clients(spark, d):
+    c = table(spark, d, "customer")
+    return c.select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey").cast("string")).alias("client_id"),
+        F.col("c_name").alias("client_name"))
+
+
+def landing(spark, d):
+    """The wide landing form: one row per vendor × client link."""
+    return _links(spark, d).join(_vendors(spark, d), "l_suppkey").join(_clients(spark, d), "o_custkey") \
+                           .drop("l_suppkey", "o_custkey")
 
 
 def ids(spark, d):
-    return S.with_entity_ids(landing(spark, d))
+    # ids are hashed once per supplier / customer, then joined to the links
+    return S.link_entity_ids(_links(spark, d), _vendors(spark, d), _clients(spark, d), "l_suppkey", "o_custkey")
 
 
 # --- E1, E2 -------------------------------------------------------------------

@@ -53,14 +53,40 @@ class StagingConfig:
 # ---------------------------------------------------------------------------
 # ids carried by every landing row
 
+def with_vendor_ids(df: DataFrame) -> DataFrame:
+    """Vendor entity id (K6) and the vendor contact id, from vendor columns."""
+    vid = entity_id("vendor_id", "vendor_name")
+    out = df.select("*", vid.alias("vendor_entity_id"))
+    return out.select("*", F.when(valid_name("vendor_contact_name"), stable_uuid(
+        {"stg_business_entity_id": F.col("vendor_entity_id"),
+         "contact_name": F.col("vendor_contact_name")})).alias("vendor_contact_id"))
+
+
+def with_client_ids(df: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
+    """Buyer entity id (K7) and firm marker (K8), from client columns."""
+    return df.select("*", stable_uuid({"name": F.col("client_name")}).alias("buyer_entity_id"),
+                     firm_id(cfg.firm_uuid, client_id=F.col("client_id")).alias("firm_entity_id"))
+
+
 def with_entity_ids(landing: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
-    """Add ``vendor_entity_id`` (K6), ``buyer_entity_id`` (K7) and ``firm_entity_id`` (K8)."""
-    return landing.select(
-        "*",
-        entity_id("vendor_id", "vendor_name").alias("vendor_entity_id"),
-        stable_uuid({"name": F.col("client_name")}).alias("buyer_entity_id"),
-        firm_id(cfg.firm_uuid, client_id=F.col("client_id")).alias("firm_entity_id"),
-    )
+    """All ids of a wide landing frame (one row per vendor × client link).
+
+    When vendors and clients come from their own tables, prefer
+    :func:`link_entity_ids`, which hashes once per entity instead of once per
+    link row.
+    """
+    return with_client_ids(with_vendor_ids(landing), cfg)
+
+
+def link_entity_ids(links: DataFrame, vendors: DataFrame, clients: DataFrame, vendor_key: str,
+                    client_key: str, cfg: StagingConfig = StagingConfig()) -> DataFrame:
+    """Ids for vendor × client links whose attributes live in two dimension
+    frames: the ids are computed on the dimensions (one hash per entity) and
+    then joined to the links on the given keys."""
+    v = with_vendor_ids(vendors)
+    c = with_client_ids(clients, cfg)
+    out = links.join(v, vendor_key).join(c, client_key)
+    return out.drop(vendor_key, client_key)
 
 
 def _stamp(df: DataFrame, id_name: str, id_cols: Sequence[str], decimals: Sequence[str] = ()) -> DataFrame:
@@ -222,42 +248,55 @@ REL_COLUMNS = ("stg_business_entity_id", "business_entity_contact_id", "stg_rela
                "related_business_entity_contact_id", "business_entity_role", "related_business_entity_role")
 
 
-def relationship_edges(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
-    """E15 edges plus the supplied id (``ecid``) of each end (``ecid_a``, ``ecid_b``).
+def _landing_rows(ids: DataFrame, cfg: StagingConfig) -> DataFrame:
+    """One pass over the landing: every edge and every entity identifier as a
+    tagged row (``kind`` = ``edge``, ``buyer`` or ``vendor``), de-duplicated.
 
     * client → firm, once per distinct client;
     * supplier → client (roles supplier/buyer) with the vendor contact id;
-    * supplier → firm, only where the supplier carries its own client id.
+    * supplier → firm, only where the supplier carries its own client id;
+    * the buyer's client id and the vendor's own id as identifiers.
 
-    All three edge sets come from one pass over the landing: each row emits
-    an array of up to three edge structs that is exploded and de-duplicated
-    (the partial aggregate before the shuffle collapses the many copies of a
-    hot edge, e.g. every landing row of a client pointing at the firm).
+    Each landing row emits an array of up to five structs that is exploded;
+    the partial aggregate of the ``distinct`` collapses the many copies of a
+    hot row (every landing row of a client points at the firm) before the
+    shuffle.  Consumers derive everything else from this one exchange.
     """
     r = cfg.roles
     none = F.lit(None).cast("string")
-    pre = ids.select("*", F.when(valid_name("vendor_contact_name"), stable_uuid(
-        {"stg_business_entity_id": F.col("vendor_entity_id"),
-         "contact_name": F.col("vendor_contact_name")})).alias("_contact"))
+    pre = ids if "vendor_contact_id" in ids.columns else with_vendor_ids(ids)
 
-    def edge(cond, a, a_contact, b, role_a, role_b, ecid_a, ecid_b):
+    def row(cond, kind, a, a_contact, b, role_a, role_b, ecid_a, ecid_b):
         return F.when(cond, F.struct(
+            F.lit(kind).alias("kind"),
             a.alias("stg_business_entity_id"), a_contact.alias("business_entity_contact_id"),
             b.alias("stg_related_business_entity_id"), none.alias("related_business_entity_contact_id"),
-            F.lit(role_a).alias("business_entity_role"), F.lit(role_b).alias("related_business_entity_role"),
+            role_a.alias("business_entity_role"), role_b.alias("related_business_entity_role"),
             ecid_a.alias("ecid_a"), ecid_b.alias("ecid_b")))
 
     vendor, buyer, firm = F.col("vendor_entity_id"), F.col("buyer_entity_id"), F.col("firm_entity_id")
-    edges = F.array(
-        edge(firm.isNotNull() & buyer.isNotNull(), buyer, none, firm, r.client, r.firm, F.col("client_id"), none),
-        edge(vendor.isNotNull() & buyer.isNotNull(), vendor, F.col("_contact"), buyer, r.supplier, r.client,
-             F.col("vendor_id"), F.col("client_id")),
-        edge(F.col("supplier_ecid").isNotNull() & vendor.isNotNull(), vendor, F.col("_contact"),
-             F.lit(cfg.firm_uuid), r.supplier, r.firm, F.col("vendor_id"), none))
-    out = pre.select(F.explode(F.filter(edges, lambda e: e.isNotNull())).alias("_e")).select("_e.*")
+    client_id, vendor_id = F.col("client_id"), F.col("vendor_id")
+    lit = F.lit
+    rows = F.array(
+        row(firm.isNotNull() & buyer.isNotNull(), "edge", buyer, none, firm, lit(r.client), lit(r.firm),
+            client_id, none),
+        row(vendor.isNotNull() & buyer.isNotNull(), "edge", vendor, F.col("vendor_contact_id"), buyer, lit(r.supplier),
+            lit(r.client), vendor_id, client_id),
+        row(F.col("supplier_ecid").isNotNull() & vendor.isNotNull(), "edge", vendor, F.col("vendor_contact_id"),
+            lit(cfg.firm_uuid), lit(r.supplier), lit(r.firm), vendor_id, none),
+        row(client_id.isNotNull() & buyer.isNotNull(), "buyer", buyer, none, none, lit("client_ecid"), none,
+            client_id, none),
+        row(vendor_id.isNotNull() & vendor.isNotNull(), "vendor", vendor, none, none, lit("supplier_ecid"), none,
+            vendor_id, none))
+    out = pre.select(F.explode(F.filter(rows, lambda e: e.isNotNull())).alias("_e")).select("_e.*")
     return out.distinct()
 
 
+def relationship_edges(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
+    """E15 edges plus the supplied id (``ecid``) of each end (``ecid_a``, ``ecid_b``)."""
+    return _landing_rows(ids, cfg).filter(F.col("kind") == "edge").drop("kind")
+
+
 def build_relationships(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
     """Relationship edges, id = K1 over the edge columns."""
     edges = relationship_edges(ids, cfg).select(*REL_COLUMNS).distinct()
@@ -276,36 +315,39 @@ def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> D
       all of them); ``scope="entity"`` compares (owning entity, value).
     * type names then pass the M3 renames (``client_ecid``/``supplier_ecid``
       → ``ecid``).
+
+    Plan shape: the landing is read once (:func:`_landing_rows`); identifier
+    rows are generated from it with expressions only, and the "held by a
+    relationship" test is a left join against the distinct held values of
+    the same rows, so both sides share the landing exchange.
     """
-    edges = relationship_edges(ids, cfg)
-    edges = edges.select(stable_uuid(list(REL_COLUMNS)).alias("rel_id"), *edges.columns)
-    ends = [("stg_business_entity_id", "business_entity_role", "ecid_a"),
-            ("stg_related_business_entity_id", "related_business_entity_role", "ecid_b")]
-    rel_ids = None
-    for owner, role, ecid in ends:
-        part = edges.filter(F.col(ecid).isNotNull()).select(
-            F.col("rel_id").alias("related_identifier"),
-            F.lit(SOURCE_RELATIONSHIP).alias("related_identifier_source"),
-            F.concat(F.col(role), F.lit("_ecid")).alias("identifier_type"),
-            F.col(ecid).alias("identifier_value"), F.col(owner).alias("owner"))
-        rel_ids = part if rel_ids is None else rel_ids.unionByName(part)
-    rel_ids = rel_ids.distinct()
-    buyer = ids.filter(F.col("client_id").isNotNull() & F.col("buyer_entity_id").isNotNull()).select(
-        F.col("buyer_entity_id").alias("related_identifier"),
-        F.lit(SOURCE_ENTITY).alias("related_identifier_source"),
-        F.lit("client_ecid").alias("identifier_type"), F.col("client_id").alias("identifier_value")).distinct()
-    ent = ids.filter(F.col("vendor_id").isNotNull() & F.col("vendor_entity_id").isNotNull()).select(
-        F.col("vendor_entity_id").alias("related_identifier"),
-        F.lit(SOURCE_ENTITY).alias("related_identifier_source"),
-        F.lit("supplier_ecid").alias("identifier_type"), F.col("vendor_id").alias("identifier_value")).distinct()
-    if cfg.identifier_scope == "global":
-        ent = anti(ent, rel_ids, ["identifier_value"])
-    elif cfg.identifier_scope == "entity":
-        held = rel_ids.select(F.col("owner").alias("related_identifier"), "identifier_value")
-        ent = anti(ent, held, ["related_identifier", "identifier_value"])
-    else:
+    if cfg.identifier_scope not in ("global", "entity"):
         raise ValueError(f"unknown scope {cfg.identifier_scope!r}")
-    out = rel_ids.drop("owner").unionByName(buyer).unionByName(ent)
-    out = out.select("related_identifier", "related_identifier_source",
-                     rename_types("identifier_type").alias("identifier_type"), "identifier_value").distinct()
+    rows = _landing_rows(ids, cfg)
+    kind = F.col("kind")
+    rel_id = F.when(kind == "edge", stable_uuid(list(REL_COLUMNS)))
+    stamped = rows.select("*", rel_id.alias("rel_id"))
+
+    def ident(cond, rid, source, typ, value, owner, is_rel, droppable):
+        return F.when(cond, F.struct(
+            rid.alias("related_identifier"), F.lit(source).alias("related_identifier_source"),
+            typ.alias("identifier_type"), value.alias("identifier_value"), owner.alias("owner"),
+            F.lit(is_rel).alias("is_rel"), F.lit(droppable).alias("droppable")))
+
+    a, b = F.col("stg_business_entity_id"), F.col("stg_related_business_entity_id")
+    ea, eb = F.col("ecid_a"), F.col("ecid_b")
+    role_a, role_b = F.col("business_entity_role"), F.col("related_business_entity_role")
+    structs = F.array(
+        ident((kind == "edge") & ea.isNotNull(), F.col("rel_id"), SOURCE_RELATIONSHIP,
+              F.concat(role_a, F.lit("_ecid")), ea, a, True, False),
+        ident((kind == "edge") & eb.isNotNull(), F.col("rel_id"), SOURCE_RELATIONSHIP,
+              F.concat(role_b, F.lit("_ecid")), eb, b, True, False),
+        ident(kind == "buyer", a, SOURCE_ENTITY, role_a, ea, a, False, False),
+        ident(kind == "vendor", a, SOURCE_ENTITY, role_a, ea, a, False, True))
+    idrows = stamped.select(F.explode(F.filter(structs, lambda x: x.isNotNull())).alias("_i")).select("_i.*")
+    on = ["identifier_value"] if cfg.identifier_scope == "global" else ["owner", "identifier_value"]
+    held = idrows.filter("is_rel").select(*on).distinct().withColumn("_held", F.lit(True))
+    kept = idrows.join(held, on, "left").filter(~(F.col("droppable") & F.col("_held").isNotNull()))
+    out = kept.select("related_identifier", "related_identifier_source",
+                      rename_types("identifier_type").alias("identifier_type"), "identifier_value").distinct()
     return _stamp(out, "identifier_id", out.columns)

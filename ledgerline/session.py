@@ -95,7 +95,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     added at scale.  Counting splits plans the scan but runs no job.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    if os.environ.get("LEDGERLINE_NO_SPREAD") or df.rdd.getNumPartitions() >= n:
         return df
     return df.repartition(n)
 
