@@ -83,13 +83,17 @@ def keys_change_hash(spark, d):
 
 @register("keys_entity_id", f"""
 SELECT c_custkey,
-  CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_custkey AS VARCHAR)
-       ELSE {K.sql_stable_uuid({'name': 'c_name'})} END AS entity_id
+  CASE WHEN c_mktsegment <> 'BUILDING' THEN CASE WHEN c_mktsegment = 'MACHINERY' THEN ' none' ELSE CAST(c_custkey AS VARCHAR) END
+       ELSE {K.sql_stable_uuid({'name': 'c_name'})} END AS entity_id,
+  CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN CAST(c_custkey AS VARCHAR)
+       ELSE {K.sql_stable_uuid({'name': 'c_name'})} END AS entity_id_usable
 FROM customer""")
 def keys_entity_id(spark, d):
     c = table(spark, d, "customer")
-    supplied = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey"))
-    return c.select("c_custkey", K.entity_id(supplied, "c_name").alias("entity_id"))
+    supplied = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(" none")) \
+                .when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("string"))
+    return c.select("c_custkey", K.entity_id(supplied, "c_name").alias("entity_id"),
+                    K.entity_id(supplied, "c_name", usable_only=True).alias("entity_id_usable"))
 
 
 @register("keys_buyer_and_firm_id", f"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.catalog import register
-from ledgerline.functions.keys import sql_stable_uuid, sql_strip
+from ledgerline.functions.keys import sql_stable_uuid
 from ledgerline.operators import nested
 from ledgerline.operators.reshape import EXTERNAL_LEVELS
 from ledgerline.plans import staging as S
@@ -43,9 +43,7 @@ landing AS (
   JOIN customer c ON c.c_custkey = k.o_custkey),
 ids AS (
   SELECT *,
-    CASE WHEN vendor_id IS NOT NULL AND lower({sql_strip('vendor_id')})
-              NOT IN ('', 'nan', 'null', 'none', 'nat')
-         THEN vendor_id ELSE {sql_stable_uuid({'name': 'vendor_name'})} END AS vendor_entity_id,
+    CASE WHEN vendor_id IS NOT NULL THEN vendor_id ELSE {sql_stable_uuid({'name': 'vendor_name'})} END AS vendor_entity_id,
     {sql_stable_uuid({'name': 'client_name'})} AS buyer_entity_id,
     CASE WHEN client_id IS NOT NULL THEN '{FIRM}' END AS firm_entity_id
   FROM landing)"""

@@ -128,10 +128,16 @@ def change_hash(cs: Sequence) -> Column:
     return F.md5(F.concat_ws(ROW_KEY_SEPARATOR, *_coalesced_text(cs, CHANGE_HASH_NULL)))
 
 
-def entity_id(id_col, name_col) -> Column:
-    """K6: supplied id when it is meaningful, else the stable id of the name."""
+def entity_id(id_col, name_col, usable_only: bool = False) -> Column:
+    """K6: supplied id when present, else the stable id of the name.
+
+    "Present" means not NULL, as in the reference; with ``usable_only`` a
+    blank or no-value token (``none``, ``nan`` …) also counts as absent.
+    """
     idc = _as_col(id_col).cast("string")
-    usable = idc.isNotNull() & ~F.lower(_strip(idc)).isin(*NO_VALUE_TOKENS)
+    usable = idc.isNotNull()
+    if usable_only:
+        usable = usable & ~F.lower(_strip(idc)).isin(*NO_VALUE_TOKENS)
     return F.when(usable, idc).otherwise(stable_uuid({"name": _as_col(name_col)}))
 
 

@@ -60,13 +60,19 @@ def meaningful(c) -> Column:
 
 
 def any_meaningful(cs: Sequence) -> Column:
-    """OR over columns of :func:`meaningful`."""
-    return reduce(lambda a, b: a | b, [meaningful(c) for c in cs])
+    """any of the columns carries data (not NULL, not ``''``, not ``null``).
+
+    Written as one ``exists`` over an array rather than an OR tree: a wide OR
+    over aliased columns makes the optimizer's constraint propagation grow
+    combinatorially (it ran out of memory on a 23-column struct).
+    """
+    vals = F.array(*[_c(c).cast("string") for c in cs])
+    return F.exists(vals, lambda x: x.isNotNull() & ~x.isin(*MEANINGLESS_TOKENS))
 
 
 def any_not_null(cs: Sequence) -> Column:
     """at least one column is not NULL (works across mixed types)."""
-    return reduce(lambda a, b: a | b, [_c(c).isNotNull() for c in cs])
+    return F.exists(F.array(*[_c(c).isNotNull() for c in cs]), lambda b: b)
 
 
 def yes_no(c) -> Column:

@@ -101,7 +101,10 @@ class OutputSpec:
 def project(df: DataFrame, spec: OutputSpec, created_by: str = "ledgerline",
             as_of: Column | None = None, distinct: bool = True) -> DataFrame:
     """Apply an :class:`OutputSpec`: typed select, NULL-key drop, distinct, audit stamp."""
-    out = df.selectExpr(*[f"{expr} AS `{n}`" for n, expr in spec.columns.items()])
+    # pass-through columns are selected as-is: an alias per column makes the
+    # optimizer copy every constraint that mentions it (2^n with wide filters)
+    out = df.select(*[F.col(f"`{n}`") if expr == n else F.expr(f"{expr} AS `{n}`")
+                      for n, expr in spec.columns.items()])
     if spec.keys:
         out = out.dropna(subset=list(spec.keys))
     if distinct:

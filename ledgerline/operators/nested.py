@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +44,21 @@ def parsed_type(schema, df: DataFrame) -> DataType:
     return df.sparkSession.range(1).select(F.from_json(F.lit("{}"), schema).alias("x")).schema["x"].dataType
 
 
+# A JSON value position that holds data: not a nested object, not an empty
+# array, not an empty or "null" string (NULL fields are omitted by to_json).
+_VALUE_WITH_DATA = r':(?!\{|\[\]|""|"null")'
+
+
 def _has_data(col, dt: DataType):
+    """Some leaf of the parsed value carries data.
+
+    For structs the test runs on the value's JSON text: one expression over
+    the struct as a whole.  A predicate over every leaf would be copied by
+    the optimizer once per leaf that a later projection aliases (2^n copies
+    for an n-field flatten).
+    """
     if isinstance(dt, StructType):
-        leaves = [_has_data(col[f.name], f.dataType) for f in dt.fields]
-        return col.isNotNull() & reduce(lambda a, b: a | b, leaves) if leaves else col.isNotNull()
+        return col.isNotNull() & F.to_json(col).rlike(_VALUE_WITH_DATA)
     if isinstance(dt, ArrayType):
         return col.isNotNull() & (F.size(col) > 0)
     return col.isNotNull()
@@ -152,7 +162,6 @@ def combine(base: DataFrame, frames: Mapping[str, DataFrame], key: str) -> DataF
         res = res.join(f, key, "left")
     rest = [c for c in res.columns if c != key]
     if rest:
-        conds = [F.coalesce(F.col(c).isNotNull() & ~F.col(c).cast("string").isin("", "[]", "{}"),
-                            F.lit(False)) for c in rest]
-        res = res.filter(reduce(lambda a, b: a | b, conds))
+        vals = F.array(*[F.col(c).cast("string") for c in rest])
+        res = res.filter(F.exists(vals, lambda x: x.isNotNull() & ~x.isin("", "[]", "{}")))
     return res.distinct()

@@ -83,10 +83,11 @@ def test_row_key_business_key_change_hash(spark):
 
 def test_entity_and_firm_ids(spark):
     df = spark.createDataFrame([("42", "Acme"), (" none ", "Acme"), (None, "Acme")], "id string, name string")
-    out = df.select(K.entity_id("id", "name").alias("e"),
+    out = df.select(K.entity_id("id", "name").alias("e"), K.entity_id("id", "name", usable_only=True).alias("u"),
                     K.firm_id("FIRM", client_id=F.col("id")).alias("f")).collect()
-    assert out[0].e == "42"
-    assert out[1].e == out[2].e == py_stable_uuid({"name": "Acme"})
+    assert out[0].e == out[0].u == "42"
+    assert out[1].e == " none "                       # reference: only NULL counts as absent
+    assert out[1].u == out[2].u == out[2].e == py_stable_uuid({"name": "Acme"})
     assert [r.f for r in out] == ["FIRM", "FIRM", None]
 
 
