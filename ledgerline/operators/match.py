@@ -1,8 +1,8 @@
 """Fuzzy de-duplication of new entities against the main tables.
 
 The reference scores every (source, main) pair that shares a tax id.  Here
-candidate pairs come from an exact similarity join instead, so a block never
-expands into all of its pairs:
+candidate pairs come from an exact similarity join instead, so a block only
+expands into the pairs that share a positioned name segment:
 
 * the name score is ``1 - lev(src, main) / len(src)``; a pair can reach the
   threshold ``t`` only when ``lev <= k = floor((1 - t) * len(src))``;
@@ -15,10 +15,13 @@ expands into all of its pairs:
   equi-join on those keys yields every pair that can pass — no other pair.
   Every candidate is then verified with the exact score.
 
-Blank blocking values never match (a NULL tax id turned into ``''`` would
-otherwise put all of them in one block).  A hot block or a segment text
-shared by very many names is an equi-join hot key, which AQE's skew-join
-handling splits across tasks.
+Limits: names that share long common parts (a fixed prefix such as
+``Customer#0000``) share segments, so most pairs of such a block still become
+candidates; they are verified and dropped, but the candidate join is then
+close to quadratic in the block.  Blank blocking values never match (a NULL
+tax id turned into ``''`` would otherwise put all of them in one block).  A
+hot block or a segment text shared by very many names is an equi-join hot
+key, which AQE's skew-join handling splits across tasks.
 """
 
 from __future__ import annotations
@@ -101,7 +104,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname
     Rn = (R.select("*", F.explode(F.sequence(lo, hi)).alias("_n"))
           .withColumn("_k", _max_edits(F.col("_n"), t))
           .filter(F.abs(F.col("_m") - F.col("_n")) <= F.col("_k"))
-          .join(F.broadcast(lengths), "_n", "left_semi"))
+          .join(lengths, "_n", "left_semi"))   # tiny in practice; AQE broadcasts it from its measured size
     Rseg = (Rn.select("*", F.explode(F.sequence(F.lit(0), F.col("_k"))).alias("_i"))
             .withColumn("_s", seg_start(F.col("_i"), F.col("_n"), F.col("_k")))
             .withColumn("_len", seg_start(F.col("_i") + 1, F.col("_n"), F.col("_k")) - F.col("_s"))
