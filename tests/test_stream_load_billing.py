@@ -96,9 +96,10 @@ def test_sources_roundtrip(spark, tmp_shared):
 
 
 def test_write_all_reports_failures(spark, tmp_shared):
+    spark.range(1).write.parquet(os.path.join(tmp_shared, "exists"))
     frames = {"ok": spark.range(3), "dup": spark.range(2)}
     sinks = {"ok": io.Source("parquet", os.path.join(tmp_shared, "ok")),
-             "dup": io.Source("parquet", os.path.join(tmp_shared, "ok"))}
+             "dup": io.Source("parquet", os.path.join(tmp_shared, "exists"))}
     rep = io.write_all(frames, sinks, mode="errorifexists", raise_on_failure=False)
     assert len(rep.succeeded) == 1 and len(rep.failed) == 1
     with pytest.raises(RuntimeError):
