@@ -118,12 +118,13 @@ def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname
                     F.explode(F.sequence(F.col("_plo"), F.col("_phi"))).alias("_p"), "_len")
             .select("_rk", "_b", "_n", "_i", F.substring("_rn", F.col("_p") + 1, F.col("_len")).alias("_seg")))
     cand = Lseg.join(Rsub, ["_b", "_n", "_i", "_seg"]).select("_lk", "_rk", "_b").distinct()
-    pairs = (cand.join(L.select("_lk", "_b", "_ln", "_n"), ["_lk", "_b"])
+    pairs = (cand.join(L.select("_lk", "_b", "_ln", "_n", "_k"), ["_lk", "_b"])
              .join(R.select("_rk", "_b", "_rn").distinct(), ["_rk", "_b"]))
-    lev = F.levenshtein("_ln", "_rn")
-    score = F.lit(1.0) - F.try_divide(lev.cast("double"), F.col("_n").cast("double"))
-    return (pairs.withColumn("lev", lev).withColumn("name_score", score)
-            .filter(F.col("name_score") >= F.lit(t)).drop("_n"))
+    # bounded distance: stops once it exceeds k (-1); k bounds every passing pair
+    lev = F.expr("levenshtein(_ln, _rn, _k)")
+    score = F.lit(1.0) - F.try_divide(F.col("lev").cast("double"), F.col("_n").cast("double"))
+    return (pairs.withColumn("lev", lev).filter(F.col("lev") >= 0).withColumn("name_score", score)
+            .filter(F.col("name_score") >= F.lit(t)).drop("_n", "_k"))
 
 
 def match_scores(src: DataFrame, main: DataFrame, key: str = "business_entity_id",
