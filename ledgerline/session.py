@@ -61,7 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+        return d
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
@@ -94,10 +97,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     already have many splits and are returned untouched, so no shuffle is
     added at scale.  Counting splits plans the scan but runs no job.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if os.environ.get("LEDGERLINE_NO_SPREAD") or df.rdd.getNumPartitions() >= n:
+    if os.environ.get("LEDGERLINE_NO_SPREAD"):
         return df
-    return df.repartition(n)
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): leave the scan as it is
+        return df
+    return df if splits >= n else df.repartition(n)
 
 
 def read_tables(spark: SparkSession, sf_dir: str,
