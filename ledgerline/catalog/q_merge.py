@@ -246,3 +246,27 @@ def incremental_changed_since(spark, d):
         F.lit(None).cast("timestamp").alias("c_ld"))
     return incremental.changed_since(j, [("o_upd", "o_ld"), ("c_upd", "c_ld")], mark) \
                       .select("o_orderkey", "c_custkey")
+
+
+# --- I2 advance the job-log mark after a successful load -------------------------------------
+
+@register("incremental_advance_log", """
+WITH job_log AS (
+  SELECT 'erp' AS src_system, 'orders' AS src_tbl, 'hub.orders' AS tgt_tbl,
+         max(o_orderdate) - INTERVAL 400 DAY AS batch_last_run_time FROM orders
+  UNION ALL
+  SELECT 'erp', 'lineitem', 'hub.lineitem', max(l_shipdate) FROM lineitem)
+SELECT src_system, src_tbl, tgt_tbl, strftime(batch_last_run_time, '%Y-%m-%d %H:%M:%S') AS batch_last_run_time
+FROM job_log WHERE NOT (src_system = 'erp' AND src_tbl = 'orders' AND tgt_tbl = 'hub.orders')
+UNION ALL
+SELECT 'erp', 'orders', 'hub.orders', strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM orders""")
+def incremental_advance_log(spark, d):
+    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    log = o.agg(F.lit("erp").alias("src_system"), F.lit("orders").alias("src_tbl"), F.lit("hub.orders").alias("tgt_tbl"),
+                (F.max(F.col("o_orderdate").cast("timestamp")) - F.expr("INTERVAL 400 DAYS")).alias("batch_last_run_time"))
+    log = log.unionByName(li.agg(F.lit("erp").alias("src_system"), F.lit("lineitem").alias("src_tbl"),
+                                 F.lit("hub.lineitem").alias("tgt_tbl"),
+                                 F.max(F.col("l_shipdate").cast("timestamp")).alias("batch_last_run_time")))
+    new_mark = o.agg(F.max(F.col("o_orderdate").cast("timestamp"))).scalar()
+    out = incremental.advance(log, "erp", "orders", "hub.orders", new_mark)
+    return out.withColumn("batch_last_run_time", F.date_format("batch_last_run_time", "yyyy-MM-dd HH:mm:ss"))
