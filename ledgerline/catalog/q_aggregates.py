@@ -107,7 +107,7 @@ def quality_missing_keys(spark, d):
 
 
 @register("quality_probe_names", """
-SELECT c_name, length(c_name) AS name_length, ascii(substr(c_name, 1, 1)) AS first_char_code,
+SELECT c_name, CAST(length(c_name) AS INTEGER) AS name_length, ascii(substr(c_name, 1, 1)) AS first_char_code,
   lower(trim(c_name)) IN ('customer#000000001', 'customer#000000010') AS matches_list
 FROM customer""")
 def quality_probe_names(spark, d):

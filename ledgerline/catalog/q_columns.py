@@ -289,8 +289,8 @@ def scalar_merge_lists(spark, d):
 
 
 @register("scalar_text_probe", """
-SELECT c_custkey, length(c_name) AS name_length, ascii(substr(c_name, 1, 1)) AS first_char_code,
-       substr(c_name, 1, 8) AS name_prefix8, levenshtein(c_name, 'Customer#000000001') AS lev
+SELECT c_custkey, CAST(length(c_name) AS INTEGER) AS name_length, ascii(substr(c_name, 1, 1)) AS first_char_code,
+       substr(c_name, 1, 8) AS name_prefix8, CAST(levenshtein(c_name, 'Customer#000000001') AS INTEGER) AS lev
 FROM customer""")
 def scalar_text_probe(spark, d):
     c = table(spark, d, "customer")
@@ -308,7 +308,7 @@ FROM lineitem""")
 def scalar_round(spark, d):
     li = table(spark, d, "lineitem")
     net = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
-    return li.select("l_orderkey", "l_linenumber", F.round(net, 2).alias("net_round"),
+    return li.select("l_orderkey", "l_linenumber", F.round(net, 2).cast("decimal(18,2)").alias("net_round"),
                      F.bround(F.col("l_quantity").cast("decimal(18,1)") / 2, 0).cast("decimal(18,0)").alias("half_qty_even"))
 
 

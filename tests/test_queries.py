@@ -19,6 +19,23 @@ QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 BAD_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
+_SPARK_FAMILY = [("bigint", "int64"), ("int", "int32"), ("double", "float64"), ("float", "float32"),
+                 ("string", "string"), ("boolean", "bool"), ("timestamp", "timestamp"), ("date", "date")]
+_DUCK_FAMILY = {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float64", "FLOAT": "float32",
+                "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp"}
+
+
+def spark_family(t):
+    s = t.simpleString()
+    if s.startswith("decimal"):
+        return s
+    return next((v for k, v in _SPARK_FAMILY if s.startswith(k)), s)
+
+
+def duck_family(t):
+    s = str(t)
+    return s.lower().replace(" ", "") if s.startswith("DECIMAL") else _DUCK_FAMILY.get(s, s)
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -53,4 +70,6 @@ def test_query_matches_oracle(spark, duck, name):
         return
     rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    assert {f.name: spark_family(f.dataType) for f in df.schema.fields} == \
+        {c: duck_family(t) for c, t in zip(rel.columns, rel.types)}
     assert rows_of(df.columns, rows) == rows_of(rel.columns, rel.fetchall())
