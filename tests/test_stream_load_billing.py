@@ -95,6 +95,12 @@ def test_sources_roundtrip(spark, tmp_shared):
     assert io.clamp_partitions(1) == 4 and io.clamp_partitions(50) == 20 and io.clamp_partitions(9) == 9
 
 
+def test_read_schema_lists_catalog_tables(spark):
+    spark.range(3).createOrReplaceGlobalTempView("ll_schema_probe")
+    frames = io.read_schema(spark, "global_temp")
+    assert "ll_schema_probe" in frames and frames["ll_schema_probe"].count() == 3
+
+
 def test_write_all_reports_failures(spark, tmp_shared):
     spark.range(1).write.parquet(os.path.join(tmp_shared, "exists"))
     frames = {"ok": spark.range(3), "dup": spark.range(2)}
