@@ -48,8 +48,10 @@ def nested_flatten_struct(spark, d):
 
 
 def _people_docs(spark, d):
+    """One JSON document per conversation turn (an array holding one person),
+    so no conversation is gathered into a single row."""
     conv = table(spark, d, "conversations")
-    return conv.groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct(
+    return conv.select("conv_id", F.to_json(F.array(F.struct(
         F.col("role").alias("name"), F.split(F.col("text"), "\n").alias("titles")))).alias("associated_people"))
 
 
@@ -105,12 +107,11 @@ def nested_combine(spark, d):
 
 
 @register("nested_flatten_config", """
-SELECT conv_id, string_agg(role, ';' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id""")
+SELECT conv_id, turn, role || ';turn-' || CAST(turn AS VARCHAR) AS roles FROM conversations""")
 def nested_flatten_config(spark, d):
     conv = table(spark, d, "conversations")
-    docs = conv.groupBy("conv_id").agg(
-        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda s: s["role"]))
-        .alias("roles_json"))
+    docs = conv.select("conv_id", "turn", F.to_json(F.array(
+        F.col("role"), F.concat(F.lit("turn-"), F.col("turn").cast("string")))).alias("roles_json"))
     frames = nested.flatten(docs, [nested.FlattenConfig("roles_json", T.ArrayType(T.StringType()),
-                                                         "simple_array", "roles")], ["conv_id"])
+                                                         "simple_array", "roles")], ["conv_id", "turn"])
     return frames["roles_json"]

@@ -143,8 +143,8 @@ rows AS (
 SELECT {_u(_CON)} AS business_entity_contact_id, * FROM rows""")
 def staging_contacts(spark, d):
     conv = table(spark, d, "conversations")
-    # the landing carries people as JSON text, one document per conversation
-    docs = conv.groupBy("conv_id").agg(F.to_json(F.collect_list(F.struct(
+    # the landing carries people as JSON text, one document per conversation turn
+    docs = conv.select("conv_id", F.to_json(F.array(F.struct(
         F.col("role").alias("name"), F.split(F.col("text"), "\n").alias("titles")))).alias("associated_people"))
     parsed = nested.parse_json(docs, "associated_people", PEOPLE_SCHEMA, "_p")
     people = nested.explode_nested(parsed, "_p", "titles", "associated_people", ["conv_id"]).select(
