@@ -76,8 +76,13 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_schema(spark: SparkSession, db: str) -> dict[str, DataFrame]:
-    """Every table of a catalog database, by name (lazy)."""
-    return {t.name: spark.table(f"{db}.{t.name}") for t in spark.catalog.listTables(db)}
+    """Every table of a catalog database, by name (lazy).
+
+    ``listTables`` also returns the session's temporary views, which belong
+    to no database; they are left out.
+    """
+    return {t.name: spark.table(f"{db}.{t.name}") for t in spark.catalog.listTables(db)
+            if t.database == db or (t.namespace and t.namespace[-1] == db)}
 
 
 def table_keys(mapping: DataFrame, table: str, table_col: str = "table_name") -> dict:
