@@ -526,3 +526,23 @@ m AS (SELECT DISTINCT related_identifier, related_identifier_source,
 SELECT {_u(_IDN)} AS identifier_id, * FROM m""")
 def staging_identifiers(spark, d):
     return S.build_identifiers(ids(spark, d))
+
+
+# --- whole run: landing extract → staging tables -------------------------------------------
+
+def landing_extract(spark, d):
+    """The driver links in the landing extract's own column names."""
+    return landing(spark, d).select(
+        F.col("vendor_id").alias("sds_supplier_id"), F.col("vendor_name").alias("vendor_name_cleaned"),
+        "vendor_contact_name", "supplier_ecid", F.col("client_id").alias("client_ecid"), "client_name",
+        "year_incorporated", F.col("reported_annual_revenue").alias("vendor_annualrevenue"))
+
+
+@register("staging_run_relationships", f"""
+WITH {_LANDING_SQL}, {_EDGES_SQL},
+rel AS (SELECT DISTINCT {', '.join(_REL)} FROM edges)
+SELECT {_u(_REL)} AS business_entity_relationship_id, *, true AS is_active, 'ledgerline' AS created_by FROM rel""")
+def staging_run_relationships(spark, d):
+    from ledgerline.plans.staging_run import run_staging
+    out = run_staging(landing_extract(spark, d), tables=["business_entity_relationships"])["business_entity_relationships"]
+    return out.drop("created_date")

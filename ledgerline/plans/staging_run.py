@@ -161,8 +161,15 @@ def _first_struct(landing: DataFrame, c: str, schema: T.ArrayType, fields) -> Da
 
 def run_staging(landing: DataFrame, cfg: S.StagingConfig = S.StagingConfig(), created_by: str = "ledgerline",
                 as_of: Column | None = None, employee_flag: str | None = "filter_employee",
-                materialize: bool = False) -> dict[str, DataFrame]:
-    """Build all 16 staging tables from a landing extract (see module doc)."""
+                materialize: bool = False, tables=None) -> dict[str, DataFrame]:
+    """Build the staging tables from a landing extract (see module doc).
+
+    ``tables`` restricts the build to some of the 16 tables (all by default).
+    """
+    wanted = set(SPECS) if tables is None else set(tables)
+    unknown = wanted - set(SPECS)
+    if unknown:
+        raise ValueError(f"unknown staging tables {sorted(unknown)}")
     df = landing
     if employee_flag and employee_flag in df.columns:
         df = df.filter(F.coalesce(F.upper(F.col(employee_flag)) != "Y", F.lit(True)))
@@ -177,95 +184,112 @@ def run_staging(landing: DataFrame, cfg: S.StagingConfig = S.StagingConfig(), cr
         ids = ids.checkpoint(eager=True)
     ent = "vendor_entity_id"
     out: dict[str, DataFrame] = {}
-    out["business_entity"] = S.build_entity(ids)
-    out["business_entity_details"] = S.build_details(ids, cfg)
-    vend_contacts = ids.select(F.col(ent).alias("stg_business_entity_id"), "vendor_contact_name") \
-                       .withColumnRenamed("vendor_contact_name", "contact_name")
-    out["business_entity_contacts"] = S.build_contacts(_people(ids), vend_contacts)
-    rev = nested.flatten(ids.select(F.col(ent).alias("stg_business_entity_id"), "card_revenues"),
-                         [nested.FlattenConfig("card_revenues", REVENUE, "struct", "card_revenue")],
-                         ["stg_business_entity_id"])["card_revenues"]
-    out["business_entity_card_revenues"] = S.build_card_revenues(
-        rev, [f"card_revenue__{w}__average_monthly_amount" for w in WINDOWS],
-        ["card_revenue__end_date"] + [f"card_revenue__{w}__start_date" for w in WINDOWS])
-    # E5 is wide (one column per window and metric): rows without any metric
-    # are dropped on the parsed struct as a whole (parse_json), not by a
-    # predicate over every flattened column, which the optimizer would copy
-    # once per aliased column (2^n constraint copies)
-    stab_p = nested.parse_json(ids.select(F.col(ent).alias("stg_business_entity_id"), "card_transactions_stability"),
-                               "card_transactions_stability", STABILITY, "_p")
-    stab = nested.flatten_struct(stab_p, "_p", "card_transactions_stability", ["stg_business_entity_id"])
-    spec = SPECS["business_entity_card_transactions_stability"]
-    typed_cols = {n: e for n, e in spec.columns.items() if n != "card_transactions_stability_id"}
-    typed = stab.select(*[F.expr(f"{e} AS `{n}`") for n, e in typed_cols.items()])
-    kept = typed.filter(F.col("stg_business_entity_id").isNotNull()).distinct()
-    stamped = kept.select(S.stable_uuid(list(kept.columns)).alias("card_transactions_stability_id"), *kept.columns)
-    stab_out = project(stamped, OutputSpec(spec.name, {c: c for c in spec.columns}, keys=spec.keys), created_by, as_of)
-    tech = _first_struct(ids, "technologies", TECHNOLOGIES, [F.col("vendor_name").alias("technologies_vendor_name")])
-    recv = ids.select(ent, "payment_type", "payment_terms", "payment_currency").join(tech, ent, "left")
-    out["business_entity_receivables_attribute"] = S.build_melted(
-        recv, ent, ["technologies_vendor_name", "payment_type", "payment_terms", "payment_currency"],
-        "receivables_attribute_type", "receivables_attribute_value", "attribute_id",
-        renames={"technologies_vendor_name": "payment_tech_used"}, drop_blank=True)
-    tel = ids.select(ent, F.col("vendor_phone_number").alias("primary_phone_number"),
-                     F.col("vendor_phone_number_2").alias("secondary_phone_number"))
-    out["telecommunication_address"] = S.build_melted(
-        tel, ent, ["primary_phone_number", "secondary_phone_number"], "telecommunication_address_type",
-        "phone_number", "telecommunication_address_id", renames={"primary_phone_number": "primary"},
-        source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
-    ele = ids.select(ent, F.col("vendor_email").alias("email"), F.col("vendor_website").alias("website"))
-    out["electronic_address"] = S.build_melted(
-        ele, ent, ["email", "website"], "electronic_address_type", "electronic_address", "electronic_address_id",
-        renames={"email": "primary"}, source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
-    res = ids.select(ent, F.col("filter_do_not_campaign").alias("do_not_campaign"))
-    out["restrictions"] = S.build_melted(res, ent, ["do_not_campaign"], "restriction_type", "restriction_indicator",
-                                         "restriction_id", source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
-    levels = {"level-1": "vendor_industry_lvl_1", "level-2": "vendor_industry_lvl_2", "level-3": "vendor_industry_lvl_3"}
-    ind = S.build_industry(ids, ent, levels)
-    inds = _first_struct(ids, "industries", INDUSTRIES, ["classification_type", "classification_code",
-                                                          "classification_description"])
-    ind_json = inds.select(F.col(ent).alias("stg_business_entity_id"), "classification_type",
-                           "classification_code", "classification_description").dropna(
-        how="all", subset=["classification_type", "classification_code", "classification_description"]).distinct()
-    ind_json = ind_json.select(S.stable_uuid(list(ind_json.columns)).alias("classification_id"), *ind_json.columns)
-    out["business_entity_industry_classification"] = ind.unionByName(ind_json).distinct()
-    agents = nested.parse_json(ids.select(ent, "registered_agents"), "registered_agents", AGENTS, "_p",
-                               drop_failed=False).select(ent, join_array(F.col("_p")).alias("registered_agents_text"))
-    chars = ids.select(ent, "vendor_credit_rating_moody", "vendor_credit_rating_moody_date", "vendor_credit_rating_sp",
-                       "vendor_credit_rating_sp_date", "stp_partnershiplist", "stg_codelist").join(agents, ent, "left")
-    out["business_entity_characteristics"] = S.build_characteristics(
-        chars.withColumnRenamed("registered_agents_text", "registered_agents"), ent,
-        [("moody", "vendor_credit_rating_moody", "vendor_credit_rating_moody_date"),
-         ("sp", "vendor_credit_rating_sp", "vendor_credit_rating_sp_date")],
-        plain=["stp_partnershiplist", "stg_codelist", "registered_agents"])
-    out["physical_address"] = S.build_physical_address(ids, ent, {
-        "street_line_1": "vendor_address_ln_1", "street_line_2": "vendor_address_ln_2",
-        "country": "vendor_country", "city": "vendor_address_ln_3", "state_province": "vendor_state",
-        "postal_code": "vendor_postcode"})
-    card = ids.select(ent, "ind_card_match", "visa_match_confidence", "visa_matched_level_ii",
-                      "visa_matched_level_iii_summary", "visa_matched_level_iii_line_item", "visa_matched_fleet_ind",
-                      "visa_matched_mcc", "visa_matched_data_quality")
-    out["business_entity_card_association"] = S.build_card_association(
-        card, ent, "ind_card_match",
-        {"matched_level_2": "visa_matched_level_ii", "matched_level_3_summary": "visa_matched_level_iii_summary",
-         "matched_level_3_lineitem": "visa_matched_level_iii_line_item"},
-        {"match_confidence": "visa_match_confidence", "matched_fleet_ind": "visa_matched_fleet_ind",
-         "matched_mcc": "visa_matched_mcc", "matched_data_quality": "visa_matched_data_quality"})
-    out["business_entity_spend_analysis"] = S.build_spend(
-        ids, "buyer_entity_id", ent,
-        {"period_start_date": "business_start_date", "period_end_date": "business_end_date"},
-        {"analysis_conducted_dt": F.substring("file_uploaded_dt", 1, 8),
-         "analysis_external_reference_id": F.col("request_id"), "analysis_task_id": F.col("task_id"),
-         "analysis_stage": F.col("analysis_type"), "count_of_invoices": F.col("annual_invoice_count"),
-         "payment_terms": F.col("payment_terms"), "count_of_payments": F.col("annual_transaction_count"),
-         "sum_of_payments": F.col("annual_spend_usd"), "payment_ccy": F.col("payment_currency"),
-         "actual_days_payment_outstanding": F.col("payment_actual_days"), "payment_mode": F.col("payment_type"),
-         "payment_term_days": F.col("payment_terms_days"),
-         "payment_terms_discount_ind": F.col("payment_terms_discount_ind"),
-         "payment_terms_discount_rate": F.col("payment_terms_discount_rate"),
-         "payment_terms_discount_days": F.col("payment_terms_discount_days")})
-    out["business_entity_relationships"] = S.build_relationships(ids, cfg)
-    out["business_entity_identifiers"] = S.build_identifiers(ids, cfg)
+    if "business_entity" in wanted:
+        out["business_entity"] = S.build_entity(ids)
+    if "business_entity_details" in wanted:
+        out["business_entity_details"] = S.build_details(ids, cfg)
+    if "business_entity_contacts" in wanted:
+        vend_contacts = ids.select(F.col(ent).alias("stg_business_entity_id"), "vendor_contact_name") \
+                           .withColumnRenamed("vendor_contact_name", "contact_name")
+        out["business_entity_contacts"] = S.build_contacts(_people(ids), vend_contacts)
+    if "business_entity_card_revenues" in wanted:
+        rev = nested.flatten(ids.select(F.col(ent).alias("stg_business_entity_id"), "card_revenues"),
+                             [nested.FlattenConfig("card_revenues", REVENUE, "struct", "card_revenue")],
+                             ["stg_business_entity_id"])["card_revenues"]
+        out["business_entity_card_revenues"] = S.build_card_revenues(
+            rev, [f"card_revenue__{w}__average_monthly_amount" for w in WINDOWS],
+            ["card_revenue__end_date"] + [f"card_revenue__{w}__start_date" for w in WINDOWS])
+    if "business_entity_card_transactions_stability" in wanted:
+        # E5 is wide (one column per window and metric): rows without any metric
+        # are dropped on the parsed struct as a whole (parse_json), not by a
+        # predicate over every flattened column, which the optimizer would copy
+        # once per aliased column (2^n constraint copies)
+        stab_p = nested.parse_json(ids.select(F.col(ent).alias("stg_business_entity_id"), "card_transactions_stability"),
+                                   "card_transactions_stability", STABILITY, "_p")
+        stab = nested.flatten_struct(stab_p, "_p", "card_transactions_stability", ["stg_business_entity_id"])
+        spec = SPECS["business_entity_card_transactions_stability"]
+        typed_cols = {n: e for n, e in spec.columns.items() if n != "card_transactions_stability_id"}
+        typed = stab.select(*[F.expr(f"{e} AS `{n}`") for n, e in typed_cols.items()])
+        kept = typed.filter(F.col("stg_business_entity_id").isNotNull()).distinct()
+        stamped = kept.select(S.stable_uuid(list(kept.columns)).alias("card_transactions_stability_id"), *kept.columns)
+        stab_out = project(stamped, OutputSpec(spec.name, {c: c for c in spec.columns}, keys=spec.keys), created_by, as_of)
+    if "business_entity_receivables_attribute" in wanted:
+        tech = _first_struct(ids, "technologies", TECHNOLOGIES, [F.col("vendor_name").alias("technologies_vendor_name")])
+        recv = ids.select(ent, "payment_type", "payment_terms", "payment_currency").join(tech, ent, "left")
+        out["business_entity_receivables_attribute"] = S.build_melted(
+            recv, ent, ["technologies_vendor_name", "payment_type", "payment_terms", "payment_currency"],
+            "receivables_attribute_type", "receivables_attribute_value", "attribute_id",
+            renames={"technologies_vendor_name": "payment_tech_used"}, drop_blank=True)
+    if "telecommunication_address" in wanted:
+        tel = ids.select(ent, F.col("vendor_phone_number").alias("primary_phone_number"),
+                         F.col("vendor_phone_number_2").alias("secondary_phone_number"))
+        out["telecommunication_address"] = S.build_melted(
+            tel, ent, ["primary_phone_number", "secondary_phone_number"], "telecommunication_address_type",
+            "phone_number", "telecommunication_address_id", renames={"primary_phone_number": "primary"},
+            source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
+    if "electronic_address" in wanted:
+        ele = ids.select(ent, F.col("vendor_email").alias("email"), F.col("vendor_website").alias("website"))
+        out["electronic_address"] = S.build_melted(
+            ele, ent, ["email", "website"], "electronic_address_type", "electronic_address", "electronic_address_id",
+            renames={"email": "primary"}, source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
+    if "restrictions" in wanted:
+        res = ids.select(ent, F.col("filter_do_not_campaign").alias("do_not_campaign"))
+        out["restrictions"] = S.build_melted(res, ent, ["do_not_campaign"], "restriction_type", "restriction_indicator",
+                                             "restriction_id", source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
+    if "business_entity_industry_classification" in wanted:
+        levels = {"level-1": "vendor_industry_lvl_1", "level-2": "vendor_industry_lvl_2", "level-3": "vendor_industry_lvl_3"}
+        ind = S.build_industry(ids, ent, levels)
+        inds = _first_struct(ids, "industries", INDUSTRIES, ["classification_type", "classification_code",
+                                                              "classification_description"])
+        ind_json = inds.select(F.col(ent).alias("stg_business_entity_id"), "classification_type",
+                               "classification_code", "classification_description").dropna(
+            how="all", subset=["classification_type", "classification_code", "classification_description"]).distinct()
+        ind_json = ind_json.select(S.stable_uuid(list(ind_json.columns)).alias("classification_id"), *ind_json.columns)
+        out["business_entity_industry_classification"] = ind.unionByName(ind_json).distinct()
+    if "business_entity_characteristics" in wanted:
+        agents = nested.parse_json(ids.select(ent, "registered_agents"), "registered_agents", AGENTS, "_p",
+                                   drop_failed=False).select(ent, join_array(F.col("_p")).alias("registered_agents_text"))
+        chars = ids.select(ent, "vendor_credit_rating_moody", "vendor_credit_rating_moody_date", "vendor_credit_rating_sp",
+                           "vendor_credit_rating_sp_date", "stp_partnershiplist", "stg_codelist").join(agents, ent, "left")
+        out["business_entity_characteristics"] = S.build_characteristics(
+            chars.withColumnRenamed("registered_agents_text", "registered_agents"), ent,
+            [("moody", "vendor_credit_rating_moody", "vendor_credit_rating_moody_date"),
+             ("sp", "vendor_credit_rating_sp", "vendor_credit_rating_sp_date")],
+            plain=["stp_partnershiplist", "stg_codelist", "registered_agents"])
+    if "physical_address" in wanted:
+        out["physical_address"] = S.build_physical_address(ids, ent, {
+            "street_line_1": "vendor_address_ln_1", "street_line_2": "vendor_address_ln_2",
+            "country": "vendor_country", "city": "vendor_address_ln_3", "state_province": "vendor_state",
+            "postal_code": "vendor_postcode"})
+    if "business_entity_card_association" in wanted:
+        card = ids.select(ent, "ind_card_match", "visa_match_confidence", "visa_matched_level_ii",
+                          "visa_matched_level_iii_summary", "visa_matched_level_iii_line_item", "visa_matched_fleet_ind",
+                          "visa_matched_mcc", "visa_matched_data_quality")
+        out["business_entity_card_association"] = S.build_card_association(
+            card, ent, "ind_card_match",
+            {"matched_level_2": "visa_matched_level_ii", "matched_level_3_summary": "visa_matched_level_iii_summary",
+             "matched_level_3_lineitem": "visa_matched_level_iii_line_item"},
+            {"match_confidence": "visa_match_confidence", "matched_fleet_ind": "visa_matched_fleet_ind",
+             "matched_mcc": "visa_matched_mcc", "matched_data_quality": "visa_matched_data_quality"})
+    if "business_entity_spend_analysis" in wanted:
+        out["business_entity_spend_analysis"] = S.build_spend(
+            ids, "buyer_entity_id", ent,
+            {"period_start_date": "business_start_date", "period_end_date": "business_end_date"},
+            {"analysis_conducted_dt": F.substring("file_uploaded_dt", 1, 8),
+             "analysis_external_reference_id": F.col("request_id"), "analysis_task_id": F.col("task_id"),
+             "analysis_stage": F.col("analysis_type"), "count_of_invoices": F.col("annual_invoice_count"),
+             "payment_terms": F.col("payment_terms"), "count_of_payments": F.col("annual_transaction_count"),
+             "sum_of_payments": F.col("annual_spend_usd"), "payment_ccy": F.col("payment_currency"),
+             "actual_days_payment_outstanding": F.col("payment_actual_days"), "payment_mode": F.col("payment_type"),
+             "payment_term_days": F.col("payment_terms_days"),
+             "payment_terms_discount_ind": F.col("payment_terms_discount_ind"),
+             "payment_terms_discount_rate": F.col("payment_terms_discount_rate"),
+             "payment_terms_discount_days": F.col("payment_terms_discount_days")})
+    if "business_entity_relationships" in wanted:
+        out["business_entity_relationships"] = S.build_relationships(ids, cfg)
+    if "business_entity_identifiers" in wanted:
+        out["business_entity_identifiers"] = S.build_identifiers(ids, cfg)
     res = {name: project(out[name], SPECS[name], created_by, as_of) for name in SPECS if name in out}
-    res["business_entity_card_transactions_stability"] = stab_out
-    return {name: res[name] for name in SPECS}
+    if "business_entity_card_transactions_stability" in wanted:
+        res["business_entity_card_transactions_stability"] = stab_out
+    return {name: res[name] for name in SPECS if name in wanted}
