@@ -22,7 +22,6 @@ from ledgerline.functions.keys import entity_id, firm_id, stable_uuid
 from ledgerline.functions.scalar import (
     any_meaningful, any_not_null, parse_date, rating_triple, valid_name, yes_no,
 )
-from ledgerline.operators.joins import anti
 from ledgerline.operators.reshape import class_of, melt, rename_types
 
 # Tags of the polymorphic foreign key.
