@@ -345,7 +345,14 @@ def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> D
         ident(kind == "vendor", a, SOURCE_ENTITY, role_a, ea, a, False, True))
     idrows = stamped.select(F.explode(F.filter(structs, lambda x: x.isNotNull())).alias("_i")).select("_i.*")
     on = ["identifier_value"] if cfg.identifier_scope == "global" else ["owner", "identifier_value"]
-    held = idrows.filter("is_rel").select(*on).distinct().withColumn("_held", F.lit(True))
+    # values held by relationships, straight from the landing rows: only the
+    # ends' ids are touched (no id hashing), and no filter sits on the grouping
+    # columns of the shared distinct, so its exchange is still reused
+    is_edge = kind == "edge"
+    ends = F.array(F.when(is_edge & ea.isNotNull(), F.struct(a.alias("owner"), ea.alias("identifier_value"))),
+                   F.when(is_edge & eb.isNotNull(), F.struct(b.alias("owner"), eb.alias("identifier_value"))))
+    held = (rows.select(F.explode(F.filter(ends, lambda x: x.isNotNull())).alias("_h")).select("_h.*")
+            .select(*on).distinct().withColumn("_held", F.lit(True)))
     kept = idrows.join(held, on, "left").filter(~(F.col("droppable") & F.col("_held").isNotNull()))
     out = kept.select("related_identifier", "related_identifier_source",
                       rename_types("identifier_type").alias("identifier_type"), "identifier_value").distinct()
