@@ -47,6 +47,20 @@ class StagingConfig:
     firm_name: str = "firm"
     roles: Roles = field(default_factory=Roles)
     identifier_scope: str = "global"     # "global" (reference) or "entity"
+    # ids of relationships hashed a second time over (edge, first id, is_active),
+    # reproducing ids of data loaded by the older jobs
+    compat_double_hash: bool = False
+
+
+def relationship_id(cfg: StagingConfig = StagingConfig()) -> Column:
+    """Relationship id: K1 over the edge columns (hashed twice in compat mode)."""
+    first = stable_uuid(list(REL_COLUMNS))
+    if not cfg.compat_double_hash:
+        return first
+    cols = {c: F.col(c) for c in REL_COLUMNS}
+    cols["business_entity_relationship_id"] = first
+    cols["is_active"] = F.lit(True)
+    return stable_uuid(cols)
 
 
 # ---------------------------------------------------------------------------
@@ -299,7 +313,7 @@ def relationship_edges(ids: DataFrame, cfg: StagingConfig = StagingConfig()) ->
 def build_relationships(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
     """Relationship edges, id = K1 over the edge columns."""
     edges = relationship_edges(ids, cfg).select(*REL_COLUMNS).distinct()
-    return _stamp(edges, "business_entity_relationship_id", list(REL_COLUMNS))
+    return edges.select(relationship_id(cfg).alias("business_entity_relationship_id"), *edges.columns)
 
 
 def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
@@ -324,7 +338,7 @@ def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> D
         raise ValueError(f"unknown scope {cfg.identifier_scope!r}")
     rows = _landing_rows(ids, cfg)
     kind = F.col("kind")
-    rel_id = F.when(kind == "edge", stable_uuid(list(REL_COLUMNS)))
+    rel_id = F.when(kind == "edge", relationship_id(cfg))
     stamped = rows.select("*", rel_id.alias("rel_id"))
 
     def ident(cond, rid, source, typ, value, owner, is_rel, droppable):

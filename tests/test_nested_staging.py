@@ -99,3 +99,16 @@ def test_entity_and_details(spark):
     assert {"S1", "S2", S.StagingConfig().firm_uuid} <= ents and len(ents) == 4
     det = S.build_details(ids)
     assert det.count() == 4 and det.filter(F.col("business_entity_details_id").isNull()).count() == 0
+
+
+def test_relationship_ids_compat_double_hash(spark):
+    from tests.test_keys import py_stable_uuid
+    ids = S.with_entity_ids(_landing(spark))
+    once = {r.business_entity_relationship_id: r for r in S.build_relationships(ids).collect()}
+    twice = S.build_relationships(ids, S.StagingConfig(compat_double_hash=True)).collect()
+    for r in twice:
+        cols = {c: getattr(r, c) for c in S.REL_COLUMNS}
+        first = py_stable_uuid(cols)
+        assert first in once
+        assert r.business_entity_relationship_id == py_stable_uuid(
+            {**cols, "business_entity_relationship_id": first, "is_active": True})
