@@ -86,25 +86,33 @@ def _count():
 _counter = _count()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure a scan feeds at least ``min_partitions`` tasks.
+# Inputs above this size are never spread (a shuffle of them is not cheap).
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Make sure a *small* scan feeds at least ``min_partitions`` tasks.
 
     A parquet file is split by row group; a small table written as one row
     group is read by a single task, and everything before the first shuffle
-    (projections, melt, explode, key hashing) then runs single-threaded.  When
-    the scan has fewer splits than the default parallelism the rows are
-    spread round-robin (a cheap shuffle of a small input).  Large inputs
-    already have many splits and are returned untouched, so no shuffle is
-    added at scale.  Counting splits plans the scan but runs no job.
+    (projections, melt, explode, key hashing) then runs single-threaded.
+    When the scan has fewer splits than the default parallelism *and* its
+    size (plan statistics, no job) is at most ``max_bytes``, the rows are
+    spread round-robin, a cheap shuffle of a small input.  Large inputs are
+    returned untouched whatever the cluster size, so no shuffle of a big
+    table is ever added.  Round-robin sorts locally first, so a retried task
+    sends the same rows to the same partitions.
     """
     if os.environ.get("LEDGERLINE_NO_SPREAD"):
         return df
     try:
         n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): leave the scan as it is
+        if df.rdd.getNumPartitions() >= n:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM access (e.g. Spark Connect): leave the scan as it is
         return df
-    return df if splits >= n else df.repartition(n)
+    return df.repartition(n) if size <= max_bytes else df
 
 
 def read_tables(spark: SparkSession, sf_dir: str,

@@ -52,3 +52,13 @@ def test_latest_hot_key_pre_aggregates(spark):
     # final aggregate above the shuffle and a partial one below it: the hot key ships one row per task
     assert len(exch) == 1 and len(aggs) == 2 and aggs[0] < exch[0] < aggs[1]
     assert out.filter("k = 0").first().t == 2997
+
+
+def test_spread_only_small_under_split_inputs(spark, tmp_path):
+    from ledgerline.session import spread
+    path = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    raw = spark.read.parquet(path)
+    assert raw.rdd.getNumPartitions() == 1
+    assert spread(raw, min_partitions=4).rdd.getNumPartitions() == 4        # small: spread
+    assert spread(raw, min_partitions=4, max_bytes=10).rdd.getNumPartitions() == 1   # "large": untouched
