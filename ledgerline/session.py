@@ -54,18 +54,21 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged writes.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only invent one when
-    it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir`` (or has set it on the
+    SparkContext); a local temporary folder is invented only when neither is
+    set, which happens in local tests.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
-        return d
-    if sc.getCheckpointDir() is None:
+        sc = None
+    if not d and sc is not None and sc.getCheckpointDir():
+        d = sc.getCheckpointDir()
+    if not d:
+        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
