@@ -47,18 +47,41 @@ class Scd1StreamSink:
     guard_col: str | None = None
 
     # -- versions ---------------------------------------------------------
-    def _commits(self, spark: SparkSession) -> DataFrame | None:
+    # Each applied batch leaves a marker folder ``_commits/batch=<id>`` (with
+    # Spark's _SUCCESS file) after its target version ``v<id>`` is complete;
+    # the newest committed batch is found by listing the markers, no job.
+    def _version(self, batch_id: int) -> str:
+        return f"{self.root}/v{batch_id:012d}"
+
+    def _listed(self, spark: SparkSession) -> list[int] | None:
         try:
-            return spark.read.schema("batch_id long, version string").json(f"{self.root}/{COMMITS}")
-        except Exception:  # folder does not exist yet: nothing committed
-            return None
+            jvm = spark.sparkContext._jvm
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+        except Exception:
+            return None                     # no JVM access: caller falls back to a read
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{COMMITS}")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name.split("=", 1)[1]))
+        return out
 
     def committed(self, spark: SparkSession) -> tuple[int, str] | None:
-        c = self._commits(spark)
-        if c is None:
+        ids = self._listed(spark)
+        if ids is None:
+            try:
+                row = spark.read.json(f"{self.root}/{COMMITS}").agg(F.max("batch_id").alias("m")).first()
+                ids = [] if row is None or row.m is None else [row.m]
+            except Exception:  # folder does not exist yet: nothing committed
+                ids = []
+        if not ids:
             return None
-        row = c.agg(F.max(F.struct("batch_id", "version")).alias("m")).first()
-        return None if row is None or row.m is None else (row.m.batch_id, row.m.version)
+        last = max(ids)
+        return last, self._version(last)
 
     def current(self, spark: SparkSession) -> DataFrame:
         last = self.committed(spark)
@@ -76,11 +99,11 @@ class Scd1StreamSink:
         res = scd1_merge(changes, self.current(spark), list(self.keys), self.hash_col,
                          upd_col=self.upd_col, ld_col=self.ld_col, ignore_older=True,
                          guard_col=self.guard_col, on_duplicates="keep")
-        version = f"{self.root}/v{batch_id:012d}"
+        version = self._version(batch_id)
         res.target.select(*[f.name for f in self.target_schema.fields]) \
             .write.mode("overwrite").parquet(version)
         spark.createDataFrame([(int(batch_id), version)], "batch_id long, version string") \
-            .coalesce(1).write.mode("append").json(f"{self.root}/{COMMITS}")
+            .coalesce(1).write.mode("overwrite").json(f"{self.root}/{COMMITS}/batch={int(batch_id)}")
 
 
 def stream_source(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
