@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ledgerline.functions.scalar import any_meaningful, any_not_null, blank_to_null
+from ledgerline.functions.scalar import any_meaningful, any_not_null
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -27,8 +27,15 @@ def clean_blanks(df: DataFrame, tokens: Sequence[str] = ("nan",),
     and all of them in one projection.
     """
     targets = set(columns if columns is not None else string_columns(df))
-    return df.select(*[
-        blank_to_null(F.col(c), tokens).alias(c) if c in targets else F.col(c)
+    toks = ", ".join(["''"] + ["'" + t.lower().replace("'", "''") + "'" for t in tokens])
+
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    # built as SQL text: one JVM call for the whole projection instead of
+    # several per column (wide landing extracts have ~60 string columns)
+    return df.selectExpr(*[
+        f"CASE WHEN lower(trim({q(c)})) IN ({toks}) THEN NULL ELSE {q(c)} END AS {q(c)}" if c in targets else q(c)
         for c in df.columns
     ])
 
