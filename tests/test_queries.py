@@ -12,11 +12,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from oracle_check import rows_of  # noqa: E402
 
+from ledgerline.catalog import ORACLES, QUERIES, load_all  # noqa: E402
 from ledgerline.session import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+load_all()
 BAD_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 _SPARK_FAMILY = [("bigint", "int64"), ("int", "int32"), ("double", "float64"), ("float", "float32"),
