@@ -1,4 +1,4 @@
 """Every query of this subpackage; importing the modules registers them."""
 
-from ledgerline.llm import q_bpe, q_decontaminate, q_pii, q_quality, q_simhash  # noqa: F401
+from ledgerline.llm import q_bpe, q_chat, q_decontaminate, q_pii, q_quality, q_secrets, q_simhash  # noqa: F401
 from ledgerline.llm.common import ORACLES, QUERIES  # noqa: F401
