@@ -1,4 +1,6 @@
 """Every query of this subpackage; importing the modules registers them."""
 
-from ledgerline.llm import q_bpe, q_chat, q_decontaminate, q_pii, q_quality, q_secrets, q_simhash  # noqa: F401
+from ledgerline.llm import (  # noqa: F401
+    q_bpe, q_chat, q_decontaminate, q_lines, q_pii, q_quality, q_secrets, q_simhash, q_url,
+)
 from ledgerline.llm.common import ORACLES, QUERIES  # noqa: F401
