@@ -256,7 +256,7 @@ def decode(coded: DataFrame, tokenizer: Tokenizer, ids: str = "ids", out: str =
 
 
 def digest(coded: DataFrame, tokenizer: Tokenizer, ids: str = "ids") -> DataFrame:
-    """Replace the id lists by n_tokens and the SHA-256 of the packed ids and of the decoded bytes."""
+    """``coded`` with n_tokens and the SHA-256 of the packed ids and of the decoded bytes."""
     def run(batch):
         back = tokenizer.codec.decode
         n, packed, plain = [], [], []
@@ -266,4 +266,4 @@ def digest(coded: DataFrame, tokenizer: Tokenizer, ids: str = "ids") -> DataFram
             plain.append(hashlib.sha256(back(r.tolist())).hexdigest())
         return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(packed, pa.string()),
                 "decoded_sha256": pa.array(plain, pa.string())}
-    return map_batches(coded, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", ids).drop(ids)
+    return map_batches(coded, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", ids)

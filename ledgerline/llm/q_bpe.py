@@ -18,4 +18,4 @@ def tokenizer(spark, path: str | None = None) -> bpe.Tokenizer:
 def op3_byte_bpe(spark, sf_dir):
     t = tokenizer(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digest(bpe.encode(docs, t).drop("text"), t)
+    return bpe.digest(bpe.encode(docs, t).drop("text"), t).drop("ids")
