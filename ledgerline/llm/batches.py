@@ -36,8 +36,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array
     worker's memory whatever the batch size.
     """
     new = StructType.fromDDL(add)
-    made = set(new.names)
-    keep = [f.name for f in df.schema.fields if f.name not in made]
+    made = {n.lower() for n in new.names}
+    keep = [f.name for f in df.schema.fields if f.name.lower() not in made]
     schema = StructType([df.schema[n] for n in keep] + list(new.fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,9 +38,9 @@ def views(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
                      F.when(name == "", "unknown").otherwise(name).alias("speaker"),
                      F.coalesce(F.col(content).cast("string"), F.lit("")).alias("content"))
     t = t.withColumn("piece", F.floor(F.col("turn") / piece_turns).cast("long"))
-    cast = (t.where(~F.col("speaker").isin(*system)).groupBy("conv_id", "speaker").agg(F.lit(1).alias("_one"))
-            .select(F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")))
-    seen = t.join(cast, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    cast = (t.where(~F.col("speaker").isin(*system)).groupBy("conv_id", "speaker").agg(F.lit(1).alias("__one"))
+            .select(F.col("conv_id").alias("__conv"), F.col("speaker").alias("perspective")))
+    seen = t.join(cast, F.col("conv_id").eqNullSafe(F.col("__conv"))).drop("__conv")
     mine, rules = F.col("speaker") == F.col("perspective"), F.col("speaker").isin(*system)
     role = (F.when(rules, F.lit("system")).when(mine, F.lit("assistant"))
             .otherwise(F.concat(F.lit("user name="), _safe(F.col("speaker")))))

@@ -59,6 +59,17 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANK_RUN), lambda w: w != "")
 
 
+def aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns called like ``names`` renamed, and how to rename them back.
+
+    The operators' own helper columns begin with two underscores; such names
+    are reserved.
+    """
+    taken = {n.lower() for n in names}
+    away = {c: f"__kept_{c}" for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, taken from ``spark.checkpoint.dir``.
 

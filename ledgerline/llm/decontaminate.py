@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.batches import map_batches, texts
-from ledgerline.llm.common import lower_ascii, text_of
+from ledgerline.llm.common import aside, lower_ascii, text_of
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")      # on lower-cased UTF-8: digits, a-z, all beyond ASCII
 _COMMON = np.uint64(0x9E3779B97F4A7C15)
@@ -141,13 +141,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "drop", text: str = "text", **options) -> DataFrame:
     """``docs`` without contaminated documents (``drop``) or without the hit words (``cut``)."""
+    if mode not in ("drop", "cut"):
+        raise ValueError(f"mode {mode!r} is neither drop nor cut")
+    docs, back = aside(docs, [f.split()[0] for f in ADD.split(", ")])
     columns = docs.columns
-    names = [f.split()[0] for f in ADD.split(", ")]
-    if clash := set(names) & set(columns):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
     found = find_leaks(docs, benchmark, text=text, **options)
     if mode == "drop":
-        return found.where(F.size("hit_ranges") == 0).select(*columns)
+        return found.where(F.size("hit_ranges") == 0).select(*columns).withColumnsRenamed(back)
 
     def run(batch):
         out = []
@@ -163,4 +163,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "drop", tex
                 t = b"".join([*parts, raw[free:]]).decode()
             out.append(t)
         return {text: pa.array(out, pa.string())}
-    return map_batches(found, run, f"`{text}` string", text).select(*columns)
+    return map_batches(found, run, f"`{text}` string", text).select(*columns).withColumnsRenamed(back)

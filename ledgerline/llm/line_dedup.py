@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BLANKS, cut, let, text_of
+from ledgerline.llm.common import BLANKS, aside, cut, let, text_of
 
 # a line break before a line that is not blank
 BREAK = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
@@ -86,30 +86,31 @@ def dedup(docs: DataFrame, gram: int = 2, window: int = 2, id_col: str = "doc_id
         raise ValueError("gram and window are at least 1")
     size = gram + window - 1
     later = (repeated_runs(docs, gram, window, id_col, text).groupBy("id", "text_hash")
-             .agg(F.sort_array(F.collect_set("start")).alias("_starts"))
-             .withColumnsRenamed({"id": "_id", "text_hash": "_hash"}))
-    joined = docs.join(later, F.col(id_col).eqNullSafe(F.col("_id"))
-                       & (F.xxhash64(text_of(text)) == F.col("_hash")), "left")
-    starts = F.coalesce("_starts", F.expr("CAST(array() AS array<int>)"))
-    gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + (size - 1)))))
+             .agg(F.sort_array(F.collect_set("start")).alias("__starts"))
+             .withColumnsRenamed({"id": "__id", "text_hash": "__hash"}))
+    joined = docs.join(later, F.col(id_col).eqNullSafe(F.col("__id"))
+                       & (F.xxhash64(text_of(text)) == F.col("__hash")), "left")
+    starts = F.coalesce("__starts", F.expr("CAST(array() AS array<int>)"))
+    gone = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (size - 1)))))
     heads = F.size(F.filter(starts, lambda s, k: F.coalesce(s - F.get(starts, k - 1) > size, F.lit(True))))
 
     def rest(lines: Column) -> Column:
         keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         return F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
 
-    whole = F.col("_starts").isNull()
+    whole = F.col("__starts").isNull()
     t = text_of(text)
     return joined.withColumns({
         "n_lines": F.size(lines_of(t)).cast("long"),
         "n_removed": F.when(whole, 0).otherwise(F.size(gone)).cast("long"),
         "n_runs": F.when(whole, 0).otherwise(heads).cast("long"),
-        text: F.when(whole, F.col(text)).otherwise(let(lines_of(t), rest))}).drop("_id", "_hash", "_starts")
+        text: F.when(whole, F.col(text)).otherwise(let(lines_of(t), rest))}).drop("__id", "__hash", "__starts")
 
 
 def drop_repeats(docs: DataFrame, gram: int = 2, window: int = 2, id_col: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """``docs`` with repeated runs deleted; documents of which nothing but blanks is left are dropped."""
+    docs, back = aside(docs, ["n_lines", "n_removed", "n_runs"])
     done = dedup(docs, gram, window, id_col, text)
     return (done.where((F.col("n_removed") == 0) | (F.btrim(F.col(text), F.lit(BLANKS)) != ""))
-            .select(*docs.columns))
+            .select(*docs.columns).withColumnsRenamed(back))

@@ -122,7 +122,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str
     example = F.col("n_owners") >= common_owners
     verdict = judged.groupBy("id", "text_hash").agg(
         F.count_if(~example & F.col("random")).alias("n_live"), F.count_if(example).alias("n_example"))
-    v = verdict.withColumnsRenamed({"id": "_id", "text_hash": "_hash"})
-    return (rows.join(v, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    v = verdict.withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
+    return (rows.join(v, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
             .select(F.col("id").alias(id_col), "spans", F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
                     F.coalesce("n_example", F.lit(0).cast("long")).alias("n_example")))

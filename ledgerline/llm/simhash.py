@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, width: int, max_bits: int = 2, id_col: str
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(names, "root").select("fp", "root", "component_id")
     return fps.join(named, "fp").select(F.col("doc_id").alias(id_col), "text_hash", F.col("fp").alias("fingerprint"),
-                                        "component_id", F.col("root").alias("_root"))
+                                        "component_id", F.col("root").alias("__root"))
 
 
 def keep_first(docs: DataFrame, width: int, max_bits: int = 2, id_col: str = "doc_id", text: str = "text",
@@ -238,15 +238,14 @@ def keep_first(docs: DataFrame, width: int, max_bits: int = 2, id_col: str = "do
     """
     found = near_duplicates(docs, width, max_bits, id_col, text, **search)
     one = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("hash"))
-    least = found.groupBy("_root").agg(F.min(one).alias("one"))
-    rows = found.groupBy("_root", id_col, "text_hash").agg(F.count("*").alias("n")).alias("r")
-    kept = cut(rows.join(least, "_root").where(one.eqNullSafe(F.col("one")))
-               .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), (F.col("n") > 1).alias("_many")))
+    least = found.groupBy("__root").agg(F.min(one).alias("one"))
+    rows = found.groupBy("__root", id_col, "text_hash").agg(F.count("*").alias("n")).alias("r")
+    kept = cut(rows.join(least, "__root").where(one.eqNullSafe(F.col("one")))
+               .select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), (F.col("n") > 1).alias("many")))
 
     def rows_of(many: bool) -> DataFrame:
-        return docs.join(kept.where(F.col("_many") == many),
-                         F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left_semi")
-    key = ["_k", "_h"]
-    repeated = (rows_of(True).withColumn("_k", F.col(id_col)).withColumn("_h", F.xxhash64(text))
-                .dropDuplicates(key).drop(*key))
+        return docs.join(kept.where(F.col("many") == many).drop("many"),
+                         F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left_semi")
+    repeated = (rows_of(True).withColumns({"__key": F.col(id_col), "__text": F.xxhash64(text)})
+                .dropDuplicates(["__key", "__text"]).drop("__key", "__text"))
     return rows_of(False).unionByName(repeated)

@@ -360,15 +360,15 @@ def dedup(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc
     gone = (repeated_ranges(data, length, gram, max_group, bucket_rows).groupBy("doc", "text_hash")
             .agg(F.collect_list(F.struct(F.col("a").alias("start"), F.col("b").alias("end"))).alias("removed")))
     met = (docs.alias("d").join(
-        gone.withColumnsRenamed({"doc": "_doc", "text_hash": "_hash", "removed": "_removed"}).alias("g"),
-        F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("g._doc"))
-        & (F.xxhash64(F.coalesce(F.col(f"d.{text}").cast("string"), F.lit(""))) == F.col("g._hash")), "left")
-        .drop("_doc", "_hash"))
+        gone.withColumnsRenamed({"doc": "__doc", "text_hash": "__hash", "removed": "__removed"}).alias("g"),
+        F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("g.__doc"))
+        & (F.xxhash64(F.coalesce(F.col(f"d.{text}").cast("string"), F.lit(""))) == F.col("g.__hash")), "left")
+        .drop("__doc", "__hash"))
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut_out(batch):
         kept, removed = [], []
-        for body, found in zip(batch.column(text).to_pylist(), batch.column("_removed")):
+        for body, found in zip(batch.column(text).to_pylist(), batch.column("__removed")):
             raw, parts, free, runs = (body or "").encode(), [], 0, []
             if found.is_valid:
                 a = found.values.field("start").to_numpy()
@@ -384,4 +384,4 @@ def dedup(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc
             kept.append(b"".join([*parts, raw[free:]]))
             removed.append([{"start": x, "end": y} for x, y in runs])
         return {"kept": pa.array(kept, pa.binary()), "removed": pa.array(removed, spans)}
-    return map_batches(met, cut_out, f"kept binary, removed {SPANS}", text).drop("_removed")
+    return map_batches(met, cut_out, f"kept binary, removed {SPANS}", text).drop("__removed")

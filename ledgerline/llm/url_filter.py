@@ -5,10 +5,11 @@ url's path starts with the rule's path, and the longest rule that fits wins.
 The urls that a rule decides are the labelled urls; boosted trees (Spark ML)
 learn from them, on lexical features only, to judge the others: lengths,
 depth, digit share, character entropy, parameter counts, hyphens, and
-statistics of the host's suffix over all pages.
+statistics of the host's suffix and of the path's first part: how common they
+are among all pages, and how often labelled pages with them are blocked.
 
-Training reads at most ``train_rows`` labelled urls, those of least hash;
-suffix statistics cover every page.  With labels of one kind only, that kind
+Training reads at most ``train_rows`` labelled urls, those of least hash; the
+statistics cover every page.  With labels of one kind only, that kind
 is the verdict for all; with none, ``allow``.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
@@ -83,32 +84,42 @@ def lexical(pages: DataFrame) -> DataFrame:
         "f_entropy": entropy(url), "f_host_entropy": entropy(F.col("host")),
         "f_parameters": count("[?&][^=&#]*="), "f_fragment": count("#"), "f_escapes": count("%[0-9A-Fa-f]{2}"),
         "f_secure": F.startswith(url, F.lit("https:")).cast("double"),
-        "suffix": F.regexp_extract("host", r"[^.]*\z", 0)})
+        "suffix": F.regexp_extract("host", r"[^.]*\z", 0), "section": F.regexp_extract("path", "^/([^/]*)", 1)})
 
 
-def suffix_statistics(pages: DataFrame) -> DataFrame:
-    """Per suffix over all pages: log count, mean depth, mean digit share, mean length."""
-    return pages.groupBy("suffix").agg(
-        F.log1p(F.count("*")).alias("f_suffix_count"), F.avg("f_depth").alias("f_suffix_depth"),
-        F.avg("f_digits").alias("f_suffix_digits"), F.avg("f_length").alias("f_suffix_length"))
+def statistics(pages: DataFrame, labelled: DataFrame, key: str, prior: float = 10.0) -> DataFrame:
+    """Per value of ``key``: how common it is among all pages, and the share of blocked ones among the labelled.
+
+    The share is drawn to one half by ``prior`` imagined urls, so rare values
+    tell little.
+    """
+    seen = pages.groupBy(key).agg(F.log1p(F.count("*")).alias(f"f_{key}_count"))
+    blocked = labelled.where("ruled IS NOT NULL").groupBy(key).agg(
+        ((F.count_if(F.col("ruled") == BLOCK) + prior / 2) / (F.count("*") + prior)).alias(f"f_{key}_blocked"))
+    return seen.join(blocked, key, "left").withColumnRenamed(key, f"__{key}")
 
 
 OWN = ("f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_hyphens", "f_entropy",
        "f_host_entropy", "f_parameters", "f_fragment", "f_escapes", "f_secure")
-OF_SUFFIX = ("f_suffix_count", "f_suffix_depth", "f_suffix_digits", "f_suffix_length")
-FEATURES = OWN + OF_SUFFIX
+KEYS = ("suffix", "section")
+FEATURES = OWN + tuple(f"f_{k}_{x}" for k in KEYS for x in ("count", "blocked"))
 
 
-def featurize(pages: DataFrame) -> DataFrame:
-    own = lexical(pages)
-    stats = suffix_statistics(own).withColumnRenamed("suffix", "_suffix")
-    return own.join(stats, F.col("suffix") == F.col("_suffix"), "left").drop("_suffix").fillna(0.0, list(FEATURES))
+def featurize(pages: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``pages`` (see ``with_rules``) with all features; the shares of blocked urls come from ``labelled`` pages."""
+    out, known = lexical(pages), lexical(labelled)
+    own = out
+    for k in KEYS:
+        out = out.join(statistics(own, known, k), F.col(k) == F.col(f"__{k}"), "left").drop(f"__{k}")
+    return out.fillna(0.5, [f"f_{k}_blocked" for k in KEYS]).fillna(0.0, list(FEATURES))
 
 
 def train(labelled: DataFrame, train_rows: int = 20_000, trees: int = 15, depth: int = 4,
           seed: int = 42) -> PipelineModel | str:
-    """A model of ``labelled`` (features, label 1.0 for block), or the only verdict that occurs."""
-    drawn = labelled.select("label", *FEATURES, F.xxhash64("url").alias("_h")).orderBy("_h").limit(train_rows).persist()
+    """A model of ``labelled`` pages (features and ``ruled``), or the only verdict that occurs."""
+    label = (F.col("ruled") == BLOCK).cast("double").alias("label")
+    drawn = (labelled.select(label, *FEATURES, F.xxhash64("url").alias("hash")).orderBy("hash").limit(train_rows)
+             .persist())
     try:
         seen = {r["label"] for r in drawn.select("label").distinct().collect()}
         if len(seen) < 2:
@@ -141,7 +152,7 @@ def with_rules(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url: str = "url",
                 **training) -> DataFrame:
     """id, host, path, rule, verdict for every page."""
-    known = featurize(with_rules(pages, rules, id_col, url))
-    labelled = known.where(F.col("ruled").isNotNull()).withColumn("label", (F.col("ruled") == BLOCK).cast("double"))
-    return judge(known, train(labelled, **training)).select(
-        id_col, "host", "path", "rule", F.coalesce("ruled", "judged").alias("verdict"))
+    ruled = with_rules(pages, rules, id_col, url)
+    known = featurize(ruled, ruled)
+    model = train(known.where(F.col("ruled").isNotNull()), **training)
+    return judge(known, model).select(id_col, "host", "path", "rule", F.coalesce("ruled", "judged").alias("verdict"))
