@@ -69,6 +69,33 @@ def window_lag(spark, d):
                   .select("event_id", "previous_type")
 
 
+_NULLS = """SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id % 5 END AS k,
+  CASE WHEN event_id % 4 < 2 OR user_id % 5 = 1 AND event_id < 400 THEN NULL
+       ELSE CAST(round(value * 100) AS BIGINT) END AS cents FROM events"""
+
+
+def _with_nulls(spark, d):
+    u, i = F.col("user_id"), F.col("event_id")
+    return table(spark, d, "events").select(
+        "event_id", "ts", F.when(u % 3 != 0, u % 5).alias("k"),
+        F.when(~((i % 4 < 2) | ((u % 5 == 1) & (i < 400))), F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
+
+
+@register("window_running_nulls", f"""
+SELECT event_id, k, CAST(SUM(cents) OVER (PARTITION BY k ORDER BY ts, event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_cents FROM ({_NULLS})""")
+def window_running_nulls(spark, d):
+    out = windows.running_sum(_with_nulls(spark, d), ["k"], ["ts", "event_id"], "cents", "running_cents")
+    return out.select("event_id", "k", F.col("running_cents").cast("bigint").alias("running_cents"))
+
+
+@register("window_lag_nulls", f"""
+SELECT event_id, k, LAG(cents, 1) OVER (PARTITION BY k ORDER BY ts, event_id) AS previous_cents FROM ({_NULLS})""")
+def window_lag_nulls(spark, d):
+    return windows.previous_value(_with_nulls(spark, d), ["k"], ["ts", "event_id"], "cents", "previous_cents") \
+                  .select("event_id", "k", "previous_cents")
+
+
 _AUDIT_SQL = """
 audit AS (SELECT 'hub.events' AS tgt_tbl_nm, 'lake.events' AS src_tbl_nm, CAST(user_id AS VARCHAR) AS src_system,
             CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS batch_id,

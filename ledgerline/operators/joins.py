@@ -2,9 +2,9 @@
 
 All joins are equi-joins so Catalyst can plan sort-merge, shuffled-hash or
 broadcast joins; null-safe matching uses ``<=>`` (``eqNullSafe``), which is
-still an equi key.  Broadcast is only forced for sides whose size is checked
-against a bound (:func:`broadcast_if_small`); otherwise AQE decides at runtime
-from real sizes, and its skew-join handling splits hot keys.
+still an equi key.  No side is hinted: Catalyst and AQE broadcast a dimension
+(J-4) by its measured bytes against ``spark.sql.autoBroadcastJoinThreshold``,
+and AQE's skew-join handling splits hot keys.
 """
 
 from __future__ import annotations
@@ -18,21 +18,6 @@ from pyspark.sql.types import StringType
 # Default placeholder for a missing dimension key.
 MISSING_KEY = "-1"
 
-# Upper bound (rows) for an explicitly broadcast dimension.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """J-4: broadcast ``df`` only when it is proven small.
-
-    The proof is a bounded probe: ``limit(max_rows + 1).count()`` reads at most
-    ``max_rows + 1`` rows.  Above the bound the frame is returned unhinted and
-    the join falls back to a shuffle join (AQE may still broadcast it later
-    if filtering shrinks it).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str],
                  mapping: Mapping[str, str] | None = None, ci: bool = False,
@@ -79,14 +64,13 @@ def resolve_keys(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str, str,
     """J-12: fact → dimension key lookup, missing keys become ``missing``.
 
     ``dims`` holds ``(dim_df, fact_col, dim_col, dim_key_col, out_name)``.
-    Each lookup is a left join on one key; the dimension side is reduced to
-    distinct ``(dim_col, dim_key_col)`` first so duplicates cannot multiply
-    fact rows.
+    Each lookup is a left join on one key; a lookup value with several keys
+    takes the least of them (as text), so duplicates cannot multiply fact rows
+    and the choice does not depend on row order.
     """
     out = fact
     for i, (dim, fcol, dcol, kcol, name) in enumerate(dims):
-        d = dim.select(F.col(dcol).alias(f"_d{i}"), F.col(kcol).cast("string").alias(f"_k{i}")) \
-               .dropDuplicates([f"_d{i}"])
+        d = dim.groupBy(F.col(dcol).alias(f"_d{i}")).agg(F.min(F.col(kcol).cast("string")).alias(f"_k{i}"))
         out = out.join(d, out[fcol] == d[f"_d{i}"], "left") \
                  .withColumn(name, F.coalesce(F.col(f"_k{i}"), F.lit(missing))) \
                  .drop(f"_d{i}", f"_k{i}")

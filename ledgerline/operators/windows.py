@@ -34,12 +34,23 @@ def _ranged(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
     return ranged.checkpoint(eager=True)
 
 
+def _join_chunks(local: DataFrame, summary: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """Rows with their chunk's summary; a NULL partition key is a key like any other."""
+    right = summary.withColumnsRenamed({"_chunk": "_c", **{p: f"_p_{p}" for p in partition}})
+    on = F.col("_chunk") == F.col("_c")
+    for p in partition:
+        on = on & F.col(p).eqNullSafe(F.col(f"_p_{p}"))
+    return local.join(right, on, "inner").drop("_c", *[f"_p_{p}" for p in partition])
+
+
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[Column | str],
                 value: Column | str, name: str, chunks: int | None = None) -> DataFrame:
     """W-5: cumulative sum of ``value`` per ``partition`` in ``order`` (ascending).
 
     ``partition`` may be empty (one global ledger).  ``order`` should be a
     total order (add a unique tie-break column) for a deterministic result.
+    NULL values add nothing; the sum is NULL until the first value, as in a SQL
+    window.  Runs a job when called: the chunks are pinned by a checkpoint.
     """
     order = [_c(o) for o in order]
     ranged = _ranged(df.withColumn("_v", _c(value)), partition, order, chunks)
@@ -50,15 +61,21 @@ def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[Column
     wc = Window.partitionBy(*partition).orderBy("_chunk") \
                .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*partition, "_chunk",
-                            F.coalesce(F.sum("_tot").over(wc), F.lit(0)).alias("_off"))
-    out = local.join(offsets, [*partition, "_chunk"], "inner")
-    res = out.withColumn(name, F.col("_local") + F.col("_off").cast(out.schema["_local"].dataType))
+                            F.sum("_tot").over(wc).alias("_off"))
+    out = _join_chunks(local, offsets, partition)
+    kind = out.schema["_local"].dataType
+    zero, off = F.lit(0).cast(kind), F.col("_off").cast(kind)
+    seen = F.col("_local").isNotNull() | off.isNotNull()
+    res = out.withColumn(name, F.when(seen, F.coalesce("_local", zero) + F.coalesce(off, zero)))
     return res.drop("_v", "_local", "_off", "_chunk")
 
 
 def previous_value(df: DataFrame, partition: Sequence[str], order: Sequence[Column | str],
                    value: str, name: str, chunks: int | None = None) -> DataFrame:
-    """W-4: ``lag(value, 1)`` per partition, balanced across hot keys."""
+    """W-4: ``lag(value, 1)`` per partition, balanced across hot keys.
+
+    Runs a job when called: the chunks are pinned by a checkpoint.
+    """
     order = [_c(o) for o in order]
     ranged = _ranged(df, partition, order, chunks)
     w = Window.partitionBy(*partition, "_chunk").orderBy(*order)
@@ -70,6 +87,6 @@ def previous_value(df: DataFrame, partition: Sequence[str], order: Sequence[Colu
                        F.col(value).alias("_val"))).alias("_m"))
     wc = Window.partitionBy(*partition).orderBy("_chunk")
     prev = last.select(*partition, "_chunk", F.lag(F.col("_m._val"), 1).over(wc).alias("_prev"))
-    out = local.join(prev, [*partition, "_chunk"], "inner")
+    out = _join_chunks(local, prev, partition)
     res = out.withColumn(name, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col("_lag")))
     return res.drop("_lag", "_first", "_prev", "_chunk")

@@ -161,5 +161,5 @@ def load_files(files: Sequence[str], load_one: Callable[[str], None]) -> list[tu
             load_one(f)
             out.append((f, COMPLETED, ""))
         except Exception as e:  # recorded per file
-            out.append((f, FAILED, f"{type(e).__name__}: {str(e)[:200]}"))
+            out.append((f, FAILED, f"{type(e).__name__}: {e}"))
     return out

@@ -51,12 +51,18 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
     return spark
 
 
+def _is_local(sc) -> bool:
+    return sc is not None and (sc.master == "local" or sc.master.startswith("local["))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged writes.
 
     The cluster names it in ``spark.checkpoint.dir`` (or has set it on the
-    SparkContext); a local temporary folder is invented only when neither is
-    set, which happens in local tests.
+    SparkContext).  Only a ``local`` master, where driver and executors are
+    one process, gets a temporary folder when neither is set; anywhere else a
+    missing setting raises, because a folder made up here would exist on one
+    machine only.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -66,6 +72,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None and sc.getCheckpointDir():
         d = sc.getCheckpointDir()
     if not d:
+        if not _is_local(sc):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -89,35 +97,6 @@ def _count():
 _counter = _count()
 
 
-# Inputs above this size are never spread (a shuffle of them is not cheap).
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Make sure a *small* scan feeds at least ``min_partitions`` tasks.
-
-    A parquet file is split by row group; a small table written as one row
-    group is read by a single task, and everything before the first shuffle
-    (projections, melt, explode, key hashing) then runs single-threaded.
-    When the scan has fewer splits than the default parallelism *and* its
-    size (plan statistics, no job) is at most ``max_bytes``, the rows are
-    spread round-robin, a cheap shuffle of a small input.  Large inputs are
-    returned untouched whatever the cluster size, so no shuffle of a big
-    table is ever added.  Round-robin sorts locally first, so a retried task
-    sends the same rows to the same partitions.
-    """
-    if os.environ.get("LEDGERLINE_NO_SPREAD"):
-        return df
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= n:
-            return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM access (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(n) if size <= max_bytes else df
-
-
 def read_tables(spark: SparkSession, sf_dir: str,
                 names: list[str] | tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
     """Lazily bind the driver tables (one parquet file each)."""
@@ -125,5 +104,5 @@ def read_tables(spark: SparkSession, sf_dir: str,
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, spread over the available cores (see :func:`spread`)."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -29,10 +29,15 @@ DEFAULT_PARALLEL_WRITES = 4
 class Source:
     """Where a table lives: ``format`` is ``jdbc``, ``parquet``, ``csv``,
     ``delta``, ``table`` (catalog) …; ``location`` is a path, a JDBC
-    ``dbtable`` or a catalog name."""
+    ``dbtable`` or a catalog name.  ``partition_column`` with ``lower``,
+    ``upper`` and ``partitions`` splits a JDBC scan over several tasks."""
     format: str
     location: str
     options: Mapping[str, str] = field(default_factory=dict)
+    partition_column: str | None = None
+    lower: object = None
+    upper: object = None
+    partitions: int | None = None
 
 
 def read_table(spark: SparkSession, src: Source, schema: StructType | None = None) -> DataFrame:
@@ -43,10 +48,26 @@ def read_table(spark: SparkSession, src: Source, schema: StructType | None = Non
     if schema is not None:
         r = r.schema(schema)
     if src.format == "jdbc":
+        for k, v in jdbc_ranges(src).items():
+            r = r.option(k, v)
         return r.option("dbtable", src.location).load()
     return r.load(src.location)
 
 
+def jdbc_ranges(src: Source) -> dict[str, str]:
+    """Reader options that cut a JDBC scan into ``src.partitions`` key ranges, one task each.
+
+    Rows outside ``lower``..``upper`` are still read, by the first and the
+    last task.  Without a ``partition_column`` the scan is one task.
+    """
+    if src.partition_column is None:
+        return {}
+    if src.lower is None or src.upper is None or not src.partitions:
+        raise ValueError("a partitioned JDBC scan needs lower, upper and partitions")
+    return {"partitionColumn": src.partition_column, "lowerBound": str(src.lower), "upperBound": str(src.upper),
+            "numPartitions": str(src.partitions)}
+
+
 def read_landing(spark: SparkSession, src: Source, flag_col: str, keep: str | Sequence[str]) -> DataFrame:
     """Rows whose processing flag is in ``keep``, de-duplicated.
 
@@ -65,14 +86,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Mapping file with the required columns (all strings)."""
-    schema = ", ".join(f"{c} string" for c in MAPPING_COLUMNS)
-    df = spark.read.option("header", "true").schema(schema).csv(path)
-    head = spark.read.option("header", "true").csv(path).columns
-    missing = [c for c in MAPPING_COLUMNS if c not in [h.strip().lower() for h in head]]
+    """Mapping file with the required columns (all strings), found by their
+    header names whatever their order."""
+    df = spark.read.option("header", "true").csv(path)
+    by_name = {c.strip().lower(): c for c in df.columns}
+    missing = [c for c in MAPPING_COLUMNS if c not in by_name]
     if missing:
         raise ValueError(f"mapping file lacks columns {missing}")
-    return df
+    return df.select(*[F.col(f"`{by_name[c]}`").alias(c) for c in MAPPING_COLUMNS])
 
 
 def read_schema(spark: SparkSession, db: str) -> dict[str, DataFrame]:
@@ -98,17 +119,18 @@ def clamp_partitions(n: int, lo: int = MIN_WRITE_PARTITIONS, hi: int = MAX_WRITE
 
 
 def write_table(df: DataFrame, sink: Source, mode: str = "append", partitions: int | None = None,
-                partition_by: Sequence[str] = ()) -> None:
+                partition_by: Sequence[str] = (), connections: tuple[int, int] = (MIN_WRITE_PARTITIONS,
+                                                                                  MAX_WRITE_PARTITIONS)) -> None:
     """Write one table.
 
     JDBC sinks get ``batchsize`` and ``isolationLevel``; ``overwrite`` on
     JDBC truncates instead of dropping the table.  ``partitions`` sets the
-    number of writer tasks (clamped to 4..20 for JDBC so the database sees a
-    bounded number of connections).
+    number of writer tasks, for JDBC within ``connections`` (least, most) so
+    the database sees a bounded number of them.
     """
     out = df
     if partitions is not None:
-        n = clamp_partitions(partitions) if sink.format == "jdbc" else partitions
+        n = clamp_partitions(partitions, *connections) if sink.format == "jdbc" else partitions
         out = out.repartition(n)
     w = out.write.mode(mode).format(sink.format).options(**dict(sink.options))
     if sink.format == "jdbc":

@@ -1,6 +1,7 @@
 """Hot keys: one key holding a third of all rows is split across tasks and
 still gives exact results."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import merge, windows
@@ -54,11 +55,36 @@ def test_latest_hot_key_pre_aggregates(spark):
     assert out.filter("k = 0").first().t == 2997
 
 
-def test_spread_only_small_under_split_inputs(spark, tmp_path):
-    from ledgerline.session import spread
-    path = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    raw = spark.read.parquet(path)
-    assert raw.rdd.getNumPartitions() == 1
-    assert spread(raw, min_partitions=4).rdd.getNumPartitions() == 4        # small: spread
-    assert spread(raw, min_partitions=4, max_bytes=10).rdd.getNumPartitions() == 1   # "large": untouched
+@pytest.mark.parametrize("chunks", [1, 2, 4, 9])
+def test_windows_keep_null_keys_and_null_values(spark, chunks):
+    rows = [(None if i % 3 == 0 else i % 2, i, None if i % 20 < 11 else i) for i in range(120)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    run = {r.t: r.x for r in windows.running_sum(df, ["k"], ["t"], "v", "x", chunks=chunks).collect()}
+    lag = {r.t: r.x for r in windows.previous_value(df, ["k"], ["t"], "v", "x", chunks=chunks).collect()}
+    total, before = {}, {}
+    for k, t, v in rows:
+        if v is not None:
+            total[k] = total.get(k, 0) + v
+        assert run[t] == total.get(k) and lag[t] == before.get(k)
+        before[k] = v
+    assert len(run) == len(lag) == len(rows)
+
+
+def test_missing_checkpoint_folder_raises_unless_local(spark, monkeypatch):
+    from ledgerline import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
