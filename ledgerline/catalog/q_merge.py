@@ -270,3 +270,44 @@ def incremental_advance_log(spark, d):
     new_mark = o.agg(F.max(F.col("o_orderdate").cast("timestamp"))).scalar()
     out = incremental.advance(log, "erp", "orders", "hub.orders", new_mark)
     return out.withColumn("batch_last_run_time", F.date_format("batch_last_run_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+# --- T3 late changes, U6 duplicate source keys ------------------------------------------------
+
+@register("merge_scd1_late_change", """
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE upper(c_name) || '!' END AS c_name,
+       CASE WHEN c_custkey % 2 = 0 THEN 3 ELSE 2 END AS changed_at FROM customer""")
+def merge_scd1_late_change(spark, d):
+    """A at 1; A again at 3 for even keys; then B of 2: late for even keys, newer for odd ones."""
+    c = table(spark, d, "customer")
+
+    def change(name, at):
+        return c.select("c_custkey", name.alias("c_name"), change_hash([name]).alias("md5_key"), at.cast("int").alias("changed_at"))
+
+    name = F.col("c_name")
+    now = change(name, F.lit(1))
+    again = change(name, F.when(F.col("c_custkey") % 2 == 0, 3).otherwise(1))
+    late = change(F.concat(F.upper("c_name"), F.lit("!")), F.lit(2))
+    for step in (again, late):
+        now = merge.scd1_merge(step, now, ["c_custkey"], "md5_key", ignore_older=True, guard_col="changed_at",
+                               on_duplicates="keep").target
+    return now.select("c_custkey", "c_name", "changed_at")
+
+
+@register("merge_upsert_duplicates", """
+WITH s AS (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'U' ELSE 'I' END AS flag,
+             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS nth FROM orders),
+k AS (SELECT s.flag, t.c_custkey IS NOT NULL AS there FROM s
+      LEFT JOIN (SELECT c_custkey * 2 AS c_custkey FROM customer) t ON s.o_custkey = t.c_custkey WHERE nth = 1)
+SELECT CASE WHEN flag = 'U' AND there THEN 'update' WHEN flag = 'I' AND NOT there THEN 'insert'
+            WHEN flag = 'U' THEN 'reject_update_unmatched' ELSE 'reject_insert_matched' END AS outcome, COUNT(*) AS n
+FROM k GROUP BY 1
+UNION ALL SELECT 'superseded', COUNT(*) FROM s WHERE nth > 1""")
+def merge_upsert_duplicates(spark, d):
+    """Many source rows per key: the outcomes add up to all of them."""
+    src = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate",
+        F.when(F.col("o_orderstatus") == "F", "U").otherwise("I").alias("load_flag"))
+    tgt = table(spark, d, "customer").select((F.col("c_custkey") * 2).alias("c_custkey"),
+                                             F.lit(None).cast("bigint").alias("o_orderkey"))
+    return merge.upsert(src, tgt, ["c_custkey"], as_of=_as_of(), order=["o_orderdate", "o_orderkey"]).report

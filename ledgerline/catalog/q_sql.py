@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerline.catalog import register
 from ledgerline.functions.keys import change_hash
 from ledgerline.plans import load
-from ledgerline.session import table
+from ledgerline.session import scratch_path, table
 
 AS_OF = "2024-06-01 00:00:00"
 
@@ -121,7 +121,7 @@ def load_scd1_with_delete(spark, d):
 @register("load_audit_row", f"""
 SELECT CAST(7 AS BIGINT) AS batch_id, 'completed' AS status, 'erp' AS src_system, 'lake_customer' AS src_tbl_nm,
   'hub.customer' AS tgt_tbl_nm, 'MERGE' AS operation, COUNT(*) AS src_data_count,
-  CAST(NULL AS VARCHAR) AS filter_condition, '{AS_OF}' AS audit_ts
+  CAST(NULL AS VARCHAR) AS filter_condition, '{AS_OF}' AS audit_ts, CAST(NULL AS VARCHAR) AS error
 FROM customer WHERE c_acctbal > -500""")
 def load_audit_row(spark, d):
     a = _run_scd1(spark, d).audit
@@ -164,3 +164,100 @@ def load_overwrite_filtered(spark, d):
     res = load.run_load(spark, cfg, _hub_nation(spark, d), source=src, as_of=F.lit(AS_OF).cast("timestamp"))
     return res.target.select("n_nationkey", "n_name", "n_regionkey",
                              F.date_format("AUD_LD_DTS", "yyyy-MM-dd HH:mm:ss").alias("aud_ld"))
+
+
+# --- whole runs: delete source, duplicates, hooks after the write, audit, config rows -------------
+
+def _hub_parts(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", "p_name", change_hash(["p_name"]).alias("md5_key"),
+                    F.lit("2024-01-01 00:00:00").cast("timestamp").alias("AUD_LD_DTS"),
+                    F.lit(None).cast("timestamp").alias("AUD_UPD_DTS"))
+
+
+def _part_changes(spark, d):
+    """Every part under a shifted key (half of the keys are new), with the name in capitals."""
+    name = F.upper("p_name")
+    return table(spark, d, "part").select(
+        (F.col("p_partkey") * 2).alias("p_partkey"), name.alias("p_name"), change_hash([name]).alias("md5_key"),
+        F.lit(None).cast("timestamp").alias("AUD_LD_DTS"), F.lit(None).cast("timestamp").alias("AUD_UPD_DTS"))
+
+
+@register("load_incremental_hard_delete", """
+WITH inc AS (SELECT p_partkey * 2 AS p_partkey, upper(p_name) AS p_name FROM part),
+merged AS (SELECT COALESCE(i.p_partkey, p.p_partkey) AS p_partkey, COALESCE(i.p_name, p.p_name) AS p_name
+           FROM part p FULL OUTER JOIN inc i ON p.p_partkey = i.p_partkey)
+SELECT p_partkey, p_name FROM merged WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""")
+def load_incremental_hard_delete(spark, d):
+    """The increment holds changed parts only; parts that no order line names any more are deleted."""
+    cfg = load.LoadConfig(src_system="erp", src_tbl="part", tgt_tbl="hub.part", load_strategy="SCD1",
+                          merge_keys=("p_partkey",), hash_col="md5_key", hard_delete=True,
+                          source_sql="full", incremental_sql="changes", delete_sql="keys")
+    there = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    res = load.run_load(spark, cfg, _hub_parts(spark, d), source=_part_changes(spark, d), delete_source=there,
+                        as_of=F.lit(AS_OF).cast("timestamp"))
+    return res.target.select("p_partkey", "p_name")
+
+
+@register("load_truncate_duplicates", f"""
+SELECT l_orderkey, l_partkey, '{AS_OF}' AS aud_ld FROM lineitem""")
+def load_truncate_duplicates(spark, d):
+    """Truncate and load: every source row comes in, though many share an order key."""
+    src = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    stamps = {c: F.lit(None).cast("timestamp") for c in ("AUD_LD_DTS", "AUD_UPD_DTS")}
+    target = table(spark, d, "orders").select("o_orderkey", "o_custkey").toDF("l_orderkey", "l_partkey").withColumns(stamps)
+    cfg = load.LoadConfig(src_system="erp", src_tbl="lineitem", tgt_tbl="hub.line", load_strategy="truncate",
+                          merge_keys=("l_orderkey",))
+    res = load.run_load(spark, cfg, target, source=src, as_of=F.lit(AS_OF).cast("timestamp"))
+    return res.target.select("l_orderkey", "l_partkey",
+                             F.date_format("AUD_LD_DTS", "yyyy-MM-dd HH:mm:ss").alias("aud_ld"))
+
+
+def _written_run(spark, d, post_sql):
+    path = scratch_path(spark, "load-supplier")
+    src = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    target = src.withColumns({"AUD_LD_DTS": F.lit(None).cast("timestamp"),
+                              "AUD_UPD_DTS": F.lit(None).cast("timestamp")})
+    cfg = load.LoadConfig(src_system="erp", src_tbl="supplier", tgt_tbl="hub.supplier", load_strategy="truncate",
+                          post_sql=tuple(s.format(path=path) for s in post_sql))
+    notes = []
+    try:
+        load.execute_load(spark, cfg, target, lambda df: df.write.parquet(path), notes.append, source=src, batch_id=9,
+                          as_of=F.lit(AS_OF).cast("timestamp"))
+    except Exception:       # the audit holds it
+        pass
+    return notes
+
+
+@register("load_post_sql_after_write", """
+SELECT COUNT(*) AS n_written, MAX(s_suppkey) AS last_key FROM supplier""")
+def load_post_sql_after_write(spark, d):
+    _written_run(spark, d, ["CREATE OR REPLACE TEMP VIEW hub_supplier_written AS "
+                            "SELECT COUNT(*) AS n_written, MAX(s_suppkey) AS last_key FROM parquet.`{path}`"])
+    return spark.table("hub_supplier_written")
+
+
+@register("load_failed_audit", """
+SELECT CAST(9 AS BIGINT) AS batch_id, status, 'hub.supplier' AS tgt_tbl_nm, failed, n_suppliers
+FROM (VALUES ('running', false), ('failed', true)) v(status, failed), (SELECT COUNT(*) AS n_suppliers FROM supplier)""")
+def load_failed_audit(spark, d):
+    notes = _written_run(spark, d, ["SELECT no_such_column FROM parquet.`{path}`"])
+    rows = notes[0]
+    for n in notes[1:]:
+        rows = rows.unionByName(n)
+    total = table(spark, d, "supplier").agg(F.count(F.lit(1))).scalar()
+    return rows.select("batch_id", "status", "tgt_tbl_nm", F.col("error").isNotNull().alias("failed"),
+                       total.alias("n_suppliers"))
+
+
+@register("load_config_from_row", f"""
+SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey <> 1
+UNION ALL SELECT n_nationkey, upper(n_name), n_regionkey FROM nation WHERE n_regionkey = 1""")
+def load_config_from_row(spark, d):
+    row = {"src_system": "erp", "src_tbl": "nation", "tgt_tbl": "hub.nation", "load_strategy": "overwrite",
+           "tgt_merge_col_nm": "N_NATIONKEY", "tgt_merge_filter_condition": "tgt.n_regionkey = 1",
+           "src_merge_filter_condition": "src.n_regionkey = 1", "hard_delete_flag": "N", "post_sql_flag": "N",
+           "src_truncate_query": f"SELECT n_nationkey, upper(n_name) AS n_name, n_regionkey "
+                                 f"FROM parquet.`{d}/nation.parquet`"}
+    res = load.run_load(spark, load.config_from_row(row), _hub_nation(spark, d))
+    return res.target.select("n_nationkey", "n_name", "n_regionkey")

@@ -1,8 +1,11 @@
 """Upserts and merges as pure DataFrame functions.
 
-Every merge here is ``(source, target) -> new target``: one null-safe full
-outer join on the keys, an ``outcome`` column computed per joined row, and a
-projection.  There is no driver-side row loop and no per-row statement; the
+Every merge here is ``(source, target) -> new target``: a null-safe left join
+of the target rows in scope with the source, an anti join for the source rows
+without a partner (the two share their exchanges, and AQE can split a hot key
+in either, which it cannot in a full outer join), an ``outcome`` column per
+row, and a projection.  Target rows out of scope pass through by union and are
+never shuffled.  There is no driver-side row loop and no per-row statement; the
 caller writes the new target once (to a new path, or as a Delta ``MERGE``
 where that format is present).
 
@@ -26,6 +29,7 @@ UPDATE, INSERT, UNCHANGED, UNTOUCHED, DELETE = "update", "insert", "unchanged",
 REJECT_UPDATE_UNMATCHED = "reject_update_unmatched"
 REJECT_INSERT_MATCHED = "reject_insert_matched"
 REJECT_FLAG = "reject_unknown_flag"
+SUPERSEDED = "superseded"
 # Load flags.
 FLAG_UPDATE, FLAG_INSERT = "U", "I"
 # Audit columns of the main tables.
@@ -60,6 +64,21 @@ def _null_safe(keys: Sequence[str], lp: str, rp: str) -> Column:
     return cond
 
 
+def _outer(s: DataFrame, t: DataFrame, cond: Column) -> DataFrame:
+    """Rows of a full outer join, as a left join of ``t`` and an anti join of ``s``."""
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields]
+    alone = s.join(t, cond, "left_anti").select("*", *empty)
+    return t.join(s, cond, "left").select(*alone.columns).unionByName(alone)
+
+
+def _counted(src: DataFrame, keys: Sequence[str], report: DataFrame) -> DataFrame:
+    """``report`` with the source rows that a later row of the same key replaced, so
+    that the outcomes add up to the source rows."""
+    extra = src.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.sum("n").alias("n"))
+    lost = extra.where("n > 0").select(F.lit(SUPERSEDED).alias("outcome"), "n")
+    return report.unionByName(lost)
+
+
 def _dedupe_source(src: DataFrame, keys: Sequence[str], on_duplicates: str,
                    order: Sequence[Column | str] | None) -> DataFrame:
     if on_duplicates == "latest":
@@ -96,15 +115,18 @@ def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str],
       ``as_of``.
     * Insert: all source columns but the flag; ``is_active`` true,
       ``last_updated_by``/``last_updated_date`` filled when absent.
+    * Of several source rows with one key the latest counts; the others are
+      reported as ``superseded``, so the outcomes add up to the source rows.
     """
     as_of = as_of if as_of is not None else now_ms()
     src = source
     if mapping:
         src = src.select(*[F.col(f"`{c}`").alias(mapping.get(c, c)) for c in src.columns])
+    given = src
     src = _dedupe_source(src, keys, on_duplicates, order)
     s = _prefixed(src, "s_", "_s")
     t = _prefixed(target, "t_", "_t")
-    j = s.join(t, _null_safe(keys, "s_", "t_"), "full_outer")
+    j = _outer(s, t, _null_safe(keys, "s_", "t_"))
 
     fl = F.upper(F.trim(F.col("s_" + flag)))
     sp, tp = F.col("_s").isNotNull(), F.col("_t").isNotNull()
@@ -144,6 +166,8 @@ def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str],
     rejects = j.filter(o.startswith("reject")).select(
         *[F.col("s_" + c).alias(c) for c in src.columns], o.alias("reject_reason"))
     report = j.filter(sp).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    if on_duplicates == "latest":
+        report = _counted(given, keys, report)
     return MergeResult(j, new_target, rejects, report)
 
 
@@ -163,30 +187,34 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
     (``ld_col`` stamped, ``upd_col`` NULL); equal hashes are unchanged.
     With ``ignore_older`` a source row whose ``guard_col`` (default
     ``upd_col``) is older than the stored one is ignored (late, out-of-order
-    change).  Use a source-time column as the guard when ``upd_col`` is
-    stamped with the load time.
+    change), and a newer row with an equal hash moves the stored guard on, so
+    that a change dated between the two is still late.  Use a source-time
+    column as the guard when ``upd_col`` is stamped with the load time.
     """
     as_of = as_of if as_of is not None else now_ms()
     src = source if src_filter is None else source.filter(src_filter)
+    given = src
     if on_duplicates != "keep":
         if order is None and upd_col and upd_col in src.columns:
             order = [F.coalesce(F.col(upd_col), F.col(ld_col)) if ld_col else F.col(upd_col)]
         src = _dedupe_source(src, keys, on_duplicates, order)
 
-    in_scope = F.lit(True) if tgt_filter is None else (
-        F.expr(tgt_filter) if isinstance(tgt_filter, str) else tgt_filter)
-    tgt = target.withColumn("_scope", F.coalesce(in_scope, F.lit(False)))
     s = _prefixed(src, "s_", "_s")
-    t = _prefixed(tgt, "t_", "_t")
-    cond = _null_safe(keys, "s_", "t_") & F.col("t__scope")
-    j = s.join(t, cond, "full_outer")
+    if tgt_filter is None:
+        inside, outside = target, None
+    else:
+        scope = F.coalesce(F.expr(tgt_filter) if isinstance(tgt_filter, str) else tgt_filter, F.lit(False))
+        inside, outside = target.filter(scope), target.filter(~scope)
+    j = _outer(s, _prefixed(inside, "t_", "_t"), _null_safe(keys, "s_", "t_"))
+    if outside is not None:
+        rest = _prefixed(outside, "t_", "_t")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in s.schema.fields]
+        j = j.unionByName(rest.select("*", *empty))
     sp, tp = F.col("_s").isNotNull(), F.col("_t").isNotNull()
     changed = ~F.col("s_" + hash_col).eqNullSafe(F.col("t_" + hash_col))
-    guard = guard_col or upd_col
-    if ignore_older and guard:
-        newer = F.coalesce(F.col("s_" + guard) >= F.col("t_" + guard), F.lit(True))
-        changed = changed & newer
-    outcome = (F.when(sp & tp & changed, F.lit(UPDATE))
+    guard = (guard_col or upd_col) if ignore_older else None
+    newer = F.coalesce(F.col("s_" + guard) >= F.col("t_" + guard), F.lit(True)) if guard else F.lit(True)
+    outcome = (F.when(sp & tp & changed & newer, F.lit(UPDATE))
                .when(sp & tp, F.lit(UNCHANGED))
                .when(sp, F.lit(INSERT))
                .otherwise(F.lit(UNTOUCHED)))
@@ -201,12 +229,16 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
             return F.when(o == UPDATE, as_of).when(o == INSERT, F.lit(None)).otherwise(tv)
         if c == ld_col:
             return F.when(o == INSERT, as_of).otherwise(tv)
+        if c == guard:
+            return F.when(o.isin(UPDATE, INSERT), sv).when((o == UNCHANGED) & newer, F.coalesce(sv, tv)).otherwise(tv)
         return F.when(o.isin(UPDATE, INSERT), sv).otherwise(tv)
 
     new_target = j.select(*[new_value(c).cast(target.schema[c].dataType).alias(c)
                             for c in target.columns])
     rejects = j.filter(F.lit(False)).select(*[F.col("s_" + c).alias(c) for c in src.columns])
     report = j.filter(sp).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    if on_duplicates == "latest":
+        report = _counted(given, keys, report)
     return MergeResult(j, new_target, rejects, report)
 
 

@@ -1,28 +1,32 @@
 """Config-driven lake → hub loads.
 
-A load is described by a :class:`LoadConfig` (one row of the config table).
-:func:`run_load` turns it into DataFrame operations:
+A load is described by a :class:`LoadConfig`, usually one row of the config
+table (:func:`config_from_row`).  :func:`run_load` turns it into DataFrame
+operations:
 
 * ``SCD1``      → fingerprint merge (+ hard delete when asked);
 * ``OVERWRITE`` → whole table, or only the rows of the target filter;
-* ``TRUNCATE``  → delete by filter (or all), then load the source;
+* ``TRUNCATE``  → delete by filter (or all), then add every source row;
 * other         → the merge path (as SCD1 without delete).
 
-Nothing is written here: the result is the new target and one audit row; the
-caller writes the target once (to a new path) and appends the audit row.
-Pre/post SQL statements run through ``spark.sql`` as a *list* of statements
-(a naive ``;`` split breaks on quoted semicolons).
+``run_load`` writes nothing: it returns the new target and one audit row.
+:func:`execute_load` is the whole run: audit ``running``, pre-SQL, load, write
+(by the caller's function), post-SQL, audit ``completed``, or ``failed`` with
+the error.  Pre/post SQL statements run through ``spark.sql`` as a *list* of
+statements (a naive ``;`` split breaks on quoted semicolons).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+import re
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import merge
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources.io import overwrite_load, overwrite_where
 
 # Load strategies and audit statuses.
@@ -48,6 +52,8 @@ class LoadConfig:
     post_sql: tuple = ()
     upd_col: str = "AUD_UPD_DTS"
     ld_col: str = "AUD_LD_DTS"
+    delete_sql: str | None = None          # all keys that still exist, for the hard delete
+    delete_filter: str | None = None       # target rows the hard delete looks at (default: tgt_filter)
     extra: dict = field(default_factory=dict)
 
     def validate(self) -> "LoadConfig":
@@ -56,14 +62,21 @@ class LoadConfig:
                     "load_strategy": self.load_strategy}
         strategy = (self.load_strategy or "").upper()
         if strategy in (SCD1, MERGE) or self.hard_delete:
-            required["merge_keys"] = self.merge_keys
+            required["merge_keys"] = self.merge_keys       # TRUNCATE and OVERWRITE match no keys
         if strategy == SCD1:
             required["hash_col"] = self.hash_col
         missing = [k for k, v in required.items() if not v]
         if missing:
             raise ValueError(f"missing load parameters: {missing}")
+        if self.hard_delete and strategy == SCD1 and self.incremental and not self.delete_sql:
+            raise ValueError("hard delete on an incremental load needs delete_sql: the increment does not hold "
+                             "the keys that still exist")
         return self
 
+    @property
+    def incremental(self) -> bool:
+        return bool(self.incremental_sql) and not self.full_load and self.strategy != TRUNCATE
+
     @property
     def strategy(self) -> str:
         return self.load_strategy.upper()
@@ -71,9 +84,54 @@ class LoadConfig:
 
 def source_query(cfg: LoadConfig) -> str | None:
     """Full query on a full load, otherwise the incremental one when given."""
-    if cfg.full_load or cfg.strategy == TRUNCATE or not cfg.incremental_sql:
-        return cfg.source_sql
-    return cfg.incremental_sql
+    return cfg.incremental_sql if cfg.incremental else cfg.source_sql
+
+
+# Columns of the config table, both spellings in use.
+CONFIG_COLUMNS = {
+    "src_system": ("src_system",), "src_tbl": ("src_tbl",), "tgt_tbl": ("tgt_tbl",),
+    "load_strategy": ("load_strategy",), "merge_keys": ("tgt_merge_col_nm",),
+    "source_sql": ("src_truncate_query", "src_select_logic_sql"),
+    "incremental_sql": ("src_incr_query", "batch_sql_query"),
+    "delete_sql": ("src_delete_query",), "delete_filter": ("tgt_delete_filter_condition",),
+    "hard_delete": ("hard_delete_flag", "hard_delete_required"),
+    "src_filter": ("src_merge_filter_condition",), "tgt_filter": ("tgt_merge_filter_condition",),
+    "pre_sql": ("pre_sql_query",), "pre_sql_flag": ("pre_sql_flag",),
+    "post_sql": ("post_sql_query",), "post_sql_flag": ("post_sql_flag",),
+}
+
+
+def config_from_row(row: Mapping[str, object], hash_col: str | None = None, full_load: bool = False,
+                    **extra) -> LoadConfig:
+    """A load from one row of the config table (blank values count as absent).
+
+    Flags are ``Y``/``N``; filters may carry the aliases ``tgt.``, ``src.`` or
+    ``stg.``, which are taken off; SQL hooks run only where their flag is ``Y``.
+    """
+    lower = {str(k).lower(): v for k, v in row.items()}
+
+    def value(name: str) -> str | None:
+        texts = [str(lower[c]).strip() for c in CONFIG_COLUMNS[name] if lower.get(c) is not None]
+        return next((t for t in texts if t), None)
+
+    def flag(name: str) -> bool:
+        return (value(name) or "").upper() == "Y"
+
+    def condition(name: str) -> str | None:
+        text = value(name)
+        return re.sub(r"\b(?:tgt|src|stg)\.", "", text, flags=re.IGNORECASE) if text else None
+
+    def hook(name: str) -> tuple:
+        return (value(name),) if flag(f"{name}_flag") and value(name) else ()
+
+    return LoadConfig(
+        src_system=value("src_system"), src_tbl=value("src_tbl"), tgt_tbl=value("tgt_tbl"),
+        load_strategy=value("load_strategy") or "",
+        merge_keys=tuple(k.strip() for k in (value("merge_keys") or "").split(",") if k.strip()),
+        hash_col=hash_col, source_sql=value("source_sql"), incremental_sql=value("incremental_sql"),
+        full_load=full_load, hard_delete=flag("hard_delete"), src_filter=condition("src_filter"),
+        tgt_filter=condition("tgt_filter"), delete_sql=value("delete_sql"), delete_filter=condition("delete_filter"),
+        pre_sql=hook("pre_sql"), post_sql=hook("post_sql"), extra=extra).validate()
 
 
 def run_hooks(spark: SparkSession, statements: Sequence[str]) -> None:
@@ -90,65 +148,100 @@ class LoadResult:
     operation: str
 
 
-def audit_row(spark: SparkSession, cfg: LoadConfig, status: str, operation: str,
+def audit_row(spark: SparkSession, cfg: LoadConfig, status: str, operation: str | None,
               src_count: Column | int | None, batch_id: int, filter_condition: str | None,
-              as_of: Column | None = None) -> DataFrame:
-    """Q4: one audit row (status, operation, source count, target, filter)."""
+              as_of: Column | None = None, error: str | None = None) -> DataFrame:
+    """Q4: one audit row (status, operation, source count, target, filter, error)."""
     ts = as_of if as_of is not None else F.current_timestamp()
     cnt = src_count if isinstance(src_count, Column) else F.lit(src_count).cast("bigint")
     return spark.range(1).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(status).alias("status"),
         F.lit(cfg.src_system).alias("src_system"), F.lit(cfg.src_tbl).alias("src_tbl_nm"),
-        F.lit(cfg.tgt_tbl).alias("tgt_tbl_nm"), F.lit(operation).alias("operation"),
+        F.lit(cfg.tgt_tbl).alias("tgt_tbl_nm"), F.lit(operation).cast("string").alias("operation"),
         cnt.alias("src_data_count"), F.lit(filter_condition).cast("string").alias("filter_condition"),
-        ts.cast("timestamp").alias("audit_ts"))
+        ts.cast("timestamp").alias("audit_ts"), F.lit(error).cast("string").alias("error"))
 
 
 def run_load(spark: SparkSession, cfg: LoadConfig, target: DataFrame, source: DataFrame | None = None,
-             batch_id: int = 0, as_of: Column | None = None) -> LoadResult:
-    """Dispatch one configured load; returns the new target and its audit row.
+             batch_id: int = 0, as_of: Column | None = None, delete_source: DataFrame | None = None) -> LoadResult:
+    """One configured load as frames; returns the new target and its audit row.
 
-    ``source`` overrides ``source_sql`` (used when the caller already holds
-    the frame).  The source count in the audit row is computed by the same
-    aggregate job that the caller triggers when it collects the audit row.
+    ``source`` and ``delete_source`` override ``source_sql`` and
+    ``delete_sql`` (used when the caller already holds the frames).  A full
+    source also serves as the list of keys that still exist; an incremental
+    one never does.  Post-SQL belongs after the write, so a config with
+    ``post_sql`` runs through :func:`execute_load` only.
     """
+    if cfg.post_sql:
+        raise ValueError("post_sql runs after the write: use execute_load")
+    return _load(spark, cfg, target, source, batch_id, as_of, delete_source)
+
+
+def _load(spark, cfg, target, source, batch_id, as_of, delete_source) -> LoadResult:
     cfg.validate()
     run_hooks(spark, cfg.pre_sql)
-    src = source if source is not None else spark.sql(source_query(cfg))
-    if cfg.src_filter:
-        src = src.filter(cfg.src_filter)
+    given = source if source is not None else spark.sql(source_query(cfg))
+    src = given.filter(cfg.src_filter) if cfg.src_filter else given
     ts = as_of if as_of is not None else merge.now_ms()
     strategy = cfg.strategy
+    fresh = lambda: overwrite_load(
+        src.select(*[c for c in target.columns if c in src.columns]), ts, cfg.ld_col, cfg.upd_col).select(*target.columns)
     if strategy == OVERWRITE:
-        rows = overwrite_load(src.select(*[c for c in target.columns if c in src.columns]), ts,
-                              cfg.ld_col, cfg.upd_col)
-        rows = rows.select(*target.columns)
-        new = rows if not cfg.tgt_filter else overwrite_where(rows, target, cfg.tgt_filter)
+        new = fresh() if not cfg.tgt_filter else overwrite_where(fresh(), target, cfg.tgt_filter)
         op = "WRITE" if cfg.tgt_filter else "CREATE OR REPLACE TABLE AS SELECT"
+    elif strategy == TRUNCATE or (cfg.full_load and cfg.hard_delete):
+        # the rows in scope go, every source row comes in, whatever keys they share
+        new = overwrite_where(fresh(), target, cfg.tgt_filter) if cfg.tgt_filter else fresh()
+        op = "MERGE"
     else:
-        full_delete = strategy == TRUNCATE or (cfg.full_load and cfg.hard_delete)
-        tgt = target
-        if full_delete:
-            # truncate-and-load: drop the rows in scope first, then merge into the rest
-            tgt = target.filter(~F.coalesce(F.expr(cfg.tgt_filter), F.lit(False))) if cfg.tgt_filter \
-                else target.filter(F.lit(False))
         if cfg.hash_col:
-            res = merge.scd1_merge(src, tgt, list(cfg.merge_keys), cfg.hash_col, tgt_filter=cfg.tgt_filter,
+            res = merge.scd1_merge(src, target, list(cfg.merge_keys), cfg.hash_col, tgt_filter=cfg.tgt_filter,
                                    upd_col=cfg.upd_col, ld_col=cfg.ld_col, as_of=ts)
         else:
-            res = merge.scd1_merge(src.withColumn("_h", F.lit(1)), tgt.withColumn("_h", F.lit(0)),
+            res = merge.scd1_merge(src.withColumn("_h", F.lit(1)), target.withColumn("_h", F.lit(0)),
                                    list(cfg.merge_keys), "_h", tgt_filter=cfg.tgt_filter,
                                    upd_col=cfg.upd_col, ld_col=cfg.ld_col, as_of=ts)
         new = res.target.select(*target.columns)
         if cfg.hard_delete and strategy == SCD1:
-            new = merge.hard_delete(src, new, list(cfg.merge_keys), scope=cfg.tgt_filter)
+            there = delete_source
+            if there is None:
+                there = spark.sql(cfg.delete_sql) if cfg.delete_sql else given
+            new = merge.hard_delete(there, new, list(cfg.merge_keys), scope=cfg.delete_filter or cfg.tgt_filter)
         op = "MERGE"
-        run_hooks(spark, cfg.post_sql)
     cnt = src.agg(F.count(F.lit(1))).scalar()
     audit = audit_row(spark, cfg, COMPLETED, op, cnt, batch_id, cfg.tgt_filter, ts)
     return LoadResult(new, audit, op)
 
 
+def execute_load(spark: SparkSession, cfg: LoadConfig, target: DataFrame, write: Callable[[DataFrame], None],
+                 on_audit: Callable[[DataFrame], None] | None = None, source: DataFrame | None = None,
+                 batch_id: int = 0, as_of: Column | None = None,
+                 delete_source: DataFrame | None = None) -> LoadResult:
+    """The whole run of one load.
+
+    ``on_audit`` receives one row when the run starts (``running``) and one
+    when it ends (``completed``, or ``failed`` with the error, which is raised
+    again).  The source is written to the shared checkpoint folder once, so
+    the rows counted in the audit are the rows loaded.  ``write`` stores the
+    new target; post-SQL runs after it and sees the written table.
+    """
+    note = on_audit or (lambda row: None)
+    cfg.validate()
+    note(audit_row(spark, cfg, RUNNING, None, None, batch_id, cfg.tgt_filter, as_of))
+    try:
+        run_hooks(spark, cfg.pre_sql)
+        checkpoint_dir(spark)
+        pinned = (source if source is not None else spark.sql(source_query(cfg))).checkpoint()
+        res = _load(spark, replace(cfg, pre_sql=()), target, pinned, batch_id, as_of, delete_source)
+        write(res.target)
+        run_hooks(spark, cfg.post_sql)
+    except Exception as e:
+        note(audit_row(spark, cfg, FAILED, None, None, batch_id, cfg.tgt_filter, as_of, f"{type(e).__name__}: {e}"))
+        raise
+    note(res.audit)
+    return res
+
+
 def load_files(files: Sequence[str], load_one: Callable[[str], None]) -> list[tuple[str, str, str]]:
     """Load file by file; a failure is recorded and the next file still runs.
 

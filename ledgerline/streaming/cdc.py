@@ -2,12 +2,18 @@
 
 ``readStream`` → ``foreachBatch``: each micro-batch is reduced to the latest
 change per key (partial aggregate, so a hot key costs one row per task) and
-merged into the current target with :func:`ledgerline.operators.merge.
-scd1_merge`, with the late-change guard on.  The merged target is written as a
-new version under the sink folder and then committed by writing a marker for
-the batch id; a replayed batch (after a driver or executor failure) finds its
-marker and is skipped, so each batch is applied exactly once.  Readers always
-take the newest committed version.
+merged with :func:`ledgerline.operators.merge.scd1_merge`, with the
+late-change guard on.  The target is kept in ``buckets`` by a hash of its
+keys: a batch reads and rewrites only the buckets that hold a changed key, so
+its cost follows the change and not the target.  The new bucket files are
+written beside the old ones and then committed by one small file per batch
+that names the version of every bucket; a replayed batch (after a driver or
+executor failure) finds its commit and is skipped, so each batch is applied
+exactly once.  Versions that neither of the last two commits names are
+removed.
+
+The commit also holds the streaming query's id.  A new checkpoint numbers its
+batches from 0 again, which would look like a replay; it raises instead.
 
 Paths are on the shared folder the cluster names in ``spark.checkpoint.dir``
 (or any shared path the caller gives); nothing is kept on a local disk.
@@ -18,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,6 +33,8 @@ from ledgerline.operators.dedupe import latest
 from ledgerline.operators.merge import scd1_merge
 
 COMMITS = "_commits"
+BUCKET = "_bucket"
+COMMIT_SCHEMA = "batch_id long, query_id string, buckets int, bucket int, version long"
 
 
 @dataclass
@@ -36,6 +45,8 @@ class Scd1StreamSink:
     change per key inside a batch; ``hash_col`` is the change fingerprint;
     ``guard_col`` is the source change time used to ignore late changes
     (``upd_col``/``ld_col``, when given, are stamped with the load time).
+    ``buckets`` is fixed for the life of a target: choose it so that one
+    bucket is a few hundred megabytes.
     """
     root: str
     keys: Sequence[str]
@@ -45,65 +56,93 @@ class Scd1StreamSink:
     upd_col: str | None = None
     ld_col: str | None = None
     guard_col: str | None = None
+    buckets: int = 32
 
-    # -- versions ---------------------------------------------------------
-    # Each applied batch leaves a marker folder ``_commits/batch=<id>`` (with
-    # Spark's _SUCCESS file) after its target version ``v<id>`` is complete;
-    # the newest committed batch is found by listing the markers, no job.
-    def _version(self, batch_id: int) -> str:
-        return f"{self.root}/v{batch_id:012d}"
-
-    def _listed(self, spark: SparkSession) -> list[int] | None:
+    # -- commits ----------------------------------------------------------
+    def _commits(self, spark: SparkSession) -> DataFrame | None:
+        """All commit rows, or None where nothing was ever committed."""
         try:
-            jvm = spark.sparkContext._jvm
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
-        except Exception:
-            return None                     # no JVM access: caller falls back to a read
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{COMMITS}")
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
+            return spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/{COMMITS}/*")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _newest(self, spark: SparkSession, n: int) -> list[tuple[int, str | None, int, dict[int, int]]]:
+        """The last ``n`` commits: batch id, query id, number of buckets, version of each bucket."""
+        rows = self._commits(spark)
+        if rows is None:
             return []
+        ids = [r.batch_id for r in rows.select("batch_id").distinct().orderBy(F.desc("batch_id")).limit(n).collect()]
         out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
+        for i in ids:               # at most one row per bucket each
+            part = rows.filter(F.col("batch_id") == i).collect()
+            out.append((i, part[0].query_id, part[0].buckets,
+                        {r.bucket: r.version for r in part if r.bucket is not None}))
         return out
 
-    def committed(self, spark: SparkSession) -> tuple[int, str] | None:
-        ids = self._listed(spark)
-        if ids is None:
-            try:
-                row = spark.read.json(f"{self.root}/{COMMITS}").agg(F.max("batch_id").alias("m")).first()
-                ids = [] if row is None or row.m is None else [row.m]
-            except Exception:  # folder does not exist yet: nothing committed
-                ids = []
-        if not ids:
-            return None
-        last = max(ids)
-        return last, self._version(last)
+    def committed(self, spark: SparkSession) -> tuple[int, dict[int, int]] | None:
+        last = self._newest(spark, 1)
+        return (last[0][0], last[0][3]) if last else None
+
+    def _folder(self, bucket: int, version: int) -> str:
+        return f"{self.root}/v{version:012d}/{BUCKET}={bucket}"
+
+    def _read(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
+        paths = [self._folder(b, v) for b, v in sorted(versions.items())]
+        if not paths:
+            return spark.createDataFrame([], self.target_schema)
+        return spark.read.schema(self.target_schema).parquet(*paths)
 
     def current(self, spark: SparkSession) -> DataFrame:
         last = self.committed(spark)
-        if last is None:
-            return spark.createDataFrame([], self.target_schema)
-        return spark.read.schema(self.target_schema).parquet(last[1])
+        return self._read(spark, last[1] if last else {})
+
+    def _retire(self, spark: SparkSession) -> None:
+        """Remove the third last commit, and the bucket versions that no later one names."""
+        last = self._newest(spark, 3)
+        if len(last) < 3:
+            return
+        held = {(b, v) for *_, versions in last[:2] for b, v in versions.items()}
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        old = [self._folder(b, v) for b, v in set(last[2][3].items()) - held]
+        for name in [*old, f"{self.root}/{COMMITS}/batch={last[2][0]}"]:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
 
     # -- one micro-batch --------------------------------------------------------
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        last = self.committed(spark)
-        if last is not None and batch_id <= last[0]:
-            return  # replayed batch: already applied
-        changes = latest(batch, list(self.keys), list(self.order))
-        res = scd1_merge(changes, self.current(spark), list(self.keys), self.hash_col,
-                         upd_col=self.upd_col, ld_col=self.ld_col, ignore_older=True,
-                         guard_col=self.guard_col, on_duplicates="keep")
-        version = self._version(batch_id)
-        res.target.select(*[f.name for f in self.target_schema.fields]) \
-            .write.mode("overwrite").parquet(version)
-        spark.createDataFrame([(int(batch_id), version)], "batch_id long, version string") \
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        last = self._newest(spark, 1)
+        versions: dict[int, int] = {}
+        if last:
+            done, by, buckets, versions = last[0]
+            if buckets != self.buckets:
+                raise ValueError(f"the target has {buckets} buckets, not {self.buckets}")
+            if query and by and query != by:
+                raise ValueError(f"target {self.root} was written by stream {by}; this is stream {query} with a "
+                                 "checkpoint of its own, whose batch numbers cannot be compared")
+            if batch_id <= done:
+                return  # replayed batch: already applied
+        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+        changes = latest(batch, list(self.keys), list(self.order)).persist()
+        try:
+            touched = [r[0] for r in changes.select(bucket).distinct().collect()]      # at most ``buckets``
+            now = self._read(spark, {b: versions[b] for b in touched if b in versions})
+            res = scd1_merge(changes, now, list(self.keys), self.hash_col,
+                             upd_col=self.upd_col, ld_col=self.ld_col, ignore_older=True,
+                             guard_col=self.guard_col, on_duplicates="keep")
+            out = res.target.select(*[f.name for f in self.target_schema.fields], bucket.alias(BUCKET))
+            out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
+                f"{self.root}/v{int(batch_id):012d}")
+        finally:
+            changes.unpersist()
+        versions = {**versions, **{b: int(batch_id) for b in touched}}
+        rows = [(int(batch_id), query, self.buckets, b, v) for b, v in sorted(versions.items())]
+        spark.createDataFrame(rows or [(int(batch_id), query, self.buckets, None, None)], COMMIT_SCHEMA) \
             .coalesce(1).write.mode("overwrite").json(f"{self.root}/{COMMITS}/batch={int(batch_id)}")
+        self._retire(spark)
 
 
 def stream_source(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
@@ -125,7 +164,9 @@ def run_scd1_stream(changes: DataFrame, sink: Scd1StreamSink, checkpoint: str,
     w = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
         q = w.trigger(availableNow=True).start()
-        q.awaitTermination(timeout_s)
+        if q.awaitTermination(timeout_s) is False:
+            q.stop()
+            raise TimeoutError(f"the stream has not finished after {timeout_s} s; its committed batches stay")
         return q
     return w.start()
 

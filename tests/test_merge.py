@@ -62,8 +62,8 @@ def test_upsert_outcomes(pair):
     assert rej == {"k3": "reject_update_unmatched", "k2": "reject_insert_matched", "k4": "reject_unknown_flag",
                    "k7": "reject_unknown_flag"}
     rep = {r.outcome: r.n for r in res.report.collect()}
-    assert sum(rep.values()) == 8   # every de-duplicated source row classified exactly once
-    assert rep["update"] == 3 and rep["insert"] == 1
+    assert sum(rep.values()) == source.count() == 9   # every source row has one outcome
+    assert rep["update"] == 3 and rep["insert"] == 1 and rep["superseded"] == 1
 
 
 def test_upsert_null_boolean_overwrites(pair, spark):
@@ -112,7 +112,7 @@ def test_scd1_merge(spark):
     assert out[3].v == "c"
     assert out[4].v == "d2" and out[4].ld == dt.datetime(2024, 6, 1)
     rep = {r.outcome: r.n for r in res.report.collect()}
-    assert rep == {"unchanged": 1, "update": 1, "insert": 1}
+    assert rep == {"unchanged": 1, "update": 1, "insert": 1, "superseded": 1}
 
 
 def test_scd1_late_change_ignored(spark):
@@ -122,6 +122,24 @@ def test_scd1_late_change_ignored(spark):
     assert [r.v for r in res.target.collect()] == ["new"]
 
 
+def test_scd1_guard_moves_on_with_an_equal_hash(spark):
+    schema = "k int, v string, h string, t int"
+    target = spark.createDataFrame([(1, "A", "a", 1)], schema)
+    for change in [(1, "A", "a", 3), (1, "B", "b", 2)]:         # A again at 3, then B of 2 arrives late
+        target = merge.scd1_merge(spark.createDataFrame([change], schema), target, ["k"], "h", ignore_older=True,
+                                  guard_col="t", on_duplicates="keep").target
+    assert [tuple(r) for r in target.collect()] == [(1, "A", "a", 3)]
+
+
+def test_merge_leaves_rows_out_of_scope_unshuffled(spark):
+    tgt = spark.range(100).selectExpr("id k", "'h' h", "id % 2 site")
+    src = spark.range(10).selectExpr("id k", "'x' h", "id % 2 site")
+    res = merge.scd1_merge(src, tgt, ["k"], "h", tgt_filter="site = 0", on_duplicates="keep")
+    plan = res.target._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "FullOuter" not in plan
+    assert res.target.count() == 100 + 5
+
+
 def test_scd1_target_filter_scope(spark):
     tgt = spark.createDataFrame([(1, "x", "h", "A"), (2, "y", "h", "B")], "k int, v string, h string, site string")
     src = spark.createDataFrame([(1, "x2", "h9", "A"), (2, "y2", "h9", "B")], "k int, v string, h string, site string")

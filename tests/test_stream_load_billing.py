@@ -36,6 +36,37 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_shared):
     # replaying a committed batch changes nothing
     sink(spark.createDataFrame([(1, "zzz", t(2030, 1, 1), "hz")], SCHEMA), 1)
     assert sorted((r.k, r.v) for r in sink.current(spark).collect()) == got
+    # a second stream with a checkpoint of its own must not pass for a replay
+    with pytest.raises(Exception, match="checkpoint of its own"):
+        cdc.run_scd1_stream(stream, sink, os.path.join(tmp_shared, "ckpt2"), timeout_s=300)
+
+
+def test_stream_rewrites_touched_buckets_and_retires_old_versions(spark, tmp_shared):
+    t = dt.datetime(2024, 1, 1)
+    root = os.path.join(tmp_shared, "target")
+    sink = cdc.Scd1StreamSink(root, ["k"], "h", SCHEMA, ["t"], guard_col="t", buckets=4)
+    sink(spark.createDataFrame([(k, "a", t, "a") for k in range(40)], SCHEMA), 0)
+    for i in range(1, 5):
+        sink(spark.createDataFrame([(7, f"v{i}", t + dt.timedelta(days=i), f"v{i}")], SCHEMA), i)
+    last, versions = sink.committed(spark)
+    assert last == 4 and sorted(versions.values()) == [0, 0, 0, 4]
+    rows = {r.k: r.v for r in sink.current(spark).collect()}
+    assert rows == {**{k: "a" for k in range(40)}, 7: "v4"}
+    left = {d: sorted(x for x in os.listdir(os.path.join(root, d)) if x.startswith("_bucket"))
+            for d in os.listdir(root) if d.startswith("v")}
+    assert sum(map(len, left.values())) == 5            # the current four and the one before
+    with pytest.raises(ValueError, match="buckets"):
+        cdc.Scd1StreamSink(root, ["k"], "h", SCHEMA, ["t"], buckets=8)(spark.createDataFrame([], SCHEMA), 5)
+
+
+def test_stream_commit_that_cannot_be_read_raises(spark, tmp_shared):
+    root = os.path.join(tmp_shared, "target")
+    os.makedirs(os.path.join(root, "_commits", "batch=0"))
+    with open(os.path.join(root, "_commits", "batch=0", "part-0.json.gz"), "wb") as f:
+        f.write(b"no gzip at all")
+    sink = cdc.Scd1StreamSink(root, ["k"], "h", SCHEMA, ["t"])
+    with pytest.raises(Exception):
+        sink.current(spark)
 
 
 def test_load_config_validation():
@@ -60,13 +91,71 @@ def test_run_load_strategies_and_hooks(spark):
                           source_sql="SELECT k, v, h, CAST(NULL AS TIMESTAMP) AS AUD_LD_DTS, "
                                      "CAST(NULL AS TIMESTAMP) AS AUD_UPD_DTS FROM hook_src2",
                           post_sql=("CREATE OR REPLACE TEMP VIEW hook_done AS SELECT 1 AS x",))
-    res = load.run_load(spark, cfg, tgt, batch_id=3)
-    assert sorted(r.k for r in res.target.collect()) == [1, 3]     # 2 hard-deleted, 3 inserted
+    with pytest.raises(ValueError, match="post_sql"):
+        load.run_load(spark, cfg, tgt, batch_id=3)
+    written, notes = [], []
+    res = load.execute_load(spark, cfg, tgt, written.append, notes.append, batch_id=3)
+    assert sorted(r.k for r in written[0].collect()) == [1, 3]     # 2 hard-deleted, 3 inserted
+    assert [n.first().status for n in notes] == ["running", "completed"]
     a = res.audit.first()
-    assert a.status == "completed" and a.src_data_count == 2 and a.operation == "MERGE"
+    assert a.src_data_count == 2 and a.operation == "MERGE" and a.error is None
     assert spark.table("hook_done").count() == 1
 
 
+HUB = "k int, v string, h string, AUD_LD_DTS timestamp, AUD_UPD_DTS timestamp"
+
+
+def _hub(spark, rows):
+    return spark.createDataFrame([(k, v, v, None, None) for k, v in rows], HUB)
+
+
+def test_incremental_hard_delete_needs_the_keys_that_still_exist(spark):
+    tgt, inc = _hub(spark, [(k, "a") for k in range(1, 6)]), _hub(spark, [(1, "b")])
+    cfg = dict(src_system="e", src_tbl="s", tgt_tbl="t", load_strategy="SCD1", merge_keys=("k",), hash_col="h",
+               hard_delete=True, source_sql="FULL", incremental_sql="INC")
+    with pytest.raises(ValueError, match="delete_sql"):
+        load.run_load(spark, load.LoadConfig(**cfg), tgt, inc)
+    there = spark.createDataFrame([(1,), (2,), (4,)], "k int")
+    res = load.run_load(spark, load.LoadConfig(**cfg, delete_sql="KEYS"), tgt, inc, delete_source=there)
+    assert sorted((r.k, r.v) for r in res.target.collect()) == [(1, "b"), (2, "a"), (4, "a")]
+
+
+def test_truncate_keeps_every_source_row(spark):
+    tgt, src = _hub(spark, [(9, "old")]), _hub(spark, [(1, "a"), (1, "b"), (2, "c")])
+    for keys in ((), ("k",)):
+        cfg = load.LoadConfig("e", "s", "t", "truncate", merge_keys=keys)
+        res = load.run_load(spark, cfg, tgt, src)
+        assert sorted((r.k, r.v) for r in res.target.collect()) == [(1, "a"), (1, "b"), (2, "c")]
+        assert res.audit.first().src_data_count == 3
+
+
+def test_failed_load_is_audited_with_the_whole_error(spark):
+    notes = []
+
+    def write(df):
+        raise RuntimeError("disk " + "x" * 500)
+
+    with pytest.raises(RuntimeError):
+        load.execute_load(spark, load.LoadConfig("e", "s", "t", "truncate"), _hub(spark, []), write, notes.append,
+                          source=_hub(spark, [(1, "a")]))
+    last = notes[-1].first()
+    assert [n.first().status for n in notes] == ["running", "failed"] and last.error == "RuntimeError: disk " + "x" * 500
+
+
+def test_config_from_row():
+    row = {"src_system": "erp", "src_tbl": "lake.a", "tgt_tbl": "hub.a", "load_strategy": "scd1",
+           "tgt_merge_col_nm": "K1, K2", "src_select_logic_sql": "FULL", "batch_sql_query": "INC",
+           "src_delete_query": "KEYS", "tgt_delete_filter_condition": "TGT.site = 'A'", "hard_delete_required": "y",
+           "tgt_merge_filter_condition": "tgt.site = 'A' and src.x = 1", "src_merge_filter_condition": " ",
+           "post_sql_query": "SELECT ';'", "post_sql_flag": "Y", "pre_sql_query": "SELECT 1", "pre_sql_flag": "N"}
+    cfg = load.config_from_row(row, hash_col="md5")
+    assert cfg.merge_keys == ("K1", "K2") and cfg.source_sql == "FULL" and cfg.incremental and cfg.hard_delete
+    assert cfg.delete_filter == "site = 'A'" and cfg.tgt_filter == "site = 'A' and x = 1" and cfg.src_filter is None
+    assert cfg.post_sql == ("SELECT ';'",) and cfg.pre_sql == ()
+    with pytest.raises(ValueError):
+        load.config_from_row({**row, "tgt_tbl": ""}, hash_col="md5")
+
+
 def test_load_files_isolates_failures():
     seen = []
 
@@ -90,11 +179,24 @@ def test_sources_roundtrip(spark, tmp_shared):
         f.write("source_table,source_column\nl,a\n")
     with pytest.raises(ValueError):
         io.read_mapping(spark, bad)
+    turned = os.path.join(tmp_shared, "turned.csv")
+    with open(turned, "w") as f:
+        f.write("Target_Column, source_table,note,source_column,target_table\nb,l,x,a,t\n")
+    assert [tuple(r) for r in io.read_mapping(spark, turned).collect()] == [("l", "a", "t", "b")]
     keys = spark.createDataFrame([("orders", "o_orderkey", "o_custkey")], "table_name string, pk string, eid string")
     assert io.table_keys(keys, " ORDERS")["pk"] == "o_orderkey"
     assert io.clamp_partitions(1) == 4 and io.clamp_partitions(50) == 20 and io.clamp_partitions(9) == 9
 
 
+def test_jdbc_scan_in_ranges():
+    src = io.Source("jdbc", "t", partition_column="id", lower=0, upper=1000, partitions=8)
+    assert io.jdbc_ranges(src) == {"partitionColumn": "id", "lowerBound": "0", "upperBound": "1000",
+                                   "numPartitions": "8"}
+    assert io.jdbc_ranges(io.Source("jdbc", "t")) == {}
+    with pytest.raises(ValueError):
+        io.jdbc_ranges(io.Source("jdbc", "t", partition_column="id"))
+
+
 def test_read_schema_lists_catalog_tables(spark):
     spark.range(3).createOrReplaceGlobalTempView("ll_schema_probe")
     frames = io.read_schema(spark, "global_temp")
