@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import checkpoint_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"          # the class [\x20\x09-\x0D]
@@ -70,27 +72,12 @@ def aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
     return df.withColumnsRenamed(away), {v: k for k, v in away.items()}
 
 
-def use_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts, taken from ``spark.checkpoint.dir``.
-
-    Raises when the session names none: on a cluster a folder made up here
-    would be local to one machine.
-    """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later plans read it instead of computing it again."""
-    use_checkpoint_dir(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return os.path.join(use_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
