@@ -32,7 +32,12 @@ landing AS (
     CASE WHEN s.s_acctbal >= 0 THEN CAST(s.s_suppkey AS VARCHAR) END AS vendor_id,
     s.s_name AS vendor_name,
     CASE WHEN s.s_acctbal > 2000 THEN 'Contact ' || s.s_name WHEN s.s_acctbal > 1000 THEN 'none' END AS vendor_contact_name,
-    CASE WHEN s.s_acctbal > 5000 THEN CAST(s.s_suppkey AS VARCHAR) END AS supplier_ecid,
+    CASE WHEN s.s_acctbal > 5000 THEN 'SE' || CAST(s.s_suppkey AS VARCHAR) END AS supplier_ecid,
+    CASE WHEN s.s_acctbal > -500 THEN 'TAX-' || CAST(s.s_nationkey AS VARCHAR) END AS tax_id,
+    CASE WHEN s.s_nationkey % 2 = 0 THEN 'Trade ' || s.s_name END AS dba,
+    CASE WHEN s.s_nationkey % 3 <> 0 THEN 'CV' || CAST(s.s_suppkey AS VARCHAR) END AS client_vendor_id,
+    'SITE' || CAST(s.s_nationkey AS VARCHAR) AS client_vendor_site_id,
+    CASE WHEN c.c_mktsegment <> 'HOUSEHOLD' THEN CAST(c.c_custkey AS VARCHAR) END AS client_ecid,
     CASE WHEN c.c_mktsegment <> 'HOUSEHOLD' THEN CAST(c.c_custkey AS VARCHAR) END AS client_id,
     c.c_name AS client_name,
     CAST(NULL AS VARCHAR) AS company_structure,
@@ -63,7 +68,11 @@ def _vendors(spark, d):
         F.col("s_name").alias("vendor_name"),
         F.when(F.col("s_acctbal") > 2000, F.concat(F.lit("Contact "), F.col("s_name")))
          .when(F.col("s_acctbal") > 1000, F.lit("none")).alias("vendor_contact_name"),
-        F.when(F.col("s_acctbal") > 5000, F.col("s_suppkey").cast("string")).alias("supplier_ecid"),
+        F.when(F.col("s_acctbal") > 5000, F.concat(F.lit("SE"), F.col("s_suppkey"))).alias("supplier_ecid"),
+        F.when(F.col("s_acctbal") > -500, F.concat(F.lit("TAX-"), F.col("s_nationkey"))).alias("tax_id"),
+        F.when(F.col("s_nationkey") % 2 == 0, F.concat(F.lit("Trade "), F.col("s_name"))).alias("dba"),
+        F.when(F.col("s_nationkey") % 3 != 0, F.concat(F.lit("CV"), F.col("s_suppkey"))).alias("client_vendor_id"),
+        F.concat(F.lit("SITE"), F.col("s_nationkey")).alias("client_vendor_site_id"),
         F.lit(None).cast("string").alias("company_structure"),
         (F.lit(1900) + F.col("s_nationkey") * 4).cast("string").alias("year_incorporated"),
         F.col("s_acctbal").cast("decimal(18,2)").cast("string").alias("reported_annual_revenue"))
@@ -74,6 +83,7 @@ def _clients(spark, d):
     return c.select(
         F.col("c_custkey").alias("o_custkey"),
         F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey").cast("string")).alias("client_id"),
+        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_custkey").cast("string")).alias("client_ecid"),
         F.col("c_name").alias("client_name"))
 
 
@@ -222,13 +232,13 @@ WITH flat AS (
   SELECT CAST(user_id AS VARCHAR) AS stg_business_entity_id,
     CAST(CASE WHEN k > 10 THEN k END AS VARCHAR) AS card_transactions_stability__1m__days_present,
     CASE WHEN k > 50 THEN CAST(k AS VARCHAR) WHEN k > 5 THEN '' END AS card_transactions_stability__1m__monthly_coverage_ratio
-  FROM (SELECT user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events WHERE event_type = 'click')),
+  FROM (SELECT user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)),
 rows AS (SELECT DISTINCT * FROM flat
          WHERE (card_transactions_stability__1m__days_present IS NOT NULL AND card_transactions_stability__1m__days_present NOT IN ('', 'null'))
             OR (card_transactions_stability__1m__monthly_coverage_ratio IS NOT NULL AND card_transactions_stability__1m__monthly_coverage_ratio NOT IN ('', 'null')))
 SELECT {_u(['stg_business_entity_id'] + _STAB)} AS card_transactions_stability_id, * FROM rows""")
 def staging_card_stability(spark, d):
-    e = table(spark, d, "events").filter(F.col("event_type") == "click")
+    e = table(spark, d, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     doc = F.to_json(F.struct(F.lit(None).cast("string").alias("end_date"), F.struct(
         F.when(k > 10, k).alias("days_present"),
@@ -479,18 +489,19 @@ _CONTACT_SQL = (f"CASE WHEN vendor_contact_name IS NOT NULL AND trim(vendor_cont
                 f"{sql_stable_uuid({'stg_business_entity_id': 'vendor_entity_id', 'contact_name': 'vendor_contact_name'})} END")
 _EDGES_SQL = f"""
 edges AS (
-  SELECT DISTINCT * FROM (
-    SELECT buyer_entity_id AS stg_business_entity_id, CAST(NULL AS VARCHAR) AS business_entity_contact_id,
-           firm_entity_id AS stg_related_business_entity_id, CAST(NULL AS VARCHAR) AS related_business_entity_contact_id,
-           'buyer' AS business_entity_role, 'firm' AS related_business_entity_role,
-           client_id AS ecid_a, CAST(NULL AS VARCHAR) AS ecid_b
-    FROM ids WHERE firm_entity_id IS NOT NULL AND buyer_entity_id IS NOT NULL
-    UNION ALL
-    SELECT vendor_entity_id, {_CONTACT_SQL}, buyer_entity_id, NULL, 'supplier', 'buyer', vendor_id, client_id
-    FROM ids WHERE vendor_entity_id IS NOT NULL AND buyer_entity_id IS NOT NULL
-    UNION ALL
-    SELECT vendor_entity_id, {_CONTACT_SQL}, '{FIRM}', NULL, 'supplier', 'firm', vendor_id, NULL
-    FROM ids WHERE supplier_ecid IS NOT NULL AND vendor_entity_id IS NOT NULL))"""
+  SELECT buyer_entity_id AS stg_business_entity_id, CAST(NULL AS VARCHAR) AS business_entity_contact_id,
+         '{FIRM}' AS stg_related_business_entity_id, CAST(NULL AS VARCHAR) AS related_business_entity_contact_id,
+         'client' AS business_entity_role, 'firm' AS related_business_entity_role,
+         client_ecid, CAST(NULL AS VARCHAR) AS supplier_ecid,
+         CAST(NULL AS VARCHAR) AS client_vendor_id, CAST(NULL AS VARCHAR) AS client_vendor_site_id
+  FROM ids WHERE vendor_entity_id IS NOT NULL AND buyer_entity_id IS NOT NULL
+  UNION
+  SELECT vendor_entity_id, {_CONTACT_SQL}, buyer_entity_id, NULL, 'supplier', 'buyer', NULL, NULL,
+         client_vendor_id, client_vendor_site_id
+  FROM ids WHERE vendor_entity_id IS NOT NULL AND buyer_entity_id IS NOT NULL
+  UNION
+  SELECT vendor_entity_id, NULL, '{FIRM}', NULL, 'client', 'firm', NULL, supplier_ecid, NULL, NULL
+  FROM ids WHERE supplier_ecid IS NOT NULL AND vendor_entity_id IS NOT NULL)"""
 
 
 @register("staging_relationships", f"""
@@ -504,45 +515,35 @@ def staging_relationships(spark, d):
 _IDN = ["related_identifier", "related_identifier_source", "identifier_type", "identifier_value"]
 
 
-@register("staging_identifiers", f"""
-WITH {_LANDING_SQL}, {_EDGES_SQL},
+def _identifiers_sql(types, entity_scope=False):
+    """Oracle of E16 over CTEs ``ids`` and ``edges``."""
+    rel = ["client_ecid", "supplier_ecid", "client_vendor_id", "client_vendor_site_id"]
+    same = "AND h.owner = v.owner" if entity_scope else ""
+    return f"""
 e2 AS (SELECT {_u(_REL)} AS rel_id, * FROM edges),
-rel_ids AS (SELECT DISTINCT * FROM (
-  SELECT rel_id AS related_identifier, 'relationship' AS related_identifier_source,
-         business_entity_role || '_ecid' AS identifier_type, ecid_a AS identifier_value FROM e2 WHERE ecid_a IS NOT NULL
-  UNION ALL
-  SELECT rel_id, 'relationship', related_business_entity_role || '_ecid', ecid_b FROM e2 WHERE ecid_b IS NOT NULL)),
-buyer AS (SELECT DISTINCT buyer_entity_id AS related_identifier, 'business_entity' AS related_identifier_source,
-            'client_ecid' AS identifier_type, client_id AS identifier_value
-          FROM ids WHERE client_id IS NOT NULL AND buyer_entity_id IS NOT NULL),
-ent AS (SELECT DISTINCT vendor_entity_id AS related_identifier, 'business_entity' AS related_identifier_source,
-          'supplier_ecid' AS identifier_type, vendor_id AS identifier_value
-        FROM ids WHERE vendor_id IS NOT NULL AND vendor_entity_id IS NOT NULL
-          AND vendor_id NOT IN (SELECT identifier_value FROM rel_ids)),
+rel_ids AS ({' UNION '.join(
+        f"SELECT rel_id AS related_identifier, stg_business_entity_id AS owner, '{t}' AS identifier_type, "
+        f"{t} AS identifier_value FROM e2 WHERE {t} IS NOT NULL" for t in rel)}),
+vend AS ({' UNION '.join(
+        f"SELECT vendor_entity_id AS owner, '{t}' AS identifier_type, CAST({t} AS VARCHAR) AS identifier_value "
+        f"FROM ids WHERE {t} IS NOT NULL AND vendor_entity_id IS NOT NULL" for t in types)}),
+free AS (SELECT * FROM vend v WHERE NOT EXISTS (
+  SELECT 1 FROM rel_ids h WHERE h.identifier_type = v.identifier_type AND h.identifier_value = v.identifier_value {same})),
 m AS (SELECT DISTINCT related_identifier, related_identifier_source,
-        CASE identifier_type WHEN 'client_ecid' THEN 'ecid' WHEN 'supplier_ecid' THEN 'ecid' ELSE identifier_type END AS identifier_type,
+        CASE WHEN identifier_type IN ('client_ecid', 'supplier_ecid') THEN 'ecid' ELSE identifier_type END AS identifier_type,
         identifier_value
-      FROM (SELECT * FROM rel_ids UNION ALL SELECT * FROM buyer UNION ALL SELECT * FROM ent))
-SELECT {_u(_IDN)} AS identifier_id, * FROM m""")
-def staging_identifiers(spark, d):
-    return S.build_identifiers(ids(spark, d))
+      FROM (SELECT related_identifier, 'relationship' AS related_identifier_source, identifier_type, identifier_value FROM rel_ids
+            UNION ALL SELECT owner, 'business_entity', identifier_type, identifier_value FROM free))
+SELECT {_u(_IDN)} AS identifier_id, * FROM m"""
 
 
-# --- whole run: landing extract → staging tables -------------------------------------------
-
-def landing_extract(spark, d):
-    """The driver links in the landing extract's own column names."""
-    return landing(spark, d).select(
-        F.col("vendor_id").alias("sds_supplier_id"), F.col("vendor_name").alias("vendor_name_cleaned"),
-        "vendor_contact_name", "supplier_ecid", F.col("client_id").alias("client_ecid"), "client_name",
-        "year_incorporated", F.col("reported_annual_revenue").alias("vendor_annualrevenue"))
+@register("staging_identifiers", f"""
+WITH {_LANDING_SQL}, {_EDGES_SQL}, {_identifiers_sql(S.IDENTIFIER_TYPES)}""")
+def staging_identifiers(spark, d):
+    return S.build_identifiers(ids(spark, d))
 
 
-@register("staging_run_relationships", f"""
-WITH {_LANDING_SQL}, {_EDGES_SQL},
-rel AS (SELECT DISTINCT {', '.join(_REL)} FROM edges)
-SELECT {_u(_REL)} AS business_entity_relationship_id, *, true AS is_active, 'ledgerline' AS created_by FROM rel""")
-def staging_run_relationships(spark, d):
-    from ledgerline.plans.staging_run import run_staging
-    out = run_staging(landing_extract(spark, d), tables=["business_entity_relationships"])["business_entity_relationships"]
-    return out.drop("created_date")
+@register("staging_identifiers_entity_scope", f"""
+WITH {_LANDING_SQL}, {_EDGES_SQL}, {_identifiers_sql(S.IDENTIFIER_TYPES, entity_scope=True)}""")
+def staging_identifiers_entity_scope(spark, d):
+    return S.build_identifiers(ids(spark, d), S.StagingConfig(identifier_scope="entity"))

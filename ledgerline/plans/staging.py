@@ -27,6 +27,11 @@ from ledgerline.operators.reshape import class_of, melt, rename_types
 # Tags of the polymorphic foreign key.
 SOURCE_ENTITY = "business_entity"
 SOURCE_RELATIONSHIP = "relationship"
+# Company structure of a private person.
+INDIVIDUAL = "individual"
+# Identifier types of an entity, and those that sit on a relationship.
+CLIENT_ECID, SUPPLIER_ECID = "client_ecid", "supplier_ecid"
+VENDOR_LINK_TYPES = ("client_vendor_id", "client_vendor_site_id")
 # Address type of the vendor address.
 BILLING = "billing"
 # Association name of a card match.
@@ -35,10 +40,15 @@ CARD_ASSOCIATION = "visa"
 
 @dataclass(frozen=True)
 class Roles:
-    """Relationship role names (configurable; newest naming is the default)."""
-    client: str = "buyer"
+    """Relationship role names (configurable; newest naming is the default).
+
+    An edge to the firm is client → firm, from clients and from suppliers that
+    carry an id of their own; an edge to a client is supplier → buyer.
+    """
+    client: str = "client"
     firm: str = "firm"
     supplier: str = "supplier"
+    buyer: str = "buyer"
 
 
 @dataclass(frozen=True)
@@ -66,19 +76,21 @@ def relationship_id(cfg: StagingConfig = StagingConfig()) -> Column:
 # ---------------------------------------------------------------------------
 # ids carried by every landing row
 
-def with_vendor_ids(df: DataFrame) -> DataFrame:
+def with_vendor_ids(df: DataFrame, id_col: str = "vendor_id", name_col: str = "vendor_name") -> DataFrame:
     """Vendor entity id (K6) and the vendor contact id, from vendor columns."""
-    vid = entity_id("vendor_id", "vendor_name")
+    vid = entity_id(id_col, name_col)
     out = df.select("*", vid.alias("vendor_entity_id"))
     return out.select("*", F.when(valid_name("vendor_contact_name"), stable_uuid(
         {"stg_business_entity_id": F.col("vendor_entity_id"),
          "contact_name": F.col("vendor_contact_name")})).alias("vendor_contact_id"))
 
 
-def with_client_ids(df: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
-    """Buyer entity id (K7) and firm marker (K8), from client columns."""
+def with_client_ids(df: DataFrame, cfg: StagingConfig = StagingConfig(), id_col: str = "client_id",
+                    flag: str | None = None) -> DataFrame:
+    """Buyer entity id (K7) and firm marker (K8), from client columns; ``flag``
+    names a column that marks the firm with ``Y`` besides the client id."""
     return df.select("*", stable_uuid({"name": F.col("client_name")}).alias("buyer_entity_id"),
-                     firm_id(cfg.firm_uuid, client_id=F.col("client_id")).alias("firm_entity_id"))
+                     firm_id(cfg.firm_uuid, client_id=F.col(id_col), flag=flag).alias("firm_entity_id"))
 
 
 def with_entity_ids(landing: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
@@ -111,29 +123,33 @@ def _stamp(df: DataFrame, id_name: str, id_cols: Sequence[str], decimals: Sequen
 # Entities and their details
 
 def build_entity(ids: DataFrame) -> DataFrame:
-    """Distinct union of vendor, buyer and firm ids, NULLs dropped."""
-    parts = [ids.select(F.col(c).alias("stg_business_entity_id"))
-             for c in ("vendor_entity_id", "buyer_entity_id", "firm_entity_id")]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.dropna().distinct()
+    """Distinct union of vendor, buyer and firm ids, NULLs dropped (one pass)."""
+    every = F.array("vendor_entity_id", "buyer_entity_id", "firm_entity_id")
+    return ids.select(F.explode(F.array_compact(every)).alias("stg_business_entity_id")).distinct()
 
 
 def build_details(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
-    """Vendor rows ∪ firm row ∪ buyer rows, id = K1 over the row."""
-    vend = ids.select(F.col("vendor_entity_id").alias("stg_business_entity_id"),
-                      F.col("vendor_name").alias("business_entity_name"),
-                      F.col("company_structure"), F.col("year_incorporated"),
-                      F.col("reported_annual_revenue"))
-    firm = ids.filter(F.col("firm_entity_id").isNotNull()).select(
-        F.col("firm_entity_id").alias("stg_business_entity_id"),
-        F.lit(cfg.firm_name).alias("business_entity_name"),
-        *[F.lit(None).cast("string").alias(c) for c in
-          ("company_structure", "year_incorporated", "reported_annual_revenue")])
-    buy = ids.select(F.col("buyer_entity_id").alias("stg_business_entity_id"),
-                     F.col("client_name").alias("business_entity_name"),
-                     *[F.lit(None).cast("string").alias(c) for c in
-                       ("company_structure", "year_incorporated", "reported_annual_revenue")])
-    rows = vend.unionByName(firm).unionByName(buy).dropna(subset=["stg_business_entity_id"]).distinct()
+    """Vendor rows ∪ firm row ∪ buyer rows, id = K1 over the row (one pass).
+
+    A vendor whose ``filter_individual`` is ``Y`` has the company structure
+    ``individual``, whatever the source says.
+    """
+    none = F.lit(None).cast("string")
+    structure = F.col("company_structure")
+    if "filter_individual" in ids.columns:
+        structure = F.when(F.col("filter_individual") == "Y", F.lit(INDIVIDUAL)).otherwise(structure)
+
+    def row(entity, name, *rest):
+        names = ("stg_business_entity_id", "business_entity_name", "company_structure", "year_incorporated",
+                 "reported_annual_revenue")
+        return F.when(entity.isNotNull(), F.struct(*[c.alias(n) for c, n in zip((entity, name, *rest), names)]))
+
+    every = F.array(
+        row(F.col("vendor_entity_id"), F.col("vendor_name"), structure, F.col("year_incorporated"),
+            F.col("reported_annual_revenue")),
+        row(F.col("firm_entity_id"), F.lit(cfg.firm_name), none, none, none),
+        row(F.col("buyer_entity_id"), F.col("client_name"), none, none, none))
+    rows = ids.select(F.explode(F.array_compact(every)).alias("_d")).select("_d.*").distinct()
     return _stamp(rows, "business_entity_details_id", rows.columns)
 
 
@@ -169,12 +185,22 @@ def build_card_revenues(flat: DataFrame, amount_cols: Sequence[str], date_cols:
     return _stamp(rows, "revenue_id", cols, decimals=amount_cols)
 
 
-def build_card_stability(flat: DataFrame, metric_cols: Sequence[str]) -> DataFrame:
-    """E5: flattened stability struct; rows kept when any metric carries data."""
-    rows = flat.filter(any_meaningful(metric_cols)).select("stg_business_entity_id", *metric_cols).distinct()
+def stamp_card_stability(flat: DataFrame) -> DataFrame:
+    """E5 on rows known to carry data: rows of an entity, distinct, K1 over the row.
+
+    The struct has 23 fields; a test over each of its flattened columns would
+    be copied once per alias by the optimizer's constraint propagation, so
+    rows without data are dropped before, on the struct's text (``parse_json``).
+    """
+    rows = flat.filter(F.col("stg_business_entity_id").isNotNull()).distinct()
     return _stamp(rows, "card_transactions_stability_id", rows.columns)
 
 
+def build_card_stability(flat: DataFrame, metric_cols: Sequence[str]) -> DataFrame:
+    """E5: flattened stability struct; rows kept when any of a few metrics carries data."""
+    return stamp_card_stability(flat.filter(any_meaningful(metric_cols)).select("stg_business_entity_id", *metric_cols))
+
+
 # ---------------------------------------------------------------------------
 # Melted attribute tables
 
@@ -261,16 +287,19 @@ REL_COLUMNS = ("stg_business_entity_id", "business_entity_contact_id", "stg_rela
                "related_business_entity_contact_id", "business_entity_role", "related_business_entity_role")
 
 
-def _landing_rows(ids: DataFrame, cfg: StagingConfig) -> DataFrame:
-    """One pass over the landing: every edge and every entity identifier as a
-    tagged row (``kind`` = ``edge``, ``buyer`` or ``vendor``), de-duplicated.
+def _landing_rows(ids: DataFrame, cfg: StagingConfig, types: Sequence[str]) -> DataFrame:
+    """One pass over the landing: every edge with its identifiers and every
+    vendor entity with its own, as tagged rows (``kind`` = ``edge`` or
+    ``entity``), de-duplicated.
 
-    * client → firm, once per distinct client;
-    * supplier → client (roles supplier/buyer) with the vendor contact id;
-    * supplier → firm, only where the supplier carries its own client id;
-    * the buyer's client id and the vendor's own id as identifiers.
+    * client → firm for every client of a vendor, with the client's own id;
+    * supplier → buyer with the vendor contact, and the ids under which the
+      client knows the vendor;
+    * supplier → firm (as client → firm, without contact) where the supplier
+      carries an id of its own, with that id;
+    * each vendor entity with the identifiers of ``types``.
 
-    Each landing row emits an array of up to five structs that is exploded;
+    Each landing row emits an array of up to four structs that is exploded;
     the partial aggregate of the ``distinct`` collapses the many copies of a
     hot row (every landing row of a client points at the firm) before the
     shuffle.  Consumers derive everything else from this one exchange.
@@ -278,96 +307,82 @@ def _landing_rows(ids: DataFrame, cfg: StagingConfig) -> DataFrame:
     r = cfg.roles
     none = F.lit(None).cast("string")
     pre = ids if "vendor_contact_id" in ids.columns else with_vendor_ids(ids)
+    held = [t for t in types if t in ids.columns]
+
+    def idents(*names):
+        pairs = [F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("type"), F.col(n).cast("string").alias("value")))
+                 for n in names if n in ids.columns]
+        empty = F.expr("CAST(array() AS array<struct<type:string,value:string>>)")
+        return F.array_compact(F.array(*pairs)) if pairs else empty
 
-    def row(cond, kind, a, a_contact, b, role_a, role_b, ecid_a, ecid_b):
+    def row(cond, kind, a, a_contact, b, role_a, role_b, carried):
         return F.when(cond, F.struct(
             F.lit(kind).alias("kind"),
             a.alias("stg_business_entity_id"), a_contact.alias("business_entity_contact_id"),
             b.alias("stg_related_business_entity_id"), none.alias("related_business_entity_contact_id"),
             role_a.alias("business_entity_role"), role_b.alias("related_business_entity_role"),
-            ecid_a.alias("ecid_a"), ecid_b.alias("ecid_b")))
+            carried.alias("idents")))
 
-    vendor, buyer, firm = F.col("vendor_entity_id"), F.col("buyer_entity_id"), F.col("firm_entity_id")
-    client_id, vendor_id = F.col("client_id"), F.col("vendor_id")
+    vendor, buyer, firm = F.col("vendor_entity_id"), F.col("buyer_entity_id"), F.lit(cfg.firm_uuid)
+    both = vendor.isNotNull() & buyer.isNotNull()
     lit = F.lit
     rows = F.array(
-        row(firm.isNotNull() & buyer.isNotNull(), "edge", buyer, none, firm, lit(r.client), lit(r.firm),
-            client_id, none),
-        row(vendor.isNotNull() & buyer.isNotNull(), "edge", vendor, F.col("vendor_contact_id"), buyer, lit(r.supplier),
-            lit(r.client), vendor_id, client_id),
-        row(F.col("supplier_ecid").isNotNull() & vendor.isNotNull(), "edge", vendor, F.col("vendor_contact_id"),
-            lit(cfg.firm_uuid), lit(r.supplier), lit(r.firm), vendor_id, none),
-        row(client_id.isNotNull() & buyer.isNotNull(), "buyer", buyer, none, none, lit("client_ecid"), none,
-            client_id, none),
-        row(vendor_id.isNotNull() & vendor.isNotNull(), "vendor", vendor, none, none, lit("supplier_ecid"), none,
-            vendor_id, none))
-    out = pre.select(F.explode(F.filter(rows, lambda e: e.isNotNull())).alias("_e")).select("_e.*")
+        row(both, "edge", buyer, none, firm, lit(r.client), lit(r.firm), idents(CLIENT_ECID)),
+        row(both, "edge", vendor, F.col("vendor_contact_id"), buyer, lit(r.supplier), lit(r.buyer),
+            idents(*VENDOR_LINK_TYPES)),
+        row(F.col(SUPPLIER_ECID).isNotNull() & vendor.isNotNull(), "edge", vendor, none, firm, lit(r.client), lit(r.firm),
+            idents(SUPPLIER_ECID)),
+        row(vendor.isNotNull(), "entity", vendor, none, none, none, none, idents(*held)))
+    out = pre.select(F.explode(F.array_compact(rows)).alias("_e")).select("_e.*")
     return out.distinct()
 
 
-def relationship_edges(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
-    """E15 edges plus the supplied id (``ecid``) of each end (``ecid_a``, ``ecid_b``)."""
-    return _landing_rows(ids, cfg).filter(F.col("kind") == "edge").drop("kind")
-
-
 def build_relationships(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
     """Relationship edges, id = K1 over the edge columns."""
-    edges = relationship_edges(ids, cfg).select(*REL_COLUMNS).distinct()
+    edges = _landing_rows(ids, cfg, ()).filter(F.col("kind") == "edge").select(*REL_COLUMNS).distinct()
     return edges.select(relationship_id(cfg).alias("business_entity_relationship_id"), *edges.columns)
 
 
-def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
-    """Relationship identifiers ∪ buyer client ids ∪ vendor ids not already
-    held by a relationship.
+# Identifier types every landing can carry; a mapping adds others.
+IDENTIFIER_TYPES = ("tax_id", "dba", *VENDOR_LINK_TYPES, CLIENT_ECID, SUPPLIER_ECID)
 
-    * each relationship's ends, melted by role: ``(<role>_ecid, end ecid)``;
-    * each buyer's own client id (``client_ecid``);
-    * each vendor's id (``supplier_ecid``) unless the value is already a
-      relationship identifier.  ``scope="global"`` compares the value only
+
+def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig(),
+                      types: Sequence[str] = IDENTIFIER_TYPES) -> DataFrame:
+    """Relationship identifiers ∪ vendor identifiers that no relationship holds.
+
+    * the identifiers each edge carries (see :func:`_landing_rows`), under the
+      relationship's id;
+    * each vendor's identifiers (columns of ``ids`` named in ``types``) unless
+      the same (type, value) is a relationship identifier.
+      ``scope="global"`` compares (type, value) over all relationships
       (reference behaviour: a value shared by many entities is dropped for
-      all of them); ``scope="entity"`` compares (owning entity, value).
+      all of them); ``scope="entity"`` also compares the vendor, which is the
+      edge's first entity;
     * type names then pass the M3 renames (``client_ecid``/``supplier_ecid``
       → ``ecid``).
 
-    Plan shape: the landing is read once (:func:`_landing_rows`); identifier
-    rows are generated from it with expressions only, and the "held by a
-    relationship" test is a left join against the distinct held values of
-    the same rows, so both sides share the landing exchange.
+    Plan shape: the landing is read once (:func:`_landing_rows`); the "held by
+    a relationship" test is a left join against the distinct held pairs of the
+    same rows, so both sides share the landing exchange.
     """
     if cfg.identifier_scope not in ("global", "entity"):
         raise ValueError(f"unknown scope {cfg.identifier_scope!r}")
-    rows = _landing_rows(ids, cfg)
-    kind = F.col("kind")
-    rel_id = F.when(kind == "edge", relationship_id(cfg))
-    stamped = rows.select("*", rel_id.alias("rel_id"))
-
-    def ident(cond, rid, source, typ, value, owner, is_rel, droppable):
-        return F.when(cond, F.struct(
-            rid.alias("related_identifier"), F.lit(source).alias("related_identifier_source"),
-            typ.alias("identifier_type"), value.alias("identifier_value"), owner.alias("owner"),
-            F.lit(is_rel).alias("is_rel"), F.lit(droppable).alias("droppable")))
-
-    a, b = F.col("stg_business_entity_id"), F.col("stg_related_business_entity_id")
-    ea, eb = F.col("ecid_a"), F.col("ecid_b")
-    role_a, role_b = F.col("business_entity_role"), F.col("related_business_entity_role")
-    structs = F.array(
-        ident((kind == "edge") & ea.isNotNull(), F.col("rel_id"), SOURCE_RELATIONSHIP,
-              F.concat(role_a, F.lit("_ecid")), ea, a, True, False),
-        ident((kind == "edge") & eb.isNotNull(), F.col("rel_id"), SOURCE_RELATIONSHIP,
-              F.concat(role_b, F.lit("_ecid")), eb, b, True, False),
-        ident(kind == "buyer", a, SOURCE_ENTITY, role_a, ea, a, False, False),
-        ident(kind == "vendor", a, SOURCE_ENTITY, role_a, ea, a, False, True))
-    idrows = stamped.select(F.explode(F.filter(structs, lambda x: x.isNotNull())).alias("_i")).select("_i.*")
-    on = ["identifier_value"] if cfg.identifier_scope == "global" else ["owner", "identifier_value"]
-    # values held by relationships, straight from the landing rows: only the
-    # ends' ids are touched (no id hashing), and no filter sits on the grouping
-    # columns of the shared distinct, so its exchange is still reused
-    is_edge = kind == "edge"
-    ends = F.array(F.when(is_edge & ea.isNotNull(), F.struct(a.alias("owner"), ea.alias("identifier_value"))),
-                   F.when(is_edge & eb.isNotNull(), F.struct(b.alias("owner"), eb.alias("identifier_value"))))
-    held = (rows.select(F.explode(F.filter(ends, lambda x: x.isNotNull())).alias("_h")).select("_h.*")
+    rows = _landing_rows(ids, cfg, types)
+    is_edge, owner = F.col("kind") == "edge", F.col("stg_business_entity_id")
+    idrows = rows.select(
+        F.when(is_edge, relationship_id(cfg)).otherwise(owner).alias("related_identifier"),
+        F.when(is_edge, SOURCE_RELATIONSHIP).otherwise(SOURCE_ENTITY).alias("related_identifier_source"),
+        owner.alias("owner"), is_edge.alias("is_rel"), F.explode("idents").alias("_i")).select(
+        "related_identifier", "related_identifier_source", "owner", "is_rel",
+        F.col("_i.type").alias("identifier_type"), F.col("_i.value").alias("identifier_value"))
+    on = ["identifier_type", "identifier_value"] + (["owner"] if cfg.identifier_scope == "entity" else [])
+    # no filter sits on the grouping columns of the shared distinct, so its exchange is reused
+    carried = F.when(is_edge, F.col("idents")).otherwise(F.expr("CAST(array() AS array<struct<type:string,value:string>>)"))
+    held = (rows.select(owner.alias("owner"), F.explode(carried).alias("_h"))
+            .select("owner", F.col("_h.type").alias("identifier_type"), F.col("_h.value").alias("identifier_value"))
             .select(*on).distinct().withColumn("_held", F.lit(True)))
-    kept = idrows.join(held, on, "left").filter(~(F.col("droppable") & F.col("_held").isNotNull()))
+    kept = idrows.join(held, on, "left").filter(F.col("is_rel") | F.col("_held").isNull())
     out = kept.select("related_identifier", "related_identifier_source",
                       rename_types("identifier_type").alias("identifier_type"), "identifier_value").distinct()
     return _stamp(out, "identifier_id", out.columns)

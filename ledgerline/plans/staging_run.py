@@ -1,48 +1,194 @@
 """Landing extract → the 16 typed staging tables in one call.
 
-:func:`run_staging` takes the wide landing frame (all strings, columns as in
-the landing extract: vendor_*, client_*, spend, card and JSON text columns),
-builds every staging table with the builders of :mod:`ledgerline.plans.
-staging`, applies each table's typed projection (:data:`SPECS`) and stamps
-the audit columns after de-duplication.  Nothing is written; the caller
+:func:`run_staging` takes the wide landing frame (all strings) and the mapping
+(source column → target table and column).  The mapping decides which landing
+columns become identifiers, attributes, characteristics, addresses and
+classifications, so a new attribute is a row in the mapping file and no
+change here; :data:`DEFAULT_MAPPING` holds the columns every landing has, and
+a mapping file read with :func:`ledgerline.sources.io.read_mapping` replaces
+it.  Each table's typed projection (:data:`SPECS`) is applied and the audit
+columns are stamped after de-duplication.  Nothing is written; the caller
 writes the dict once (e.g. with :func:`ledgerline.sources.io.write_all`).
 
-The id-bearing landing frame is used by several outputs; with
-``materialize=True`` it is cut with a reliable ``checkpoint()`` under the
-shared ``spark.checkpoint.dir`` so each output does not recompute it.
+The id-bearing landing frame, projected to the columns in use, feeds several
+outputs.  With ``materialize`` (the default when more than one table is
+wanted) it is cut with a reliable ``checkpoint()`` under the shared
+``spark.checkpoint.dir`` when the function is called, so each output does not
+recompute it.  No output joins two landing-sized frames: melted columns and
+values from JSON are made separately and united.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalar import join_array
+from ledgerline.functions.scalar import join_array, merge_lists, rating_triple
 from ledgerline.operators import nested
 from ledgerline.operators.clean import clean_blanks
-from ledgerline.operators.conform import OutputSpec, ensure_columns, project
+from ledgerline.operators.conform import NO_MAPPING, OutputSpec, ensure_columns, project
+from ledgerline.operators.reshape import TYPE_RENAMES
 from ledgerline.plans import staging as S
 from ledgerline.session import checkpoint_dir
 
-# Landing columns the staging build reads (missing ones are added as NULL).
+# Landing columns the staging build reads whatever the mapping says.
 LANDING_COLUMNS = (
-    "request_id", "analysis_type", "file_uploaded_dt", "sds_upload_id", "task_id", "business_start_date",
-    "business_end_date", "client_name", "client_ecid", "supplier_ecid", "vendor_name_cleaned", "sds_supplier_id",
-    "vendor_contact_name", "vendor_government_id", "vendor_address_ln_1", "vendor_address_ln_2",
-    "vendor_address_ln_3", "vendor_state", "vendor_postcode", "vendor_country", "vendor_phone_number",
-    "vendor_phone_number_2", "vendor_email", "vendor_website", "annual_spend_usd", "annual_transaction_count",
-    "annual_invoice_count", "payment_currency", "payment_type", "payment_terms", "payment_terms_days",
-    "payment_terms_discount_ind", "payment_terms_discount_rate", "payment_terms_discount_days",
-    "payment_actual_days", "vendor_annualrevenue", "year_incorporated", "stp_partnershiplist", "stg_codelist",
-    "vendor_industry_lvl_1", "vendor_industry_lvl_2", "vendor_industry_lvl_3", "vendor_credit_rating_moody",
-    "vendor_credit_rating_moody_date", "vendor_credit_rating_sp", "vendor_credit_rating_sp_date",
-    "filter_do_not_campaign", "ind_card_match", "visa_match_confidence", "visa_matched_level_ii",
-    "visa_matched_level_iii_summary", "visa_matched_level_iii_line_item", "visa_matched_fleet_ind",
-    "visa_matched_data_quality", "visa_matched_mcc", "registered_agents", "associated_people", "industries",
-    "technologies", "card_revenues", "card_transactions_stability",
+    "client_name", "client_ecid", "supplier_ecid", "vendor_name_cleaned", "sds_supplier_id", "vendor_contact_name",
+    "filter_individual", "stg_codelist", "registered_agents", "associated_people", "industries", "technologies",
+    "card_revenues", "card_transactions_stability",
 )
 
+# Target tables of the mapping file, by the part of the run that reads them.
+DETAILS, CHARACTERISTICS = "business_entity_details", "business_entity_characteristics"
+IDENTIFIERS, RECEIVABLES = "business_entity_identifiers", "business_entity_payment_profile_attribute"
+PHYSICAL, TELECOM, ELECTRONIC = "physical_address", "telecommunication_address", "electronic_address"
+SPEND, RESTRICTIONS = "business_entity_spend_analysis", "restrictions"
+INDUSTRY, CARD = "business_entity_industry_classification", "business_entity_card_association"
+# Mapped targets that have a rule of their own.
+MERGED_CODES, AGENTS_TARGET, CARD_MATCH = "product_segmentation_applicable", "registered_agents", "ind_card_match"
+TECH_TYPE = "payment_tech_used"
+SPEND_DATES = ("period_start_date", "period_end_date")
+CARD_LEVELS = ("matched_level_2", "matched_level_3_summary", "matched_level_3_lineitem")
+# targets that come from JSON text and are built by their own step, not melted
+JSON_TARGETS = ("associated_tax_ids", "technologies", AGENTS_TARGET)
+
+# Source column, target table, target column.
+DEFAULT_MAPPING = tuple(tuple(line.split()) for line in """
+vendor_annualrevenue business_entity_details reported_annual_revenue
+year_incorporated business_entity_details year_incorporated
+corporate_structures business_entity_details company_structure
+industry_sector_dso_25 business_entity_characteristics scf_industry_sector_dso_25
+industry_sector_dso_50 business_entity_characteristics scf_industry_sector_dso_50
+industry_sector_dso_75 business_entity_characteristics scf_industry_sector_dso_75
+industry_group_dso_25 business_entity_characteristics scf_industry_group_dso_25
+industry_group_dso_50 business_entity_characteristics scf_industry_group_dso_50
+industry_group_dso_75 business_entity_characteristics scf_industry_group_dso_75
+vendor_credit_rating_moody business_entity_characteristics moody
+vendor_credit_rating_sp business_entity_characteristics sp
+vendor_credit_revolver_rate business_entity_characteristics credit_revolver_rate
+vendor_cogs business_entity_characteristics cost_of_goods_sold
+ind_vc_campaign business_entity_characteristics vc_campaigned_previously
+virtualcard_accpetance_tier_legacy business_entity_characteristics vc_acceptance_tier_legacy
+virtualcard_accpetance_tier_model business_entity_characteristics vc_acceptance_tier_model
+virtualcard_accpetance_tier_userdefined business_entity_characteristics vc_acceptance_tier_userdefined
+ind_virtual_card_campaign_count business_entity_characteristics vc_campaign_count
+vc_campaign_accepts business_entity_characteristics vc_campaign_accepts
+registered_agents business_entity_characteristics registered_agents
+vendor_government_id business_entity_identifiers tax_id
+vendor_alternate_name business_entity_identifiers dba
+vendor_id business_entity_identifiers client_vendor_id
+site_id business_entity_identifiers client_vendor_site_id
+vendor_country physical_address country
+vendor_state physical_address state_province
+vendor_postcode physical_address postal_code
+vendor_address_ln_1 physical_address street_line_1
+vendor_address_ln_2 physical_address street_line_2
+vendor_address_ln_3 physical_address city
+vendor_phone_number telecommunication_address primary_phone_number
+vendor_phone_number_2 telecommunication_address mobile
+vendor_email electronic_address email
+vendor_website electronic_address website
+file_uploaded_dt business_entity_spend_analysis analysis_conducted_dt
+sds_upload_id business_entity_spend_analysis analysis_external_reference_id
+analysis_type business_entity_spend_analysis analysis_stage
+annual_invoice_count business_entity_spend_analysis count_of_invoices
+payment_terms business_entity_spend_analysis payment_terms
+annual_transaction_count business_entity_spend_analysis count_of_payments
+annual_spend_usd business_entity_spend_analysis sum_of_payments
+business_start_date business_entity_spend_analysis period_start_date
+business_end_date business_entity_spend_analysis period_end_date
+payment_currency business_entity_spend_analysis payment_ccy
+payment_actual_days business_entity_spend_analysis actual_days_payment_outstanding
+payment_type business_entity_spend_analysis payment_mode
+payment_terms_days business_entity_spend_analysis payment_term_days
+payment_terms_discount_ind business_entity_spend_analysis payment_terms_discount_ind
+payment_terms_discount_rate business_entity_spend_analysis payment_terms_discount_rate
+payment_terms_discount_days business_entity_spend_analysis payment_terms_discount_days
+task_id business_entity_spend_analysis analysis_task_id
+vendor_dso business_entity_payment_profile_attribute average_vendor_dso
+vendor_dpo business_entity_payment_profile_attribute average_vendor_dpo
+vendor_dio business_entity_payment_profile_attribute average_vendor_dio
+ind_scf business_entity_payment_profile_attribute enrolled_scf_supplier
+ind_vc business_entity_payment_profile_attribute enrolled_vc_supplier
+ind_virtualcard_concierge business_entity_payment_profile_attribute vc_concierge
+ind_virtual_card_vcn business_entity_payment_profile_attribute virtual_card_vcn
+vc_recency business_entity_payment_profile_attribute vc_enrollment_duration_years
+vc_buyercount business_entity_payment_profile_attribute vc_buyercount
+ind_virtualcard_interchange_amount business_entity_payment_profile_attribute vc_interchange_amt
+ind_cms business_entity_payment_profile_attribute cms_enrolled
+ind_bb business_entity_payment_profile_attribute businessbank_enrolled
+ind_vcn business_entity_payment_profile_attribute vcn_payment_accepted
+stp_partnershiplist business_entity_payment_profile_attribute product_segmentation_applicable
+ind_decline business_entity_payment_profile_attribute stp_ind_decline
+has_online_payments business_entity_payment_profile_attribute has_online_payments
+throughput_usd business_entity_payment_profile_attribute scf_throughput_usd
+avg_spread business_entity_payment_profile_attribute scf_avg_spread
+avg_payment_terms business_entity_payment_profile_attribute scf_avg_payment_terms
+rate_proposed business_entity_payment_profile_attribute scf_rate_proposed
+rate_offered business_entity_payment_profile_attribute scf_rate_offered
+esg_discount business_entity_payment_profile_attribute scf_esg_discount
+filter_do_not_campaign restrictions do_not_campaign
+vendor_industry_lvl_1 business_entity_industry_classification level-1
+vendor_industry_lvl_2 business_entity_industry_classification level-2
+vendor_industry_lvl_3 business_entity_industry_classification level-3
+filter_trust business_entity_industry_classification trust
+filter_realestate business_entity_industry_classification real_estate
+filter_govt business_entity_industry_classification govt
+filter_utilities business_entity_industry_classification utilities
+filter_insurance business_entity_industry_classification insurance
+filter_fi business_entity_industry_classification fi
+visa_match_confidence business_entity_card_association match_confidence
+visa_matched_level_ii business_entity_card_association matched_level_2
+visa_matched_level_iii_summary business_entity_card_association matched_level_3_summary
+visa_matched_level_iii_line_item business_entity_card_association matched_level_3_lineitem
+visa_matched_fleet_ind business_entity_card_association matched_fleet_ind
+visa_matched_data_quality business_entity_card_association matched_data_quality
+visa_matched_mcc business_entity_card_association matched_mcc
+ind_card_match business_entity_card_association ind_card_match
+""".strip().splitlines())
+
+
+class LandingMapping:
+    """(source column, target column) pairs per target table; a source may have several targets."""
+
+    def __init__(self, rows: Iterable):
+        self._pairs: dict[str, list[tuple[str, str]]] = {}
+        for r in rows:
+            if not isinstance(r, tuple) or hasattr(r, "asDict"):
+                r = r.asDict() if hasattr(r, "asDict") else dict(r)
+                r = r["source_column"], r["target_table"], r["target_column"]
+            source, table, target = (str(x or "").strip().lower() for x in r)
+            if source and target and NO_MAPPING not in (source, target):
+                self._pairs.setdefault(table, []).append((source, target))
+
+    def pairs(self, table: str) -> list[tuple[str, str]]:
+        return list(dict.fromkeys(self._pairs.get(table, ())))
+
+    def source(self, table: str, target: str) -> str | None:
+        return next((s for s, t in self.pairs(table) if t == target), None)
+
+    def sources(self) -> list[str]:
+        return sorted({s for pairs in self._pairs.values() for s, _ in pairs})
+
+
+# Mapping files are small configuration; a longer one is not a mapping.
+MAX_MAPPING_ROWS = 10_000
+
+
+def landing_mapping(mapping: LandingMapping | DataFrame | Iterable | None) -> LandingMapping:
+    if mapping is None:
+        return LandingMapping(DEFAULT_MAPPING)
+    if isinstance(mapping, DataFrame):
+        rows = mapping.limit(MAX_MAPPING_ROWS + 1).collect()
+        if len(rows) > MAX_MAPPING_ROWS:
+            raise ValueError(f"a mapping has at most {MAX_MAPPING_ROWS} rows")
+        return LandingMapping(rows)
+    return mapping if isinstance(mapping, LandingMapping) else LandingMapping(mapping)
+
+
 _S = T.StringType()
 PEOPLE = T.ArrayType(T.StructType([T.StructField("name", _S), T.StructField("titles", T.ArrayType(_S))]))
 INDUSTRIES = T.ArrayType(T.StructType([T.StructField(n, _S) for n in
@@ -69,7 +215,17 @@ def _spec(name, cols, keys):
     return OutputSpec(name, {c: (e if e else c) for c, e in cols}, keys=keys)
 
 
-# Typed projections of the 16 staging tables ({column: SQL expression}).
+# Types of the flattened stability columns, taken before their id is made.
+STABILITY_TYPES = {
+    "end_date": "CAST(try_to_timestamp(card_transactions_stability__end_date) AS TIMESTAMP)",
+    **{f"card_transactions_stability__{w}__start_date": f"try_to_date(card_transactions_stability__{w}__start_date)"
+       for w in WINDOWS},
+    **{f"card_transactions_stability__{w}__{f}":
+       f"CAST(card_transactions_stability__{w}__{f} AS STRING)" if f.endswith("present")
+       else _n(f"card_transactions_stability__{w}__{f}") for w in WINDOWS for f in _STAB_FIELDS},
+}
+
+# Typed projections of the 16 staging tables ({column: SQL expression}).
 SPECS = {
     "business_entity": _spec("business_entity", [("stg_business_entity_id", None)], ("stg_business_entity_id",)),
     "business_entity_details": _spec("business_entity_details", [
@@ -131,165 +287,224 @@ SPECS = {
         (f"card_revenue__{w}__start_date", None) for w in WINDOWS] + [
         (f"card_revenue__{w}__average_monthly_amount", None) for w in WINDOWS],
         ("revenue_id", "stg_business_entity_id")),
-    "business_entity_card_transactions_stability": _spec("business_entity_card_transactions_stability", [
-        ("card_transactions_stability_id", None), ("stg_business_entity_id", None),
-        ("end_date", "CAST(try_to_timestamp(card_transactions_stability__end_date) AS TIMESTAMP)")] + [
-        (f"card_transactions_stability__{w}__start_date",
-         f"try_to_date(card_transactions_stability__{w}__start_date)") for w in WINDOWS] + [
-        (f"card_transactions_stability__{w}__{f}",
-         f"CAST(card_transactions_stability__{w}__{f} AS STRING)" if f.endswith("present")
-         else _n(f"card_transactions_stability__{w}__{f}")) for w in WINDOWS for f in _STAB_FIELDS],
+    "business_entity_card_transactions_stability": _spec(
+        "business_entity_card_transactions_stability",
+        [("card_transactions_stability_id", None), ("stg_business_entity_id", None), *[(c, None) for c in STABILITY_TYPES]],
         ("card_transactions_stability_id", "stg_business_entity_id")),
 }
 
 
-def _people(landing: DataFrame) -> DataFrame:
-    parsed = nested.parse_json(landing.select("vendor_entity_id", "associated_people"), "associated_people",
-                               PEOPLE, "_p")
-    ex = nested.explode_nested(parsed, "_p", "titles", "associated_people", ["vendor_entity_id"])
-    return ex.select(F.col("vendor_entity_id").alias("stg_business_entity_id"),
+ENT = "vendor_entity_id"
+
+
+def _people(ids: DataFrame) -> DataFrame:
+    parsed = nested.parse_json(ids.select(ENT, "associated_people").distinct(), "associated_people", PEOPLE, "_p")
+    ex = nested.explode_nested(parsed, "_p", "titles", "associated_people", [ENT])
+    return ex.select(F.col(ENT).alias("stg_business_entity_id"),
                      F.col("associated_people__name").alias("contact_name"),
                      F.col("associated_people__titles").alias("contact_title"))
 
 
-def _first_struct(landing: DataFrame, c: str, schema: T.ArrayType, fields) -> DataFrame:
-    """Array-of-struct JSON (an object parses as a one-element array) → rows."""
-    parsed = nested.parse_json(landing.select("vendor_entity_id", c), c, schema, "_p")
-    ex = nested.explode_structs(parsed, "_p", ["vendor_entity_id"])
-    return ex.select("vendor_entity_id", *fields)
+def _structs(ids: DataFrame, c: str, schema: T.ArrayType) -> DataFrame:
+    """Array-of-struct JSON (an object parses as a one-element array) → rows, once per entity and text."""
+    parsed = nested.parse_json(ids.select(ENT, c).distinct(), c, schema, "_p")
+    return nested.explode_structs(parsed, "_p", [ENT])
+
+
+def _stamped(rows: DataFrame, id_name: str) -> DataFrame:
+    rows = rows.distinct()
+    return rows.select(S.stable_uuid(list(rows.columns)).alias(id_name), *rows.columns)
+
+
+def _melted(ids: DataFrame, columns: dict[str, Column], type_name: str, value_name: str) -> DataFrame:
+    """(entity, type, value) rows of the mapped columns, blank values left out; not yet distinct."""
+    src = ids.select(F.col(ENT).alias("stg_business_entity_id"), *[c.alias(t) for t, c in columns.items()])
+    if not columns:
+        return src.select("stg_business_entity_id", F.lit("").alias(type_name), F.lit("").alias(value_name)).limit(0)
+    m = S.melt(src, "stg_business_entity_id", list(columns), (type_name, value_name), distinct=False)
+    renamed = S.rename_types(type_name, {k: v for k, v in TYPE_RENAMES.items() if k in columns})
+    return m.filter(F.col(value_name) != "").withColumn(type_name, renamed)
+
+
+def _addressed(rows: DataFrame) -> DataFrame:
+    """An entity's rows under the polymorphic foreign key."""
+    rest = [c for c in rows.columns if c != "stg_business_entity_id"]
+    return rows.select(F.col("stg_business_entity_id").alias("related_identifier"),
+                       F.lit(S.SOURCE_ENTITY).alias("related_identifier_source"), *rest)
+
+
+def prepare(landing: DataFrame, m: LandingMapping, cfg: S.StagingConfig, employee_flag: str | None,
+            firm_flag: str | None) -> DataFrame:
+    """Landing rows of non-employees, projected to the columns in use, with all entity ids."""
+    df = landing.select(*[F.col(f"`{c}`").alias(c.strip().lower()) for c in landing.columns])
+    if employee_flag and employee_flag in df.columns:
+        df = df.filter(F.col(employee_flag) == "N")
+    used = dict.fromkeys([*LANDING_COLUMNS, *m.sources(), *[f"{s}_date" for s, _ in m.pairs(CHARACTERISTICS)
+                                                           if f"{s}_date" in df.columns]])
+    if firm_flag:
+        used[firm_flag] = None
+    df = clean_blanks(ensure_columns(df, {c: "string" for c in used}).select(*used))
+    ids = S.with_vendor_ids(df, "sds_supplier_id", "vendor_name_cleaned")
+    return S.with_client_ids(ids, cfg, "client_ecid", firm_flag)
 
 
 def run_staging(landing: DataFrame, cfg: S.StagingConfig = S.StagingConfig(), created_by: str = "ledgerline",
                 as_of: Column | None = None, employee_flag: str | None = "filter_employee",
-                materialize: bool = False, tables=None) -> dict[str, DataFrame]:
+                materialize: bool | None = None, tables=None, mapping=None,
+                firm_flag: str | None = None) -> dict[str, DataFrame]:
     """Build the staging tables from a landing extract (see module doc).
 
     ``tables`` restricts the build to some of the 16 tables (all by default).
+    ``mapping`` is a mapping frame, its rows, or nothing for
+    :data:`DEFAULT_MAPPING`.  Rows whose ``employee_flag`` is not ``N`` are
+    left out.  ``firm_flag`` names a landing column that marks the firm with
+    ``Y`` besides the client's own id.
     """
     wanted = set(SPECS) if tables is None else set(tables)
     unknown = wanted - set(SPECS)
     if unknown:
         raise ValueError(f"unknown staging tables {sorted(unknown)}")
-    df = landing
-    if employee_flag and employee_flag in df.columns:
-        df = df.filter(F.coalesce(F.upper(F.col(employee_flag)) != "Y", F.lit(True)))
-    df = clean_blanks(ensure_columns(df, {c: "string" for c in LANDING_COLUMNS}))
-    base = df.select("*", F.col("sds_supplier_id").alias("vendor_id"),
-                     F.col("vendor_name_cleaned").alias("vendor_name"),
-                     F.col("client_ecid").alias("client_id")).distinct()
-    ids = S.with_entity_ids(base.withColumn("company_structure", F.lit(None).cast("string"))
-                            .withColumn("reported_annual_revenue", F.col("vendor_annualrevenue")), cfg)
-    if materialize:
+    m = landing_mapping(mapping)
+    ids = prepare(landing, m, cfg, employee_flag, firm_flag)
+    if materialize or (materialize is None and len(wanted) > 1):
         checkpoint_dir(ids.sparkSession)
         ids = ids.checkpoint(eager=True)
-    ent = "vendor_entity_id"
-    out: dict[str, DataFrame] = {}
-    if "business_entity" in wanted:
-        out["business_entity"] = S.build_entity(ids)
-    if "business_entity_details" in wanted:
-        out["business_entity_details"] = S.build_details(ids, cfg)
-    if "business_entity_contacts" in wanted:
-        vend_contacts = ids.select(F.col(ent).alias("stg_business_entity_id"), "vendor_contact_name") \
-                           .withColumnRenamed("vendor_contact_name", "contact_name")
-        out["business_entity_contacts"] = S.build_contacts(_people(ids), vend_contacts)
-    if "business_entity_card_revenues" in wanted:
-        rev = nested.flatten(ids.select(F.col(ent).alias("stg_business_entity_id"), "card_revenues"),
-                             [nested.FlattenConfig("card_revenues", REVENUE, "struct", "card_revenue")],
-                             ["stg_business_entity_id"])["card_revenues"]
-        out["business_entity_card_revenues"] = S.build_card_revenues(
-            rev, [f"card_revenue__{w}__average_monthly_amount" for w in WINDOWS],
-            ["card_revenue__end_date"] + [f"card_revenue__{w}__start_date" for w in WINDOWS])
-    if "business_entity_card_transactions_stability" in wanted:
-        # E5 is wide (one column per window and metric): rows without any metric
-        # are dropped on the parsed struct as a whole (parse_json), not by a
-        # predicate over every flattened column, which the optimizer would copy
-        # once per aliased column (2^n constraint copies)
-        stab_p = nested.parse_json(ids.select(F.col(ent).alias("stg_business_entity_id"), "card_transactions_stability"),
-                                   "card_transactions_stability", STABILITY, "_p")
-        stab = nested.flatten_struct(stab_p, "_p", "card_transactions_stability", ["stg_business_entity_id"])
-        spec = SPECS["business_entity_card_transactions_stability"]
-        typed_cols = {n: e for n, e in spec.columns.items() if n != "card_transactions_stability_id"}
-        typed = stab.select(*[F.expr(f"{e} AS `{n}`") for n, e in typed_cols.items()])
-        kept = typed.filter(F.col("stg_business_entity_id").isNotNull()).distinct()
-        stamped = kept.select(S.stable_uuid(list(kept.columns)).alias("card_transactions_stability_id"), *kept.columns)
-        stab_out = project(stamped, OutputSpec(spec.name, {c: c for c in spec.columns}, keys=spec.keys), created_by, as_of)
-    if "business_entity_receivables_attribute" in wanted:
-        tech = _first_struct(ids, "technologies", TECHNOLOGIES, [F.col("vendor_name").alias("technologies_vendor_name")])
-        recv = ids.select(ent, "payment_type", "payment_terms", "payment_currency").join(tech, ent, "left")
-        out["business_entity_receivables_attribute"] = S.build_melted(
-            recv, ent, ["technologies_vendor_name", "payment_type", "payment_terms", "payment_currency"],
-            "receivables_attribute_type", "receivables_attribute_value", "attribute_id",
-            renames={"technologies_vendor_name": "payment_tech_used"}, drop_blank=True)
-    if "telecommunication_address" in wanted:
-        tel = ids.select(ent, F.col("vendor_phone_number").alias("primary_phone_number"),
-                         F.col("vendor_phone_number_2").alias("secondary_phone_number"))
-        out["telecommunication_address"] = S.build_melted(
-            tel, ent, ["primary_phone_number", "secondary_phone_number"], "telecommunication_address_type",
-            "phone_number", "telecommunication_address_id", renames={"primary_phone_number": "primary"},
-            source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
-    if "electronic_address" in wanted:
-        ele = ids.select(ent, F.col("vendor_email").alias("email"), F.col("vendor_website").alias("website"))
-        out["electronic_address"] = S.build_melted(
-            ele, ent, ["email", "website"], "electronic_address_type", "electronic_address", "electronic_address_id",
-            renames={"email": "primary"}, source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
-    if "restrictions" in wanted:
-        res = ids.select(ent, F.col("filter_do_not_campaign").alias("do_not_campaign"))
-        out["restrictions"] = S.build_melted(res, ent, ["do_not_campaign"], "restriction_type", "restriction_indicator",
-                                             "restriction_id", source_tag=S.SOURCE_ENTITY, id_out="related_identifier")
-    if "business_entity_industry_classification" in wanted:
-        levels = {"level-1": "vendor_industry_lvl_1", "level-2": "vendor_industry_lvl_2", "level-3": "vendor_industry_lvl_3"}
-        ind = S.build_industry(ids, ent, levels)
-        inds = _first_struct(ids, "industries", INDUSTRIES, ["classification_type", "classification_code",
-                                                              "classification_description"])
-        ind_json = inds.select(F.col(ent).alias("stg_business_entity_id"), "classification_type",
-                               "classification_code", "classification_description").dropna(
-            how="all", subset=["classification_type", "classification_code", "classification_description"]).distinct()
-        ind_json = ind_json.select(S.stable_uuid(list(ind_json.columns)).alias("classification_id"), *ind_json.columns)
-        out["business_entity_industry_classification"] = ind.unionByName(ind_json).distinct()
-    if "business_entity_characteristics" in wanted:
-        agents = nested.parse_json(ids.select(ent, "registered_agents"), "registered_agents", AGENTS, "_p",
-                                   drop_failed=False).select(ent, join_array(F.col("_p")).alias("registered_agents_text"))
-        chars = ids.select(ent, "vendor_credit_rating_moody", "vendor_credit_rating_moody_date", "vendor_credit_rating_sp",
-                           "vendor_credit_rating_sp_date", "stp_partnershiplist", "stg_codelist").join(agents, ent, "left")
-        out["business_entity_characteristics"] = S.build_characteristics(
-            chars.withColumnRenamed("registered_agents_text", "registered_agents"), ent,
-            [("moody", "vendor_credit_rating_moody", "vendor_credit_rating_moody_date"),
-             ("sp", "vendor_credit_rating_sp", "vendor_credit_rating_sp_date")],
-            plain=["stp_partnershiplist", "stg_codelist", "registered_agents"])
-    if "physical_address" in wanted:
-        out["physical_address"] = S.build_physical_address(ids, ent, {
-            "street_line_1": "vendor_address_ln_1", "street_line_2": "vendor_address_ln_2",
-            "country": "vendor_country", "city": "vendor_address_ln_3", "state_province": "vendor_state",
-            "postal_code": "vendor_postcode"})
-    if "business_entity_card_association" in wanted:
-        card = ids.select(ent, "ind_card_match", "visa_match_confidence", "visa_matched_level_ii",
-                          "visa_matched_level_iii_summary", "visa_matched_level_iii_line_item", "visa_matched_fleet_ind",
-                          "visa_matched_mcc", "visa_matched_data_quality")
-        out["business_entity_card_association"] = S.build_card_association(
-            card, ent, "ind_card_match",
-            {"matched_level_2": "visa_matched_level_ii", "matched_level_3_summary": "visa_matched_level_iii_summary",
-             "matched_level_3_lineitem": "visa_matched_level_iii_line_item"},
-            {"match_confidence": "visa_match_confidence", "matched_fleet_ind": "visa_matched_fleet_ind",
-             "matched_mcc": "visa_matched_mcc", "matched_data_quality": "visa_matched_data_quality"})
-    if "business_entity_spend_analysis" in wanted:
-        out["business_entity_spend_analysis"] = S.build_spend(
-            ids, "buyer_entity_id", ent,
-            {"period_start_date": "business_start_date", "period_end_date": "business_end_date"},
-            {"analysis_conducted_dt": F.substring("file_uploaded_dt", 1, 8),
-             "analysis_external_reference_id": F.col("request_id"), "analysis_task_id": F.col("task_id"),
-             "analysis_stage": F.col("analysis_type"), "count_of_invoices": F.col("annual_invoice_count"),
-             "payment_terms": F.col("payment_terms"), "count_of_payments": F.col("annual_transaction_count"),
-             "sum_of_payments": F.col("annual_spend_usd"), "payment_ccy": F.col("payment_currency"),
-             "actual_days_payment_outstanding": F.col("payment_actual_days"), "payment_mode": F.col("payment_type"),
-             "payment_term_days": F.col("payment_terms_days"),
-             "payment_terms_discount_ind": F.col("payment_terms_discount_ind"),
-             "payment_terms_discount_rate": F.col("payment_terms_discount_rate"),
-             "payment_terms_discount_days": F.col("payment_terms_discount_days")})
-    if "business_entity_relationships" in wanted:
-        out["business_entity_relationships"] = S.build_relationships(ids, cfg)
-    if "business_entity_identifiers" in wanted:
-        out["business_entity_identifiers"] = S.build_identifiers(ids, cfg)
-    res = {name: project(out[name], SPECS[name], created_by, as_of) for name in SPECS if name in out}
-    if "business_entity_card_transactions_stability" in wanted:
-        res["business_entity_card_transactions_stability"] = stab_out
-    return {name: res[name] for name in SPECS if name in wanted}
+    return {name: project(BUILDERS[name](ids, m, cfg), SPECS[name], created_by, as_of)
+            for name in SPECS if name in wanted}
+
+
+def _of(m: LandingMapping, table: str, target: str) -> Column:
+    source = m.source(table, target)
+    return F.col(source) if source else F.lit(None).cast("string")
+
+
+def _details(ids, m, cfg):
+    named = ids.withColumns({t: _of(m, DETAILS, t) for t in ("company_structure", "year_incorporated",
+                                                             "reported_annual_revenue")})
+    return S.build_details(named.withColumn("vendor_name", F.col("vendor_name_cleaned")), cfg)
+
+
+def _identifiers(ids, m, cfg):
+    types = {t: s for s, t in m.pairs(IDENTIFIERS) if t not in JSON_TARGETS}
+    own = (S.CLIENT_ECID, S.SUPPLIER_ECID)
+    named = ids.select(ENT, "buyer_entity_id", "firm_entity_id", "vendor_contact_id", *own,
+                       *[F.col(s).alias(t) for t, s in types.items() if t not in own])
+    return S.build_identifiers(named, cfg, (*[t for t in types if t not in own], *own))
+
+
+def _relationships(ids, m, cfg):
+    return S.build_relationships(ids, cfg)
+
+
+def _characteristics(ids, m, cfg):
+    columns = {}
+    for source, target in m.pairs(CHARACTERISTICS):
+        if target in JSON_TARGETS:
+            continue
+        if f"{source}_date" in ids.columns:       # a rating: value and date in one text
+            columns[f"credit_rating_{target}"] = rating_triple(target, F.col(source), F.col(f"{source}_date"))
+        else:
+            columns[target] = F.col(source)
+    names = ("characteristic_type", "characteristic_value")
+    rows = _melted(ids, columns, *names)
+    if m.source(CHARACTERISTICS, AGENTS_TARGET):
+        parsed = nested.parse_json(ids.select(ENT, "registered_agents").distinct(), "registered_agents", AGENTS, "_p")
+        agents = parsed.select(F.col(ENT).alias("stg_business_entity_id"), F.lit(AGENTS_TARGET).alias(names[0]),
+                               join_array(F.col("_p")).alias(names[1])).filter(F.col(names[1]).isNotNull())
+        rows = rows.unionByName(agents)
+    return _stamped(rows, "characteristics_id")
+
+
+def _contacts(ids, m, cfg):
+    own = ids.select(F.col(ENT).alias("stg_business_entity_id"), F.col("vendor_contact_name").alias("contact_name"))
+    return S.build_contacts(_people(ids), own)
+
+
+def _spend(ids, m, cfg):
+    pairs = {t: s for s, t in m.pairs(SPEND) if t in SPECS["business_entity_spend_analysis"].columns}
+    other = {t: F.col(s) for t, s in pairs.items() if t not in SPEND_DATES}
+    if "analysis_conducted_dt" in other:
+        other["analysis_conducted_dt"] = F.substring(other["analysis_conducted_dt"], 1, 8)
+    for c in SPECS["business_entity_spend_analysis"].columns:
+        if c not in (*pairs, "spend_analysis_id", "stg_payor_business_entity_id", "stg_payee_business_entity_id"):
+            other[c] = F.lit(None).cast("string")
+    return S.build_spend(ids, "buyer_entity_id", ENT, {t: pairs[t] for t in SPEND_DATES if t in pairs}, other)
+
+
+def _physical(ids, m, cfg):
+    pairs = {t: s for s, t in m.pairs(PHYSICAL)}
+    columns = ("street_line_1", "street_line_2", "country", "city", "state_province", "postal_code")
+    src = ids.select(ENT, *[(F.col(pairs[c]) if c in pairs else F.lit(None).cast("string")).alias(c) for c in columns])
+    return S.build_physical_address(src, ENT, {c: c for c in columns})
+
+
+def _simple(table: str, type_name: str, value_name: str, id_name: str):
+    """A melted table under the polymorphic key, straight from its mapped columns."""
+    def build(ids, m, cfg):
+        columns = {t: F.col(s) for s, t in m.pairs(table)}
+        return _stamped(_addressed(_melted(ids, columns, type_name, value_name)), id_name)
+    return build
+
+
+def _receivables(ids, m, cfg):
+    names = ("receivables_attribute_type", "receivables_attribute_value")
+    columns = {t: F.col(s) for s, t in m.pairs(RECEIVABLES) if t not in JSON_TARGETS}
+    if MERGED_CODES in columns:
+        columns[MERGED_CODES] = merge_lists(columns[MERGED_CODES], "stg_codelist")
+    tech = _structs(ids, "technologies", TECHNOLOGIES).select(
+        F.col(ENT).alias("stg_business_entity_id"), F.lit(TECH_TYPE).alias(names[0]), F.col("vendor_name").alias(names[1]))
+    tech = tech.filter((F.trim(names[1]) != "") & (F.col(names[1]) != "none"))
+    return _stamped(_melted(ids, columns, *names).unionByName(tech), "attribute_id")
+
+
+def _card(ids, m, cfg):
+    text = ("match_confidence", "matched_fleet_ind", "matched_mcc", "matched_data_quality")
+    src = ids.select(ENT, *[_of(m, CARD, t).alias(t) for t in (CARD_MATCH, *CARD_LEVELS, *text)])
+    return S.build_card_association(src, ENT, CARD_MATCH, {t: t for t in CARD_LEVELS}, {t: t for t in text})
+
+
+def _industry(ids, m, cfg):
+    rows = _melted(ids, {t: F.col(s) for s, t in m.pairs(INDUSTRY)}, "classification_code", "classification_description")
+    levels = rows.select("stg_business_entity_id", S.class_of("classification_code").alias("classification_type"),
+                         "classification_code", "classification_description")
+    fields = ["classification_type", "classification_code", "classification_description"]
+    own = _structs(ids, "industries", INDUSTRIES).select(F.col(ENT).alias("stg_business_entity_id"), *fields)
+    return _stamped(levels.unionByName(own.dropna(how="all", subset=fields)), "classification_id")
+
+
+def _revenues(ids, m, cfg):
+    rev = nested.flatten(ids.select(F.col(ENT).alias("stg_business_entity_id"), "card_revenues").distinct(),
+                         [nested.FlattenConfig("card_revenues", REVENUE, "struct", "card_revenue")],
+                         ["stg_business_entity_id"])["card_revenues"]
+    return S.build_card_revenues(
+        rev, [f"card_revenue__{w}__average_monthly_amount" for w in WINDOWS],
+        ["card_revenue__end_date"] + [f"card_revenue__{w}__start_date" for w in WINDOWS])
+
+
+def _stability(ids, m, cfg):
+    c = "card_transactions_stability"
+    parsed = nested.parse_json(ids.select(F.col(ENT).alias("stg_business_entity_id"), c).distinct(), c, STABILITY, "_p")
+    flat = nested.flatten_struct(parsed, "_p", c, ["stg_business_entity_id"])
+    return S.stamp_card_stability(flat.select("stg_business_entity_id",
+                                              *[F.expr(e).alias(n) for n, e in STABILITY_TYPES.items()]))
+
+
+BUILDERS = {
+    "business_entity": lambda ids, m, cfg: S.build_entity(ids),
+    "business_entity_details": _details,
+    "business_entity_identifiers": _identifiers,
+    "business_entity_characteristics": _characteristics,
+    "business_entity_contacts": _contacts,
+    "business_entity_relationships": _relationships,
+    "business_entity_spend_analysis": _spend,
+    "physical_address": _physical,
+    "electronic_address": _simple(ELECTRONIC, "electronic_address_type", "electronic_address", "electronic_address_id"),
+    "telecommunication_address": _simple(TELECOM, "telecommunication_address_type", "phone_number",
+                                         "telecommunication_address_id"),
+    "restrictions": _simple(RESTRICTIONS, "restriction_type", "restriction_indicator", "restriction_id"),
+    "business_entity_receivables_attribute": _receivables,
+    "business_entity_card_association": _card,
+    "business_entity_industry_classification": _industry,
+    "business_entity_card_revenues": _revenues,
+    "business_entity_card_transactions_stability": _stability,
+}

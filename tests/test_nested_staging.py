@@ -63,8 +63,8 @@ def _landing(spark):
     ]
     df = spark.createDataFrame(rows, "vendor_id string, vendor_name string, vendor_contact_name string, "
                                      "supplier_ecid string, client_id string, client_name string")
-    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in
-                            ("company_structure", "year_incorporated", "reported_annual_revenue")])
+    return df.select("*", F.col("client_id").alias("client_ecid"), *[F.lit(None).cast("string").alias(c) for c in
+                     ("company_structure", "year_incorporated", "reported_annual_revenue")])
 
 
 def test_relationships_golden(spark):
@@ -73,8 +73,9 @@ def test_relationships_golden(spark):
     roles = sorted((r.stg_business_entity_id, r.business_entity_role, r.related_business_entity_role)
                    for r in rel.collect())
     buyer = spark.range(1).select(stable_uuid({"name": F.lit("Client One")}).alias("u")).first().u
-    assert roles == sorted([(buyer, "buyer", "firm"), ("S1", "supplier", "buyer"), ("S2", "supplier", "buyer"),
-                            ("S2", "supplier", "firm")])
+    assert roles == sorted([(buyer, "client", "firm"), ("S1", "supplier", "buyer"), ("S2", "supplier", "buyer"),
+                            ("S2", "client", "firm")])
+    assert all(r.business_entity_contact_id is None for r in rel.collect() if r.related_business_entity_role == "firm")
     contact = [r.business_entity_contact_id for r in rel.collect() if r.stg_business_entity_id == "S1"][0]
     contacts = S.build_contacts(spark.createDataFrame([], "stg_business_entity_id string, contact_name string, "
                                                           "contact_title string"),
@@ -84,13 +85,21 @@ def test_relationships_golden(spark):
 
 
 def test_identifiers_scope(spark):
-    ids = S.with_entity_ids(_landing(spark))
-    glob = S.build_identifiers(ids)
-    ent = S.build_identifiers(ids, S.StagingConfig(identifier_scope="entity"))
-    g = {(r.related_identifier_source, r.identifier_type, r.identifier_value) for r in glob.collect()}
-    assert ("business_entity", "ecid", "C1") in g                 # buyer's client id
-    assert not any(s == "business_entity" and v in ("S1", "S2") for s, _, v in g)  # held by relationships
-    assert glob.count() == ent.count()
+    """A (type, value) held by a relationship is dropped for every vendor, or for the edge's vendor only."""
+    landing = _landing(spark).withColumns({
+        "tax_id": F.lit("SC2"),                                             # the value of another type is not held
+        "client_vendor_id": F.when(F.col("vendor_id") == "S1", "V1"),
+        "supplier_ecid": F.when(F.col("vendor_id") == "S2", "SC2")})
+    ids = S.with_entity_ids(landing)
+
+    def found(cfg):
+        return {(r.related_identifier_source, r.identifier_type, r.identifier_value)
+                for r in S.build_identifiers(ids, cfg).collect()}
+    glob, ent = found(S.StagingConfig()), found(S.StagingConfig(identifier_scope="entity"))
+    held = {("relationship", "ecid", "C1"), ("relationship", "ecid", "SC2"), ("relationship", "client_vendor_id", "V1")}
+    assert glob == held | {("business_entity", "tax_id", "SC2")}
+    # the client's id sits on the client's edge, not on the vendor's, so each vendor keeps it
+    assert ent == glob | {("business_entity", "ecid", "C1")}
 
 
 def test_entity_and_details(spark):
@@ -102,13 +111,11 @@ def test_entity_and_details(spark):
 
 
 def test_relationship_ids_compat_double_hash(spark):
-    from tests.test_keys import py_stable_uuid
     ids = S.with_entity_ids(_landing(spark))
-    once = {r.business_entity_relationship_id: r for r in S.build_relationships(ids).collect()}
-    twice = S.build_relationships(ids, S.StagingConfig(compat_double_hash=True)).collect()
-    for r in twice:
-        cols = {c: getattr(r, c) for c in S.REL_COLUMNS}
-        first = py_stable_uuid(cols)
-        assert first in once
-        assert r.business_entity_relationship_id == py_stable_uuid(
-            {**cols, "business_entity_relationship_id": first, "is_active": True})
+    once = S.build_relationships(ids)
+    twice = S.build_relationships(ids, S.StagingConfig(compat_double_hash=True))
+    again = once.withColumn("is_active", F.lit(True)).select(stable_uuid(
+        [*S.REL_COLUMNS, "business_entity_relationship_id", "is_active"]).alias("u"))
+    got = {r.business_entity_relationship_id for r in twice.collect()}
+    assert got == {r.u for r in again.collect()}
+    assert got.isdisjoint(r.business_entity_relationship_id for r in once.collect())

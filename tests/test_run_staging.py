@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from ledgerline.plans.staging_run import LANDING_COLUMNS, SPECS, run_staging
+from ledgerline.plans.staging_run import DEFAULT_MAPPING, LANDING_COLUMNS, SPECS, run_staging
 
 PEOPLE = json.dumps([{"name": "Ann Lee", "titles": ["CEO", "Founder", "Director"]},
                      {"name": "Bo Chan", "titles": ["CFO", "Treasurer", "Secretary"]}])
@@ -12,8 +12,16 @@ REVENUE = json.dumps({"end_date": "2024-01-31", "1m": {"start_date": "2024-01-01
                       "3m": {"start_date": "2023-11-01", "average_monthly_amount": None}})
 
 
+COLUMNS = list(dict.fromkeys([*LANDING_COLUMNS, *[r[0] for r in DEFAULT_MAPPING], "vendor_credit_rating_moody_date",
+                              "vendor_credit_rating_sp_date", "filter_employee", "ind_firm", "extra_id"]))
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], ", ".join(f"{c} string" for c in COLUMNS))
+
+
 def _row(**kw):
-    r = {c: None for c in LANDING_COLUMNS}
+    r = {c: None for c in COLUMNS}
     r.update(kw)
     return r
 
@@ -36,8 +44,7 @@ def test_run_staging_builds_all_tables(spark):
              card_transactions_stability='{"1m": {"days_present": null}, "3m": {}}', filter_employee="N"),
         _row(sds_supplier_id="S9", vendor_name_cleaned="Employee Co", client_name="Client One", filter_employee="Y"),
     ]
-    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in LANDING_COLUMNS) + ", filter_employee string")
-    out = run_staging(df, as_of=F.lit("2024-06-01 00:00:00").cast("timestamp"))
+    out = run_staging(_frame(spark, rows), as_of=F.lit("2024-06-01 00:00:00").cast("timestamp"))
     assert set(out) == set(SPECS)
     counts = {k: v.count() for k, v in out.items()}
     assert counts["business_entity"] == 4                 # S1, O'Brien uuid, buyer, firm (employee row dropped)
@@ -59,3 +66,55 @@ def test_run_staging_builds_all_tables(spark):
     assert str(rev.card_revenue__1m__average_monthly_amount) == "10.560000"
     chars = {r.characteristic_type: r.characteristic_value for r in out["business_entity_characteristics"].collect()}
     assert chars["credit_rating_sp"] == "sp;AA;2024-01-01" and chars["registered_agents"] == "Agent A;Agent B"
+
+
+def test_mapping_decides_identifiers_attributes_and_phones(spark):
+    mapping = [*DEFAULT_MAPPING, ("extra_id", "business_entity_identifiers", "extra_register_id")]
+    rows = [_row(sds_supplier_id="S1", vendor_name_cleaned="Acme", client_name="One", client_ecid="C1", supplier_ecid="SE1",
+                 vendor_id="V1", site_id="T1", vendor_government_id="99", vendor_alternate_name="Acme Tools", extra_id="X1",
+                 vendor_phone_number="1", vendor_phone_number_2="2", filter_trust="Y", vendor_dso="30",
+                 stp_partnershiplist="a;b", stg_codelist="b;c", vendor_cogs="7", filter_individual="Y",
+                 corporate_structures="llc", filter_employee="N")]
+    out = run_staging(_frame(spark, rows), mapping=spark.createDataFrame(
+        [(s, t, c) for s, t, c in mapping], "source_column string, target_table string, target_column string"))
+    ids = {(r.identifier_type, r.identifier_value, r.related_identifier_source)
+           for r in out["business_entity_identifiers"].collect()}
+    entity, rel = "business_entity", "relationship"
+    assert ids == {("tax_id", "99", entity), ("dba", "Acme Tools", entity), ("extra_register_id", "X1", entity),
+                   ("ecid", "C1", rel), ("ecid", "SE1", rel), ("client_vendor_id", "V1", rel),
+                   ("client_vendor_site_id", "T1", rel)}
+    roles = {(r.business_entity_role, r.related_business_entity_role, r.business_entity_contact_id is None)
+             for r in out["business_entity_relationships"].collect()}
+    assert roles == {("client", "firm", True), ("supplier", "buyer", True)}
+    assert {r.telecommunication_address_type for r in out["telecommunication_address"].collect()} == {"primary", "mobile"}
+    att = {r.receivables_attribute_type: r.receivables_attribute_value
+           for r in out["business_entity_receivables_attribute"].collect()}
+    assert att == {"average_vendor_dso": "30", "product_segmentation_applicable": "a;b;c"}
+    assert [(r.classification_type, r.classification_code) for r in
+            out["business_entity_industry_classification"].collect()] == [("internal", "trust")]
+    assert {r.characteristic_type for r in out["business_entity_characteristics"].collect()} == {"cost_of_goods_sold"}
+    assert {r.company_structure for r in out["business_entity_details"].collect()} == {"individual", None}
+
+
+def test_only_rows_marked_as_no_employee_and_the_firm_flag(spark):
+    rows = [_row(sds_supplier_id="S1", vendor_name_cleaned="A", client_name="One", filter_employee=None),
+            _row(sds_supplier_id="S2", vendor_name_cleaned="B", client_name="One", filter_employee="N", ind_firm="Y")]
+    out = run_staging(_frame(spark, rows), tables=["business_entity"], firm_flag="ind_firm")["business_entity"]
+    assert out.count() == 3                        # S2, the buyer, the firm
+
+
+def test_many_rows_of_one_vendor_stay_linear(spark):
+    """10 000 landing rows of one vendor: every step of E6, E10 and E11 reads and makes a few rows per landing row."""
+    n = 10_000
+    df = spark.range(n).selectExpr(
+        "'S1' sds_supplier_id", "'Acme' vendor_name_cleaned", "concat('Client ', id) client_name", "'N' filter_employee",
+        "cast(id % 5 as string) vendor_dso", "'Y' filter_trust", "cast(id % 3 as string) vendor_cogs",
+        """'{"vendor_name": "PayCo", "category": "ap"}' technologies""", "\"['A', 'B']\" registered_agents",
+        """'[{"classification_type": "naics", "classification_code": "1"}]' industries""")
+    names = ["business_entity_receivables_attribute", "business_entity_characteristics",
+             "business_entity_industry_classification"]
+    out = run_staging(df, tables=names)
+    assert [out[k].count() for k in names] == [6, 4, 2]
+    for k in names:
+        plan = out[k]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan, k
