@@ -42,8 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    t = tokenizer(spark)
-    return bpe.digest(bpe.encode(docs, t).drop("text"), t)
+    return bpe.round_trip(docs, tokenizer(spark)).drop("text")
 
 
 STAGES = [

@@ -38,7 +38,7 @@ from ledgerline.llm.batches import map_batches, ragged, texts
 MAX_VOCABULARY_BYTES = 64 << 20
 NO_RANK = np.int32(2**31 - 1)
 LONG = 128
-KEPT_PIECES = 200_000       # a worker's table of pieces is emptied beyond this
+KEPT_PIECES = 100_000       # a worker's table of pieces is emptied beyond this
 KEPT_PIECE_CHARS = 64
 
 _EMPTY = np.uint64(2**64 - 1)
@@ -116,14 +116,16 @@ class Codec:
     def encode(self, batch: list[str]) -> list[bytes]:
         """For each text its ids, packed as little-endian unsigned 32-bit integers."""
         pieces = [self._split(t) for t in batch]
-        new = set().union(*pieces).difference(self._known) if pieces else set()
-        table = dict(zip(new, self._encode_pieces([p.encode() for p in new])))
-        if len(self._known) > KEPT_PIECES:
-            table.update((p, self._known[p]) for p in set().union(*pieces) if p in self._known)
-            self._known = {}
-        self._known.update((p, ids) for p, ids in table.items() if len(p) <= KEPT_PIECE_CHARS)
-        get = self._known.__getitem__ if len(table) == 0 else {**self._known, **table}.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+        known = self._known
+        new = set().union(*pieces).difference(known)
+        long = {}
+        for p, ids in zip(new, self._encode_pieces([p.encode() for p in new])):
+            (known if len(p) <= KEPT_PIECE_CHARS else long)[p] = ids
+        get = known.__getitem__ if not long else lambda p: long[p] if p in long else known[p]
+        out = [b"".join(map(get, p)) for p in pieces]
+        if len(known) > KEPT_PIECES:
+            known.clear()
+        return out
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -255,15 +257,24 @@ def decode(coded: DataFrame, tokenizer: Tokenizer, ids: str = "ids", out: str =
     return map_batches(coded, run, f"`{out}` binary", ids)
 
 
-def digest(coded: DataFrame, tokenizer: Tokenizer, ids: str = "ids") -> DataFrame:
-    """``coded`` with n_tokens and the SHA-256 of the packed ids and of the decoded bytes."""
+ROUND_TRIP = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def round_trip(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Encode, and decode the ids again, in one pass over the batches.
+
+    Adds the ids as :func:`encode` does, their number, and the SHA-256 of the
+    ids (little-endian unsigned 32-bit integers) and of the bytes that they
+    decode to, by which a reader of the tokens can check them.
+    """
     def run(batch):
-        back = tokenizer.codec.decode
-        n, packed, plain = [], [], []
-        for r in _id_rows(batch.column(ids)):
-            n.append(len(r))
-            packed.append(hashlib.sha256(r.astype("<u4").tobytes()).hexdigest())
-            plain.append(hashlib.sha256(back(r.tolist())).hexdigest())
-        return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(packed, pa.string()),
-                "decoded_sha256": pa.array(plain, pa.string())}
-    return map_batches(coded, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", ids)
+        codec = tokenizer.codec
+        packed = codec.encode(texts(batch, text))
+        numbers = [np.frombuffer(p, dtype="<i4") for p in packed]
+        return {
+            ids: ragged(pa.array(np.frombuffer(b"".join(packed), dtype="<i4")), [len(n) for n in numbers]),
+            "n_tokens": pa.array([len(n) for n in numbers], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(codec.decode(n.tolist())).hexdigest() for n in numbers],
+                                       pa.string())}
+    return map_batches(docs, run, f"`{ids}` array<int>, {ROUND_TRIP}", text)

@@ -16,6 +16,5 @@ def tokenizer(spark, path: str | None = None) -> bpe.Tokenizer:
 
 @register("op3_byte_bpe")
 def op3_byte_bpe(spark, sf_dir):
-    t = tokenizer(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digest(bpe.encode(docs, t).drop("text"), t).drop("ids")
+    return bpe.round_trip(docs, tokenizer(spark)).drop("text", "ids")

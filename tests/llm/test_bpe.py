@@ -59,12 +59,13 @@ def test_pair_table_finds_every_pair_and_no_other():
 
 def test_odd_rows(spark, odd, none, pair):
     t = tokenizer(spark)
-    coded = bpe.encode(odd, t)
-    assert sorted(coded.columns) == sorted(odd.columns)
-    for r in bpe.digest(bpe.decode(coded, t), t).collect():
+    assert sorted(bpe.encode(odd, t).columns) == sorted(odd.columns)
+    for r in bpe.decode(bpe.round_trip(odd, t), t).collect():
         raw = (r["text"] or "").encode()
         assert r["ids"] == pair[1].encode_ordinary(r["text"] or "")
         assert bytes(r["bytes"]) == raw and r["n_tokens"] == len(r["ids"])
         assert r["decoded_sha256"] == hashlib.sha256(raw).hexdigest()
         assert r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], dtype="<u4").tobytes()).hexdigest()
-    assert bpe.digest(bpe.encode(none, t), t).count() == 0
+    assert bpe.decode(bpe.encode(none, t), t).count() == 0 and bpe.round_trip(none, t).count() == 0
+    one = spark.createDataFrame([(1, None)], "k long, ids array<int>")
+    assert bytes(bpe.decode(one, t).first()["bytes"]) == b""
