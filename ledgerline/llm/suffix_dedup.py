@@ -20,8 +20,9 @@ equal anchors, so
    group that still shares its prefix.  Equal neighbours give the strings'
    first places;
 4. an anchor with over ``max_group`` different segments (a passage that very
-   many documents quote) is not sorted in one place: its strings are grouped
-   by their MD5 with partial sums and joined back, which spreads them evenly.
+   many documents quote, each in words of its own) would not fit a task: its
+   strings are grouped by their MD5 with partial sums and joined back, which
+   spreads them evenly.
 
 Segments are compared by two 64-bit hashes (anchor and content), sorted
 strings by their bytes.
@@ -77,9 +78,11 @@ def _least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[:len(v) - (width - have)], v[width - have:]) if have < width else v
 
 
-def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int,
+             whole: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
     """Segments of the texts that ``data`` holds end to end: (place, count, anchor hash, content hash).
 
+    Without ``whole`` only the anchor hash is made.
     ``place`` is that of the first string, ``count`` the number of strings.
     The bytes are read in chunks that overlap by a string, so memory does not
     grow with a text; a segment that a chunk cuts is two segments.
@@ -106,6 +109,9 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> Iter
         begins[1:] = (chosen[1:] != chosen[:-1]) | ~valid[:-1]
         begins[first[first < strings]] = True
         at = np.flatnonzero(begins & valid)
+        if not whole:
+            yield at, at, hashed[chosen[at]].view(np.int64), at
+            continue
         stop = np.flatnonzero(np.concatenate([begins[1:] | ~valid[1:], [True]]) & valid) + 1
         count = stop - at
         end = stop - 1 + length
@@ -132,7 +138,7 @@ def _segment_rows(docs: DataFrame, length: int, gram: int, whole: bool) -> DataF
         for batch in batches:
             for part in slices(batch, "data"):
                 data, ends = _bytes_of(part.column("data"))
-                for place, count, anchor, content in segments(data, ends, length, gram):
+                for place, count, anchor, content in segments(data, ends, length, gram, whole):
                     if not whole:
                         yield pa.RecordBatch.from_arrays([pa.array(anchor)], names=schema.names)
                         continue
@@ -161,6 +167,8 @@ def multikey(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray,
             break
         rows = order[open_]
         key = data[at[rows][:, None] + np.arange(d, d + 8)].view(">u8").ravel().astype(np.uint64)
+        if d + 8 > depth:
+            key >>= np.uint64(8 * (d + 8 - depth))
         by = np.lexsort((key, group[open_]))
         order[open_], key = rows[by], key[by]
         fresh = np.zeros(len(at), dtype=bool)
@@ -218,28 +226,56 @@ class BlindTrie:
                 todo += [node[1][c] for c in sorted(node[1], reverse=True)]
 
 
+TRIE_MOST = 2048      # larger groups stay with multikey sorting, whose memory is arrays only
+
+
 def equal_groups(data: np.ndarray, at: np.ndarray, length: int, shallow: int = 32) -> np.ndarray:
-    """A number for each ``length``-byte string at ``at``: equal for equal strings, in sorted order."""
+    """A number for each ``length``-byte string at ``at``: equal for equal strings, in sorted order.
+
+    ``data`` has eight bytes to spare at its end.
+    """
     out = np.empty(len(at), dtype=np.int64)
-    shallow = min(shallow, length // 8 * 8)
+    shallow = min(shallow, length)
     order, group = multikey(data, at, shallow)
-    raw = data.tobytes()
-    cuts = np.flatnonzero(np.diff(group)) + 1
-    bounds = np.concatenate([[0], cuts, [len(at)]])
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(at)]])
     size = np.diff(bounds)
     nth = np.zeros(len(at), dtype=np.int64)               # number within the group, in sorted order
     extra = np.zeros(len(size), dtype=np.int64)
-    for g in np.flatnonzero(size > 1).tolist():
-        members = order[bounds[g]:bounds[g + 1]].tolist()
-        strings = [raw[p + shallow:p + length] for p in at[members].tolist()]
-        if strings.count(strings[0]) == len(strings):
-            continue
-        trie = BlindTrie(strings[0], members[0])
-        for s, m in zip(strings[1:], members[1:]):
-            trie.add(s, m)
-        for k, names in enumerate(trie.sorted_names()):
-            nth[names] = k
-        extra[g] = nth[members].max()
+    if shallow < length:
+        pairs = np.flatnonzero(size == 2)                 # a trie of two leaves is one comparison
+        a, b = order[bounds[pairs]], order[bounds[pairs] + 1]
+        span = np.arange(shallow, length)
+        for k in range(0, len(pairs), 1 << 16):
+            x, y = a[k:k + (1 << 16)], b[k:k + (1 << 16)]
+            left, right = data[at[x][:, None] + span], data[at[y][:, None] + span]
+            differs = left != right
+            apart = differs.any(axis=1)
+            first = differs.argmax(axis=1)
+            row = np.arange(len(x))
+            larger = np.where(left[row, first] > right[row, first], x, y)
+            nth[larger[apart]] = 1
+            extra[pairs[k:k + (1 << 16)][apart]] = 1
+        raw = data.tobytes() if (size > 2).any() else b""
+        for g in np.flatnonzero(size > 2).tolist():
+            rows = order[bounds[g]:bounds[g + 1]]
+            if size[g] > TRIE_MOST:
+                inner, number = multikey(data, at[rows] + shallow, length - shallow)
+                nth[rows[inner]] = number
+                extra[g] = number[-1]
+                continue
+            members = rows.tolist()
+            strings = [raw[p + shallow:p + length] for p in at[rows].tolist()]
+            if strings.count(strings[0]) == len(strings):
+                continue
+            trie = BlindTrie(strings[0], members[0])
+            for s, m in zip(strings[1:], members[1:]):
+                trie.add(s, m)
+            k = 0
+            for k, names in enumerate(trie.sorted_names()):
+                if k:
+                    for m in names:
+                        nth[m] = k
+            extra[g] = k
     base = np.arange(len(size)) + np.concatenate([[0], np.cumsum(extra)[:-1]])
     out[order] = base[group]
     return out + nth
@@ -295,62 +331,66 @@ def _same_doc(left: str, right: str) -> Column:
 def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` segments (anchor, doc, text_hash, start, count) with their bytes."""
     lists = wanted.groupBy("doc", "text_hash").agg(
-        F.collect_list(F.struct("anchor", "start", "count", "bucket")).alias("parts"))
+        F.collect_list(F.struct("anchor", "start", "count")).alias("parts"))
     met = (docs.alias("d").join(lists.alias("l"), _same_doc("d", "l"))
            .select("d.doc", "d.text_hash", "d.data", F.explode("l.parts").alias("p")))
     body = F.substring(F.col("data"), F.col("p.start") + 1, F.col("p.count") + (length - 1))
-    return met.select("p.anchor", "doc", "text_hash", "p.start", "p.count", "p.bucket", body.alias("body"))
+    return met.select("p.anchor", "doc", "text_hash", "p.start", "p.count", body.alias("body"))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: later steps read it instead of computing it again, and their
+    joins have a shuffle of their own for it, which lets a hot key be split."""
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def repeated_ranges(docs: DataFrame, length: int, gram: int, max_group: int, bucket_rows: int) -> DataFrame:
     """(doc, text_hash, a, b): byte ranges covered by strings that start earlier elsewhere; they may overlap."""
-    spark = docs.sparkSession
-    shared = (_segment_rows(docs, length, gram, False).groupBy("anchor").agg(F.count("*").alias("n"))
-              .where("n > 1").select("anchor"))
-    path = scratch(spark, "suffix-segments")
-    _segment_rows(docs, length, gram, True).join(shared, "anchor", "left_semi").write.parquet(path)
-    found = spark.read.parquet(path)
-
-    path = scratch(spark, "suffix-distinct")
-    (found.groupBy("anchor", "content").agg(F.min(_place()).alias("first"), F.first("count").alias("count"))
-     .write.parquet(path))
-    distinct = spark.read.parquet(path)
+    shared = _written(_segment_rows(docs, length, gram, False).groupBy("anchor").agg(F.count("*").alias("n"))
+                      .where("n > 1").select("anchor"), "suffix-anchors")
+    found = _written(_segment_rows(docs, length, gram, True).join(shared, "anchor", "left_semi"), "suffix-segments")
+    distinct = _written(found.groupBy("anchor", "content").agg(F.min(_place()).alias("first"),
+                                                               F.first("count").alias("count")), "suffix-distinct")
     copies = (found.join(distinct.select("anchor", "content", "first"), ["anchor", "content"])
               .where(~_place().eqNullSafe(F.col("first")))
               .select("doc", "text_hash", F.col("start").alias("a"),
                       (F.col("start") + F.col("count") + (length - 1)).alias("b")))
 
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    path = scratch(spark, "suffix-several")
-    (distinct.join(several, "anchor")
-     .select("anchor", "first.doc", "first.text_hash", "first.start", "count", "kinds").write.parquet(path))
-    left = spark.read.parquet(path)
-    buckets = max(1, left.count() // bucket_rows)
-    left = left.withColumn("bucket", F.when(F.col("kinds") <= max_group, F.pmod(F.xxhash64("anchor"), F.lit(buckets))))
-    path = scratch(spark, "suffix-bodies")
-    _bodies(docs, left, length).write.parquet(path)
-    bodies = spark.read.parquet(path)
+    several = _written(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-several")
+    rows, most = several.agg(F.sum("kinds"), F.max("kinds")).first()
+    buckets = max(1, (rows or 0) // bucket_rows)
+
+    def of(anchors: DataFrame) -> DataFrame:
+        left = distinct.join(anchors, "anchor").select("anchor", "first.doc", "first.text_hash", "first.start", "count")
+        return _bodies(docs, left, length)
 
     def search(table: pa.Table) -> pa.Table:
         return _later_strings(table, length)
 
-    sorted_ = (bodies.where("bucket IS NOT NULL").groupBy("bucket")
+    sorted_ = (of(several.where(F.col("kinds") <= max_group))
+               .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket")
                .applyInArrow(search, "doc long, text_hash long, a long, b long"))
-    crowd = bodies.where("bucket IS NULL").select(
-        "doc", "text_hash", "start", "body", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("k")).select(
-        F.md5(F.substring(F.col("body"), F.col("k") + 1, F.lit(length))).alias("string"), "doc", "text_hash",
-        (F.col("start") + F.col("k")).alias("start"))
-    firsts = crowd.groupBy("string").agg(F.min(_place()).alias("first"))
-    quoted = (crowd.join(firsts, "string").where(~_place().eqNullSafe(F.col("first")))
-              .select("doc", "text_hash", F.col("start").alias("a"), (F.col("start") + length).alias("b")))
-    return copies.unionByName(sorted_).unionByName(quoted)
+    out = copies.unionByName(sorted_)
+    if (most or 0) > max_group:
+        crowd = _written(of(several.where(F.col("kinds") > max_group)).select(
+            "doc", "text_hash", "start", "body", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("k")).select(
+            F.md5(F.substring(F.col("body"), F.col("k") + 1, F.lit(length))).alias("string"), "doc", "text_hash",
+            (F.col("start") + F.col("k")).alias("start")), "suffix-crowd")
+        firsts = _written(crowd.groupBy("string").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
+                          .where("n > 1").drop("n"), "suffix-firsts")
+        out = out.unionByName(
+            crowd.join(firsts, "string").where(~_place().eqNullSafe(F.col("first")))
+            .select("doc", "text_hash", F.col("start").alias("a"), (F.col("start") + length).alias("b")))
+    return out
 
 
 SPANS = "array<struct<start:long,end:long>>"
 
 
 def dedup(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc_id", text: str = "text",
-          max_group: int = 256, bucket_rows: int = 16_384) -> DataFrame:
+          max_group: int = 32_768, bucket_rows: int = 16_384) -> DataFrame:
     """``docs`` with ``kept`` (binary: the remaining bytes) and ``removed`` (maximal byte ranges)."""
     if not 8 <= gram <= length < CHUNK:
         raise ValueError("8 <= gram <= length < 1 MiB")

@@ -56,12 +56,13 @@ def test_chunks_do_not_change_the_result(spark, none, monkeypatch):
     assert whole == [i for a, b in zip(starts, ends) for i in range(a, b - 99)]
 
 
-def test_equal_groups_sorts():
+def test_equal_groups_sorts(monkeypatch):
     rng = random.Random(1)
     raw = "".join(rng.choice("ab") for _ in range(3000)).encode() * 2
     data = np.concatenate([np.frombuffer(raw, np.uint8), np.zeros(8, np.uint8)])
     at = np.arange(len(raw) - 40)
-    for shallow in (8, 16, 40):
+    for shallow, most in ((8, 2048), (16, 2048), (20, 2048), (40, 2048), (8, 3), (12, 3)):
+        monkeypatch.setattr(q, "TRIE_MOST", most)
         got = q.equal_groups(data, at, 40, shallow)
         strings = sorted({raw[p:p + 40] for p in at})
         number = {s: k for k, s in enumerate(strings)}
