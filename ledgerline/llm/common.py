@@ -81,3 +81,15 @@ def cut(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: later steps read it instead of computing it again.
+
+    Unlike a checkpoint it has a known size, so a small one is broadcast by
+    Spark's own bound; and a join has a shuffle of its own for it, which lets
+    a hot key on the other side be split.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)

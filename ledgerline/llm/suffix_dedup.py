@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.llm.batches import map_batches, slices
-from ledgerline.llm.common import scratch, text_of
+from ledgerline.llm.common import text_of, written
 
 CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -338,27 +338,19 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return met.select("p.anchor", "doc", "text_hash", "p.start", "p.count", body.alias("body"))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: later steps read it instead of computing it again, and their
-    joins have a shuffle of their own for it, which lets a hot key be split."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def repeated_ranges(docs: DataFrame, length: int, gram: int, max_group: int, bucket_rows: int) -> DataFrame:
     """(doc, text_hash, a, b): byte ranges covered by strings that start earlier elsewhere; they may overlap."""
-    shared = _written(_segment_rows(docs, length, gram, False).groupBy("anchor").agg(F.count("*").alias("n"))
+    shared = written(_segment_rows(docs, length, gram, False).groupBy("anchor").agg(F.count("*").alias("n"))
                       .where("n > 1").select("anchor"), "suffix-anchors")
-    found = _written(_segment_rows(docs, length, gram, True).join(shared, "anchor", "left_semi"), "suffix-segments")
-    distinct = _written(found.groupBy("anchor", "content").agg(F.min(_place()).alias("first"),
+    found = written(_segment_rows(docs, length, gram, True).join(shared, "anchor", "left_semi"), "suffix-segments")
+    distinct = written(found.groupBy("anchor", "content").agg(F.min(_place()).alias("first"),
                                                                F.first("count").alias("count")), "suffix-distinct")
     copies = (found.join(distinct.select("anchor", "content", "first"), ["anchor", "content"])
               .where(~_place().eqNullSafe(F.col("first")))
               .select("doc", "text_hash", F.col("start").alias("a"),
                       (F.col("start") + F.col("count") + (length - 1)).alias("b")))
 
-    several = _written(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-several")
+    several = written(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-several")
     rows, most = several.agg(F.sum("kinds"), F.max("kinds")).first()
     buckets = max(1, (rows or 0) // bucket_rows)
 
@@ -374,11 +366,11 @@ def repeated_ranges(docs: DataFrame, length: int, gram: int, max_group: int, buc
                .applyInArrow(search, "doc long, text_hash long, a long, b long"))
     out = copies.unionByName(sorted_)
     if (most or 0) > max_group:
-        crowd = _written(of(several.where(F.col("kinds") > max_group)).select(
+        crowd = written(of(several.where(F.col("kinds") > max_group)).select(
             "doc", "text_hash", "start", "body", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("k")).select(
             F.md5(F.substring(F.col("body"), F.col("k") + 1, F.lit(length))).alias("string"), "doc", "text_hash",
             (F.col("start") + F.col("k")).alias("start")), "suffix-crowd")
-        firsts = _written(crowd.groupBy("string").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
+        firsts = written(crowd.groupBy("string").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
                           .where("n > 1").drop("n"), "suffix-firsts")
         out = out.unionByName(
             crowd.join(firsts, "string").where(~_place().eqNullSafe(F.col("first")))

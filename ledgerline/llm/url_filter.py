@@ -28,7 +28,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, let, lower_ascii
+from ledgerline.llm.common import let, lower_ascii, written
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -96,8 +96,7 @@ def statistics(pages: DataFrame, labelled: DataFrame, key: str, prior: float = 1
     seen = pages.groupBy(key).agg(F.log1p(F.count("*")).alias(f"f_{key}_count"))
     blocked = labelled.where("ruled IS NOT NULL").groupBy(key).agg(
         ((F.count_if(F.col("ruled") == BLOCK) + prior / 2) / (F.count("*") + prior)).alias(f"f_{key}_blocked"))
-    # written out: the join to the pages then has a shuffle of its own on this side, which lets a hot key be split
-    return cut(seen.join(blocked, key, "left").withColumnRenamed(key, f"__{key}"))
+    return written(seen.join(blocked, key, "left").withColumnRenamed(key, f"__{key}"), f"url-{key}")
 
 
 OWN = ("f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_hyphens", "f_entropy",
