@@ -1,9 +1,9 @@
 """Fuzzy matching and routing (Z1-Z5) on the driver tables.
 
-Profiles: entity = customer, name = ``c_name``, tax id = nation, address =
-segment text, postcode = nation key.  Names are ``Customer#<number>`` so
-near-duplicates are plentiful; the oracle scores every pair of each block by
-brute force.
+Profiles: entity = customer, three customers to a family; a family shares the
+first thirteen letters of its (hashed) name and its tax id, so the pairs that
+pass grow with the rows.  The source side has a typing error in every name.
+The oracle scores every pair of each block by brute force.
 """
 
 from __future__ import annotations
@@ -15,18 +15,26 @@ from ledgerline.operators import match
 from ledgerline.session import table
 
 
-def _profile(spark, d, name_expr=None):
+def _profile(spark, d, key=None, typo=False):
     c = table(spark, d, "customer")
-    name = name_expr if name_expr is not None else F.col("c_name")
-    return c.select(F.col("c_custkey").cast("string").alias("business_entity_id"), name.alias("name"),
-                    F.concat(F.lit("TAX-"), F.col("c_nationkey").cast("string")).alias("tax_id"),
-                    F.col("c_mktsegment").alias("address"),
-                    F.col("c_nationkey").cast("string").alias("postal_code"))
-
-
-_PROFILE_SQL = """
-SELECT CAST(c_custkey AS VARCHAR) AS business_entity_id, c_name AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id,
-       c_mktsegment AS address, CAST(c_nationkey AS VARCHAR) AS postal_code FROM customer"""
+    family = F.floor(F.col("c_custkey") / 3).cast("bigint").cast("string")
+    name = F.concat(F.substring(F.md5(family), 1, 13), (F.col("c_custkey") % 3).cast("string"))
+    if typo:
+        name = F.concat(F.substring(name, 1, 5), F.lit("~"), F.substring(name, 7, 8))
+    return c.select((key if key is not None else F.col("c_custkey")).cast("string").alias("business_entity_id"),
+                    name.alias("name"),
+                    F.concat(F.lit("TAX-"), (F.floor(F.col("c_custkey") / 3).cast("bigint") % 25).cast("string"))
+                    .alias("tax_id"),
+                    F.col("c_mktsegment").alias("address"), F.col("c_nationkey").cast("string").alias("postal_code"))
+
+
+def _profile_sql(key="c_custkey", typo=False):
+    name = "substr(md5(CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS VARCHAR)), 1, 13) || CAST(c_custkey % 3 AS VARCHAR)"
+    if typo:
+        name = f"substr({name}, 1, 5) || '~' || substr({name}, 7)"
+    return f"""SELECT CAST({key} AS VARCHAR) AS k, {name} AS name,
+      'TAX-' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) % 25 AS VARCHAR) AS tax_id, c_mktsegment AS address,
+      CAST(c_nationkey AS VARCHAR) AS pc FROM customer"""
 
 
 @register("match_profile", """
@@ -62,47 +70,27 @@ def match_profile(spark, d):
     return match.match_profile(details, tax.unionByName(duns), addr)
 
 
+_SCORE = "1.0 - levenshtein(s.name, m.name) / length(s.name)"
+
+
 @register("match_scores", f"""
-WITH p AS ({_PROFILE_SQL}),
-pairs AS (
-  SELECT a.business_entity_id AS src_business_entity_id, b.business_entity_id AS main_business_entity_id,
-    a.tax_id, a.name AS src_name, b.name AS main_name,
-    1.0 - levenshtein(a.name, b.name) / length(a.name) AS name_score, CAST(1.0 AS DOUBLE) AS tax_score,
-    CAST(CASE WHEN a.postal_code = b.postal_code AND a.address = b.address THEN 1.0 ELSE 0.0 END AS DOUBLE) AS address_score
-  FROM p a JOIN p b ON a.tax_id = b.tax_id
-  WHERE a.business_entity_id <> b.business_entity_id AND trim(a.tax_id) <> '' AND length(a.name) > 0)
-SELECT src_business_entity_id, main_business_entity_id, tax_id, src_name, main_name,
-  CAST(round(name_score, 6) AS DECIMAL(10,6)) AS name_score, tax_score, address_score
-FROM pairs WHERE name_score >= 0.8""")
+WITH s AS ({_profile_sql(typo=True)}), m AS ({_profile_sql()})
+SELECT s.k AS src_business_entity_id, m.k AS main_business_entity_id, s.tax_id, s.name AS src_name, m.name AS main_name,
+  CAST(round({_SCORE}, 6) AS DECIMAL(10,6)) AS name_score, CAST(1.0 AS DOUBLE) AS tax_score,
+  CAST(CASE WHEN s.pc = m.pc AND s.address = m.address THEN 1.0 ELSE 0.0 END AS DOUBLE) AS address_score
+FROM s JOIN m ON s.tax_id = m.tax_id WHERE {_SCORE} >= 0.8""")
 def match_scores(spark, d):
-    p = _profile(spark, d)
-    s = match.match_scores(p, p)
-    s = s.filter(F.col("src_business_entity_id") != F.col("main_business_entity_id"))
+    s = match.match_scores(_profile(spark, d, typo=True), _profile(spark, d))
     return s.withColumn("name_score", F.round("name_score", 6).cast("decimal(10,6)"))
 
 
-_TYPO = "replace(c_name, 'Customer#', 'Custmer#')"
-
-
 @register("match_flag_duplicates", f"""
-WITH src AS (SELECT CAST(c_custkey AS VARCHAR) AS k, {_TYPO} AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id
-             FROM customer WHERE c_mktsegment = 'HOUSEHOLD'),
-main AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id
-         FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
-SELECT s.k AS src_business_entity_id, COUNT(*) AS n_duplicates,
-  CAST(round(max(1.0 - levenshtein(s.name, m.name) / length(s.name)), 6) AS DECIMAL(10,6)) AS best_score
-FROM src s JOIN main m ON s.tax_id = m.tax_id
-WHERE 1.0 - levenshtein(s.name, m.name) / length(s.name) >= 0.85
-GROUP BY s.k""")
+WITH s AS ({_profile_sql(typo=True)}), m AS ({_profile_sql()})
+SELECT s.k AS src_business_entity_id, COUNT(*) AS n_duplicates, CAST(round(max({_SCORE}), 6) AS DECIMAL(10,6)) AS best_score
+FROM s JOIN m ON s.tax_id = m.tax_id WHERE {_SCORE} >= 0.9 GROUP BY s.k""")
 def match_flag_duplicates(spark, d):
-    c = table(spark, d, "customer")
-    prof = _profile(spark, d, F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Custmer#")))
-    src = prof.join(c.filter(F.col("c_mktsegment") == "HOUSEHOLD")
-                    .select(F.col("c_custkey").cast("string").alias("business_entity_id")), "business_entity_id")
-    main = _profile(spark, d).join(c.filter(F.col("c_mktsegment") != "HOUSEHOLD")
-                                   .select(F.col("c_custkey").cast("string").alias("business_entity_id")),
-                                   "business_entity_id")
-    flagged = match.flag_duplicates(match.match_scores(src, main, threshold=0.85), 0.85).filter("is_duplicate")
+    scores = match.match_scores(_profile(spark, d, typo=True), _profile(spark, d), threshold=0.8)
+    flagged = match.flag_duplicates(scores, 0.9).filter("is_duplicate")
     return flagged.groupBy("src_business_entity_id").agg(
         F.count(F.lit(1)).alias("n_duplicates"),
         F.round(F.max("name_score"), 6).cast("decimal(10,6)").alias("best_score"))
@@ -110,47 +98,29 @@ def match_flag_duplicates(spark, d):
 
 @register("match_drop_known", """
 SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS business_entity_id FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')""")
+WHERE o_custkey NOT IN (SELECT c_custkey * 2 FROM customer)""")
 def match_drop_known(spark, d):
     src = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("business_entity_id")).distinct()
-    main = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD") \
-        .select(F.col("c_custkey").cast("string").alias("business_entity_id"))
+    main = table(spark, d, "customer").select((F.col("c_custkey") * 2).cast("string").alias("business_entity_id"))
     return match.drop_known(src, main, "business_entity_id")
 
 
 @register("match_route", f"""
-WITH src AS (
-  SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'N' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS k,
-         CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN {_TYPO} ELSE c_name END AS name,
-         'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id, c_mktsegment AS address, CAST(c_nationkey AS VARCHAR) AS pc
-  FROM customer),
-main AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, 'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id,
-           c_mktsegment AS address, CAST(c_nationkey AS VARCHAR) AS pc
-         FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
+WITH src AS ({_profile_sql(typo=True)}), main AS ({_profile_sql("c_custkey * 2")}),
 known AS (SELECT k FROM src WHERE k IN (SELECT k FROM main)),
-unknown AS (SELECT * FROM src WHERE k NOT IN (SELECT k FROM main)),
-sc AS (SELECT u.k, m.k AS mk, 1.0 - levenshtein(u.name, m.name) / length(u.name) AS ns,
-         CASE WHEN u.pc = m.pc AND u.address = m.address THEN 1.0 ELSE 0.0 END AS ad
-       FROM unknown u JOIN main m ON u.tax_id = m.tax_id
-       WHERE 1.0 - levenshtein(u.name, m.name) / length(u.name) >= 0.8),
+s AS (SELECT * FROM src WHERE k NOT IN (SELECT k FROM main) AND k NOT LIKE '%7'
+      UNION ALL SELECT k, 'nobody ' || name, tax_id, address, pc FROM src WHERE k NOT IN (SELECT k FROM main) AND k LIKE '%7'),
+sc AS (SELECT s.k, m.k AS mk, {_SCORE} AS ns, CASE WHEN s.pc = m.pc AND s.address = m.address THEN 1.0 ELSE 0.0 END AS ad
+       FROM s JOIN main m ON s.tax_id = m.tax_id WHERE {_SCORE} >= 0.8),
 best AS (SELECT k, mk, ns FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ns DESC, ad DESC, mk DESC) rn FROM sc)
          WHERE rn = 1)
 SELECT k AS business_entity_id, 'update_known' AS route, k AS target_key, CAST(NULL AS DECIMAL(10,6)) AS name_score FROM known
 UNION ALL
-SELECT u.k, CASE WHEN b.mk IS NOT NULL THEN 'update_matched' ELSE 'insert' END, b.mk,
-       CAST(round(b.ns, 6) AS DECIMAL(10,6))
-FROM unknown u LEFT JOIN best b ON u.k = b.k""")
+SELECT u.k, CASE WHEN b.mk IS NOT NULL THEN 'update_matched' ELSE 'insert' END, b.mk, CAST(round(b.ns, 6) AS DECIMAL(10,6))
+FROM s u LEFT JOIN best b ON u.k = b.k""")
 def match_route(spark, d):
-    c = table(spark, d, "customer")
-    hh = F.col("c_mktsegment") == "HOUSEHOLD"
-    src = c.select(
-        F.when(hh, F.concat(F.lit("N"), F.col("c_custkey").cast("string")))
-         .otherwise(F.col("c_custkey").cast("string")).alias("business_entity_id"),
-        F.when(hh, F.replace(F.col("c_name"), F.lit("Customer#"), F.lit("Custmer#"))).otherwise(F.col("c_name"))
-         .alias("name"),
-        F.concat(F.lit("TAX-"), F.col("c_nationkey").cast("string")).alias("tax_id"),
-        F.col("c_mktsegment").alias("address"), F.col("c_nationkey").cast("string").alias("postal_code"))
-    main = _profile(spark, d).join(c.filter(~hh).select(
-        F.col("c_custkey").cast("string").alias("business_entity_id")), "business_entity_id")
-    out = match.deduplicate(src, main)
+    src = _profile(spark, d, typo=True)
+    src = src.withColumn("name", F.when(F.col("business_entity_id").endswith("7"), F.concat(F.lit("nobody "), "name"))
+                         .otherwise(F.col("name")))
+    out = match.deduplicate(src, _profile(spark, d, key=F.col("c_custkey") * 2))
     return out.withColumn("name_score", F.round("name_score", 6).cast("decimal(10,6)"))

@@ -13,7 +13,10 @@ expands into the pairs that share a positioned name segment:
 * so each source row emits ``k + 1`` (block, length, segment no, text) keys,
   each main row emits a few substrings per plausible source length, and an
   equi-join on those keys yields every pair that can pass — no other pair.
-  Every candidate is then verified with the exact score.
+  Both sides carry their names, so a candidate is verified with the exact
+  score where it is found, and a pair that passes is emitted only at its first
+  common segment: there is no candidate table to de-duplicate.  Addresses are
+  fetched for passing pairs alone.
 
 Limits: names that share long common parts (a fixed prefix such as
 ``Customer#0000``) share segments, so most pairs of such a block still become
@@ -60,14 +63,15 @@ def match_profile(details: DataFrame, identifiers: DataFrame, addresses: DataFra
     """Entity + tax id + address.
 
     Identifiers are filtered to the tax type *before* the join; the address
-    lines are ``:``-joined; NULL text becomes ``''`` as in the reference.
+    lines are ``:``-joined; NULL text becomes ``''`` as in the reference.  An
+    entity with several names, tax ids or addresses has a row for each.
     """
     tax = identifiers.filter(F.col("identifier_type") == tax_type).select(
         F.col("related_identifier").alias(entity), F.col("identifier_value").alias("tax_id")).distinct()
     lines = [c for c in address_lines if c in addresses.columns]
     addr = addresses.select(F.col("related_identifier").alias(entity),
                             F.concat_ws(ADDRESS_SEPARATOR, *[F.coalesce(F.col(c), F.lit("")) for c in lines])
-                            .alias("address"), F.col("postal_code")).dropDuplicates([entity])
+                            .alias("address"), F.col("postal_code")).distinct()
     prof = details.select(entity, F.col(name).alias("name")).join(tax, entity, "left").join(addr, entity, "left")
     return prof.select(entity, *[F.coalesce(F.col(c), F.lit("")).alias(c)
                                  for c in ("name", "tax_id", "address", "postal_code")])
@@ -82,49 +86,60 @@ def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname
     Output columns: ``_lk, _rk, _ln, _rn, _b, lev, name_score``.
     """
     t = float(threshold)
-    L = (left.select(F.col(lkey).alias("_lk"), F.col(lblock).cast("string").alias("_b"),
-                     F.col(lname).alias("_ln"))
-         .filter(~_blank(F.col("_b")) & F.col("_ln").isNotNull() & (F.length("_ln") > 0))
-         .withColumn("_n", F.length("_ln")))
-    L = L.withColumn("_k", _max_edits(F.col("_n"), t))
-    seg_start = lambda i, n, k: F.floor(i * n / (k + 1)).cast("int")
-    Lseg = (L.select("*", F.explode(F.sequence(F.lit(0), F.col("_k"))).alias("_i"))
-            .withColumn("_s", seg_start(F.col("_i"), F.col("_n"), F.col("_k")))
-            .withColumn("_len", seg_start(F.col("_i") + 1, F.col("_n"), F.col("_k")) - F.col("_s"))
-            .select("_lk", "_b", "_n", "_i", F.substring("_ln", F.col("_s") + 1, F.col("_len")).alias("_seg")))
+    n, k, m = F.col("_n"), F.col("_k"), F.col("_m")
+
+    def start(i):                       # first place of segment i of the source name
+        return F.floor(i * n / (k + 1)).cast("int")
+
+    def size(i):
+        return start(i + 1) - start(i)
+
+    def places(i):                      # where segment i can stand in a main name within k edits
+        low = F.greatest(F.lit(0), start(i) - i, start(i) + (m - n) - (k - i))
+        high = F.least(m - size(i), start(i) + i, start(i) + (m - n) + (k - i))
+        return low, high
+
+    L = (left.select(F.col(lkey).alias("_lk"), F.col(lblock).cast("string").alias("_b"), F.col(lname).alias("_ln"))
+         .filter(~_blank(F.col("_b")) & F.col("_ln").isNotNull() & (F.length("_ln") > 0)).distinct()
+         .withColumn("_n", F.length("_ln")).withColumn("_k", _max_edits(n, t)))
+    i = F.col("_i")
+    Lseg = (L.select("*", F.explode(F.sequence(F.lit(0), k)).alias("_i"))
+            .withColumn("_seg", F.substring("_ln", start(i) + 1, size(i))))
     lengths = L.select("_n").distinct()
 
-    R = (right.select(F.col(rkey).alias("_rk"), F.col(rblock).cast("string").alias("_b"),
-                      F.col(rname).alias("_rn"))
-         .filter(~_blank(F.col("_b")) & F.col("_rn").isNotNull())
+    R = (right.select(F.col(rkey).alias("_rk"), F.col(rblock).cast("string").alias("_b"), F.col(rname).alias("_rn"))
+         .filter(~_blank(F.col("_b")) & F.col("_rn").isNotNull()).distinct()
          .withColumn("_m", F.length("_rn")))
     # plausible source lengths n: |m - n| <= k(n); k(n) <= (1 - t) n bounds the range
-    lo = F.greatest(F.lit(1), F.floor(F.col("_m") / (2 - t)).cast("int") - 1)
-    hi = F.ceil(F.col("_m") / t).cast("int") + 1
+    lo = F.greatest(F.lit(1), F.floor(m / (2 - t)).cast("int") - 1)
+    hi = F.ceil(m / t).cast("int") + 1
     Rn = (R.select("*", F.explode(F.sequence(lo, hi)).alias("_n"))
-          .withColumn("_k", _max_edits(F.col("_n"), t))
-          .filter(F.abs(F.col("_m") - F.col("_n")) <= F.col("_k"))
+          .withColumn("_k", _max_edits(n, t))
+          .filter(F.abs(m - n) <= k)
           .join(lengths, "_n", "left_semi"))   # tiny in practice; AQE broadcasts it from its measured size
-    Rseg = (Rn.select("*", F.explode(F.sequence(F.lit(0), F.col("_k"))).alias("_i"))
-            .withColumn("_s", seg_start(F.col("_i"), F.col("_n"), F.col("_k")))
-            .withColumn("_len", seg_start(F.col("_i") + 1, F.col("_n"), F.col("_k")) - F.col("_s"))
-            .withColumn("_d", F.col("_m") - F.col("_n")))
-    p_lo = F.greatest(F.lit(0), F.col("_s") - F.col("_i"),
-                      F.col("_s") + F.col("_d") - (F.col("_k") - F.col("_i")))
-    p_hi = F.least(F.col("_m") - F.col("_len"), F.col("_s") + F.col("_i"),
-                   F.col("_s") + F.col("_d") + (F.col("_k") - F.col("_i")))
-    Rsub = (Rseg.withColumn("_plo", p_lo).withColumn("_phi", p_hi).filter(F.col("_plo") <= F.col("_phi"))
-            .select("_rk", "_b", "_n", "_i", "_rn",
-                    F.explode(F.sequence(F.col("_plo"), F.col("_phi"))).alias("_p"), "_len")
-            .select("_rk", "_b", "_n", "_i", F.substring("_rn", F.col("_p") + 1, F.col("_len")).alias("_seg")))
-    cand = Lseg.join(Rsub, ["_b", "_n", "_i", "_seg"]).select("_lk", "_rk", "_b").distinct()
-    pairs = (cand.join(L.select("_lk", "_b", "_ln", "_n", "_k"), ["_lk", "_b"])
-             .join(R.select("_rk", "_b", "_rn").distinct(), ["_rk", "_b"]))
+    low, high = places(i)
+    texts = F.array_distinct(F.transform(F.sequence(low, high), lambda p: F.substring(F.col("_rn"), p + 1, size(i))))
+    Rsub = (Rn.select("*", F.explode(F.sequence(F.lit(0), k)).alias("_i")).filter(low <= high)
+            .select("_rk", "_b", "_rn", "_m", "_n", "_i", F.explode(texts).alias("_seg")))
+
+    def common(j):                      # does segment j of the source name stand in the main name at one of its places
+        low, high = places(j)
+        window = F.substring(F.col("_rn"), low + 1, high - low + size(j))
+        return (low <= high) & (F.instr(window, F.substring(F.col("_ln"), start(j) + 1, size(j))) > 0)
+
     # bounded distance: stops once it exceeds k (-1); k bounds every passing pair
-    lev = F.expr("levenshtein(_ln, _rn, _k)")
-    score = F.lit(1.0) - F.try_divide(F.col("lev").cast("double"), F.col("_n").cast("double"))
-    return (pairs.withColumn("lev", lev).filter(F.col("lev") >= 0).withColumn("name_score", score)
-            .filter(F.col("name_score") >= F.lit(t)).drop("_n", "_k"))
+    found = (Lseg.join(Rsub, ["_b", "_n", "_i", "_seg"])
+             .withColumn("lev", F.expr("levenshtein(_ln, _rn, _k)")).filter(F.col("lev") >= 0)
+             .withColumn("name_score", F.lit(1.0) - F.try_divide(F.col("lev").cast("double"), n.cast("double")))
+             .filter(F.col("name_score") >= F.lit(t)))
+    first = F.get(F.filter(F.sequence(F.lit(0), k), common), F.lit(0))
+    return found.filter(first == i).select("_lk", "_rk", "_ln", "_rn", "_b", "lev", "name_score")
+
+
+def _addresses(profile: DataFrame, key: str, prefix: str) -> DataFrame:
+    """All addresses of an entity as one array per (key, tax id)."""
+    return profile.groupBy(F.col(key).alias(f"_{prefix}k"), F.col("tax_id").cast("string").alias("_b")).agg(
+        F.collect_set(F.struct("postal_code", "address")).alias(f"_{prefix}a"))
 
 
 def match_scores(src: DataFrame, main: DataFrame, key: str = "business_entity_id",
@@ -133,20 +148,18 @@ def match_scores(src: DataFrame, main: DataFrame, key: str = "business_entity_id
     postal_code``), blocked on the tax id.
 
     ``name_score`` as above; ``tax_score`` 1.0 (same non-blank tax id, which
-    blocking guarantees); ``address_score`` 1.0 when postcode and address are
-    equal, else 0.0.  Pairs below ``threshold`` on the name are not emitted.
+    blocking guarantees); ``address_score`` 1.0 when the two have an address
+    (with its postcode) in common, else 0.0.  Pairs below ``threshold`` on the
+    name are not emitted.
     """
     pairs = similar_pairs(src, main, key, key, "name", "name", "tax_id", "tax_id", threshold)
-    s = src.select(F.col(key).alias("_lk"), F.col("tax_id").alias("_b"), F.col("address").alias("_la"),
-                   F.col("postal_code").alias("_lp"))
-    m = main.select(F.col(key).alias("_rk"), F.col("tax_id").alias("_b"), F.col("address").alias("_ra"),
-                    F.col("postal_code").alias("_rp"))
-    j = pairs.join(s.dropDuplicates(["_lk", "_b"]), ["_lk", "_b"]).join(m.dropDuplicates(["_rk", "_b"]), ["_rk", "_b"])
-    addr_eq = F.coalesce((F.col("_lp") == F.col("_rp")) & (F.col("_la") == F.col("_ra")), F.lit(False))
+    j = pairs.join(_addresses(src, key, "l"), ["_lk", "_b"]).join(_addresses(main, key, "r"), ["_rk", "_b"])
+    same = F.coalesce(F.exists("_la", lambda a: F.exists("_ra", lambda b: (a["postal_code"] == b["postal_code"])
+                                                         & (a["address"] == b["address"]))), F.lit(False))
     return j.select(F.col("_lk").alias(f"src_{key}"), F.col("_rk").alias(f"main_{key}"),
                     F.col("_b").alias("tax_id"), F.col("_ln").alias("src_name"), F.col("_rn").alias("main_name"),
                     "name_score", F.lit(1.0).alias("tax_score"),
-                    F.when(addr_eq, 1.0).otherwise(0.0).alias("address_score"))
+                    F.when(same, 1.0).otherwise(0.0).alias("address_score"))
 
 
 def flag_duplicates(scores: DataFrame, threshold: float = NAME_THRESHOLD) -> DataFrame:
