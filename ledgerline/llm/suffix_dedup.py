@@ -130,7 +130,7 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _segment_rows(docs: DataFrame, length: int, gram: int, whole: bool) -> DataFrame:
     """One row per segment: its anchor; if ``whole`` also its document, place, count and content hash."""
-    schema = StructType.fromDDL("anchor long, content long, doc long, text_hash long, start long, count int"
+    schema = StructType.fromDDL("anchor long, content long, doc long, text_hash int, start long, count int"
                                 if whole else "anchor long")
     # a null id stays null in column doc
 
@@ -149,7 +149,8 @@ def _segment_rows(docs: DataFrame, length: int, gram: int, whole: bool) -> DataF
                         [pa.array(anchor), pa.array(content), part.column("doc").take(of),
                          part.column("text_hash").take(of), pa.array(start), pa.array(count.astype(np.int32))],
                         names=schema.names)
-    return docs.select(*(["doc", "text_hash"] if whole else []), "data").mapInArrow(run, schema)
+    data = text_of().cast("binary").alias("data")
+    return docs.select(*(["doc", "text_hash"] if whole else []), data).mapInArrow(run, schema)
 
 
 # -- deep-shallow sorting -----------------------------------------------------
@@ -333,13 +334,16 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     lists = wanted.groupBy("doc", "text_hash").agg(
         F.collect_list(F.struct("anchor", "start", "count")).alias("parts"))
     met = (docs.alias("d").join(lists.alias("l"), _same_doc("d", "l"))
-           .select("d.doc", "d.text_hash", "d.data", F.explode("l.parts").alias("p")))
-    body = F.substring(F.col("data"), F.col("p.start") + 1, F.col("p.count") + (length - 1))
+           .select("d.doc", "d.text_hash", "d.text", F.explode("l.parts").alias("p")))
+    body = F.substring(F.col("text").cast("binary"), F.col("p.start") + 1, F.col("p.count") + (length - 1))
     return met.select("p.anchor", "doc", "text_hash", "p.start", "p.count", body.alias("body"))
 
 
 def repeated_ranges(docs: DataFrame, length: int, gram: int, max_group: int, bucket_rows: int) -> DataFrame:
-    """(doc, text_hash, a, b): byte ranges covered by strings that start earlier elsewhere; they may overlap."""
+    """(doc, text_hash, a, b): byte ranges covered by strings that start earlier elsewhere; they may overlap.
+
+    ``docs`` has doc, text_hash and text.
+    """
     shared = written(_segment_rows(docs, length, gram, False).groupBy("anchor").agg(F.count("*").alias("n"))
                       .where("n > 1").select("anchor"), "suffix-anchors")
     found = written(_segment_rows(docs, length, gram, True).join(shared, "anchor", "left_semi"), "suffix-segments")
@@ -363,7 +367,7 @@ def repeated_ranges(docs: DataFrame, length: int, gram: int, max_group: int, buc
 
     sorted_ = (of(several.where(F.col("kinds") <= max_group))
                .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket")
-               .applyInArrow(search, "doc long, text_hash long, a long, b long"))
+               .applyInArrow(search, "doc long, text_hash int, a long, b long"))
     out = copies.unionByName(sorted_)
     if (most or 0) > max_group:
         crowd = written(of(several.where(F.col("kinds") > max_group)).select(
@@ -386,16 +390,21 @@ def dedup(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc
     """``docs`` with ``kept`` (binary: the remaining bytes) and ``removed`` (maximal byte ranges)."""
     if not 8 <= gram <= length < CHUNK:
         raise ValueError("8 <= gram <= length < 1 MiB")
-    t = text_of(text)
-    data = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(t).alias("text_hash"),
-                       t.cast("binary").alias("data"))
-    gone = (repeated_ranges(data, length, gram, max_group, bucket_rows).groupBy("doc", "text_hash")
-            .agg(F.collect_list(F.struct(F.col("a").alias("start"), F.col("b").alias("end"))).alias("removed")))
-    met = (docs.alias("d").join(
-        gone.withColumnsRenamed({"doc": "__doc", "text_hash": "__hash", "removed": "__removed"}).alias("g"),
-        F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("g.__doc"))
-        & (F.xxhash64(F.coalesce(F.col(f"d.{text}").cast("string"), F.lit(""))) == F.col("g.__hash")), "left")
-        .drop("__doc", "__hash"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_of(text)).alias("text_hash"),
+                       F.col(text).cast("string").alias("text"))
+    gone = (repeated_ranges(base, length, gram, max_group, bucket_rows).groupBy("doc", "text_hash")
+            .agg(F.collect_list(F.struct(F.col("a").alias("start"), F.col("b").alias("end"))).alias("__removed"))
+            .withColumnsRenamed({"doc": "__doc", "text_hash": "__hash"}))
+    types = dict(docs.dtypes)
+    if types == {id_col: "bigint", text: "string"}:
+        # the texts are dealt out as for the bodies of the segments, so one shuffle serves both joins
+        left, back = base, {"doc": id_col, "text": text}
+    else:
+        left = docs.withColumns({"__of": F.col(id_col).cast("long"), "__th": F.hash(text_of(text))})
+        back = {}
+    doc, text_hash = ("doc", "text_hash") if back else ("__of", "__th")
+    met = (left.join(gone, F.col(doc).eqNullSafe(F.col("__doc")) & (F.col(text_hash) == F.col("__hash")), "left")
+           .drop("__doc", "__hash", text_hash, *([] if back else [doc])).withColumnsRenamed(back))
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut_out(batch):
