@@ -27,41 +27,27 @@ from ledgerline.llm.common import BLANKS, let, text_of, words_of
 SYMBOLS = "#*$%&|<>"
 
 
-def n_words(text: Column) -> Column:
-    return F.size(words_of(text)).cast("long")
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, BLANKS, "")).cast("long")
-
-
-def n_symbols(text: Column) -> Column:
-    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
+@dataclass(frozen=True)
+class Parts:
+    """A text with its words, and its lines that hold a word."""
+    text: Column
+    words: Column
+    lines: Column
 
 
-def _worded_lines(text: Column) -> Column:
+def worded_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
 
 
-def n_lines(text: Column) -> Column:
-    return F.size(_worded_lines(text)).cast("long")
-
-
-def n_dup_lines(text: Column) -> Column:
-    """Lines with a word that equal an earlier line."""
-    return let(_worded_lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-
-
-def n_repeat_words(text: Column, width: int = 3) -> Column:
+def repeat_words(words: Column, width: int = 3) -> Column:
     """Words covered by ``width``-word windows that occur at least twice.
 
     Windows are hashed and sorted with their positions, so equal windows are
     neighbours: n log n in the length of a text, not its square.
     """
-    def windows(ws):
-        return F.transform(
-            F.sequence(F.lit(0), F.size(ws) - width),
-            lambda i: F.struct(F.xxhash64(*[F.get(ws, i + k) for k in range(width)]).alias("h"), i.alias("i")))
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size(words) - width),
+        lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(width)]).alias("h"), i.alias("i")))
 
     def starts(s):
         twice = F.filter(s, lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]))
@@ -71,25 +57,28 @@ def n_repeat_words(text: Column, width: int = 3) -> Column:
         steps = F.transform(p, lambda x, k: F.least(F.lit(width), F.coalesce(F.get(p, k + 1) - x, F.lit(width))))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    return let(words_of(text), lambda ws: F.when(
-        F.size(ws) > width, let(F.sort_array(windows(ws)), lambda s: let(starts(s), covered)))
-        .otherwise(F.lit(0).cast("long")))
+    return (F.when(F.size(words) > width, let(F.sort_array(windows), lambda s: let(starts(s), covered)))
+            .otherwise(F.lit(0).cast("long")))
 
 
-FEATURES: dict[str, Callable[[Column], Column]] = {
-    "n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_lines": n_lines,
-    "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words,
+FEATURES: dict[str, Callable[[Parts], Column]] = {
+    "n_words": lambda p: F.size(p.words).cast("long"),
+    "word_chars": lambda p: F.length(F.translate(p.text, BLANKS, "")).cast("long"),
+    "n_symbols": lambda p: (F.length(p.text) - F.length(F.translate(p.text, SYMBOLS, ""))).cast("long"),
+    "n_lines": lambda p: F.size(p.lines).cast("long"),
+    "n_dup_lines": lambda p: let(p.lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+    "n_repeat_words": lambda p: repeat_words(p.words),
 }
 
 
-class FromText:
-    """Statistics as expressions over the text; each rule pays for its own."""
+class FromParts:
+    """Statistics as expressions over a text's parts; each is computed where it is used."""
 
-    def __init__(self, text: Column):
-        self._text = text
+    def __init__(self, parts: Parts):
+        self._parts = parts
 
     def __getattr__(self, name: str) -> Column:
-        return FEATURES[name](self._text)
+        return FEATURES[name](self._parts)
 
 
 class FromColumns:
@@ -102,7 +91,7 @@ class FromColumns:
 @dataclass(frozen=True)
 class Rule:
     name: str
-    rejects: Callable[[FromText | FromColumns], Column]
+    rejects: Callable[[FromParts | FromColumns], Column]
 
 
 BASE_RULES = (
@@ -142,7 +131,7 @@ def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "te
     sample = docs.sparkSession.createDataFrame(drawn, "text string")
     out = []
     for r in rules:
-        probe = sample.agg(F.count_if(r.rejects(FromText(F.col("text")))).alias("n"))
+        probe = sample.agg(F.count_if(~keep_text(F.col("text"), [r])).alias("n"))
         took = []
         for _ in range(2):      # the first run also compiles
             began = time.monotonic()
@@ -152,7 +141,7 @@ def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "te
     return sorted(out, key=lambda c: -c.gain)
 
 
-def keep(stats: FromText | FromColumns, ordered: Sequence[Rule]) -> Column:
+def keep(stats: FromParts | FromColumns, ordered: Sequence[Rule]) -> Column:
     """True where no rule rejects; later rules run only on rows that got so far."""
     c = F
     for r in ordered:
@@ -160,13 +149,20 @@ def keep(stats: FromText | FromColumns, ordered: Sequence[Rule]) -> Column:
     return c.otherwise(F.lit(True)) if ordered else F.lit(True)
 
 
+def keep_text(text: Column, ordered: Sequence[Rule]) -> Column:
+    """:func:`keep` over a text that is split into words once."""
+    return let(words_of(text), lambda w: keep(FromParts(Parts(text, w, worded_lines(text))), ordered))
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """All statistics as columns (replacing columns of the same names)."""
     t = text_of(text)
-    return docs.withColumns({k: f(t) for k, f in FEATURES.items()})
+    stats = let(words_of(t), lambda w: let(worded_lines(t), lambda x: F.struct(
+        *[f(Parts(t, w, x)).alias(k) for k, f in FEATURES.items()])))
+    return docs.withColumn("__stats", stats).withColumns({k: F.col(f"__stats.{k}") for k in FEATURES}).drop("__stats")
 
 
 def quality_filter(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The documents that pass every rule, with the columns they came with."""
     order = [c.rule for c in plan_cascade(docs, rules, text)]
-    return docs.where(keep(FromText(text_of(text)), order))
+    return docs.where(keep_text(text_of(text), order))
