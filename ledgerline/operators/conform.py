@@ -117,7 +117,13 @@ def project(df: DataFrame, spec: OutputSpec, created_by: str = "ledgerline",
 
 
 def suffix(df: DataFrame, s: str = "_stg") -> DataFrame:
-    """Suffix every column once (already-suffixed names are left alone)."""
+    """Suffix every column once (already-suffixed names are left alone).
+
+    Raises where a column and its suffixed twin would get one name.
+    """
+    names = [(c if c.endswith(s) else c + s).lower() for c in df.columns]
+    if twice := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"two columns would be called {twice}")
     return df.select(*[F.col(f"`{c}`").alias(c if c.endswith(s) else c + s) for c in df.columns])
 
 

@@ -256,3 +256,8 @@ def load_files(files: Sequence[str], load_one: Callable[[str], None]) -> list[tu
         except Exception as e:  # recorded per file
             out.append((f, FAILED, f"{type(e).__name__}: {e}"))
     return out
+
+
+def job_log(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """The outcome of :func:`load_files` as a job-log frame (file_name, status, error)."""
+    return spark.createDataFrame(list(rows), "file_name string, status string, error string")

@@ -141,3 +141,26 @@ def test_latest_is_partial_aggregate(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") + plan.count("SortAggregate") + plan.count("ObjectHashAggregate") >= 2
     assert sorted(tuple(r) for r in out.collect()) == [(0, 99, 99), (1, 97, 97), (2, 98, 98)]
+
+
+def test_profile_keeps_every_address_and_scores_count_any(spark):
+    details = spark.createDataFrame([("e1", "Acme Trading"), ("e2", "Acme Tradinq")],
+                                    "business_entity_id string, business_entity_name string")
+    ids = spark.createDataFrame([("e1", "tax_id", "9"), ("e2", "tax_id", "9"), ("e1", "dba", "x")],
+                                "related_identifier string, identifier_type string, identifier_value string")
+    addr = spark.createDataFrame([("e1", "Dock 1", "P1"), ("e1", "Dock 2", "P2"), ("e2", "Dock 2", "P2")],
+                                 "related_identifier string, street_line_1 string, postal_code string")
+    prof = match.match_profile(details, ids, addr)
+    assert sorted((r.business_entity_id, r.address) for r in prof.collect()) == [
+        ("e1", "Dock 1"), ("e1", "Dock 2"), ("e2", "Dock 2")]
+    scores = match.match_scores(prof, prof).filter("src_business_entity_id <> main_business_entity_id").collect()
+    assert sorted((r.src_business_entity_id, r.main_business_entity_id, r.address_score) for r in scores) == [
+        ("e1", "e2", 1.0), ("e2", "e1", 1.0)]               # one row per pair, whatever the addresses
+
+
+def test_candidates_are_not_deduplicated(spark):
+    """Names full of repeated segments meet at many of them and are still emitted once, without a distinct of pairs."""
+    df = spark.createDataFrame([(i, "t", "ab" * 9 + str(i)) for i in range(6)], "k int, b string, name string")
+    pairs = match.similar_pairs(df, df, "k", "k", "name", "name", "b", "b", 0.8)
+    rows = [(r._lk, r._rk) for r in pairs.collect()]
+    assert len(rows) == len(set(rows)) == 36
