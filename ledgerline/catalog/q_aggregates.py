@@ -127,9 +127,9 @@ def quality_failed_twice(spark, d):
 
 
 @register("quality_missing_keys", """
-SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
+SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey * 2 FROM orders)""")
 def quality_missing_keys(spark, d):
-    o = table(spark, d, "orders").filter(F.col("o_orderstatus") == "O")
+    o = table(spark, d, "orders").select((F.col("o_custkey") * 2).alias("o_custkey"))
     return quality.missing_keys(table(spark, d, "customer"), o, "c_custkey", "o_custkey")
 
 

@@ -21,11 +21,11 @@ def _as_of():
 
 _UPSERT_SQL = f"""
 tgt AS (
-  SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
+  SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
     CASE WHEN c_acctbal > 0 THEN true WHEN c_acctbal < -500 THEN NULL ELSE false END AS is_active,
     'seed' AS created_by, 'seed' AS last_updated_by,
     TIMESTAMP '2024-01-01 00:00:00' AS last_updated_date
-  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
+  FROM customer),
 src AS (
   SELECT c_custkey, upper(c_name) AS c_name, CAST(c_acctbal + 1 AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
     CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_acctbal > 100 END AS is_active,
@@ -56,8 +56,10 @@ cls AS (
 
 def _upsert(spark, d):
     c = table(spark, d, "customer")
-    tgt = c.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
-        "c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"), "c_mktsegment",
+    # households are in the target under other keys, so their source rows find no partner
+    key = F.when(F.col("c_mktsegment") == "HOUSEHOLD", -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    tgt = c.select(
+        key.alias("c_custkey"), "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"), "c_mktsegment",
         F.when(F.col("c_acctbal") > 0, True).when(F.col("c_acctbal") < -500, None).otherwise(False)
          .alias("is_active"),
         F.lit("seed").alias("created_by"), F.lit("seed").alias("last_updated_by"),
@@ -109,10 +111,10 @@ def merge_upsert_rejects(spark, d):
 
 _SCD_SQL = f"""
 tgt AS (
-  SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
+  SELECT CASE WHEN o_orderpriority = '5-LOW' THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
     md5(concat_ws('-', COALESCE(o_orderstatus, '*~+'), COALESCE(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '*~+'))) AS md5_key,
     o_orderdate AS aud_ld_dts, CAST(NULL AS TIMESTAMP) AS aud_upd_dts
-  FROM orders WHERE o_orderpriority <> '5-LOW'),
+  FROM orders),
 src0 AS (
   SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
     CAST(o_totalprice AS DECIMAL(18,2)) AS total, o_orderdate AS aud_ld_dts, CAST(NULL AS TIMESTAMP) AS aud_upd_dts
@@ -131,8 +133,9 @@ cls AS (SELECT *, CASE WHEN sp AND tp AND s_md5 IS DISTINCT FROM t_md5 THEN 'upd
 def _scd(spark, d):
     o = table(spark, d, "orders")
     total = F.col("o_totalprice").cast("decimal(18,2)")
-    tgt = o.filter(F.col("o_orderpriority") != "5-LOW").select(
-        "o_orderkey", "o_orderstatus", total.alias("total"),
+    key = F.when(F.col("o_orderpriority") == "5-LOW", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    tgt = o.select(
+        key.alias("o_orderkey"), "o_orderstatus", total.alias("total"),
         change_hash(["o_orderstatus", total]).alias("md5_key"),
         F.col("o_orderdate").cast("timestamp").alias("aud_ld_dts"),
         F.lit(None).cast("timestamp").alias("aud_upd_dts"))
@@ -172,15 +175,16 @@ def merge_scd1_report(spark, d):
 # --- U8 update-only merge, U9 hard delete, U11 inactive rows --------------------------------
 
 @register("merge_update_only", """
-WITH s AS (SELECT p_partkey, CAST(p_retailprice + 10 AS DECIMAL(18,2)) AS price FROM part
-           WHERE p_size > 40 AND p_brand <> 'Brand#1')
+WITH s AS (SELECT p_partkey * 2 AS p_partkey, CAST(p_retailprice + 10 AS DECIMAL(18,2)) AS price FROM part
+           WHERE p_brand <> 'Brand#1')
 SELECT p.p_partkey, p.p_brand, COALESCE(s.price, CAST(p.p_retailprice AS DECIMAL(18,2))) AS price
 FROM part p LEFT JOIN s ON p.p_partkey = s.p_partkey""")
 def merge_update_only(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size",
                                        F.col("p_retailprice").cast("decimal(18,2)").alias("price"))
-    src = p.select("p_partkey", "p_brand", "p_size", (F.col("price") + 10).cast("decimal(18,2)").alias("price"))
-    out = merge.merge_update(src.filter(F.col("p_size") > 40), p, ["p_partkey"], ["price"],
+    src = p.select((F.col("p_partkey") * 2).alias("p_partkey"), "p_brand",
+                   (F.col("price") + 10).cast("decimal(18,2)").alias("price"))
+    out = merge.merge_update(src, p, ["p_partkey"], ["price"],
                              source_filter=F.col("p_brand") != "Brand#1")
     return out.select("p_partkey", "p_brand", "price")
 
@@ -188,11 +192,10 @@ def merge_update_only(spark, d):
 @register("merge_hard_delete", """
 SELECT c_custkey, c_mktsegment FROM customer c
 WHERE c_mktsegment <> 'BUILDING'
-   OR EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""")
+   OR EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey * 2 = c.c_custkey)""")
 def merge_hard_delete(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    src = table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT") \
-                                   .select(F.col("o_custkey").alias("c_custkey"))
+    src = table(spark, d, "orders").select((F.col("o_custkey") * 2).alias("c_custkey"))
     return merge.hard_delete(src, c, ["c_custkey"], scope=F.col("c_mktsegment") == "BUILDING")
 
 

@@ -91,17 +91,16 @@ def nested_explode_values(spark, d):
 
 @register("nested_combine", """
 WITH base AS (SELECT DISTINCT c_custkey FROM customer),
-seg AS (SELECT c_custkey, c_mktsegment AS segment FROM customer WHERE c_acctbal > 0),
-nat AS (SELECT c.c_custkey, n.n_name AS nation FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-        WHERE n.n_regionkey <> 0)
+seg AS (SELECT c_custkey * 2 AS c_custkey, c_mktsegment AS segment FROM customer),
+nat AS (SELECT c.c_custkey, n.n_name AS nation FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey + 2)
 SELECT DISTINCT b.c_custkey, seg.segment, nat.nation FROM base b
 LEFT JOIN seg ON b.c_custkey = seg.c_custkey LEFT JOIN nat ON b.c_custkey = nat.c_custkey
 WHERE (seg.segment IS NOT NULL AND seg.segment NOT IN ('', '[]', '{}'))
    OR (nat.nation IS NOT NULL AND nat.nation NOT IN ('', '[]', '{}'))""")
 def nested_combine(spark, d):
     c, n = table(spark, d, "customer"), table(spark, d, "nation")
-    seg = c.filter(F.col("c_acctbal") > 0).select("c_custkey", F.col("c_mktsegment").alias("segment"))
-    nat = c.join(n.filter(F.col("n_regionkey") != 0), c.c_nationkey == n.n_nationkey) \
+    seg = c.select((F.col("c_custkey") * 2).alias("c_custkey"), F.col("c_mktsegment").alias("segment"))
+    nat = c.join(n, c.c_nationkey == n.n_nationkey + 2) \
            .select("c_custkey", F.col("n_name").alias("nation"))
     return nested.combine(c, {"segment": seg, "nation": nat}, "c_custkey")
 

@@ -57,8 +57,9 @@ def sql_scalar_subquery(spark, d):
 # --- V5 / U12-U14: config-driven loads -----------------------------------------------------
 
 def _hub_customer(spark, d):
-    c = table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
-    return c.select("c_custkey", "c_name", "c_mktsegment",
+    c = table(spark, d, "customer")
+    key = F.when(F.col("c_mktsegment") == "HOUSEHOLD", -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    return c.select(key.alias("c_custkey"), "c_name", "c_mktsegment",
                     change_hash(["c_name", "c_mktsegment"]).alias("md5_key"),
                     F.lit("2024-01-01 00:00:00").cast("timestamp").alias("AUD_LD_DTS"),
                     F.lit(None).cast("timestamp").alias("AUD_UPD_DTS"))
@@ -79,10 +80,10 @@ def _scd1_cfg(d):
 
 
 _SCD1_LOAD_SQL = f"""
-tgt AS (SELECT c_custkey, c_name, c_mktsegment,
+tgt AS (SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name, c_mktsegment,
           md5(concat_ws('-', COALESCE(c_name, '*~+'), COALESCE(c_mktsegment, '*~+'))) AS md5_key,
           TIMESTAMP '2024-01-01 00:00:00' AS ld, CAST(NULL AS TIMESTAMP) AS upd
-        FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
+        FROM customer),
 src AS (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS c_name, c_mktsegment
         FROM customer WHERE c_acctbal > -500),
 src2 AS (SELECT *, md5(concat_ws('-', COALESCE(c_name, '*~+'), COALESCE(c_mktsegment, '*~+'))) AS md5_key FROM src),
