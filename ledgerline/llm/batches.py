@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 4 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it.
+
+    Where it is installed on the executors, or passed with ``--py-files``,
+    this changes nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def slices(batch: pa.RecordBatch, column: str, budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of at most ``budget`` bytes of ``column`` (one row at least)."""
     if not batch.num_rows:
@@ -35,6 +49,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array
     ``SLICE_BYTES`` of ``column`` at a time (or one longer row), which bounds a
     worker's memory whatever the batch size.
     """
+    importable(df.sparkSession)
     new = StructType.fromDDL(add)
     made = {n.lower() for n in new.names}
     keep = [f.name for f in df.schema.fields if f.name.lower() not in made]

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.batches import map_batches, texts
+from ledgerline.llm.batches import importable, map_batches, texts
 from ledgerline.llm.common import cut
 from ledgerline.llm.components import components
 
@@ -190,6 +190,7 @@ def find_links(nodes: DataFrame, max_bits: int, shard: int = 2048, max_shard: in
     """(a, b): links spanning the components of the distinct fingerprints ``nodes`` (column fp)."""
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits is 0, 1 or 2: dense shards are solved by one-bit neighbours")
+    importable(nodes.sparkSession)
     rows = nodes.count()
     drawn = nodes.orderBy(F.xxhash64("fp")).limit(sample_size).collect() if rows > shard else []
     levels = plan_tree(np.array([r["fp"] for r in drawn], dtype=np.int64), rows, shard, max_bits)

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.batches import map_batches, slices
+from ledgerline.llm.batches import importable, map_batches, slices
 from ledgerline.llm.common import text_of, written
 
 CHUNK = 1 << 20
@@ -150,6 +150,7 @@ def _segment_rows(docs: DataFrame, length: int, gram: int, whole: bool) -> DataF
                          part.column("text_hash").take(of), pa.array(start), pa.array(count.astype(np.int32))],
                         names=schema.names)
     data = text_of().cast("binary").alias("data")
+    importable(docs.sparkSession)
     return docs.select(*(["doc", "text_hash"] if whole else []), data).mapInArrow(run, schema)
 
 
