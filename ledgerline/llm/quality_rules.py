@@ -42,12 +42,12 @@ def worded_lines(text: Column) -> Column:
 def repeat_words(words: Column, width: int = 3) -> Column:
     """Words covered by ``width``-word windows that occur at least twice.
 
-    Windows are hashed and sorted with their positions, so equal windows are
-    neighbours: n log n in the length of a text, not its square.
+    Windows are hashed; where all hashes differ nothing repeats.  Otherwise
+    they are sorted with their positions, so equal windows are neighbours:
+    n log n in the length of a text, not its square.
     """
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size(words) - width),
-        lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(width)]).alias("h"), i.alias("i")))
+    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - width),
+                         lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
 
     def starts(s):
         twice = F.filter(s, lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]))
@@ -57,8 +57,13 @@ def repeat_words(words: Column, width: int = 3) -> Column:
         steps = F.transform(p, lambda x, k: F.least(F.lit(width), F.coalesce(F.get(p, k + 1) - x, F.lit(width))))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    return (F.when(F.size(words) > width, let(F.sort_array(windows), lambda s: let(starts(s), covered)))
-            .otherwise(F.lit(0).cast("long")))
+    def repeated(h):
+        places = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return let(places, lambda s: let(starts(s), covered))
+
+    none = F.lit(0).cast("long")
+    return F.when(F.size(words) > width, let(hashes, lambda h: F.when(
+        F.size(F.array_distinct(h)) == F.size(h), none).otherwise(repeated(h)))).otherwise(none)
 
 
 FEATURES: dict[str, Callable[[Parts], Column]] = {
