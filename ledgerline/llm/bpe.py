@@ -38,7 +38,7 @@ from ledgerline.llm.batches import map_batches, ragged, texts
 MAX_VOCABULARY_BYTES = 64 << 20
 NO_RANK = np.int32(2**31 - 1)
 LONG = 128
-KEPT_PIECES = 100_000       # a worker's table of pieces is emptied beyond this
+KEPT_PIECES = 200_000       # a worker's table of pieces is emptied beyond this
 KEPT_PIECE_CHARS = 64
 
 _EMPTY = np.uint64(2**64 - 1)
@@ -88,6 +88,17 @@ class PairTable:
         return out.reshape(left.shape)
 
 
+class Pieces(dict):
+    """Ids of known pieces; the long ones of the batch at hand stand aside and are not kept."""
+
+    def __init__(self):
+        super().__init__()
+        self.long: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.long[piece]
+
+
 class Codec:
     """One vocabulary: pieces to ids, ids to bytes."""
 
@@ -111,18 +122,17 @@ class Codec:
         self._pairs = PairTable(np.array(left, dtype=np.int64), np.array(right, dtype=np.int64),
                                 np.array(rank, dtype=np.int32))
         self._split = regex.compile(pattern).findall
-        self._known: dict[str, bytes] = {}
+        self._known = Pieces()
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """For each text its ids, packed as little-endian unsigned 32-bit integers."""
         pieces = [self._split(t) for t in batch]
         known = self._known
         new = set().union(*pieces).difference(known)
-        long = {}
+        known.long = {}
         for p, ids in zip(new, self._encode_pieces([p.encode() for p in new])):
-            (known if len(p) <= KEPT_PIECE_CHARS else long)[p] = ids
-        get = known.__getitem__ if not long else lambda p: long[p] if p in long else known[p]
-        out = [b"".join(map(get, p)) for p in pieces]
+            (known if len(p) <= KEPT_PIECE_CHARS else known.long)[p] = ids
+        out = [b"".join(map(known.__getitem__, p)) for p in pieces]
         if len(known) > KEPT_PIECES:
             known.clear()
         return out
