@@ -29,7 +29,7 @@ strings by their bytes.
 
 Defined cases: a null text is empty; rows with equal id and text are one
 document and get the same result, each of them; rows with equal id and
-different texts are ordered by a hash of the text; a null id comes last; texts
+different texts are told apart and ordered by a 64-bit hash of the text; a null id comes last; texts
 shorter than ``length`` bytes lose nothing; an empty table gives an empty
 table; extra columns are passed through.
 """
@@ -130,7 +130,7 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _segment_rows(docs: DataFrame, length: int, gram: int, whole: bool) -> DataFrame:
     """One row per segment: its anchor; if ``whole`` also its document, place, count and content hash."""
-    schema = StructType.fromDDL("anchor long, content long, doc long, text_hash int, start long, count int"
+    schema = StructType.fromDDL("anchor long, content long, doc long, text_hash long, start long, count int"
                                 if whole else "anchor long")
     # a null id stays null in column doc
 
@@ -368,7 +368,7 @@ def repeated_ranges(docs: DataFrame, length: int, gram: int, max_group: int, buc
 
     sorted_ = (of(several.where(F.col("kinds") <= max_group))
                .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket")
-               .applyInArrow(search, "doc long, text_hash int, a long, b long"))
+               .applyInArrow(search, "doc long, text_hash long, a long, b long"))
     out = copies.unionByName(sorted_)
     if (most or 0) > max_group:
         crowd = written(of(several.where(F.col("kinds") > max_group)).select(
@@ -391,7 +391,7 @@ def dedup(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc
     """``docs`` with ``kept`` (binary: the remaining bytes) and ``removed`` (maximal byte ranges)."""
     if not 8 <= gram <= length < CHUNK:
         raise ValueError("8 <= gram <= length < 1 MiB")
-    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_of(text)).alias("text_hash"),
+    base = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_of(text)).alias("text_hash"),
                        F.col(text).cast("string").alias("text"))
     gone = (repeated_ranges(base, length, gram, max_group, bucket_rows).groupBy("doc", "text_hash")
             .agg(F.collect_list(F.struct(F.col("a").alias("start"), F.col("b").alias("end"))).alias("__removed"))
@@ -401,7 +401,7 @@ def dedup(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc
         # the texts are dealt out as for the bodies of the segments, so one shuffle serves both joins
         left, back = base, {"doc": id_col, "text": text}
     else:
-        left = docs.withColumns({"__of": F.col(id_col).cast("long"), "__th": F.hash(text_of(text))})
+        left = docs.withColumns({"__of": F.col(id_col).cast("long"), "__th": F.xxhash64(text_of(text))})
         back = {}
     doc, text_hash = ("doc", "text_hash") if back else ("__of", "__th")
     met = (left.join(gone, F.col(doc).eqNullSafe(F.col("__doc")) & (F.col(text_hash) == F.col("__hash")), "left")

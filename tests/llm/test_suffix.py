@@ -79,3 +79,14 @@ def test_odd_rows(spark, odd, none):
         ((k, t) for k, t in rows if k in (6, 7, 10)), key=lambda x: x[0])], 100)
     assert all(rows[(k, t)] == {want[k][0]} for k, t in rows if k in (6, 7, 10))
     assert q.dedup(none).count() == 0
+
+
+def test_texts_of_one_id_are_told_apart(spark, none):
+    from pyspark.sql import functions as F
+    shared = "the shared passage " * 8
+    quoting, own = f"{shared}36523", " ".join(f"own{k}" for k in range(40)) + " 204831"
+    docs = spark.createDataFrame([(1, shared, "s"), (None, quoting, "s"), (None, own, "s")], none.schema)
+    hashes = docs.where("doc_id IS NULL").select(F.hash("text"))
+    assert hashes.distinct().count() == 1          # equal by 32 bits
+    got = {r["text"]: bytes(r["kept"]).decode() for r in q.dedup(docs).collect()}
+    assert got[own] == own and len(got[quoting]) < 100
