@@ -11,6 +11,9 @@ compared by a 128-bit hash of their lines.  Of equal runs the first (least
 doc_id, then place) stays and all lines of the later ones are deleted, so
 overlapping runs join to longer ones.
 
+With ``passage_words``, runs of fewer lines that have so many words together
+count as well: each is its own fingerprint.
+
 No pairs of places are made: every group of equal runs is reduced to its first
 place by partial aggregation, and joined back to its members.
 
@@ -27,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BLANKS, aside, cut, let, text_of
+from ledgerline.llm.common import BLANK_RUN, BLANKS, aside, cut, let, text_of
 
 # a line break before a line that is not blank
 BREAK = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
@@ -37,17 +40,22 @@ def lines_of(text: Column) -> Column:
     return F.split(text, BREAK, -1)
 
 
-def _hashes(lines: Column) -> Column:
-    """Two independent 64-bit hashes of each line."""
+def _hashes(lines: Column, words: bool) -> Column:
+    """Two independent 64-bit hashes of each line; its number of words where asked for."""
     def both(line: Column) -> Column:
         bare = F.btrim(line, F.lit(BLANKS))
-        return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit("line"), bare).alias("b"))
+        count = [F.when(bare == "", 0).otherwise(F.size(F.split(bare, BLANK_RUN))).alias("words")] if words else []
+        return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit("line"), bare).alias("b"), *count)
     return F.transform(lines, both)
 
 
-def runs_of(text: Column, gram: int, window: int) -> Column:
-    """All runs of ``gram + window - 1`` lines: start, hash (a, b), and the fingerprint chosen within (fp, at)."""
+def runs_of(text: Column, gram: int, window: int, passage_words: int | None = None) -> Column:
+    """All runs of ``gram + window - 1`` lines: start, lines, hash (a, b), and the fingerprint chosen within (fp, at).
+
+    With ``passage_words`` also the runs of fewer lines that reach so many words.
+    """
     size = gram + window - 1
+    none = F.expr("CAST(array() AS array<struct<start:int,lines:int,fp:bigint,at:int,a:bigint,b:bigint>>)")
 
     def with_grams(h: Column) -> Column:
         grams = F.transform(F.sequence(F.lit(0), F.size(h) - gram),
@@ -56,20 +64,40 @@ def runs_of(text: Column, gram: int, window: int) -> Column:
 
         def run(g: Column, i: Column) -> Column:
             least = F.least(*[F.get(g, i + k) for k in range(window)]) if window > 1 else F.get(g, i)
-            return F.struct(i.alias("start"), least["fp"].alias("fp"), (-least["back"]).alias("at"),
+            return F.struct(i.alias("start"), F.lit(size).alias("lines"), least["fp"].alias("fp"),
+                            (-least["back"]).alias("at"),
                             F.xxhash64(*[F.get(h, i + k)["a"] for k in range(size)]).alias("a"),
                             F.xxhash64(*[F.get(h, i + k)["b"] for k in range(size)]).alias("b"))
         return let(grams, lambda g: F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: run(g, i)))
 
-    return let(_hashes(lines_of(text)), lambda h: F.when(F.size(h) >= size, with_grams(h)))
+    def passages(h: Column, n: int) -> Column:
+        def run(i: Column) -> Column:
+            a = F.xxhash64(F.lit("passage"), *[F.get(h, i + k)["a"] for k in range(n)])
+            return F.struct(i.alias("start"), F.lit(n).alias("lines"), a.alias("fp"), i.alias("at"), a.alias("a"),
+                            F.xxhash64(F.lit("passage"), *[F.get(h, i + k)["b"] for k in range(n)]).alias("b"))
+
+        def enough(i: Column) -> Column:
+            return sum((F.get(h, i + k)["words"] for k in range(1, n)), F.get(h, i)["words"]) >= passage_words
+        places = F.filter(F.sequence(F.lit(0), F.size(h) - n), enough)
+        return F.when(F.size(h) >= n, F.transform(places, run)).otherwise(none)
 
+    def runs(h: Column) -> Column:
+        whole = F.when(F.size(h) >= size, with_grams(h))
+        if passage_words is None:
+            return whole
+        return F.concat(F.coalesce(whole, none), *[passages(h, n) for n in range(1, size)])
 
-def repeated_runs(docs: DataFrame, gram: int, window: int, id_col: str, text: str) -> DataFrame:
-    """(id, text_hash, start) of every run that also occurs earlier."""
+    return let(_hashes(lines_of(text), passage_words is not None), runs)
+
+
+def repeated_runs(docs: DataFrame, gram: int, window: int, id_col: str, text: str,
+                  passage_words: int | None = None) -> DataFrame:
+    """(id, text_hash, start, lines) of every run that also occurs earlier."""
     t = text_of(text)
     place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "start")
     runs = cut(docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("text_hash"),
-                           F.explode(runs_of(t, gram, window)).alias("r")).select("id", "text_hash", "r.*"))
+                           F.explode(runs_of(t, gram, window, passage_words)).alias("r"))
+               .select("id", "text_hash", "r.*"))
     spot = F.struct("id", "text_hash", "at")
     shared = (runs.groupBy("fp").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
               .where(~F.col("first").eqNullSafe(F.col("last"))).select("fp"))
@@ -77,40 +105,40 @@ def repeated_runs(docs: DataFrame, gram: int, window: int, id_col: str, text: st
     first = (near.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where(~F.col("first").eqNullSafe(F.col("last"))).select("a", "b", "first"))
     return (near.join(first, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
-            .select("id", "text_hash", "start"))
+            .select("id", "text_hash", "start", "lines"))
 
 
-def dedup(docs: DataFrame, gram: int = 2, window: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, gram: int = 2, window: int = 2, id_col: str = "doc_id", text: str = "text",
+          passage_words: int | None = None) -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``, and n_lines, n_removed, n_runs."""
-    if gram < 1 or window < 1:
-        raise ValueError("gram and window are at least 1")
-    size = gram + window - 1
-    later = (repeated_runs(docs, gram, window, id_col, text).groupBy("id", "text_hash")
-             .agg(F.sort_array(F.collect_set("start")).alias("__starts"))
+    if gram < 1 or window < 1 or (passage_words is not None and passage_words < 1):
+        raise ValueError("gram, window and passage_words are at least 1")
+    later = (repeated_runs(docs, gram, window, id_col, text, passage_words).groupBy("id", "text_hash")
+             .agg(F.collect_set(F.struct("start", "lines")).alias("__runs"))
              .withColumnsRenamed({"id": "__id", "text_hash": "__hash"}))
     joined = docs.join(later, F.col(id_col).eqNullSafe(F.col("__id"))
                        & (F.xxhash64(text_of(text)) == F.col("__hash")), "left")
-    starts = F.coalesce("__starts", F.expr("CAST(array() AS array<int>)"))
-    gone = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (size - 1)))))
-    heads = F.size(F.filter(starts, lambda s, k: F.coalesce(s - F.get(starts, k - 1) > size, F.lit(True))))
+    gone = F.sort_array(F.array_distinct(F.flatten(F.transform(
+        "__runs", lambda r: F.sequence(r["start"], r["start"] + r["lines"] - 1)))))
+    heads = let(gone, lambda g: F.size(F.filter(g, lambda i, k: F.coalesce(i - F.get(g, k - 1) > 1, F.lit(True)))))
 
     def rest(lines: Column) -> Column:
         keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         return F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
 
-    whole = F.col("__starts").isNull()
+    whole = F.col("__runs").isNull()
     t = text_of(text)
     return joined.withColumns({
         "n_lines": F.size(lines_of(t)).cast("long"),
         "n_removed": F.when(whole, 0).otherwise(F.size(gone)).cast("long"),
         "n_runs": F.when(whole, 0).otherwise(heads).cast("long"),
-        text: F.when(whole, F.col(text)).otherwise(let(lines_of(t), rest))}).drop("__id", "__hash", "__starts")
+        text: F.when(whole, F.col(text)).otherwise(let(lines_of(t), rest))}).drop("__id", "__hash", "__runs")
 
 
 def drop_repeats(docs: DataFrame, gram: int = 2, window: int = 2, id_col: str = "doc_id",
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", passage_words: int | None = None) -> DataFrame:
     """``docs`` with repeated runs deleted; documents of which nothing but blanks is left are dropped."""
     docs, back = aside(docs, ["n_lines", "n_removed", "n_runs"])
-    done = dedup(docs, gram, window, id_col, text)
+    done = dedup(docs, gram, window, id_col, text, passage_words)
     return (done.where((F.col("n_removed") == 0) | (F.btrim(F.col(text), F.lit(BLANKS)) != ""))
             .select(*docs.columns).withColumnsRenamed(back))

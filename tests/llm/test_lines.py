@@ -67,3 +67,15 @@ def test_odd_rows(spark, odd, none):
     assert q.dedup(none).count() == 0
     with pytest.raises(ValueError):
         q.dedup(odd, gram=0)
+
+
+def test_passages_of_fewer_lines(spark, none):
+    words = lambda p, n: " ".join(f"{p}{k}" for k in range(n))
+    long, half, rest, short = words("l", 60), words("h", 30), words("r", 30), words("s", 9)
+    texts = [f"{long}\none\n{half}\n{rest}\ntwo\n{short}", long, f"three\n {long} \nfour", f"{half}\n{rest}\nfive",
+             f"{half}\nsix\n{rest}", f"{short}\nseven\n{half}", f"{long}\n{long}\n{words('n', 60)}"]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], none.schema).repartition(3)
+    got = {r["doc_id"]: (r["n_removed"], r["n_runs"], r["text"]) for r in q.dedup(docs, passage_words=50).collect()}
+    assert got == {0: (0, 0, texts[0]), 1: (1, 1, ""), 2: (1, 1, "three\nfour"), 3: (2, 1, "five"), 4: (0, 0, texts[4]),
+                   5: (0, 0, texts[5]), 6: (2, 1, words("n", 60))}
+    assert {r["n_removed"] for r in q.dedup(docs).collect()} == {0}
