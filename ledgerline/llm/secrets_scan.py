@@ -29,6 +29,10 @@ from ledgerline.llm.common import cut, let, text_of
 _ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?"
            r"([A-Za-z0-9+/_.=-]+)")
 
+_KEY = r"[A-Z0-9 ]{0,40}PRIVATE KEY-----"
+_BODY = r"[^-]*+(?:-(?!----)[^-]*+)*+"                      # all up to five dashes
+_BODY_CUT = r"(?:\s++[A-Za-z0-9+/=]{40,}+)*+"               # of a key without its END line; empty if only named
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -45,10 +49,10 @@ BASE = (
     Kind("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+"),      # whole runs; shorter runs would be dropped anyway
 )
 ADDED = (
-    Kind("private_key", r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"),
+    Kind("private_key", rf"-----BEGIN {_KEY}({_BODY}(?=-----END {_KEY})|{_BODY_CUT})(?:-----END {_KEY})?+", 1, 0),
     Kind("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}+"),
     Kind("web_token", r"eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
-    Kind("url_login", r"(?<![a-z])[a-z]{2,12}+://[^\s:/@]{1,64}+:([^\s:/@]{3,128}+)@", 1),
+    Kind("url_login", r"(?<![a-z])[a-z]{2,12}+://[^\s:/@]++:([^\s:/@]{3,}+)@", 1),
 )
 KINDS = BASE + ADDED
 PLACEHOLDER = r"(?i)example|changeme|dummy|sample|placeholder|xxxx|your[_-]?|12345"

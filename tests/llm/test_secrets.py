@@ -48,3 +48,34 @@ def test_ownership_parts_examples_from_live(spark, none):
 
 def test_odd_rows(odd, none):
     assert s.scan(odd).count() == odd.count() and s.scan(none).count() == 0
+
+
+def pem(body, end=True):
+    return f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n" + "-----END RSA PRIVATE KEY-----" * end
+
+
+def test_private_keys_are_told_apart_by_their_bodies(spark, none):
+    import base64
+    import random
+    rng = random.Random(7)
+    body = lambda: "\n".join(base64.b64encode(rng.randbytes(48)).decode() for _ in range(25))
+    own, shared = [body() for _ in range(6)], body()
+    keys = [pem(b) for b in own] + [pem(own[0], end=False)] + [pem(shared)] * 3
+    texts = [f"a {k} b" for k in keys] + ["only -----BEGIN RSA PRIVATE KEY----- is named", pem("x - " * 200_000)]
+    rows = [(k, t, f"src{k}") for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in s.scan(spark.createDataFrame(rows, none.schema)).collect()}
+    spans = {k: [x for x in r["spans"] if x["kind"] == "private_key"] for k, r in got.items()}
+    for k in range(10):
+        assert texts[k][spans[k][0]["start"]:spans[k][0]["end"]].strip() == keys[k].strip()
+    assert len({spans[k][0]["h1"] for k in range(6)}) == 6 and len({spans[k][0]["h1"] for k in (7, 8, 9)}) == 1
+    assert [(got[k]["n_live"], got[k]["n_example"]) for k in range(10)] == [(1, 0)] * 7 + [(0, 1)] * 3
+    assert spans[10][0]["end"] - spans[10][0]["start"] == 31 and got[10]["n_live"] == 0
+    assert spans[11][0]["end"] == len(texts[11])
+
+
+def test_long_logins(spark, none):
+    texts = [f"see https://{'u' * 90}:{HEX * n}@host/" for n in (1, 5, 500)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    for r in s.scan(spark.createDataFrame(rows, none.schema)).collect():
+        t = texts[r["doc_id"]]
+        assert [(x["start"], x["end"]) for x in r["spans"] if x["kind"] == "url_login"] == [(4, t.index("@") + 1)]
