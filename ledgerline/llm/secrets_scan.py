@@ -2,8 +2,8 @@
 
 Patterns find candidate spans in each text.  Every candidate value is hashed,
 and over the whole corpus the distinct owners and repositories of each hash
-are counted: a value that many owners hold is a copied example, a value of one
-or two owners that looks random is taken for live.  The count groups by (hash,
+are counted: a value that many owners or very many repositories hold is a
+copied example, any other that looks random is taken for live.  The count groups by (hash,
 owner, repository) first, then (hash, owner), then hash, with partial sums at
 each step, so a value that a third of all rows hold is counted on many tasks.
 
@@ -103,12 +103,13 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id",
-         common_owners: int = 3, classify: Callable[[Column], Column] = looks_random) -> DataFrame:
-    """One row per row of ``docs``: id, spans (with hashes), n_live, n_example.
+         common_owners: int = 3, classify: Callable[[Column], Column] = looks_random,
+         common_repos: int = 10) -> DataFrame:
+    """One row per row of ``docs``: id, spans (with hashes, n_owners and n_repos), n_live, n_example.
 
-    A value held by ``common_owners`` owners or more is an example; else, if
-    ``classify`` finds it random, it is live.  Values themselves are not
-    returned.
+    A value held by ``common_owners`` owners or by ``common_repos``
+    repositories, or more, is an example; else, if ``classify`` finds it
+    random, it is live.  Values themselves are not returned.
     """
     t = text_of(text)
     hashed = F.transform("spans", lambda s: F.struct(
@@ -118,15 +119,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str
     rows = cut(docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("text_hash"), F.col(owner).alias("owner"),
                            F.col(repo).alias("repo"), find(t).alias("spans"))
                .withColumn("spans", hashed))
-    each = rows.select("id", "text_hash", "owner", "repo", F.explode("spans").alias("s")).select(
-        "id", "text_hash", "owner", "repo", "s.*")
+    each = rows.select("id", "text_hash", "owner", "repo", F.posexplode("spans").alias("nth", "s")).select(
+        "id", "text_hash", "owner", "repo", "nth", "s.*")
     counts = ownership(each)
-    judged = (each.groupBy("id", "text_hash", "kind", "start", "h1", "h2").agg(F.max("random").alias("random"))
+    judged = (each.groupBy("id", "text_hash", "nth", "h1", "h2").agg(F.max("random").alias("random"))
               .join(counts, ["h1", "h2"]))
-    example = F.col("n_owners") >= common_owners
+    example = (F.col("n_owners") >= common_owners) | (F.col("n_repos") >= common_repos)
     verdict = judged.groupBy("id", "text_hash").agg(
-        F.count_if(~example & F.col("random")).alias("n_live"), F.count_if(example).alias("n_example"))
+        F.count_if(~example & F.col("random")).alias("n_live"), F.count_if(example).alias("n_example"),
+        F.sort_array(F.collect_list(F.struct("nth", "n_owners", "n_repos"))).alias("__held"))
+
+    def counted(s: Column, nth: Column) -> Column:
+        held = F.get("__held", nth)
+        return s.withField("n_owners", held["n_owners"]).withField("n_repos", held["n_repos"])
+
     v = verdict.withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
     return (rows.join(v, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
-            .select(F.col("id").alias(id_col), "spans", F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
+            .select(F.col("id").alias(id_col), F.transform("spans", counted).alias("spans"),
+                    F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
                     F.coalesce("n_example", F.lit(0).cast("long")).alias("n_example")))

@@ -79,3 +79,14 @@ def test_long_logins(spark, none):
     for r in s.scan(spark.createDataFrame(rows, none.schema)).collect():
         t = texts[r["doc_id"]]
         assert [(x["start"], x["end"]) for x in r["spans"] if x["kind"] == "url_login"] == [(4, t.index("@") + 1)]
+
+
+def test_repositories_count_besides_owners(spark, none):
+    other, few = HEX[::-1], HEX[20:] + HEX[:20]
+    rows = [(k, f"x {other} and {few if k < 9 else 'none'} y", "mine") for k in range(10)]
+    rows += [(k, f"z {HEX}", f"owner{k % 2}") for k in range(20, 23)] + [(30, "nothing", "mine")]
+    got = {r["doc_id"]: r for r in s.scan(spark.createDataFrame(rows * 2, none.schema)).collect()}
+    assert [(got[k]["n_live"], got[k]["n_example"]) for k in range(10)] == [(1, 1)] * 9 + [(0, 1)]
+    held = lambda k: [(x["n_owners"], x["n_repos"]) for x in got[k]["spans"]]
+    assert held(0) == [(1, 10), (1, 9)] and held(9) == [(1, 10)] and held(20) == [(2, 3)] and held(30) == []
+    assert [(got[k]["n_live"], got[k]["n_example"]) for k in (20, 30)] == [(1, 0), (0, 0)]
