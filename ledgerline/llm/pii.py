@@ -34,6 +34,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_LENGTH = {code: n for n, codes in {      # of the IBAN registry
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
+_IBAN_REST = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(_IBAN_LENGTH.values())}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 
@@ -70,6 +77,18 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(free, at + 1))
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping numbers: as long as the country says, whatever follows; other codes as far as they go."""
+    head = _IBAN_HEAD.search(text)
+    while head:
+        n = _IBAN_LENGTH.get(head[0][:2])
+        m = _IBAN_REST[n].match(text, head.end()) if n else _IBAN.match(text, head.start())
+        found = m and mod97(text[head.start():m.end()])
+        if found:
+            yield head.start(), m.end()
+        head = _IBAN_HEAD.search(text, m.end() if found else head.end())
+
+
 def matches(pattern: re.Pattern) -> Callable[[str], Iterator[tuple[int, int]]]:
     return lambda text: (m.span() for m in pattern.finditer(text))
 
@@ -109,7 +128,7 @@ BASE = (
          _near("phone", "tel", "call", "mobile", "fax")),
 )
 ADDED = (
-    Kind("iban", matches(_IBAN), mod97, 0.7, _near("iban", "account", "bank", "konto", "cuenta", "compte")),
+    Kind("iban", ibans, mod97, 0.7, _near("iban", "account", "bank", "konto", "cuenta", "compte")),
     Kind("ssn", matches(_SSN), _ssn_ranges, 0.4, _near("ssn", "social security", "social")),
 )
 CONTEXT_GAIN = 0.3

@@ -73,3 +73,13 @@ def test_odd_rows(spark, odd, none):
     assert pii.detect(none).count() == 0
     one = spark.createDataFrame([(1, "write a@b.cd or +1 234 567 8901", "s")], none.schema)
     assert pii.redact(one).first()["text"] == "write [EMAIL] or [PHONE]"
+
+
+def test_iban_before_other_words():
+    from ledgerline.llm import pii
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    for text, want in [
+            (f"{de} BIC COBADEFFXXX", [de]), (f"{de.replace(' ', '')} EUR 500", [de.replace(" ", "")]),
+            (f"{gb} I think", [gb]), (f"{no} {de} {gb} X", [no, de, gb]), (f"AB12 {de} 7", [de]), (de, [de]),
+            (f"{de}9", []), (f"{de}x", []), (f"x{de}", []), (de[:-1], []), (de.replace("89", "88"), [])]:
+        assert [s[4] for s in pii.find(text) if s[0] == "iban"] == want, text
