@@ -49,3 +49,20 @@ def test_extra_columns_and_empty_table(spark):
     df = spark.createDataFrame(ROWS, TURNS).withColumns({c: F.lit(1) for c in ("speaker", "piece", "mask", "content")})
     assert chat.rotate(df).count() == len(brute(ROWS))
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_pieces_by_rows_are_bounded(spark):
+    from collections import defaultdict
+    rows = [(None, k % 3 if k % 2 else None, "ab"[k % 2], f"t{k % 90}") for k in range(200)] + [(None, None, "a", "same")] * 60
+    rows += [(1, k, "a", "x" * 5000 if k == 4 else "y" * 400) for k in range(20)] + [(2, 700, "a", "late")]
+    df = spark.createDataFrame(rows, TURNS).repartition(5)
+    got = defaultdict(list)
+    for r in chat.rotate(df, piece_turns=8, by_rows=True, piece_chars=2000).collect():
+        assert r["n_turns"] <= 8 and r["text"].rstrip().rfind("\n<|im_start|>") < 2000 + 8 * 50
+        got[r["conv_id"], r["perspective"]].append((r["piece"], r["text"], r["n_turns"]))
+    want = brute(rows, 10**9)
+    assert len(got) == len(want) == 4
+    for (conv, me, _), (text, _) in want.items():
+        pieces = sorted(got[conv, me])
+        assert "".join(p[1] for p in pieces) == text and len({p[0] for p in pieces}) == len(pieces)
+    assert sum(p[2] for p in got[None, "a"]) == 260
