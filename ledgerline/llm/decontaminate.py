@@ -8,8 +8,10 @@ window hashes.  A hit is verified by comparing the word numbers themselves.
 
 Only the benchmark is broadcast.  Its size is measured first: beyond
 ``max_words`` words it is cut into shards of items, and the documents pass
-once by every shard, each broadcast in its turn; the hits of all passes are
-merged row by row, so there is no shuffle at any size.
+once by every shard, each broadcast in its turn: the rows are checkpointed
+between the passes, a pass a job that runs when called, and the broadcast is
+dropped.  The hits of all passes are merged row by row, so there is no shuffle
+at any size.
 
 Defined cases: a null text has no words; null or empty benchmark texts have no
 windows; an item without an id marks words but is not listed; equal item ids
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.batches import map_batches, texts
-from ledgerline.llm.common import aside, lower_ascii, text_of
+from ledgerline.llm.common import aside, cut, lower_ascii, text_of
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")      # on lower-cased UTF-8: digits, a-z, all beyond ASCII
 _COMMON = np.uint64(0x9E3779B97F4A7C15)
@@ -119,7 +121,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str
     """``docs`` with n_words, hit_ranges (word numbers, end exclusive) and hit_items (sorted)."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     sc = docs.sparkSession.sparkContext
-    for turn, part in enumerate(_shards(benchmark, item, item_text, max_words)):
+    shards = _shards(benchmark, item, item_text, max_words)
+    for turn, part in enumerate(shards):
         index = sc.broadcast(WindowIndex([(r["item"], r["text"]) for r in part.collect()], width))
 
         def run(batch, index=index, turn=turn):
@@ -136,6 +139,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str
                     "hit_items": pa.array(items, pa.list_(pa.string()))}
 
         docs = map_batches(docs, run, ADD, text)
+        if turn + 1 < len(shards):       # one index at a time: this one is done before the next is built
+            docs = cut(docs)
+            index.destroy()
     return docs
 
 

@@ -53,3 +53,23 @@ def test_drop_and_cut(spark, odd, none):
     assert d.decontaminate(none, bench, mode="cut").count() == 0
     with pytest.raises(ValueError):
         d.decontaminate(docs, bench, mode="other")
+
+
+def test_one_shard_is_broadcast_at_a_time(spark, none, monkeypatch):
+    from pyspark import SparkContext
+    live, most = [], []
+
+    def broadcast(self, value, own=SparkContext.broadcast):
+        b = own(self, value)
+        live.append(b)
+        most.append(len(live))
+        destroy = b.destroy
+        b.destroy = lambda *a: (live.remove(b), destroy(*a))
+        return b
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(TEXTS)], none.schema)
+    found = d.find_leaks(docs, spark.createDataFrame(ITEMS, ITEM), max_words=5)
+    assert len(most) > 4 and max(most) == 1
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    for r in found.collect():
+        assert r["hit_items"] == brute(r["text"], ITEMS)[2]
