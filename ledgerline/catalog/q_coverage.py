@@ -195,13 +195,19 @@ def load_files_log(spark, d):
         "file_name", "status", (F.col("error") != "").alias("has_error"), F.coalesce("n", F.lit(0).cast("long")).alias("n_loaded"))
 
 
+# A config table is small; a longer one is not a config table.
+MAX_CONFIG_ROWS = 10_000
+
+
 @register("quality_missing_parameters", """
 SELECT n_name AS src_tbl, n_regionkey <> 0 AS accepted FROM nation""")
 def quality_missing_parameters(spark, d):
     """Config rows, one per nation; those of region 0 name no target table."""
     rows = table(spark, d, "nation").select(
         F.lit("erp").alias("src_system"), F.col("n_name").alias("src_tbl"), F.lit("overwrite").alias("load_strategy"),
-        F.when(F.col("n_regionkey") != 0, "hub.t").alias("tgt_tbl")).limit(100).collect()   # a config table is small
+        F.when(F.col("n_regionkey") != 0, "hub.t").alias("tgt_tbl")).limit(MAX_CONFIG_ROWS + 1).collect()
+    if len(rows) > MAX_CONFIG_ROWS:
+        raise ValueError(f"a config table has at most {MAX_CONFIG_ROWS} rows")
 
     def accepted(row):
         try:

@@ -244,3 +244,15 @@ def test_stock_ledger_flags_negative(spark):
     assert [(r.rental_id, r.movement, r.stock, r.below_zero) for r in led] == [
         (1, "rent", 1, False), (2, "rent", -2, True), (2, "return", 1, False),
         (1, "return", 5, False), (4, "rent", 3, False)]
+
+
+def test_missing_parameters_reads_every_config_row(spark, monkeypatch, tmp_path):
+    import pytest
+    from ledgerline.catalog import q_coverage as q
+    spark.range(250).selectExpr("id AS n_nationkey", "concat('n', id) AS n_name", "id % 5 AS n_regionkey").write.parquet(
+        str(tmp_path / "nation.parquet"))
+    rows = q.quality_missing_parameters(spark, str(tmp_path)).collect()
+    assert len(rows) == 250 and sum(r["accepted"] for r in rows) == 200
+    monkeypatch.setattr(q, "MAX_CONFIG_ROWS", 249)
+    with pytest.raises(ValueError):
+        q.quality_missing_parameters(spark, str(tmp_path))
