@@ -24,13 +24,14 @@ COLUMNS = {
     "op7": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
     "op8": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
     "op10": {"doc_id", "fingerprint", "component_id"},
+    "op11": {"word", "form", "root", "n", "n_near", "form_n"},
     "op13": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
 }
 
 
 def test_one_query_per_operator():
     numbers = [n.split("_")[0] for n in QUERIES]
-    assert sorted(numbers, key=lambda n: int(n[2:])) == [f"op{k}" for k in (*range(1, 11), 13)]
+    assert sorted(numbers, key=lambda n: int(n[2:])) == [f"op{k}" for k in (*range(1, 12), 13)]
     assert set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
 
 
@@ -46,7 +47,7 @@ def test_query(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
     rows = [tuple(r) for r in df.collect()]
-    source = {"op5": "pages", "op9": None, "op13": "embeddings"}.get(number, "documents")
+    source = {"op5": "pages", "op9": None, "op11": None, "op13": "embeddings"}.get(number, "documents")
     if source:
         assert len(rows) == spark.read.parquet(f"{SF}/{source}.parquet").count()
     if name in ORACLES:
