@@ -25,13 +25,14 @@ COLUMNS = {
     "op8": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
     "op10": {"doc_id", "fingerprint", "component_id"},
     "op11": {"word", "form", "root", "n", "n_near", "form_n"},
+    "op12": {"doc_id", "n_shingles", "component_id"},
     "op13": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
 }
 
 
 def test_one_query_per_operator():
     numbers = [n.split("_")[0] for n in QUERIES]
-    assert sorted(numbers, key=lambda n: int(n[2:])) == [f"op{k}" for k in (*range(1, 12), 13)]
+    assert sorted(numbers, key=lambda n: int(n[2:])) == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
 
 
