@@ -29,5 +29,5 @@ def load_all() -> None:
     # import for side effect: each module registers its queries
     from ledgerline.catalog import (  # noqa: F401
         q_sources, q_columns, q_joins, q_aggregates, q_nested, q_staging,
-        q_staging_run, q_coverage, q_merge, q_match, q_billing, q_streaming, q_sql,
+        q_staging_run, q_coverage, q_merge, q_match, q_billing, q_streaming, q_sql, q_loads,
     )

@@ -6,6 +6,7 @@ thing read to the driver here; the data itself is touched by one ``select``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -142,3 +143,39 @@ def common_columns(src: DataFrame, tgt: DataFrame) -> list[str]:
     """Source columns that exist in the target, case-insensitively, in source order."""
     t = {c.lower() for c in tgt.columns}
     return [c for c in src.columns if c.lower() in t]
+
+
+@dataclass(frozen=True)
+class Alignment:
+    """How a source and a target schema fit (names as the target spells them).
+
+    ``common`` columns are loaded from the source, ``target_only`` columns
+    keep their value, ``added`` columns are new in the target.
+    """
+    common: tuple
+    target_only: tuple
+    added: tuple
+
+
+def align(source: DataFrame, target: DataFrame, evolve: StructType | Mapping[str, DataType | str] | str | None = None
+          ) -> tuple[DataFrame, DataFrame, Alignment]:
+    """A source and a target made to fit by their common columns.
+
+    Names match in any letter case; the source takes the target's spelling and
+    types.  ``evolve`` (a schema, its DDL, or ``{name: type}``) declares columns
+    that the target gets where it lacks them, NULL in its old rows.  Source
+    columns that the target neither has nor gets are left out.
+    """
+    twice = sorted(n for n, k in Counter(c.lower() for c in source.columns).items() if k > 1)
+    if twice:
+        raise ValueError(f"source columns differ only in letter case: {twice}")
+    if isinstance(evolve, str):
+        evolve = StructType.fromDDL(evolve)
+    if isinstance(evolve, StructType):
+        evolve = {f.name: f.dataType for f in evolve.fields}
+    wide = ensure_columns(target, evolve or {})
+    given = {c.lower(): c for c in source.columns}
+    common = tuple(c for c in wide.columns if c.lower() in given)
+    aligned = source.select(*[F.col(f"`{given[c.lower()]}`").cast(wide.schema[c].dataType).alias(c) for c in common])
+    return aligned, wide, Alignment(common, tuple(c for c in target.columns if c not in common),
+                                    tuple(wide.columns[len(target.columns):]))

@@ -19,20 +19,22 @@ def _c(c) -> Column:
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-           tiebreak: Sequence[str] = ()) -> DataFrame:
+           tiebreak: Sequence[str] = (), count_as: str | None = None) -> DataFrame:
     """A5/W-1: one row per key, the greatest by ``order`` then ``tiebreak``.
 
     ``order`` columns are compared descending (greatest wins), NULLs lowest.
     Ties on all order and tie-break columns are broken by the full row
-    (deterministic).  Output has the input's columns.
+    (deterministic).  Output has the input's columns, and with ``count_as``
+    the number of rows of the key, counted by the same aggregate.
     """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     ords = [_c(o).alias(f"_o{i}") for i, o in enumerate(order)]
     tbs = [F.col(t).alias(f"_t{i}") for i, t in enumerate(tiebreak)]
     best = F.max(F.struct(*ords, *tbs, *[F.col(f"`{c}`") for c in payload])).alias("_best")
-    agg = df.groupBy(*keys).agg(best)
-    return agg.select(*keys, *[F.col(f"_best.`{c}`").alias(c) for c in payload])
+    agg = df.groupBy(*keys).agg(best, F.count(F.lit(1)).alias("_rows"))
+    many = [F.col("_rows").alias(count_as)] if count_as else []
+    return agg.select(*keys, *[F.col(f"_best.`{c}`").alias(c) for c in payload], *many)
 
 
 def latest_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

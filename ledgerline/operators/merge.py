@@ -19,9 +19,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerline.operators.conform import align
 from ledgerline.operators.dedupe import latest
 
 # Outcomes of a classification.
@@ -30,6 +31,8 @@ REJECT_UPDATE_UNMATCHED = "reject_update_unmatched"
 REJECT_INSERT_MATCHED = "reject_insert_matched"
 REJECT_FLAG = "reject_unknown_flag"
 SUPERSEDED = "superseded"
+# Helper column: source rows that share the key of the one that is merged.
+ROWS = "_source_rows"
 # Load flags.
 FLAG_UPDATE, FLAG_INSERT = "U", "I"
 # Audit columns of the main tables.
@@ -45,6 +48,24 @@ class MergeResult:
     target: DataFrame
     rejects: DataFrame
     report: DataFrame
+    columns: Sequence[Column] = ()
+
+    def observed(self, seen: Observation, drop_untouched: bool = False) -> DataFrame:
+        """A4: the target, counting on its way.
+
+        The action that writes the frame fills ``seen`` with ``source`` (source
+        rows, superseded ones included) and the rows by outcome, so no other
+        pass counts them.  ``drop_untouched`` leaves out the target rows in the
+        merge's scope that no source row matched (U9 with the source as the list
+        of what still exists).
+        """
+        o, own = F.col("outcome"), F.col("_s").isNotNull()
+        counted = self.classified.observe(
+            seen, F.sum(F.when(own, F.col("s_" + ROWS))).alias("source"),
+            *[F.count_if(o == k).alias(k) for k in (UPDATE, INSERT, UNCHANGED, UNTOUCHED)])
+        if drop_untouched:
+            counted = counted.filter((o != UNTOUCHED) | ~F.col("_in"))
+        return counted.select(*self.columns)
 
 
 def now_ms() -> Column:
@@ -71,12 +92,13 @@ def _outer(s: DataFrame, t: DataFrame, cond: Column) -> DataFrame:
     return t.join(s, cond, "left").select(*alone.columns).unionByName(alone)
 
 
-def _counted(src: DataFrame, keys: Sequence[str], report: DataFrame) -> DataFrame:
-    """``report`` with the source rows that a later row of the same key replaced, so
-    that the outcomes add up to the source rows."""
-    extra = src.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.sum("n").alias("n"))
-    lost = extra.where("n > 0").select(F.lit(SUPERSEDED).alias("outcome"), "n")
-    return report.unionByName(lost)
+def _report(j: DataFrame) -> DataFrame:
+    """Source rows by outcome; those that a later row of the same key replaced are
+    ``superseded``, so the outcomes add up to the source rows."""
+    n = j.filter(F.col("_s").isNotNull()).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("s_" + ROWS) - 1).alias("more"))
+    both = F.array(F.struct("outcome", "n"), F.struct(F.lit(SUPERSEDED).alias("outcome"), F.col("more").alias("n")))
+    return n.select(F.inline(both)).groupBy("outcome").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def _dedupe_source(src: DataFrame, keys: Sequence[str], on_duplicates: str,
@@ -86,14 +108,14 @@ def _dedupe_source(src: DataFrame, keys: Sequence[str], on_duplicates: str,
             order = [CREATED_DATE] if CREATED_DATE in src.columns else []
         if not order:
             raise ValueError("on_duplicates='latest' needs an order column")
-        return latest(src, keys, order)
+        return latest(src, keys, order, count_as=ROWS)
     if on_duplicates == "raise":
         dup = src.groupBy(*keys).count().filter("count > 1").limit(1).count()
         if dup:
             raise ValueError("duplicate source keys")
-        return src
+        return src.withColumn(ROWS, F.lit(1).cast("long"))
     if on_duplicates == "keep":
-        return src
+        return src.withColumn(ROWS, F.lit(1).cast("long"))
     raise ValueError(f"unknown on_duplicates {on_duplicates!r}")
 
 
@@ -122,9 +144,9 @@ def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str],
     src = source
     if mapping:
         src = src.select(*[F.col(f"`{c}`").alias(mapping.get(c, c)) for c in src.columns])
-    given = src
     src = _dedupe_source(src, keys, on_duplicates, order)
     s = _prefixed(src, "s_", "_s")
+    src = src.drop(ROWS)
     t = _prefixed(target, "t_", "_t")
     j = _outer(s, t, _null_safe(keys, "s_", "t_"))
 
@@ -165,10 +187,7 @@ def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str],
         *[new_value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
     rejects = j.filter(o.startswith("reject")).select(
         *[F.col("s_" + c).alias(c) for c in src.columns], o.alias("reject_reason"))
-    report = j.filter(sp).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-    if on_duplicates == "latest":
-        report = _counted(given, keys, report)
-    return MergeResult(j, new_target, rejects, report)
+    return MergeResult(j, new_target, rejects, _report(j))
 
 
 def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str,
@@ -177,9 +196,13 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
                as_of: Column | None = None, ignore_older: bool = False,
                on_duplicates: str = "latest",
                order: Sequence[Column | str] | None = None,
-               guard_col: str | None = None) -> MergeResult:
+               guard_col: str | None = None, evolve=None) -> MergeResult:
     """SCD type 1 merge on business keys with a change fingerprint.
 
+    Source and target are aligned by their common columns (:func:`align`): an
+    update changes those, columns that only the target has keep their values,
+    and columns declared in ``evolve`` are added to the target.
+
     Source and target rows outside their filters do not take part (target
     rows outside ``tgt_filter`` are kept as they are).  Matched rows whose
     ``hash_col`` differs are replaced by the source row (``upd_col`` stamped
@@ -190,29 +213,45 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
     change), and a newer row with an equal hash moves the stored guard on, so
     that a change dated between the two is still late.  Use a source-time
     column as the guard when ``upd_col`` is stamped with the load time.
+
+    Of several source rows with one key the latest by ``order`` counts (by
+    default ``upd_col``, then ``ld_col``, as far as the source has them); rows
+    that this does not tell apart are compared column by column, so a source
+    without any time column loads too, with its greatest row.
     """
     as_of = as_of if as_of is not None else now_ms()
     src = source if src_filter is None else source.filter(src_filter)
-    given = src
-    if on_duplicates != "keep":
-        if order is None and upd_col and upd_col in src.columns:
-            order = [F.coalesce(F.col(upd_col), F.col(ld_col)) if ld_col else F.col(upd_col)]
-        src = _dedupe_source(src, keys, on_duplicates, order)
-
+    have = {c.lower(): c for c in src.columns}
+    if missing := [c for c in (*keys, hash_col) if c.lower() not in have]:
+        raise ValueError(f"the source lacks the columns {missing}")
+    own_keys = [have[k.lower()] for k in keys]
+    if on_duplicates == "latest":
+        if order is None:
+            times = [F.col(c) for c in (upd_col, ld_col) if c and c.lower() in have]
+            order = [F.coalesce(*times)] if times else []
+        src = latest(src, own_keys, order, count_as=ROWS)
+    else:
+        src = _dedupe_source(src, own_keys, on_duplicates, order)
+    src, target, _ = align(src, target.withColumn(ROWS, F.lit(None).cast("long")), evolve)
     s = _prefixed(src, "s_", "_s")
+    src, target = src.drop(ROWS), target.drop(ROWS)
+    spelled = {c.lower(): c for c in target.columns}
+    upd_col, ld_col = spelled.get((upd_col or "").lower()), spelled.get((ld_col or "").lower())
     if tgt_filter is None:
         inside, outside = target, None
     else:
         scope = F.coalesce(F.expr(tgt_filter) if isinstance(tgt_filter, str) else tgt_filter, F.lit(False))
         inside, outside = target.filter(scope), target.filter(~scope)
-    j = _outer(s, _prefixed(inside, "t_", "_t"), _null_safe(keys, "s_", "t_"))
+    j = _outer(s, _prefixed(inside, "t_", "_t"), _null_safe(keys, "s_", "t_")).withColumn("_in", F.lit(True))
     if outside is not None:
-        rest = _prefixed(outside, "t_", "_t")
+        rest = _prefixed(outside, "t_", "_t").withColumn("_in", F.lit(False))
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in s.schema.fields]
         j = j.unionByName(rest.select("*", *empty))
     sp, tp = F.col("_s").isNotNull(), F.col("_t").isNotNull()
     changed = ~F.col("s_" + hash_col).eqNullSafe(F.col("t_" + hash_col))
-    guard = (guard_col or upd_col) if ignore_older else None
+    guard = spelled.get((guard_col or upd_col or "").lower()) if ignore_older else None
+    if ignore_older and guard not in src.columns:
+        raise ValueError("ignore_older needs a guard column that source and target have")
     newer = F.coalesce(F.col("s_" + guard) >= F.col("t_" + guard), F.lit(True)) if guard else F.lit(True)
     outcome = (F.when(sp & tp & changed & newer, F.lit(UPDATE))
                .when(sp & tp, F.lit(UNCHANGED))
@@ -224,7 +263,7 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
 
     def new_value(c: str) -> Column:
         tv = F.col("t_" + c)
-        sv = F.col("s_" + c) if c in scols else F.lit(None)
+        sv = F.col("s_" + c) if c in scols else F.when(o == UPDATE, tv)       # only the target has it: kept
         if c == upd_col:
             return F.when(o == UPDATE, as_of).when(o == INSERT, F.lit(None)).otherwise(tv)
         if c == ld_col:
@@ -233,13 +272,10 @@ def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_c
             return F.when(o.isin(UPDATE, INSERT), sv).when((o == UNCHANGED) & newer, F.coalesce(sv, tv)).otherwise(tv)
         return F.when(o.isin(UPDATE, INSERT), sv).otherwise(tv)
 
-    new_target = j.select(*[new_value(c).cast(target.schema[c].dataType).alias(c)
-                            for c in target.columns])
+    columns = [new_value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    new_target = j.select(*columns)
     rejects = j.filter(F.lit(False)).select(*[F.col("s_" + c).alias(c) for c in src.columns])
-    report = j.filter(sp).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-    if on_duplicates == "latest":
-        report = _counted(given, keys, report)
-    return MergeResult(j, new_target, rejects, report)
+    return MergeResult(j, new_target, rejects, _report(j), columns)
 
 
 def merge_update(source: DataFrame, target: DataFrame, on: Sequence[str], columns: Sequence[str],

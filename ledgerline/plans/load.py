@@ -19,19 +19,22 @@ statements (a naive ``;`` split breaks on quoted semicolons).
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.operators import merge
-from ledgerline.session import checkpoint_dir
+from ledgerline.operators.conform import align, ensure_columns
 from ledgerline.sources.io import overwrite_load, overwrite_where
 
 # Load strategies and audit statuses.
 SCD1, OVERWRITE, TRUNCATE, MERGE = "SCD1", "OVERWRITE", "TRUNCATE", "MERGE"
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
+OBSERVED_WITHIN = 5       # seconds after a write in which Spark reports what it observed
 
 
 @dataclass(frozen=True)
@@ -54,6 +57,8 @@ class LoadConfig:
     ld_col: str = "AUD_LD_DTS"
     delete_sql: str | None = None          # all keys that still exist, for the hard delete
     delete_filter: str | None = None       # target rows the hard delete looks at (default: tgt_filter)
+    order_cols: tuple = ()                 # of source rows with one key the latest by these counts (default: the stamps)
+    evolve: str | None = None              # DDL of columns that the target gets where it lacks them
     extra: dict = field(default_factory=dict)
 
     def validate(self) -> "LoadConfig":
@@ -102,7 +107,7 @@ CONFIG_COLUMNS = {
 
 
 def config_from_row(row: Mapping[str, object], hash_col: str | None = None, full_load: bool = False,
-                    **extra) -> LoadConfig:
+                    order_cols: Sequence[str] = (), evolve: str | None = None, **extra) -> LoadConfig:
     """A load from one row of the config table (blank values count as absent).
 
     Flags are ``Y``/``N``; filters may carry the aliases ``tgt.``, ``src.`` or
@@ -131,7 +136,8 @@ def config_from_row(row: Mapping[str, object], hash_col: str | None = None, full
         hash_col=hash_col, source_sql=value("source_sql"), incremental_sql=value("incremental_sql"),
         full_load=full_load, hard_delete=flag("hard_delete"), src_filter=condition("src_filter"),
         tgt_filter=condition("tgt_filter"), delete_sql=value("delete_sql"), delete_filter=condition("delete_filter"),
-        pre_sql=hook("pre_sql"), post_sql=hook("post_sql"), extra=extra).validate()
+        pre_sql=hook("pre_sql"), post_sql=hook("post_sql"), order_cols=tuple(order_cols), evolve=evolve,
+        extra=extra).validate()
 
 
 def run_hooks(spark: SparkSession, statements: Sequence[str]) -> None:
@@ -141,11 +147,48 @@ def run_hooks(spark: SparkSession, statements: Sequence[str]) -> None:
             spark.sql(s)
 
 
-@dataclass
 class LoadResult:
-    target: DataFrame
-    audit: DataFrame
-    operation: str
+    """A configured load as frames: ``target`` is the new target, ``operation`` its kind.
+
+    The source rows are counted by the pass that produces ``target`` (Spark
+    observes them on their way), so nothing is read a second time to count it.
+    ``save`` runs the load; ``counts`` and ``audit`` tell of it afterwards.
+    """
+
+    def __init__(self, target: DataFrame, operation: str, seen: Observation, note: Callable[..., DataFrame]):
+        self.target, self.operation = target, operation
+        self._seen, self._note, self._done, self._found = seen, note, False, {}
+
+    def save(self, write: Callable[[DataFrame], None]) -> None:
+        write(self.target)
+        self._done = True
+
+    @property
+    def counts(self) -> dict[str, int]:
+        """``source`` rows, and for a merge the rows by outcome.
+
+        Runs the load into the no-op sink where nobody has saved it, or where
+        the writer has not run the frame it was given (nothing is observed
+        then, and waiting for it would never end).
+        """
+        def wait():
+            self._found.update({k: v or 0 for k, v in self._seen.get.items()})
+
+        if not self._found:
+            run = lambda: self.save(lambda df: df.write.format("noop").mode("overwrite").save())
+            if not self._done:
+                run()
+            waiting = threading.Thread(target=wait, daemon=True)
+            waiting.start()
+            waiting.join(OBSERVED_WITHIN)
+            if waiting.is_alive():
+                run()
+                waiting.join()
+        return self._found
+
+    @property
+    def audit(self) -> DataFrame:
+        return self._note(self.counts["source"])
 
 
 def audit_row(spark: SparkSession, cfg: LoadConfig, status: str, operation: str | None,
@@ -164,8 +207,10 @@ def audit_row(spark: SparkSession, cfg: LoadConfig, status: str, operation: str
 
 def run_load(spark: SparkSession, cfg: LoadConfig, target: DataFrame, source: DataFrame | None = None,
              batch_id: int = 0, as_of: Column | None = None, delete_source: DataFrame | None = None) -> LoadResult:
-    """One configured load as frames; returns the new target and its audit row.
+    """One configured load as frames; see :class:`LoadResult`.
 
+    Source and target are aligned by their common columns: a column that the
+    source lacks keeps its value in updated rows and is NULL in new ones.
     ``source`` and ``delete_source`` override ``source_sql`` and
     ``delete_sql`` (used when the caller already holds the frames).  A full
     source also serves as the list of keys that still exist; an incremental
@@ -177,6 +222,17 @@ def run_load(spark: SparkSession, cfg: LoadConfig, target: DataFrame, source: Da
     return _load(spark, cfg, target, source, batch_id, as_of, delete_source)
 
 
+def _fresh(src: DataFrame, target: DataFrame, cfg: LoadConfig, as_of: Column) -> DataFrame:
+    """Source rows in the target's columns, those that the source lacks NULL, with the stamps of a first load."""
+    rows, _, _ = align(src, target)
+    return overwrite_load(ensure_columns(rows, target.schema), as_of, cfg.ld_col, cfg.upd_col).select(*target.columns)
+
+
+def _gone(cfg: LoadConfig) -> bool:
+    """Whether the merge itself tells which rows to delete: those in its scope that no source row matched."""
+    return not cfg.src_filter and (cfg.delete_filter or cfg.tgt_filter) == cfg.tgt_filter
+
+
 def _load(spark, cfg, target, source, batch_id, as_of, delete_source) -> LoadResult:
     cfg.validate()
     run_hooks(spark, cfg.pre_sql)
@@ -184,33 +240,34 @@ def _load(spark, cfg, target, source, batch_id, as_of, delete_source) -> LoadRes
     src = given.filter(cfg.src_filter) if cfg.src_filter else given
     ts = as_of if as_of is not None else merge.now_ms()
     strategy = cfg.strategy
-    fresh = lambda: overwrite_load(
-        src.select(*[c for c in target.columns if c in src.columns]), ts, cfg.ld_col, cfg.upd_col).select(*target.columns)
-    if strategy == OVERWRITE:
-        new = fresh() if not cfg.tgt_filter else overwrite_where(fresh(), target, cfg.tgt_filter)
-        op = "WRITE" if cfg.tgt_filter else "CREATE OR REPLACE TABLE AS SELECT"
-    elif strategy == TRUNCATE or (cfg.full_load and cfg.hard_delete):
+    seen = Observation()
+    op = "MERGE"
+    if strategy in (OVERWRITE, TRUNCATE) or (cfg.full_load and cfg.hard_delete):
         # the rows in scope go, every source row comes in, whatever keys they share
-        new = overwrite_where(fresh(), target, cfg.tgt_filter) if cfg.tgt_filter else fresh()
-        op = "MERGE"
+        wide = ensure_columns(target, StructType.fromDDL(cfg.evolve)) if cfg.evolve else target
+        new = _fresh(src.observe(seen, F.count(F.lit(1)).alias("source")), wide, cfg, ts)
+        if cfg.tgt_filter:
+            new = overwrite_where(new, wide, cfg.tgt_filter)
+        if strategy == OVERWRITE:
+            op = "WRITE" if cfg.tgt_filter else "CREATE OR REPLACE TABLE AS SELECT"
     else:
-        if cfg.hash_col:
-            res = merge.scd1_merge(src, target, list(cfg.merge_keys), cfg.hash_col, tgt_filter=cfg.tgt_filter,
-                                   upd_col=cfg.upd_col, ld_col=cfg.ld_col, as_of=ts)
-        else:
-            res = merge.scd1_merge(src.withColumn("_h", F.lit(1)), target.withColumn("_h", F.lit(0)),
-                                   list(cfg.merge_keys), "_h", tgt_filter=cfg.tgt_filter,
-                                   upd_col=cfg.upd_col, ld_col=cfg.ld_col, as_of=ts)
-        new = res.target.select(*target.columns)
-        if cfg.hard_delete and strategy == SCD1:
-            there = delete_source
-            if there is None:
-                there = spark.sql(cfg.delete_sql) if cfg.delete_sql else given
-            new = merge.hard_delete(there, new, list(cfg.merge_keys), scope=cfg.delete_filter or cfg.tgt_filter)
-        op = "MERGE"
-    cnt = src.agg(F.count(F.lit(1))).scalar()
-    audit = audit_row(spark, cfg, COMPLETED, op, cnt, batch_id, cfg.tgt_filter, ts)
-    return LoadResult(new, audit, op)
+        mark = cfg.hash_col or "_h"                # without a fingerprint every matched row is updated
+        both = (src, target) if cfg.hash_col else (src.withColumn(mark, F.lit(1)), target.withColumn(mark, F.lit(0)))
+        res = merge.scd1_merge(*both, list(cfg.merge_keys), mark, tgt_filter=cfg.tgt_filter, upd_col=cfg.upd_col,
+                               ld_col=cfg.ld_col, as_of=ts, order=list(cfg.order_cols) or None, evolve=cfg.evolve)
+        there = delete_source
+        if cfg.hard_delete and strategy == SCD1 and there is None and cfg.delete_sql:
+            there = spark.sql(cfg.delete_sql)
+        drop = cfg.hard_delete and strategy == SCD1
+        within = drop and there is None and _gone(cfg)
+        new = res.observed(seen, drop_untouched=within).drop(*([] if cfg.hash_col else [mark]))
+        if drop and not within:
+            new = merge.hard_delete(there if there is not None else given, new, list(cfg.merge_keys),
+                                    scope=cfg.delete_filter or cfg.tgt_filter)
+
+    def note(count: int) -> DataFrame:
+        return audit_row(spark, cfg, COMPLETED, op, count, batch_id, cfg.tgt_filter, ts)
+    return LoadResult(new, op, seen, note)
 
 
 def execute_load(spark: SparkSession, cfg: LoadConfig, target: DataFrame, write: Callable[[DataFrame], None],
@@ -221,19 +278,16 @@ def execute_load(spark: SparkSession, cfg: LoadConfig, target: DataFrame, write:
 
     ``on_audit`` receives one row when the run starts (``running``) and one
     when it ends (``completed``, or ``failed`` with the error, which is raised
-    again).  The source is written to the shared checkpoint folder once, so
-    the rows counted in the audit are the rows loaded.  ``write`` stores the
-    new target; post-SQL runs after it and sees the written table.
+    again).  The audit's count comes from the pass that ``write`` runs.
+    Post-SQL runs after the write and sees the written table.
     """
     note = on_audit or (lambda row: None)
     cfg.validate()
     note(audit_row(spark, cfg, RUNNING, None, None, batch_id, cfg.tgt_filter, as_of))
     try:
         run_hooks(spark, cfg.pre_sql)
-        checkpoint_dir(spark)
-        pinned = (source if source is not None else spark.sql(source_query(cfg))).checkpoint()
-        res = _load(spark, replace(cfg, pre_sql=()), target, pinned, batch_id, as_of, delete_source)
-        write(res.target)
+        res = _load(spark, replace(cfg, pre_sql=()), target, source, batch_id, as_of, delete_source)
+        res.save(write)
         run_hooks(spark, cfg.post_sql)
     except Exception as e:
         note(audit_row(spark, cfg, FAILED, None, None, batch_id, cfg.tgt_filter, as_of, f"{type(e).__name__}: {e}"))

@@ -169,3 +169,39 @@ def test_inactive_to_null(spark):
     df = spark.createDataFrame([("v", "Y"), ("v", "N")], "x string, a string")
     assert [r.o for r in df.select(merge.inactive_to_null("x", "a", replacement="-1").alias("o")).collect()] == \
         ["v", "-1"]
+
+
+def test_update_keeps_target_only_columns(spark):
+    tgt = spark.createDataFrame([(1, "a", 7, "h1"), (2, "b", 8, "h2")], "k int, v string, x int, h string")
+    src = spark.createDataFrame([(1, "B", "new", "h9"), (3, "c", "new", "h3")], "K int, V string, extra string, H string")
+    res = merge.scd1_merge(src, tgt, ["k"], "h")
+    assert sorted(res.target.collect()) == [(1, "B", 7, "h9"), (2, "b", 8, "h2"), (3, "c", None, "h3")]
+    wide = merge.scd1_merge(src, tgt, ["k"], "h", evolve="extra string, other int").target
+    assert wide.columns == ["k", "v", "x", "h", "extra", "other"]
+    assert sorted(wide.collect())[0] == (1, "B", 7, "h9", "new", None)
+    assert sorted(wide.collect())[1] == (2, "b", 8, "h2", None, None)
+    with pytest.raises(ValueError, match="lacks"):
+        merge.scd1_merge(src.drop("H"), tgt, ["k"], "h")
+
+
+def test_scd1_without_times_takes_the_greatest_row(spark):
+    tgt = spark.createDataFrame([(1, "a", "h1")], "k int, v string, h string")
+    src = spark.createDataFrame([(1, "x", "hx"), (1, "y", "hy"), (2, "z", "hz")], "k int, v string, h string")
+    for df in (src, src.orderBy("v", ascending=False)):
+        res = merge.scd1_merge(df, tgt, ["k"], "h", upd_col="AUD_UPD_DTS", ld_col="AUD_LD_DTS")
+        assert sorted(res.target.collect()) == [(1, "y", "hy"), (2, "z", "hz")]
+        assert {r["outcome"]: r["n"] for r in res.report.collect()} == {"update": 1, "insert": 1, "superseded": 1}
+    first = merge.scd1_merge(src, tgt, ["k"], "h", order=[F.col("v") == "x"])
+    assert sorted(first.target.collect())[0] == (1, "x", "hx")
+
+
+def test_align(spark):
+    from ledgerline.operators.conform import align
+    tgt = spark.createDataFrame([(1, "a", 2)], "Key long, Name string, Only int")
+    src = spark.createDataFrame([("5", "b", 1.5, True)], "NAME string, key string, price double, junk boolean")
+    s, t, plan = align(src.select("NAME", F.lit("9").alias("key"), "price", "junk"), tgt, {"price": "decimal(9,2)"})
+    assert s.columns == ["Key", "Name", "price"] and t.columns == ["Key", "Name", "Only", "price"]
+    assert plan.common == ("Key", "Name", "price") and plan.target_only == ("Only",) and plan.added == ("price",)
+    assert [f.dataType.simpleString() for f in s.schema] == ["bigint", "string", "decimal(9,2)"]
+    with pytest.raises(ValueError, match="letter case"):
+        align(src.selectExpr("key AS a", "key AS A"), tgt)

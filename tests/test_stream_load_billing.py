@@ -256,3 +256,26 @@ def test_missing_parameters_reads_every_config_row(spark, monkeypatch, tmp_path)
     monkeypatch.setattr(q, "MAX_CONFIG_ROWS", 249)
     with pytest.raises(ValueError):
         q.quality_missing_parameters(spark, str(tmp_path))
+
+
+def test_loads_count_in_the_pass_that_writes(spark):
+    """No second scan of the source, no copy of it, for the count of the audit."""
+    source = spark.createDataFrame([(1, "a", "h1"), (1, "b", "h2"), (2, "c", "h3")], "k int, v string, h string")
+    target = spark.createDataFrame([(1, "o", "h0", 5), (9, "o", "h0", 5)], "k int, v string, h string, own int")
+    for strategy, want in (("SCD1", [(1, "b", "h2", 5), (2, "c", "h3", None)]), ("merge", None),
+                           ("OVERWRITE", None), ("TRUNCATE", None)):
+        read = spark.sparkContext.accumulator(0)
+
+        def seen(it, read=read):
+            for b in it:
+                read.add(b.num_rows)
+                yield b
+        cfg = load.LoadConfig("s", "t", "u", strategy, merge_keys=("k",), hash_col="h", hard_delete=strategy == "SCD1")
+        rows = source.mapInArrow(seen, source.schema)
+        kept, notes = [], []
+        res = load.execute_load(spark, cfg, target, lambda df: kept.extend(df.collect()), notes.append, source=rows)
+        assert [n.first().src_data_count for n in notes] == [None, 3] and read.value == 3, strategy
+        if want:
+            assert sorted(kept) == want and res.counts["update"] == 1 and res.counts["insert"] == 1
+        if strategy in ("OVERWRITE", "TRUNCATE"):
+            assert sorted(kept) == [(1, "a", "h1", None), (1, "b", "h2", None), (2, "c", "h3", None)]
