@@ -12,27 +12,31 @@ writes the dict once (e.g. with :func:`ledgerline.sources.io.write_all`).
 
 The id-bearing landing frame, projected to the columns in use, feeds several
 outputs.  With ``materialize`` (the default when more than one table is
-wanted) it is cut with a reliable ``checkpoint()`` under the shared
-``spark.checkpoint.dir`` when the function is called, so each output does not
-recompute it.  No output joins two landing-sized frames: melted columns and
-values from JSON are made separately and united.
+wanted) it is written as Parquet under the shared ``spark.checkpoint.dir``
+when the function is called, so each output reads only the columns it needs.
+The attribute tables (E6-E11) come from one pass: each landing row emits one
+array of tagged (table, entity, type, code, value) structs, from columns and
+from JSON alike, which is exploded, made distinct by one exchange and written
+once, split by table.  No output joins two landing-sized frames, and none is
+made distinct again after its id is stamped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalar import join_array, merge_lists, rating_triple
+from ledgerline.functions.scalar import is_empty, join_array, merge_lists, rating_triple
 from ledgerline.operators import nested
 from ledgerline.operators.clean import clean_blanks
 from ledgerline.operators.conform import NO_MAPPING, OutputSpec, ensure_columns, project
-from ledgerline.operators.reshape import TYPE_RENAMES
+from ledgerline.operators.reshape import EXTERNAL_CLASS, EXTERNAL_LEVELS, INTERNAL_CLASS, TYPE_RENAMES
 from ledgerline.plans import staging as S
-from ledgerline.session import checkpoint_dir
+from ledgerline.session import scratch_path
 
 # Landing columns the staging build reads whatever the mapping says.
 LANDING_COLUMNS = (
@@ -305,32 +309,117 @@ def _people(ids: DataFrame) -> DataFrame:
                      F.col("associated_people__titles").alias("contact_title"))
 
 
-def _structs(ids: DataFrame, c: str, schema: T.ArrayType) -> DataFrame:
-    """Array-of-struct JSON (an object parses as a one-element array) → rows, once per entity and text."""
-    parsed = nested.parse_json(ids.select(ENT, c).distinct(), c, schema, "_p")
-    return nested.explode_structs(parsed, "_p", [ENT])
+# -- E6-E11: one pass for all attribute tables -----------------------------------
 
+def _tagged(table: str, kind, value: Column, code=None) -> Column:
+    """One row of an attribute table, NULL where it has no value."""
+    text = value.cast("string")
+    return F.when(text != "", F.struct(F.lit(table).alias("tbl"), F.lit(kind).alias("kind"),
+                                       F.lit(code).cast("string").alias("code"), text.alias("value")))
 
-def _stamped(rows: DataFrame, id_name: str) -> DataFrame:
-    rows = rows.distinct()
-    return rows.select(S.stable_uuid(list(rows.columns)).alias(id_name), *rows.columns)
 
+def _columns_of(table: str, columns: dict[str, Column]) -> Column:
+    """Rows of mapped columns: the type is the target's name (renamed), blank values are left out."""
+    if table == INDUSTRY:
+        return F.array(*[_tagged(table, EXTERNAL_CLASS if t in EXTERNAL_LEVELS else INTERNAL_CLASS, c, t)
+                         for t, c in columns.items()])
+    return F.array(*[_tagged(table, TYPE_RENAMES.get(t, t), c) for t, c in columns.items()])
 
-def _melted(ids: DataFrame, columns: dict[str, Column], type_name: str, value_name: str) -> DataFrame:
-    """(entity, type, value) rows of the mapped columns, blank values left out; not yet distinct."""
-    src = ids.select(F.col(ENT).alias("stg_business_entity_id"), *[c.alias(t) for t, c in columns.items()])
-    if not columns:
-        return src.select("stg_business_entity_id", F.lit("").alias(type_name), F.lit("").alias(value_name)).limit(0)
-    m = S.melt(src, "stg_business_entity_id", list(columns), (type_name, value_name), distinct=False)
-    renamed = S.rename_types(type_name, {k: v for k, v in TYPE_RENAMES.items() if k in columns})
-    return m.filter(F.col(value_name) != "").withColumn(type_name, renamed)
 
+def _parsed(c: str, schema: T.DataType) -> Column:
+    """JSON text by its schema, NULL where it is empty (an object parses as a one-element array)."""
+    return F.when(~is_empty(c), F.from_json(F.col(c), schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "true"}))
 
-def _addressed(rows: DataFrame) -> DataFrame:
-    """An entity's rows under the polymorphic foreign key."""
-    rest = [c for c in rows.columns if c != "stg_business_entity_id"]
-    return rows.select(F.col("stg_business_entity_id").alias("related_identifier"),
-                       F.lit(S.SOURCE_ENTITY).alias("related_identifier_source"), *rest)
+
+def _json_rows(table: str, row) -> Column:
+    """An element of a JSON list as a row of ``table``: kind, code and value of ``row``, NULL where it has none."""
+    has, kind, code, value = row
+    return F.when(has, F.struct(F.lit(table).alias("tbl"), kind.alias("kind"), code.cast("string").alias("code"),
+                                value.alias("value")))
+
+
+def _characteristic_rows(ids, m):
+    columns = {}
+    for source, target in m.pairs(CHARACTERISTICS):
+        if target in JSON_TARGETS:
+            continue
+        if f"{source}_date" in ids.columns:       # a rating: value and date in one text
+            columns[f"credit_rating_{target}"] = rating_triple(target, F.col(source), F.col(f"{source}_date"))
+        else:
+            columns[target] = F.col(source)
+    rows = [_columns_of(CHARACTERISTICS, columns)] if columns else []
+    if m.source(CHARACTERISTICS, AGENTS_TARGET):
+        agents = join_array(_parsed("registered_agents", AGENTS))
+        rows.append(F.array(_json_rows(CHARACTERISTICS, (agents.isNotNull(), F.lit(AGENTS_TARGET), F.lit(None), agents))))
+    return rows
+
+
+def _receivable_rows(ids, m):
+    columns = {t: F.col(s) for s, t in m.pairs(RECEIVABLES) if t not in JSON_TARGETS}
+    if MERGED_CODES in columns:
+        columns[MERGED_CODES] = merge_lists(columns[MERGED_CODES], "stg_codelist")
+
+    def used(e):
+        name = e["vendor_name"]
+        return _json_rows(RECEIVABLES, ((F.trim(name) != "") & (name != "none"), F.lit(TECH_TYPE), F.lit(None), name))
+    tech = F.transform(_parsed("technologies", TECHNOLOGIES), used)
+    return [*([_columns_of(RECEIVABLES, columns)] if columns else []), tech]
+
+
+def _industry_rows(ids, m):
+    columns = {t: F.col(s) for s, t in m.pairs(INDUSTRY)}
+
+    def own(e):
+        kind, code, text = (e[f"classification_{f}"] for f in ("type", "code", "description"))
+        return _json_rows(INDUSTRY, (F.coalesce(kind, code, text).isNotNull(), kind, code, text))
+    return [*([_columns_of(INDUSTRY, columns)] if columns else []), F.transform(_parsed("industries", INDUSTRIES), own)]
+
+
+def _plain_rows(table: str):
+    def rows(ids, m):
+        columns = {t: F.col(s) for s, t in m.pairs(table)}
+        return [_columns_of(table, columns)] if columns else []
+    return rows
+
+
+# Output table: mapping table, its rows, id, polymorphic key?, names of kind, code and value.
+ATTRIBUTES = {
+    "business_entity_characteristics": (CHARACTERISTICS, _characteristic_rows, "characteristics_id", False,
+                                        ("characteristic_type", None, "characteristic_value")),
+    "electronic_address": (ELECTRONIC, _plain_rows(ELECTRONIC), "electronic_address_id", True,
+                           ("electronic_address_type", None, "electronic_address")),
+    "telecommunication_address": (TELECOM, _plain_rows(TELECOM), "telecommunication_address_id", True,
+                                  ("telecommunication_address_type", None, "phone_number")),
+    "restrictions": (RESTRICTIONS, _plain_rows(RESTRICTIONS), "restriction_id", True,
+                     ("restriction_type", None, "restriction_indicator")),
+    "business_entity_receivables_attribute": (RECEIVABLES, _receivable_rows, "attribute_id", False,
+                                              ("receivables_attribute_type", None, "receivables_attribute_value")),
+    "business_entity_industry_classification": (INDUSTRY, _industry_rows, "classification_id", False, (
+        "classification_type", "classification_code", "classification_description")),
+}
+
+
+def attribute_rows(ids: DataFrame, m: LandingMapping, wanted: Iterable[str]) -> DataFrame:
+    """E6-E11 in one pass: distinct (tbl, entity, kind, code, value) of the ``wanted`` output tables."""
+    lists = [rows for name in ATTRIBUTES if name in wanted for rows in ATTRIBUTES[name][1](ids, m)]
+    empty = F.array().cast("array<struct<tbl:string,kind:string,code:string,value:string>>")
+    every = F.concat(empty, *[F.coalesce(r, empty) for r in lists])
+    rows = (ids.where(F.col(ENT).isNotNull())
+            .select(F.col(ENT).alias("entity"), F.explode(F.array_compact(every)).alias("_r")))
+    return rows.select("_r.tbl", "entity", "_r.kind", "_r.code", "_r.value").distinct()
+
+
+def attribute_table(rows: DataFrame, name: str) -> DataFrame:
+    """One output table of :func:`attribute_rows`, with its names and id."""
+    table, _, id_name, addressed, (kind, code, value) = ATTRIBUTES[name]
+    mine = rows.where(F.col("tbl") == table)
+    if addressed:
+        key = [F.col("entity").alias("related_identifier"), F.lit(S.SOURCE_ENTITY).alias("related_identifier_source")]
+    else:
+        key = [F.col("entity").alias("stg_business_entity_id")]
+    out = mine.select(*key, F.col("kind").alias(kind), *([F.col("code").alias(code)] if code else []),
+                      F.col("value").alias(value))
+    return out.select(S.stable_uuid(list(out.columns)).alias(id_name), *out.columns)
 
 
 def prepare(landing: DataFrame, m: LandingMapping, cfg: S.StagingConfig, employee_flag: str | None,
@@ -366,11 +455,26 @@ def run_staging(landing: DataFrame, cfg: S.StagingConfig = S.StagingConfig(), cr
         raise ValueError(f"unknown staging tables {sorted(unknown)}")
     m = landing_mapping(mapping)
     ids = prepare(landing, m, cfg, employee_flag, firm_flag)
-    if materialize or (materialize is None and len(wanted) > 1):
-        checkpoint_dir(ids.sparkSession)
-        ids = ids.checkpoint(eager=True)
-    return {name: project(BUILDERS[name](ids, m, cfg), SPECS[name], created_by, as_of)
-            for name in SPECS if name in wanted}
+    keep = materialize or (materialize is None and len(wanted) > 1)
+    if keep:
+        ids = _kept(ids, "landing")
+    melted = wanted & set(ATTRIBUTES)
+    rows = attribute_rows(ids, m, melted)
+    if keep and len(melted) > 1:
+        rows = _kept(rows, "attributes", "tbl")
+    out = {}
+    for name in SPECS:
+        if name in wanted:
+            made = attribute_table(rows, name) if name in melted else BUILDERS[name](ids, m, cfg)
+            # ids are made of distinct rows and hold the entity: nothing to make distinct, no hash to test
+            out[name] = project(made, replace(SPECS[name], keys=SPECS[name].keys[-1:]), created_by, as_of, distinct=False)
+    return out
+
+
+def _kept(df: DataFrame, name: str, *by: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _of(m: LandingMapping, table: str, target: str) -> Column:
@@ -396,25 +500,6 @@ def _relationships(ids, m, cfg):
     return S.build_relationships(ids, cfg)
 
 
-def _characteristics(ids, m, cfg):
-    columns = {}
-    for source, target in m.pairs(CHARACTERISTICS):
-        if target in JSON_TARGETS:
-            continue
-        if f"{source}_date" in ids.columns:       # a rating: value and date in one text
-            columns[f"credit_rating_{target}"] = rating_triple(target, F.col(source), F.col(f"{source}_date"))
-        else:
-            columns[target] = F.col(source)
-    names = ("characteristic_type", "characteristic_value")
-    rows = _melted(ids, columns, *names)
-    if m.source(CHARACTERISTICS, AGENTS_TARGET):
-        parsed = nested.parse_json(ids.select(ENT, "registered_agents").distinct(), "registered_agents", AGENTS, "_p")
-        agents = parsed.select(F.col(ENT).alias("stg_business_entity_id"), F.lit(AGENTS_TARGET).alias(names[0]),
-                               join_array(F.col("_p")).alias(names[1])).filter(F.col(names[1]).isNotNull())
-        rows = rows.unionByName(agents)
-    return _stamped(rows, "characteristics_id")
-
-
 def _contacts(ids, m, cfg):
     own = ids.select(F.col(ENT).alias("stg_business_entity_id"), F.col("vendor_contact_name").alias("contact_name"))
     return S.build_contacts(_people(ids), own)
@@ -438,40 +523,12 @@ def _physical(ids, m, cfg):
     return S.build_physical_address(src, ENT, {c: c for c in columns})
 
 
-def _simple(table: str, type_name: str, value_name: str, id_name: str):
-    """A melted table under the polymorphic key, straight from its mapped columns."""
-    def build(ids, m, cfg):
-        columns = {t: F.col(s) for s, t in m.pairs(table)}
-        return _stamped(_addressed(_melted(ids, columns, type_name, value_name)), id_name)
-    return build
-
-
-def _receivables(ids, m, cfg):
-    names = ("receivables_attribute_type", "receivables_attribute_value")
-    columns = {t: F.col(s) for s, t in m.pairs(RECEIVABLES) if t not in JSON_TARGETS}
-    if MERGED_CODES in columns:
-        columns[MERGED_CODES] = merge_lists(columns[MERGED_CODES], "stg_codelist")
-    tech = _structs(ids, "technologies", TECHNOLOGIES).select(
-        F.col(ENT).alias("stg_business_entity_id"), F.lit(TECH_TYPE).alias(names[0]), F.col("vendor_name").alias(names[1]))
-    tech = tech.filter((F.trim(names[1]) != "") & (F.col(names[1]) != "none"))
-    return _stamped(_melted(ids, columns, *names).unionByName(tech), "attribute_id")
-
-
 def _card(ids, m, cfg):
     text = ("match_confidence", "matched_fleet_ind", "matched_mcc", "matched_data_quality")
     src = ids.select(ENT, *[_of(m, CARD, t).alias(t) for t in (CARD_MATCH, *CARD_LEVELS, *text)])
     return S.build_card_association(src, ENT, CARD_MATCH, {t: t for t in CARD_LEVELS}, {t: t for t in text})
 
 
-def _industry(ids, m, cfg):
-    rows = _melted(ids, {t: F.col(s) for s, t in m.pairs(INDUSTRY)}, "classification_code", "classification_description")
-    levels = rows.select("stg_business_entity_id", S.class_of("classification_code").alias("classification_type"),
-                         "classification_code", "classification_description")
-    fields = ["classification_type", "classification_code", "classification_description"]
-    own = _structs(ids, "industries", INDUSTRIES).select(F.col(ENT).alias("stg_business_entity_id"), *fields)
-    return _stamped(levels.unionByName(own.dropna(how="all", subset=fields)), "classification_id")
-
-
 def _revenues(ids, m, cfg):
     rev = nested.flatten(ids.select(F.col(ENT).alias("stg_business_entity_id"), "card_revenues").distinct(),
                          [nested.FlattenConfig("card_revenues", REVENUE, "struct", "card_revenue")],
@@ -493,18 +550,11 @@ BUILDERS = {
     "business_entity": lambda ids, m, cfg: S.build_entity(ids),
     "business_entity_details": _details,
     "business_entity_identifiers": _identifiers,
-    "business_entity_characteristics": _characteristics,
     "business_entity_contacts": _contacts,
     "business_entity_relationships": _relationships,
     "business_entity_spend_analysis": _spend,
     "physical_address": _physical,
-    "electronic_address": _simple(ELECTRONIC, "electronic_address_type", "electronic_address", "electronic_address_id"),
-    "telecommunication_address": _simple(TELECOM, "telecommunication_address_type", "phone_number",
-                                         "telecommunication_address_id"),
-    "restrictions": _simple(RESTRICTIONS, "restriction_type", "restriction_indicator", "restriction_id"),
-    "business_entity_receivables_attribute": _receivables,
     "business_entity_card_association": _card,
-    "business_entity_industry_classification": _industry,
     "business_entity_card_revenues": _revenues,
     "business_entity_card_transactions_stability": _stability,
 }
