@@ -13,7 +13,10 @@ WITH t AS (
          CASE WHEN trim(coalesce(role, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = ''
               THEN 'unknown' ELSE trim(role, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) END AS speaker,
          coalesce(text, '') AS content FROM conversations),
-p AS (SELECT *, CAST(floor(turn / 256) AS BIGINT) AS piece FROM t),
+w AS (SELECT *, greatest(1048576, 256 * (length(speaker) + length(content))) AS weight FROM t),
+u AS (SELECT *, sum(weight) OVER (PARTITION BY conv_id ORDER BY numbered, turn, speaker, content
+                                  ROWS UNBOUNDED PRECEDING) AS upto FROM w),
+p AS (SELECT * EXCLUDE (upto), CAST((upto - weight) // (1048576 * 256) AS BIGINT) AS piece FROM u),
 c AS (SELECT DISTINCT conv_id, speaker AS perspective FROM p WHERE speaker <> 'system'),
 s AS (
   SELECT p.conv_id, perspective, piece, numbered, turn, speaker, content, speaker = perspective AS trained,
@@ -34,6 +37,6 @@ FROM o GROUP BY conv_id, perspective, piece
 
 @register("op9_chat_perspectives", SQL)
 def op9_chat_perspectives(spark, sf_dir):
-    made = chat.rotate(read(spark, sf_dir, "conversations"))
+    made = chat.rotate(read(spark, sf_dir, "conversations"), by_rows=True)
     spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"]))
     return made.withColumn("mask", F.concat_ws(",", spans))
