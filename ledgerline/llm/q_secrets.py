@@ -23,4 +23,4 @@ def op7_secrets(spark, sf_dir):
     base = [k.name for k in s.BASE]
     return found.select("doc_id", *[F.size(of_kinds(k)).cast("long").alias(f"n_{k}") for k in base],
                         F.sha2(listed(of_kinds(*base)), 256).alias("base_sha256"),
-                        listed(F.col("spans")).alias("spans"), "n_live", "n_example")
+                        listed(F.col("spans")).alias("spans"), "n_live", "n_spread", "n_example")

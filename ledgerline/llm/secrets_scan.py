@@ -1,14 +1,19 @@
 """Secret scan with corpus-wide ownership frequency [native].
 
 Patterns find candidate spans in each text.  Every candidate value is hashed,
-and over the whole corpus the distinct owners and repositories of each hash
-are counted: a value that many owners or very many repositories hold is a
-copied example, any other that looks random is taken for live.  The count groups by (hash,
-owner, repository) first, then (hash, owner), then hash, with partial sums at
-each step, so a value that a third of all rows hold is counted on many tasks.
+and over the whole corpus the distinct owners and repositories of each hash are
+counted.  Owners decide: a value that several owners hold is a copied example,
+any other that looks random is taken for live.  Many repositories of one owner
+are no excuse but a wider leak, so live values in many of them are counted
+apart.  The count groups by (hash, owner, repository) first, then (hash,
+owner), then hash, with partial sums at each step, so a value that a third of
+all rows hold is counted on many tasks, and the tables that are joined are
+written before, so that a hot side of a join can be split.
 
 Offsets without Python: the matches of a pattern and the pieces between them
-(``split`` by the same pattern) give each match's place by adding up lengths.
+(``split`` by the same pattern) give each match's place by adding up lengths,
+in chunks of about the root of their number, since growing one array match by
+match would copy it each time.
 
 Defined cases: a null text is an empty text; a null owner or repository counts
 as one owner or repository; rows with the same id and text get the same result,
@@ -24,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, let, text_of
+from ledgerline.llm.common import cut, let, text_of, written
 
 _ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?"
            r"([A-Za-z0-9+/_.=-]+)")
@@ -71,13 +76,24 @@ def _spans(text: Column, order: int, kind: Kind) -> Column:
     def place(found: Column) -> Column:
         between = F.transform(F.split(text, kind.pattern, -1), lambda p: F.length(p).cast("long"))
         steps = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"), found.alias("m"))
-        begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+        chunk = F.ceil(F.sqrt(F.size(found))).cast("int")
+
+        def begin(at: Column, empty: Column) -> Column:
+            return F.struct(at.cast("long").alias("at"), empty.alias("out"))
 
         def add(acc, s):
             start = acc["at"] + s["gap"]
             return F.struct((start + F.length(s["m"])).alias("at"),
                             F.concat(acc["out"], F.array(one(start, s["m"]))).alias("out"))
-        return F.aggregate(steps, begin, add, lambda acc: acc["out"])
+
+        def chunks(all_steps: Column) -> Column:
+            def whole(acc, k):
+                done = F.aggregate(F.slice(all_steps, k + 1, chunk), begin(acc["at"], none), add)
+                return let(done, lambda d: F.struct(d["at"].alias("at"),
+                                                    F.concat(acc["out"], F.array(d["out"])).alias("out")))
+            return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1, chunk), begin(F.lit(0), F.array_remove(
+                F.array(none), none)), whole, lambda acc: F.flatten(acc["out"]))
+        return let(steps, chunks)
 
     placed = let(F.regexp_extract_all(text, pattern, F.lit(0)),
                  lambda found: F.when(F.size(found) == 0, none).otherwise(place(found)))
@@ -104,12 +120,15 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id",
          common_owners: int = 3, classify: Callable[[Column], Column] = looks_random,
-         common_repos: int = 10) -> DataFrame:
-    """One row per row of ``docs``: id, spans (with hashes, n_owners and n_repos), n_live, n_example.
-
-    A value held by ``common_owners`` owners or by ``common_repos``
-    repositories, or more, is an example; else, if ``classify`` finds it
-    random, it is live.  Values themselves are not returned.
+         spread_repos: int = 10) -> DataFrame:
+    """One row per row of ``docs``: id, spans (with hashes, n_owners and n_repos), n_live, n_spread, n_example.
+
+    A value held by ``common_owners`` owners or more is an example: two may be
+    an owner and a mirror or fork of theirs, three have copied it from
+    elsewhere.  Any other value is live if ``classify`` finds it random, and
+    spread if ``spread_repos`` repositories or more hold it.  Where the table
+    has no repositories, each document stands for one.  Values themselves are
+    not returned.
     """
     t = text_of(text)
     hashed = F.transform("spans", lambda s: F.struct(
@@ -121,13 +140,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str
                .withColumn("spans", hashed))
     each = rows.select("id", "text_hash", "owner", "repo", F.posexplode("spans").alias("nth", "s")).select(
         "id", "text_hash", "owner", "repo", "nth", "s.*")
-    counts = ownership(each)
-    judged = (each.groupBy("id", "text_hash", "nth", "h1", "h2").agg(F.max("random").alias("random"))
-              .join(counts, ["h1", "h2"]))
-    example = (F.col("n_owners") >= common_owners) | (F.col("n_repos") >= common_repos)
-    verdict = judged.groupBy("id", "text_hash").agg(
-        F.count_if(~example & F.col("random")).alias("n_live"), F.count_if(example).alias("n_example"),
-        F.sort_array(F.collect_list(F.struct("nth", "n_owners", "n_repos"))).alias("__held"))
+    counts = written(ownership(each), "secret-owners")
+    places = written(each.groupBy("id", "text_hash", "nth", "h1", "h2").agg(F.max("random").alias("random")),
+                     "secret-places")
+    judged = places.join(counts, ["h1", "h2"])
+    example = F.col("n_owners") >= common_owners
+    live = ~example & F.col("random")
+    verdict = written(judged.groupBy("id", "text_hash").agg(
+        F.count_if(live).alias("n_live"), F.count_if(live & (F.col("n_repos") >= spread_repos)).alias("n_spread"),
+        F.count_if(example).alias("n_example"),
+        F.sort_array(F.collect_list(F.struct("nth", "n_owners", "n_repos"))).alias("__held")), "secret-verdicts")
 
     def counted(s: Column, nth: Column) -> Column:
         held = F.get("__held", nth)
@@ -136,5 +158,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", owner: str
     v = verdict.withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
     return (rows.join(v, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
             .select(F.col("id").alias(id_col), F.transform("spans", counted).alias("spans"),
-                    F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
-                    F.coalesce("n_example", F.lit(0).cast("long")).alias("n_example")))
+                    *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_live", "n_spread", "n_example")]))

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from ledgerline.llm import secrets_scan as s
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -81,12 +83,47 @@ def test_long_logins(spark, none):
         assert [(x["start"], x["end"]) for x in r["spans"] if x["kind"] == "url_login"] == [(4, t.index("@") + 1)]
 
 
-def test_repositories_count_besides_owners(spark, none):
+def test_repositories_of_one_owner_are_a_wider_leak(spark, none):
     other, few = HEX[::-1], HEX[20:] + HEX[:20]
-    rows = [(k, f"x {other} and {few if k < 9 else 'none'} y", "mine") for k in range(10)]
+    rows = [(k, f"x {other} and {few if k < 9 else 'none'} y", "mine") for k in range(11)]
     rows += [(k, f"z {HEX}", f"owner{k % 2}") for k in range(20, 23)] + [(30, "nothing", "mine")]
     got = {r["doc_id"]: r for r in s.scan(spark.createDataFrame(rows * 2, none.schema)).collect()}
-    assert [(got[k]["n_live"], got[k]["n_example"]) for k in range(10)] == [(1, 1)] * 9 + [(0, 1)]
+    verdict = lambda k: (got[k]["n_live"], got[k]["n_spread"], got[k]["n_example"])
+    assert [verdict(k) for k in range(11)] == [(2, 1, 0)] * 9 + [(1, 1, 0)] * 2
     held = lambda k: [(x["n_owners"], x["n_repos"]) for x in got[k]["spans"]]
-    assert held(0) == [(1, 10), (1, 9)] and held(9) == [(1, 10)] and held(20) == [(2, 3)] and held(30) == []
-    assert [(got[k]["n_live"], got[k]["n_example"]) for k in (20, 30)] == [(1, 0), (0, 0)]
+    assert held(0) == [(1, 11), (1, 9)] and held(9) == [(1, 11)] and held(20) == [(2, 3)] and held(30) == []
+    assert [verdict(k) for k in (20, 30)] == [(1, 0, 0), (0, 0, 0)]
+
+
+def test_verdicts_against_brute_force(spark, none):
+    """Values dealt to documents and owners at random; every document's counts as plain sets give them."""
+    import random
+    from collections import defaultdict
+    rng = random.Random(11)
+    values = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(12)] + ["a" * 30, "abc123" * 5]
+    rows = [(k, " ; ".join(rng.sample(values, rng.randint(0, 4))), rng.choice(["a", "b", "c", "d", None])) for k in range(60)]
+    owners, repos = defaultdict(set), defaultdict(set)
+    for key, text, owner in rows:
+        for v in text.split(" ; "):
+            owners[v].add(owner)
+            repos[v].add((owner, key))
+
+    def is_random(v):
+        return len(v) >= 16 and len(set(v)) >= 8 and any(c.isdigit() for c in v) and "12345" not in v
+    for r in s.scan(spark.createDataFrame(rows, none.schema), common_owners=4, spread_repos=12).collect():
+        mine = [v for v in rows[r["doc_id"]][1].split(" ; ") if v]
+        live = [v for v in mine if len(owners[v]) < 4 and is_random(v)]
+        assert (r["n_live"], r["n_spread"], r["n_example"]) == (
+            len(live), sum(len(repos[v]) >= 12 for v in live), sum(len(owners[v]) >= 4 for v in mine))
+
+
+def test_a_text_full_of_matches_stays_near_linear(spark, none):
+    import time
+    took = {}
+    for n in (1000, 8000, 64_000):
+        df = spark.createDataFrame([(1, f"{HEX[:24]} zz " * n, "s")], none.schema)
+        t0 = time.time()
+        spans = df.select(s.find(F.col("text")).alias("spans")).first()["spans"]
+        took[n] = time.time() - t0
+        assert len(spans) == n and [x["start"] for x in spans] == [28 * k for k in range(n)]
+    assert took[64_000] < 30 * took[8000] + 5, took
