@@ -2,20 +2,22 @@
 
 A document is a sequence of lines (blank lines belong to the line before
 them).  Every ``gram`` consecutive lines have a hash, and of every ``window``
-consecutive gram hashes the least (the last of equal ones) is chosen as a
+consecutive gram hashes the least (the last of equal ones) is selected as a
 fingerprint, which guarantees that any run of ``gram + window - 1`` lines that
-occurs twice has a fingerprint in common.  Fingerprints that occur at two
-places or more are joined to their positions; from there a match extends to
-both sides through all runs of that guaranteed length around the fingerprint,
-compared by a 128-bit hash of their lines.  Of equal runs the first (least
-doc_id, then place) stays and all lines of the later ones are deleted, so
-overlapping runs join to longer ones.
+occurs twice has a fingerprint in common.  Only selected positions are kept,
+with the hashes of the few lines around them.  Those whose fingerprint occurs at two
+places or more are joined on; from them a match extends to both sides by
+comparing the lines around: every run of the guaranteed length around the
+fingerprint, equal by a 128-bit hash of its lines.  Of equal runs the first
+(least doc_id, then place) stays and all lines of the later ones are deleted,
+so overlapping runs join to longer ones.
 
 With ``passage_words``, runs of fewer lines that have so many words together
-count as well: each is its own fingerprint.
+count as well: each is its own fingerprint and does not extend.
 
 No pairs of places are made: every group of equal runs is reduced to its first
-place by partial aggregation, and joined back to its members.
+place by partial aggregation, and joined back to its members.  Both sides of
+each join are written tables, so that a hot fingerprint can be split.
 
 Defined cases: a null text is an empty text and has one blank line; lines are
 compared without blanks at their ends; rows with equal id and text are one
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BLANK_RUN, BLANKS, aside, cut, let, text_of
+from ledgerline.llm.common import BLANK_RUN, BLANKS, aside, let, text_of, written
 
 # a line break before a line that is not blank
 BREAK = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
@@ -49,62 +51,83 @@ def _hashes(lines: Column, words: bool) -> Column:
     return F.transform(lines, both)
 
 
-def runs_of(text: Column, gram: int, window: int, passage_words: int | None = None) -> Column:
-    """All runs of ``gram + window - 1`` lines: start, lines, hash (a, b), and the fingerprint chosen within (fp, at).
+def selected(text: Column, gram: int, window: int, passage_words: int | None = None) -> Column:
+    """The selected positions of a text: fingerprint (fp), place (at), and the lines from ``first`` on around it.
 
-    With ``passage_words`` also the runs of fewer lines that reach so many words.
+    ``lines`` is the length of the runs to compare there.  With
+    ``passage_words`` also every run of fewer lines that reaches so many words.
     """
     size = gram + window - 1
-    none = F.expr("CAST(array() AS array<struct<start:int,lines:int,fp:bigint,at:int,a:bigint,b:bigint>>)")
+    none = F.expr("CAST(array() AS array<struct<fp:bigint,at:int,first:int,lines:int,"
+                  "near:array<struct<a:bigint,b:bigint>>>>)")
 
-    def with_grams(h: Column) -> Column:
+    def bare(h: Column, first: Column, n: Column | int) -> Column:
+        return F.transform(F.slice(h, first + 1, n), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
+
+    def minima(h: Column) -> Column:
         grams = F.transform(F.sequence(F.lit(0), F.size(h) - gram),
                             lambda i: F.struct(F.xxhash64(*[F.get(h, i + k)["a"] for k in range(gram)]).alias("fp"),
                                                (-i).alias("back")))
 
-        def run(g: Column, i: Column) -> Column:
-            least = F.least(*[F.get(g, i + k) for k in range(window)]) if window > 1 else F.get(g, i)
-            return F.struct(i.alias("start"), F.lit(size).alias("lines"), least["fp"].alias("fp"),
-                            (-least["back"]).alias("at"),
-                            F.xxhash64(*[F.get(h, i + k)["a"] for k in range(size)]).alias("a"),
-                            F.xxhash64(*[F.get(h, i + k)["b"] for k in range(size)]).alias("b"))
-        return let(grams, lambda g: F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: run(g, i)))
+        def least(g: Column, i: Column) -> Column:
+            return F.least(*[F.get(g, i + k) for k in range(window)]) if window > 1 else F.get(g, i)
+
+        def around(m: Column) -> Column:
+            at = -m["back"]
+            first = F.greatest(at - (window - 1), F.lit(0))
+            return F.struct(m["fp"].alias("fp"), at.alias("at"), first.alias("first"), F.lit(size).alias("lines"),
+                            bare(h, first, F.least(at + size, F.size(h)) - first).alias("near"))
+        chosen = let(grams, lambda g: F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(h) - size),
+                                                                   lambda i: least(g, i))))
+        return F.transform(chosen, around)
 
     def passages(h: Column, n: int) -> Column:
-        def run(i: Column) -> Column:
-            a = F.xxhash64(F.lit("passage"), *[F.get(h, i + k)["a"] for k in range(n)])
-            return F.struct(i.alias("start"), F.lit(n).alias("lines"), a.alias("fp"), i.alias("at"), a.alias("a"),
-                            F.xxhash64(F.lit("passage"), *[F.get(h, i + k)["b"] for k in range(n)]).alias("b"))
+        def one(i: Column) -> Column:
+            fp = F.xxhash64(F.lit(n), *[F.get(h, i + k)["a"] for k in range(n)])
+            return F.struct(fp.alias("fp"), i.alias("at"), i.alias("first"), F.lit(n).alias("lines"),
+                            bare(h, i, n).alias("near"))
 
         def enough(i: Column) -> Column:
             return sum((F.get(h, i + k)["words"] for k in range(1, n)), F.get(h, i)["words"]) >= passage_words
         places = F.filter(F.sequence(F.lit(0), F.size(h) - n), enough)
-        return F.when(F.size(h) >= n, F.transform(places, run)).otherwise(none)
+        return F.when(F.size(h) >= n, F.transform(places, one)).otherwise(none)
 
-    def runs(h: Column) -> Column:
-        whole = F.when(F.size(h) >= size, with_grams(h))
+    def all_of(h: Column) -> Column:
+        whole = F.when(F.size(h) >= size, minima(h))
         if passage_words is None:
             return whole
         return F.concat(F.coalesce(whole, none), *[passages(h, n) for n in range(1, size)])
 
-    return let(_hashes(lines_of(text), passage_words is not None), runs)
+    return let(_hashes(lines_of(text), passage_words is not None), all_of)
+
+
+def extended() -> Column:
+    """The runs of ``lines`` lines around a shared position: start and 128-bit hash (a, b)."""
+    def run(k: Column) -> Column:
+        lines = F.slice("near", k + 1, F.col("lines"))
+        # the hash of an array is that of its elements in turn
+        return F.struct((F.col("first") + k).alias("start"),
+                        F.xxhash64("lines", F.transform(lines, lambda x: x["a"])).alias("a"),
+                        F.xxhash64("lines", F.transform(lines, lambda x: x["b"])).alias("b"))
+    return F.transform(F.sequence(F.lit(0), F.size("near") - F.col("lines")), run)
 
 
 def repeated_runs(docs: DataFrame, gram: int, window: int, id_col: str, text: str,
                   passage_words: int | None = None) -> DataFrame:
     """(id, text_hash, start, lines) of every run that also occurs earlier."""
     t = text_of(text)
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "start")
-    runs = cut(docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("text_hash"),
-                           F.explode(runs_of(t, gram, window, passage_words)).alias("r"))
-               .select("id", "text_hash", "r.*"))
+    spots = written(docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("text_hash"),
+                                F.explode(selected(t, gram, window, passage_words)).alias("r"))
+                    .select("id", "text_hash", "r.*"), "line-spots")
     spot = F.struct("id", "text_hash", "at")
-    shared = (runs.groupBy("fp").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
-              .where(~F.col("first").eqNullSafe(F.col("last"))).select("fp"))
-    near = runs.join(shared, "fp", "left_semi")
-    first = (near.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .where(~F.col("first").eqNullSafe(F.col("last"))).select("a", "b", "first"))
-    return (near.join(first, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+    shared = written(spots.groupBy("fp").agg(F.min(spot).alias("head"), F.max(spot).alias("tail"))
+                     .where(~F.col("head").eqNullSafe(F.col("tail"))).select("fp"), "line-fingerprints")
+    runs = written(spots.join(shared, "fp", "left_semi").select("id", "text_hash", "lines", F.explode(extended()).alias("r"))
+                   .select("id", "text_hash", "lines", "r.*"), "line-runs")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "start")
+    first = written(runs.groupBy("a", "b").agg(F.min(place).alias("head"), F.max(place).alias("tail"))
+                    .where(~F.col("head").eqNullSafe(F.col("tail"))).select("a", "b", "head"), "line-firsts")
+    return (runs.join(first, ["a", "b"]).where(~place.eqNullSafe(F.col("head")))
             .select("id", "text_hash", "start", "lines"))
 
 

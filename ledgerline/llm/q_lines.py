@@ -15,11 +15,16 @@ n AS (SELECT *, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN 1 EL
              OVER (PARTITION BY rid ORDER BY i) AS unit FROM l),
 u AS (SELECT rid, doc_id, row_number() OVER (PARTITION BY rid ORDER BY unit) - 1 AS k,
              string_agg(line, chr(10) ORDER BY i) AS line FROM n GROUP BY rid, doc_id, unit),
-b AS (SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM u),
-w AS (SELECT rid, doc_id, k, bare AS l0, lead(bare, 1) OVER o AS l1, lead(bare, 2) OVER o AS l2
-      FROM b WINDOW o AS (PARTITION BY rid ORDER BY k)),
-r AS (SELECT rid, k, row_number() OVER (PARTITION BY l0, l1, l2 ORDER BY doc_id, k) AS nth FROM w WHERE l2 IS NOT NULL),
-gone AS (SELECT DISTINCT rid, k + unnest([0, 1, 2]) AS k FROM r WHERE nth > 1),
+b AS (SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+             len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM u),
+w AS (SELECT rid, doc_id, k, bare AS l0, lead(bare, 1) OVER o AS l1, lead(bare, 2) OVER o AS l2, words,
+             words + lead(words, 1) OVER o AS words2 FROM b WINDOW o AS (PARTITION BY rid ORDER BY k)),
+r AS (SELECT rid, k, 3 AS n, row_number() OVER (PARTITION BY l0, l1, l2 ORDER BY doc_id, k) AS nth
+      FROM w WHERE l2 IS NOT NULL
+      UNION ALL SELECT rid, k, 2, row_number() OVER (PARTITION BY l0, l1 ORDER BY doc_id, k)
+      FROM w WHERE l1 IS NOT NULL AND words2 >= 50
+      UNION ALL SELECT rid, k, 1, row_number() OVER (PARTITION BY l0 ORDER BY doc_id, k) FROM w WHERE words >= 50),
+gone AS (SELECT DISTINCT rid, k + unnest(range(n)) AS k FROM r WHERE nth > 1),
 m AS (SELECT u.rid, u.doc_id, u.k, u.line, gone.k IS NOT NULL AS removed,
              lag(gone.k IS NOT NULL) OVER (PARTITION BY u.rid ORDER BY u.k) AS before
       FROM u LEFT JOIN gone ON u.rid = gone.rid AND u.k = gone.k)
@@ -29,8 +34,12 @@ FROM m GROUP BY rid, doc_id
 """
 
 
+# Repeated runs are deleted from three lines on, and from so many words on whatever their lines.
+PASSAGE_WORDS = 50
+
+
 @register("op1_line_dedup", SQL)
 def op1_line_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed",
-                                         F.sha2(text_of(), 256).alias("kept_sha256"))
+    done = line_dedup.dedup(docs, passage_words=PASSAGE_WORDS)
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("kept_sha256"))

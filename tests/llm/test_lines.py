@@ -17,17 +17,20 @@ def units(text):
     return out
 
 
-def brute(docs, size):
+def brute(docs, size, passage_words=None):
     seen, out = set(), {}
     for key, text in docs:
         u = units(text)
         bare = [x.strip(BLANKS) for x in u]
         gone = set()
-        for i in range(len(u) - size + 1):
-            run = tuple(bare[i:i + size])
-            if run in seen:
-                gone.update(range(i, i + size))
-            seen.add(run)
+        for n in range(1, size + 1):
+            for i in range(len(u) - n + 1):
+                run = tuple(bare[i:i + n])
+                if n < size and (passage_words is None or sum(len(x.encode().split()) for x in run) < passage_words):
+                    continue
+                if run in seen:
+                    gone.update(range(i, i + n))
+                seen.add(run)
         runs = sum(i - 1 not in gone for i in gone)
         out[key] = len(u), len(gone), runs, "\n".join(x for i, x in enumerate(u) if i not in gone)
     return out
@@ -41,16 +44,16 @@ def test_lines_are_split_before_lines_with_words(spark):
         assert [x for x in got if x.strip(BLANKS)] == [x for x in units(t) if x.strip(BLANKS)]
 
 
-@pytest.mark.parametrize("gram, window", [(2, 2), (1, 1), (1, 4), (3, 3)])
-def test_random_corpus(spark, none, gram, window):
+@pytest.mark.parametrize("gram, window, words", [(2, 2, None), (1, 1, None), (1, 4, 3), (3, 3, None), (2, 2, 2), (3, 1, 4)])
+def test_random_corpus(spark, none, gram, window, words):
     rng = random.Random(gram * 10 + window)
     lines = [rng.choice(["alpha", "beta ", "gamma", "  delta", "eps", "zeta"]) for _ in range(6)]
     texts = ["\n".join(rng.choice(lines + ["", f"own {k}"]) for _ in range(rng.randint(0, 25))).lstrip("\n")
              for k in range(60)]
     texts += [texts[3], texts[3] + "\nmore", "x\n" * 50]
     docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], none.schema).repartition(4)
-    want = brute(list(enumerate(texts)), gram + window - 1)
-    for r in q.dedup(docs, gram, window).collect():
+    want = brute(list(enumerate(texts)), gram + window - 1, words)
+    for r in q.dedup(docs, gram, window, passage_words=words).collect():
         assert (r["n_lines"], r["n_removed"], r["n_runs"], r["text"]) == want[r["doc_id"]]
 
 

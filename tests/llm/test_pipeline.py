@@ -31,7 +31,7 @@ def test_pipeline(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     docs = {k: t for k, t in sorted(docs.items()) if good(t)}
-    deduped = lines.brute(docs.items(), 3)
+    deduped = lines.brute(docs.items(), 3, 50)
     docs = {k: deduped[k][3] for k in docs if not deduped[k][1] or deduped[k][3].strip(lines.BLANKS)}
     ids = list(docs)
     label = simhash.brute_groups([simhash.brute_print(docs[k]) for k in ids])
