@@ -1,8 +1,8 @@
 """A training corpus from ``documents``: five stages, each on what the last one kept.
 
 1. quality_rules: documents that a rule rejects go.
-2. line_dedup: runs of lines that occur earlier are deleted; a document with
-   nothing left goes.  ``n_chars`` follows the text.
+2. line_dedup: runs of lines that occur earlier, of three lines or of 50 words,
+   are deleted; a document with nothing left goes.  ``n_chars`` follows the text.
 3. simhash: one document of each near-duplicate group stays.
 4. decontaminate: documents with a benchmark passage go.
 5. byte_bpe: the documents as token ids, with a digest of the ids and of the
@@ -22,6 +22,7 @@ from ledgerline.llm import bpe, line_dedup, quality_rules, simhash
 from ledgerline.llm import decontaminate as benchmark_windows
 from ledgerline.llm.common import read, scratch
 from ledgerline.llm.q_bpe import tokenizer
+from ledgerline.llm.q_lines import PASSAGE_WORDS
 from ledgerline.llm.q_simhash import MAX_BITS, WIDTH
 
 
@@ -30,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.drop_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return line_dedup.drop_repeats(docs, passage_words=PASSAGE_WORDS).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
