@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.catalog import register
 from ledgerline.functions.keys import change_hash
-from ledgerline.operators import merge
+from ledgerline.operators import incremental, merge
 from ledgerline.plans import load
 from ledgerline.session import scratch_path, table
 
@@ -136,3 +136,39 @@ def load_truncate_fewer_columns(spark, d):
 @register("load_overwrite_fewer_columns", _SCOPED)
 def load_overwrite_fewer_columns(spark, d):
     return _scoped(spark, d, "overwrite")
+
+
+# --- I1 / T4: changed keys instead of a filtered join -----------------------------------------------
+
+@register("incremental_delta_keys", """
+WITH m AS (SELECT max(o_orderdate) - INTERVAL 400 DAY AS mark FROM orders)
+SELECT o_orderkey, o_custkey FROM (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS o_upd,
+         o_orderdate AS o_ld, CASE WHEN c_acctbal > 9000 THEN TIMESTAMP '1998-12-01 00:00:00' END AS c_upd
+  FROM orders JOIN customer ON o_custkey = c_custkey)
+WHERE greatest(COALESCE(o_upd, o_ld), COALESCE(c_upd, TIMESTAMP '1900-01-01 00:00:00')) >= (SELECT mark FROM m)""")
+def incremental_delta_keys(spark, d):
+    """The rows of incremental_changed_since, from the keys of changed customers."""
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    mark = o.agg((F.max(F.col("o_orderdate").cast("timestamp")) - F.expr("INTERVAL 400 DAYS")).alias("m")).scalar()
+    orders = o.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("ld"),
+                      F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"))
+                      .cast("timestamp").alias("upd"))
+    customers = c.select("c_custkey", F.lit(None).cast("timestamp").alias("ld"),
+                         F.when(F.col("c_acctbal") > 9000, F.lit("1998-12-01 00:00:00").cast("timestamp")).alias("upd"))
+    found = incremental.changed_facts(orders, ("upd", "ld"), [
+        incremental.Dimension(customers, "c_custkey", "o_custkey", ("upd", "ld"))], incremental.mark_of(spark, mark))
+    return found.select("o_orderkey", "o_custkey")
+
+
+@register("incremental_delta_lines", """
+SELECT l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE greatest(l_shipdate, o_orderdate) >= (SELECT max(l_shipdate) - INTERVAL 200 DAY FROM lineitem)""")
+def incremental_delta_lines(spark, d):
+    """Order lines shipped, or whose order was placed, since the last run; the orders are scanned from that day on."""
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    mark = li.agg((F.max(F.col("l_shipdate").cast("timestamp")) - F.expr("INTERVAL 200 DAYS")).alias("m")).scalar()
+    found = incremental.changed_facts(li, ("l_shipdate", "l_shipdate"), [
+        incremental.Dimension(o, "o_orderkey", "l_orderkey", ("o_orderdate", "o_orderdate"))],
+        incremental.mark_of(spark, mark))
+    return found.select("l_orderkey", "l_linenumber")

@@ -15,8 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ledgerline.session import scratch_path
+
 # Default placeholder for a missing dimension key.
 MISSING_KEY = "-1"
+# Parts that the rows of a NULL key are dealt into.
+NULL_SPREAD = 4096
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str],
@@ -67,11 +71,22 @@ def resolve_keys(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str, str,
     Each lookup is a left join on one key; a lookup value with several keys
     takes the least of them (as text), so duplicates cannot multiply fact rows
     and the choice does not depend on row order.
+
+    NULL fact keys find nothing, so they are dealt out by a hash of the row
+    instead of meeting in one task.  The lookups are written to the shared
+    folder when this is called: their size is known to the planner, and in a
+    sort-merge join each side has an exchange of its own, so that AQE can
+    split a hot key.
     """
-    out = fact
+    spark, out = fact.sparkSession, fact
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(NULL_SPREAD))
     for i, (dim, fcol, dcol, kcol, name) in enumerate(dims):
-        d = dim.groupBy(F.col(dcol).alias(f"_d{i}")).agg(F.min(F.col(kcol).cast("string")).alias(f"_k{i}"))
-        out = out.join(d, out[fcol] == d[f"_d{i}"], "left") \
+        path = scratch_path(spark, f"lookup-{i}")
+        (dim.filter(F.col(dcol).isNotNull()).groupBy(F.col(dcol).alias(f"_d{i}"))
+         .agg(F.min(F.col(kcol).cast("string")).alias(f"_k{i}")).write.parquet(path))
+        d = spark.read.parquet(path).withColumn("_z", F.lit(0).cast("long"))
+        salt = F.when(out[fcol].isNull(), spread).otherwise(0)
+        out = out.join(d, (out[fcol] == d[f"_d{i}"]) & (salt == d["_z"]), "left") \
                  .withColumn(name, F.coalesce(F.col(f"_k{i}"), F.lit(missing))) \
-                 .drop(f"_d{i}", f"_k{i}")
+                 .drop(f"_d{i}", f"_k{i}", "_z")
     return out

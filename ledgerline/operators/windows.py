@@ -74,19 +74,20 @@ def previous_value(df: DataFrame, partition: Sequence[str], order: Sequence[Colu
                    value: str, name: str, chunks: int | None = None) -> DataFrame:
     """W-4: ``lag(value, 1)`` per partition, balanced across hot keys.
 
-    Runs a job when called: the chunks are pinned by a checkpoint.
+    ``order`` takes sort expressions (``desc()``, ``asc_nulls_last()`` ...) as
+    a window does; the rows are cut into chunks in that very order.  Runs a
+    job when called: the chunks are pinned by a checkpoint.
     """
     order = [_c(o) for o in order]
     ranged = _ranged(df, partition, order, chunks)
     w = Window.partitionBy(*partition, "_chunk").orderBy(*order)
     local = ranged.withColumn("_lag", F.lag(F.col(value), 1).over(w)) \
-                  .withColumn("_first", F.row_number().over(w) == 1)
-    # last value of each chunk, then the previous chunk's last value per key
-    last = ranged.groupBy(*partition, "_chunk").agg(
-        F.max(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                       F.col(value).alias("_val"))).alias("_m"))
+                  .withColumn("_nth", F.row_number().over(w))
+    # last value of each chunk by its place in the order (a sort expression has no value to compare),
+    # then the previous chunk's last value per key
+    last = local.groupBy(*partition, "_chunk").agg(F.max_by(F.struct(value), "_nth").alias("_m"))
     wc = Window.partitionBy(*partition).orderBy("_chunk")
-    prev = last.select(*partition, "_chunk", F.lag(F.col("_m._val"), 1).over(wc).alias("_prev"))
+    prev = last.select(*partition, "_chunk", F.lag(F.col(f"_m.{value}"), 1).over(wc).alias("_prev"))
     out = _join_chunks(local, prev, partition)
-    res = out.withColumn(name, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col("_lag")))
-    return res.drop("_lag", "_first", "_prev", "_chunk")
+    res = out.withColumn(name, F.when(F.col("_nth") == 1, F.col("_prev")).otherwise(F.col("_lag")))
+    return res.drop("_lag", "_nth", "_prev", "_chunk")

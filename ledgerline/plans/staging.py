@@ -23,6 +23,7 @@ from ledgerline.functions.scalar import (
     any_meaningful, any_not_null, parse_date, rating_triple, valid_name, yes_no,
 )
 from ledgerline.operators.reshape import class_of, melt, rename_types
+from ledgerline.session import scratch_path
 
 # Tags of the polymorphic foreign key.
 SOURCE_ENTITY = "business_entity"
@@ -337,6 +338,12 @@ def _landing_rows(ids: DataFrame, cfg: StagingConfig, types: Sequence[str]) -> D
     return out.distinct()
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def build_relationships(ids: DataFrame, cfg: StagingConfig = StagingConfig()) -> DataFrame:
     """Relationship edges, id = K1 over the edge columns."""
     edges = _landing_rows(ids, cfg, ()).filter(F.col("kind") == "edge").select(*REL_COLUMNS).distinct()
@@ -362,13 +369,15 @@ def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig(),
     * type names then pass the M3 renames (``client_ecid``/``supplier_ecid``
       → ``ecid``).
 
-    Plan shape: the landing is read once (:func:`_landing_rows`); the "held by
-    a relationship" test is a left join against the distinct held pairs of the
-    same rows, so both sides share the landing exchange.
+    Plan shape: the landing is read once, when this is called: its distinct
+    rows (:func:`_landing_rows`), and from them the pairs that relationships
+    hold, are written to the shared folder.  The "held" test is then a left join
+    of two tables with an exchange each, so that AQE can split a (type, value)
+    that very many entities have, or broadcast the pairs by their size.
     """
     if cfg.identifier_scope not in ("global", "entity"):
         raise ValueError(f"unknown scope {cfg.identifier_scope!r}")
-    rows = _landing_rows(ids, cfg, types)
+    rows = _written(_landing_rows(ids, cfg, types), "landing-rows")
     is_edge, owner = F.col("kind") == "edge", F.col("stg_business_entity_id")
     idrows = rows.select(
         F.when(is_edge, relationship_id(cfg)).otherwise(owner).alias("related_identifier"),
@@ -377,11 +386,10 @@ def build_identifiers(ids: DataFrame, cfg: StagingConfig = StagingConfig(),
         "related_identifier", "related_identifier_source", "owner", "is_rel",
         F.col("_i.type").alias("identifier_type"), F.col("_i.value").alias("identifier_value"))
     on = ["identifier_type", "identifier_value"] + (["owner"] if cfg.identifier_scope == "entity" else [])
-    # no filter sits on the grouping columns of the shared distinct, so its exchange is reused
-    carried = F.when(is_edge, F.col("idents")).otherwise(F.expr("CAST(array() AS array<struct<type:string,value:string>>)"))
-    held = (rows.select(owner.alias("owner"), F.explode(carried).alias("_h"))
+    held = (rows.filter(is_edge).select(owner.alias("owner"), F.explode("idents").alias("_h"))
             .select("owner", F.col("_h.type").alias("identifier_type"), F.col("_h.value").alias("identifier_value"))
-            .select(*on).distinct().withColumn("_held", F.lit(True)))
+            .select(*on).distinct())
+    held = _written(held, "held-identifiers").withColumn("_held", F.lit(True))
     kept = idrows.join(held, on, "left").filter(F.col("is_rel") | F.col("_held").isNull())
     out = kept.select("related_identifier", "related_identifier_source",
                       rename_types("identifier_type").alias("identifier_type"), "identifier_value").distinct()
