@@ -124,3 +124,51 @@ def match_route(spark, d):
                          .otherwise(F.col("name")))
     out = match.deduplicate(src, _profile(spark, d, key=F.col("c_custkey") * 2))
     return out.withColumn("name_score", F.round("name_score", 6).cast("decimal(10,6)"))
+
+
+# --- names of one shared prefix (Customer#000000123), 25 blocks: most letters are the same in every name ---------
+
+def _prefixed(spark, d, typo=False):
+    c = table(spark, d, "customer")
+    name = F.concat(F.col("c_name"), F.lit(" of "), F.substring(F.md5(F.col("c_custkey").cast("string")), 1, 16))
+    if typo:
+        name = F.concat(F.substring(name, 1, 24), F.lit("~"), F.substring(name, 26, 20))
+    return c.select(F.col("c_custkey").cast("string").alias("business_entity_id"), name.alias("name"),
+                    F.concat(F.lit("TAX-"), F.col("c_nationkey").cast("string")).alias("tax_id"),
+                    F.col("c_mktsegment").alias("address"), F.lit("").alias("postal_code"))
+
+
+_PREFIXED = """SELECT CAST(c_custkey AS VARCHAR) AS k, c_name || ' of ' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 16) AS name,
+  'TAX-' || CAST(c_nationkey AS VARCHAR) AS tax_id FROM customer"""
+
+
+@register("match_shared_prefix", f"""
+WITH m AS ({_PREFIXED}), s AS (SELECT k, substr(name, 1, 24) || '~' || substr(name, 26) AS name, tax_id FROM m)
+SELECT s.k AS src_business_entity_id, m.k AS main_business_entity_id, CAST(round({_SCORE}, 6) AS DECIMAL(10,6)) AS name_score
+FROM s JOIN m ON s.tax_id = m.tax_id WHERE {_SCORE} >= 0.85""")
+def match_shared_prefix(spark, d):
+    """Names of one prefix and a tail of their own; what they share is not joined on."""
+    s = match.match_scores(_prefixed(spark, d, typo=True), _prefixed(spark, d), threshold=0.85)
+    return s.select("src_business_entity_id", "main_business_entity_id",
+                    F.round("name_score", 6).cast("decimal(10,6)").alias("name_score"))
+
+
+_SHORT = """SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name,
+  'TAX-' || CAST(c_custkey % (SELECT count(*) // 60 FROM customer) AS VARCHAR) AS tax_id FROM customer"""
+
+
+@register("match_all_alike", f"""
+WITH m AS ({_SHORT}), s AS (SELECT k, substr(name, 1, 5) || '~' || substr(name, 7) AS name, tax_id FROM m)
+SELECT s.k AS src_business_entity_id, m.k AS main_business_entity_id, CAST(round({_SCORE}, 6) AS DECIMAL(10,6)) AS name_score
+FROM s JOIN m ON s.tax_id = m.tax_id WHERE {_SCORE} >= 0.8""")
+def match_all_alike(spark, d):
+    """Names that are a shared prefix and a number: a large part of each block's pairs pass."""
+    c = table(spark, d, "customer")
+    blocks = c.agg(F.floor(F.count(F.lit(1)) / 60)).scalar()
+    main = c.select(F.col("c_custkey").cast("string").alias("business_entity_id"), F.col("c_name").alias("name"),
+                    F.concat(F.lit("TAX-"), (F.col("c_custkey") % blocks).cast("string")).alias("tax_id"),
+                    F.lit("").alias("address"), F.lit("").alias("postal_code"))
+    src = main.withColumn("name", F.concat(F.substring("name", 1, 5), F.lit("~"), F.substring("name", 7, 30)))
+    s = match.match_scores(src, main)
+    return s.select("src_business_entity_id", "main_business_entity_id",
+                    F.round("name_score", 6).cast("decimal(10,6)").alias("name_score"))

@@ -6,25 +6,27 @@ expands into the pairs that share a positioned name segment:
 
 * the name score is ``1 - lev(src, main) / len(src)``; a pair can reach the
   threshold ``t`` only when ``lev <= k = floor((1 - t) * len(src))``;
-* pigeonhole: cut the source name into ``k + 1`` segments; a main name within
-  ``k`` edits contains at least one segment unchanged, at a position whose
-  shift is bounded (position-aware substring selection of the partition-based
-  similarity join, Li et al., VLDB 2011);
-* so each source row emits ``k + 1`` (block, length, segment no, text) keys,
-  each main row emits a few substrings per plausible source length, and an
-  equi-join on those keys yields every pair that can pass — no other pair.
-  Both sides carry their names, so a candidate is verified with the exact
-  score where it is found, and a pair that passes is emitted only at its first
-  common segment: there is no candidate table to de-duplicate.  Addresses are
-  fetched for passing pairs alone.
-
-Limits: names that share long common parts (a fixed prefix such as
-``Customer#0000``) share segments, so most pairs of such a block still become
-candidates; they are verified and dropped, but the candidate join is then
-close to quadratic in the block.  Blank blocking values never match (a NULL
-tax id turned into ``''`` would otherwise put all of them in one block).  A
-hot block or a segment text shared by very many names is an equi-join hot
-key, which AQE's skew-join handling splits across tasks.
+* pigeonhole: cut the source name into up to ``2 (k + 1)`` segments; ``k``
+  edits touch at most ``k`` of them, so of *any* ``k + 1`` segments one stands
+  unchanged in a main name within ``k`` edits, at a place whose shift is
+  bounded (position-aware substrings, Li et al., VLDB 2011);
+* rare first: the main side's substrings are counted by (block, length,
+  segment number, text), which is exactly what joining on a segment would
+  cost, and each source name joins on its ``k + 1`` rarest segments only.  A
+  prefix that all names of a block share is thus never joined on, unless a
+  name has nothing rarer to show;
+* both sides carry their names, so a candidate is verified with the exact
+  score where it is found, and a pair that passes is emitted only at the first
+  chosen segment that it has in common: there is no candidate table to
+  de-duplicate.  Addresses are fetched for passing pairs alone.
+
+The substrings and their counts are written to the shared folder, so they are
+made once and each side of the joins has an exchange of its own.  Blank
+blocking values never match (a NULL tax id turned into ``''`` would otherwise
+put all of them in one block).  A hot block or a segment text shared by very
+many names is an equi-join hot key, which AQE's skew-join handling splits
+across tasks.  Candidates still grow with the square of a block whose names
+differ in so few letters that most of its pairs pass.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedupe import latest
+from ledgerline.session import scratch_path
 
 # Default duplicate threshold on the name score.
 NAME_THRESHOLD = 0.8
@@ -77,34 +80,42 @@ def match_profile(details: DataFrame, identifiers: DataFrame, addresses: DataFra
                                  for c in ("name", "tax_id", "address", "postal_code")])
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname: str, rname: str,
-                  lblock: str, rblock: str, threshold: float = NAME_THRESHOLD) -> DataFrame:
-    """Pairs (``lkey``, ``rkey``) in the same non-blank block whose name score
-    ``1 - lev(lname, rname) / len(lname)`` is at least ``threshold``.
+def _segments(n: Column, k: Column) -> Column:
+    """Segments of a name of length ``n``: twice as many as must be looked at, as far as it has letters."""
+    return F.least(n, 2 * (k + 1))
 
-    Exact: returns the same pairs as scoring every pair of each block.
-    Output columns: ``_lk, _rk, _ln, _rn, _b, lev, name_score``.
-    """
-    t = float(threshold)
+
+def _start(i: Column) -> Column:
+    """First place of segment i of the source name."""
+    return F.floor(i * F.col("_n") / _segments(F.col("_n"), F.col("_k"))).cast("int")
+
+
+def _size(i: Column) -> Column:
+    return _start(i + 1) - _start(i)
+
+
+def _places(i: Column) -> tuple[Column, Column]:
+    """Where segment i can stand in a main name within k edits: edits before it shift it, edits behind make up the length."""
     n, k, m = F.col("_n"), F.col("_k"), F.col("_m")
+    low = F.greatest(F.lit(0), _start(i) - F.floor((k - (m - n)) / 2).cast("int"))
+    high = F.least(m - _size(i), _start(i) + F.floor((k + (m - n)) / 2).cast("int"))
+    return low, high
 
-    def start(i):                       # first place of segment i of the source name
-        return F.floor(i * n / (k + 1)).cast("int")
 
-    def size(i):
-        return start(i + 1) - start(i)
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    def places(i):                      # where segment i can stand in a main name within k edits
-        low = F.greatest(F.lit(0), start(i) - i, start(i) + (m - n) - (k - i))
-        high = F.least(m - size(i), start(i) + i, start(i) + (m - n) + (k - i))
-        return low, high
 
+def candidates(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname: str, rname: str,
+               lblock: str, rblock: str, threshold: float = NAME_THRESHOLD) -> DataFrame:
+    """Pairs that share a chosen segment (``_i``), a row for each of them; ``_chosen`` are the source name's."""
+    t = float(threshold)
+    n, k, m, i = F.col("_n"), F.col("_k"), F.col("_m"), F.col("_i")
     L = (left.select(F.col(lkey).alias("_lk"), F.col(lblock).cast("string").alias("_b"), F.col(lname).alias("_ln"))
          .filter(~_blank(F.col("_b")) & F.col("_ln").isNotNull() & (F.length("_ln") > 0)).distinct()
          .withColumn("_n", F.length("_ln")).withColumn("_k", _max_edits(n, t)))
-    i = F.col("_i")
-    Lseg = (L.select("*", F.explode(F.sequence(F.lit(0), k)).alias("_i"))
-            .withColumn("_seg", F.substring("_ln", start(i) + 1, size(i))))
     lengths = L.select("_n").distinct()
 
     R = (right.select(F.col(rkey).alias("_rk"), F.col(rblock).cast("string").alias("_b"), F.col(rname).alias("_rn"))
@@ -117,23 +128,46 @@ def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname
           .withColumn("_k", _max_edits(n, t))
           .filter(F.abs(m - n) <= k)
           .join(lengths, "_n", "left_semi"))   # tiny in practice; AQE broadcasts it from its measured size
-    low, high = places(i)
-    texts = F.array_distinct(F.transform(F.sequence(low, high), lambda p: F.substring(F.col("_rn"), p + 1, size(i))))
-    Rsub = (Rn.select("*", F.explode(F.sequence(F.lit(0), k)).alias("_i")).filter(low <= high)
-            .select("_rk", "_b", "_rn", "_m", "_n", "_i", F.explode(texts).alias("_seg")))
+    low, high = _places(i)
+    texts = F.array_distinct(F.transform(F.sequence(low, high), lambda p: F.substring(F.col("_rn"), p + 1, _size(i))))
+    key = ["_b", "_n", "_i", "_seg"]
+    Rsub = _saved(Rn.select("*", F.explode(F.sequence(F.lit(0), _segments(n, k) - 1)).alias("_i")).filter(low <= high)
+                  .select("_rk", "_b", "_rn", "_m", "_n", "_i", F.explode(texts).alias("_seg")), "match-substrings")
+    cost = _saved(Rsub.groupBy(*key).agg(F.count(F.lit(1)).alias("_cost")), "match-costs")
+
+    Lseg = (L.select("*", F.explode(F.sequence(F.lit(0), _segments(n, k) - 1)).alias("_i"))
+            .withColumn("_seg", F.substring("_ln", _start(i) + 1, _size(i))).join(cost, key, "left"))
+    ranked = F.sort_array(F.collect_list(F.struct(F.coalesce("_cost", F.lit(0).cast("long")).alias("c"), "_i", "_seg")))
+    rarest = (Lseg.groupBy("_lk", "_b", "_ln", "_n", "_k").agg(ranked.alias("_r"))       # a name has few segments
+              .withColumn("_r", F.slice("_r", F.lit(1), k + 1)).withColumn("_chosen", F.col("_r._i")))
+    chosen = (rarest.select("_lk", "_b", "_ln", "_n", "_k", "_chosen", F.explode("_r").alias("_s"))
+              .filter("_s.c > 0").select("_lk", "_b", "_ln", "_n", "_k", "_chosen", "_s._i", "_s._seg"))
+    return _saved(chosen, "match-segments").join(Rsub, key)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname: str, rname: str,
+                  lblock: str, rblock: str, threshold: float = NAME_THRESHOLD) -> DataFrame:
+    """Pairs (``lkey``, ``rkey``) in the same non-blank block whose name score
+    ``1 - lev(lname, rname) / len(lname)`` is at least ``threshold``.
+
+    Exact: returns the same pairs as scoring every pair of each block.  Runs
+    jobs when called (substrings and their counts).
+    Output columns: ``_lk, _rk, _ln, _rn, _b, lev, name_score``.
+    """
+    n = F.col("_n")
 
     def common(j):                      # does segment j of the source name stand in the main name at one of its places
-        low, high = places(j)
-        window = F.substring(F.col("_rn"), low + 1, high - low + size(j))
-        return (low <= high) & (F.instr(window, F.substring(F.col("_ln"), start(j) + 1, size(j))) > 0)
+        low, high = _places(j)
+        window = F.substring(F.col("_rn"), low + 1, high - low + _size(j))
+        return (low <= high) & (F.instr(window, F.substring(F.col("_ln"), _start(j) + 1, _size(j))) > 0)
 
     # bounded distance: stops once it exceeds k (-1); k bounds every passing pair
-    found = (Lseg.join(Rsub, ["_b", "_n", "_i", "_seg"])
+    found = (candidates(left, right, lkey, rkey, lname, rname, lblock, rblock, threshold)
              .withColumn("lev", F.expr("levenshtein(_ln, _rn, _k)")).filter(F.col("lev") >= 0)
              .withColumn("name_score", F.lit(1.0) - F.try_divide(F.col("lev").cast("double"), n.cast("double")))
-             .filter(F.col("name_score") >= F.lit(t)))
-    first = F.get(F.filter(F.sequence(F.lit(0), k), common), F.lit(0))
-    return found.filter(first == i).select("_lk", "_rk", "_ln", "_rn", "_b", "lev", "name_score")
+             .filter(F.col("name_score") >= F.lit(float(threshold))))
+    first = F.get(F.filter("_chosen", common), F.lit(0))
+    return found.filter(first == F.col("_i")).select("_lk", "_rk", "_ln", "_rn", "_b", "lev", "name_score")
 
 
 def _addresses(profile: DataFrame, key: str, prefix: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exactness of the fuzzy candidate join and of the balanced window steps,
 each against a brute-force computation on small data."""
 
+import hashlib
 import random
 
 import pandas as pd
@@ -164,3 +165,15 @@ def test_candidates_are_not_deduplicated(spark):
     pairs = match.similar_pairs(df, df, "k", "k", "name", "name", "b", "b", 0.8)
     rows = [(r._lk, r._rk) for r in pairs.collect()]
     assert len(rows) == len(set(rows)) == 36
+
+
+def test_a_shared_prefix_makes_no_candidates(spark):
+    """Names of one prefix in one block: rare segments lead to few pairs that do not pass."""
+    names = [(k, f"Customer#{k:09d} of {hashlib.md5(str(k).encode()).hexdigest()[:16]}", "T") for k in range(400)]
+    main = spark.createDataFrame(names, "k int, name string, tax string")
+    src = main.withColumn("name", F.concat(F.substring("name", 1, 24), F.lit("~"), F.substring("name", 26, 20)))
+    args = ("k", "k", "name", "name", "tax", "tax", 0.85)
+    tried = match.candidates(src, main, *args).select("_lk", "_rk").distinct().count()
+    passed = match.similar_pairs(src, main, *args)
+    assert {(r["_lk"], r["_rk"]) for r in passed.collect()} >= {(k, k) for k in range(400)}
+    assert passed.count() == 400 and tried <= 5 * 400, tried
