@@ -9,6 +9,7 @@ from ledgerline.functions.keys import change_hash
 from ledgerline.operators import incremental, merge
 from ledgerline.plans import load
 from ledgerline.session import scratch_path, table
+from ledgerline.sources import versioned
 
 AS_OF = "2024-06-01 00:00:00"
 _STAMPS = {"AUD_LD_DTS": "2024-01-01 00:00:00", "AUD_UPD_DTS": None}
@@ -172,3 +173,75 @@ def incremental_delta_lines(spark, d):
         incremental.Dimension(o, "o_orderkey", "l_orderkey", ("o_orderdate", "o_orderdate"))],
         incremental.mark_of(spark, mark))
     return found.select("l_orderkey", "l_linenumber")
+
+
+# --- versions on plain files: touched buckets, whole sets, batches to stream from ------------------------
+
+@register("merge_touched_buckets", """
+WITH few AS (SELECT * FROM customer WHERE c_custkey % 100 = 7 AND c_custkey % 3 <> 0)
+SELECT c.c_custkey, CASE WHEN f.c_custkey IS NULL THEN c.c_name ELSE upper(c.c_name) END AS c_name, c.c_mktsegment
+FROM customer c LEFT JOIN few f ON c.c_custkey = f.c_custkey WHERE c.c_custkey % 100 <> 8
+UNION ALL SELECT -c_custkey, upper(c_name), c_mktsegment FROM customer WHERE c_custkey % 100 = 7 AND c_custkey % 3 = 0""")
+def merge_touched_buckets(spark, d):
+    """A bucketed hub: 1 % of the customers changed or are new, then 1 % are deleted; other buckets are not rewritten."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment",
+                                           change_hash(["c_name", "c_mktsegment"]).alias("md5_key"))
+    hub = versioned.BucketedTable(scratch_path(spark, "hub-customer"), ["c_custkey"], c.schema, buckets=64)
+    hub.store(c)
+    some = c.filter("c_custkey % 100 = 7")
+    key = F.when(F.col("c_custkey") % 3 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    name = F.upper("c_name")
+    hub.scd1(some.select(key.alias("c_custkey"), name.alias("c_name"),
+                         change_hash([name, "c_mktsegment"]).alias("md5_key")), "md5_key")
+    hub.hard_delete(c.filter("c_custkey % 100 <> 8"), "c_custkey > 0")
+    segment = c.select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("segment"))
+    now = hub.read(spark).drop("md5_key")
+    back = now.join(segment, F.abs("c_custkey") == F.col("k"))         # new rows have no segment of their own
+    return back.select("c_custkey", "c_name", F.coalesce("c_mktsegment", "segment").alias("c_mktsegment"))
+
+
+@register("source_publish_all", """
+SELECT 'orders' AS name, count(*) AS n, max(o_orderkey) AS last_key FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'customer', count(*), max(c_custkey) FROM customer""")
+def source_publish_all(spark, d):
+    """Two sets of tables: the second replaces the first as a whole; a third fails and changes nothing."""
+    root = scratch_path(spark, "published")
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    versioned.publish_all(spark, {"orders": o, "customer": c.limit(1)}, root)
+    versioned.publish_all(spark, {"orders": o.filter("o_orderstatus = 'F'"), "customer": c}, root)
+    broken = c.select(F.raise_error(F.lit("no rows today")).alias("c_custkey"))
+    try:
+        versioned.publish_all(spark, {"orders": o, "customer": broken}, root)
+    except RuntimeError:
+        pass
+    out = [versioned.read_published(spark, root, name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"),
+                                                           F.max(key).alias("last_key"))
+           for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey"))]
+    return out[0].unionByName(out[1])
+
+
+@register("source_truncate_load", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= DATE '1997-01-01'""")
+def source_truncate_load(spark, d):
+    """Truncate-then-load of a file sink: the old rows go when the new ones are there."""
+    root = scratch_path(spark, "truncated")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    versioned.publish_all(spark, {"lines": li}, root)
+    versioned.publish_all(spark, {"lines": li.filter("l_shipdate >= DATE '1997-01-01'").drop("l_shipdate")}, root)
+    return versioned.read_published(spark, root, "lines")
+
+
+@register("stream_from_version", """
+SELECT o_orderkey, o_orderstatus, CAST(o_orderkey % 5 AS BIGINT) AS version FROM orders WHERE o_orderkey % 5 >= 2""")
+def stream_from_version(spark, d):
+    """Orders in five numbered batches; a stream that starts at version 2 gets the later ones only."""
+    root, out = scratch_path(spark, "versions"), scratch_path(spark, "versions-out")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for k in range(5):
+        versioned.append_version(o.filter(F.col("o_orderkey") % 5 == k), root, k)
+    q = (versioned.stream_versions(spark, root, o.schema, 2).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "versions-mark")).trigger(availableNow=True).start())
+    if q.awaitTermination(600) is False:
+        q.stop()
+        raise TimeoutError("the stream has not finished")
+    return spark.read.parquet(out)

@@ -49,6 +49,7 @@ class MergeResult:
     rejects: DataFrame
     report: DataFrame
     columns: Sequence[Column] = ()
+    kept: Column | None = None            # classified rows that are target rows (all of them by default)
 
     def observed(self, seen: Observation, drop_untouched: bool = False) -> DataFrame:
         """A4: the target, counting on its way.
@@ -62,7 +63,10 @@ class MergeResult:
         o, own = F.col("outcome"), F.col("_s").isNotNull()
         counted = self.classified.observe(
             seen, F.sum(F.when(own, F.col("s_" + ROWS))).alias("source"),
-            *[F.count_if(o == k).alias(k) for k in (UPDATE, INSERT, UNCHANGED, UNTOUCHED)])
+            *[F.count_if(o == k).alias(k) for k in (UPDATE, INSERT, UNCHANGED, UNTOUCHED)],
+            F.count_if(o.startswith("reject")).alias("rejected"))
+        if self.kept is not None:
+            counted = counted.filter(self.kept)
         if drop_untouched:
             counted = counted.filter((o != UNTOUCHED) | ~F.col("_in"))
         return counted.select(*self.columns)
@@ -183,11 +187,12 @@ def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str],
             return F.when(o == INSERT, sv).otherwise(tv)
         return F.when(o.isin(UPDATE, INSERT), sv).otherwise(tv)
 
-    new_target = j.filter(tp | (o == INSERT)).select(
-        *[new_value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    columns = [new_value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    kept = tp | (o == INSERT)
+    new_target = j.filter(kept).select(*columns)
     rejects = j.filter(o.startswith("reject")).select(
         *[F.col("s_" + c).alias(c) for c in src.columns], o.alias("reject_reason"))
-    return MergeResult(j, new_target, rejects, _report(j))
+    return MergeResult(j, new_target, rejects, _report(j), columns, kept)
 
 
 def scd1_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], hash_col: str,

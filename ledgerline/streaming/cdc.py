@@ -5,7 +5,8 @@ change per key (partial aggregate, so a hot key costs one row per task) and
 merged with :func:`ledgerline.operators.merge.scd1_merge`, with the
 late-change guard on.  The target is kept in ``buckets`` by a hash of its
 keys: a batch reads and rewrites only the buckets that hold a changed key, so
-its cost follows the change and not the target.  The new bucket files are
+its cost follows the change and not the target (a
+:class:`ledgerline.sources.versioned.BucketedTable`).  The new bucket files are
 written beside the old ones and then committed by one small file per batch
 that names the version of every bucket; a replayed batch (after a driver or
 executor failure) finds its commit and is skipped, so each batch is applied
@@ -24,17 +25,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline.operators.dedupe import latest
 from ledgerline.operators.merge import scd1_merge
-
-COMMITS = "_commits"
-BUCKET = "_bucket"
-COMMIT_SCHEMA = "batch_id long, query_id string, buckets int, bucket int, version long"
+from ledgerline.sources.versioned import BucketedTable
 
 
 @dataclass
@@ -58,91 +55,40 @@ class Scd1StreamSink:
     guard_col: str | None = None
     buckets: int = 32
 
-    # -- commits ----------------------------------------------------------
-    def _commits(self, spark: SparkSession) -> DataFrame | None:
-        """All commit rows, or None where nothing was ever committed."""
-        try:
-            return spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/{COMMITS}/*")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _newest(self, spark: SparkSession, n: int) -> list[tuple[int, str | None, int, dict[int, int]]]:
-        """The last ``n`` commits: batch id, query id, number of buckets, version of each bucket."""
-        rows = self._commits(spark)
-        if rows is None:
-            return []
-        ids = [r.batch_id for r in rows.select("batch_id").distinct().orderBy(F.desc("batch_id")).limit(n).collect()]
-        out = []
-        for i in ids:               # at most one row per bucket each
-            part = rows.filter(F.col("batch_id") == i).collect()
-            out.append((i, part[0].query_id, part[0].buckets,
-                        {r.bucket: r.version for r in part if r.bucket is not None}))
-        return out
+    @property
+    def table(self) -> BucketedTable:
+        return BucketedTable(self.root, self.keys, self.target_schema, self.buckets)
 
     def committed(self, spark: SparkSession) -> tuple[int, dict[int, int]] | None:
-        last = self._newest(spark, 1)
-        return (last[0][0], last[0][3]) if last else None
-
-    def _folder(self, bucket: int, version: int) -> str:
-        return f"{self.root}/v{version:012d}/{BUCKET}={bucket}"
-
-    def _read(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
-        paths = [self._folder(b, v) for b, v in sorted(versions.items())]
-        if not paths:
-            return spark.createDataFrame([], self.target_schema)
-        return spark.read.schema(self.target_schema).parquet(*paths)
+        last = self.table.newest(spark)
+        return (last[0].number, dict(last[0].versions)) if last else None
 
     def current(self, spark: SparkSession) -> DataFrame:
-        last = self.committed(spark)
-        return self._read(spark, last[1] if last else {})
-
-    def _retire(self, spark: SparkSession) -> None:
-        """Remove the third last commit, and the bucket versions that no later one names."""
-        last = self._newest(spark, 3)
-        if len(last) < 3:
-            return
-        held = {(b, v) for *_, versions in last[:2] for b, v in versions.items()}
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        old = [self._folder(b, v) for b, v in set(last[2][3].items()) - held]
-        for name in [*old, f"{self.root}/{COMMITS}/batch={last[2][0]}"]:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        return self.table.read(spark)
 
     # -- one micro-batch --------------------------------------------------------
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        last = self._newest(spark, 1)
-        versions: dict[int, int] = {}
+        last = next(iter(self.table.newest(spark)), None)
         if last:
-            done, by, buckets, versions = last[0]
-            if buckets != self.buckets:
-                raise ValueError(f"the target has {buckets} buckets, not {self.buckets}")
-            if query and by and query != by:
-                raise ValueError(f"target {self.root} was written by stream {by}; this is stream {query} with a "
+            if last.buckets != self.buckets:
+                raise ValueError(f"the target has {last.buckets} buckets, not {self.buckets}")
+            if query and last.tag and query != last.tag:
+                raise ValueError(f"target {self.root} was written by stream {last.tag}; this is stream {query} with a "
                                  "checkpoint of its own, whose batch numbers cannot be compared")
-            if batch_id <= done:
+            if batch_id <= last.number:
                 return  # replayed batch: already applied
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
         changes = latest(batch, list(self.keys), list(self.order)).persist()
         try:
-            touched = [r[0] for r in changes.select(bucket).distinct().collect()]      # at most ``buckets``
-            now = self._read(spark, {b: versions[b] for b in touched if b in versions})
-            res = scd1_merge(changes, now, list(self.keys), self.hash_col,
-                             upd_col=self.upd_col, ld_col=self.ld_col, ignore_older=True,
-                             guard_col=self.guard_col, on_duplicates="keep")
-            out = res.target.select(*[f.name for f in self.target_schema.fields], bucket.alias(BUCKET))
-            out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
-                f"{self.root}/v{int(batch_id):012d}")
+            touched = [r[0] for r in changes.select(self.table.bucket()).distinct().collect()]   # at most ``buckets``
+
+            def merged(now: DataFrame) -> DataFrame:
+                return scd1_merge(changes, now, list(self.keys), self.hash_col, upd_col=self.upd_col, ld_col=self.ld_col,
+                                  ignore_older=True, guard_col=self.guard_col, on_duplicates="keep").target
+            self.table.rewrite(spark, touched, merged, int(batch_id), last, query)
         finally:
             changes.unpersist()
-        versions = {**versions, **{b: int(batch_id) for b in touched}}
-        rows = [(int(batch_id), query, self.buckets, b, v) for b, v in sorted(versions.items())]
-        spark.createDataFrame(rows or [(int(batch_id), query, self.buckets, None, None)], COMMIT_SCHEMA) \
-            .coalesce(1).write.mode("overwrite").json(f"{self.root}/{COMMITS}/batch={int(batch_id)}")
-        self._retire(spark)
 
 
 def stream_source(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
