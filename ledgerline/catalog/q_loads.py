@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.catalog import register
 from ledgerline.functions.keys import change_hash
@@ -245,3 +246,24 @@ def stream_from_version(spark, d):
         q.stop()
         raise TimeoutError("the stream has not finished")
     return spark.read.parquet(out)
+
+
+@register("load_files_one_job", """
+SELECT CAST(o_orderkey % 40 AS INTEGER) AS file, CASE WHEN o_orderkey % 40 IN (3, 17, 31) THEN 'failed' ELSE 'completed' END AS status,
+       CASE WHEN o_orderkey % 40 IN (3, 17, 31) THEN 0 ELSE count(*) END AS n_rows,
+       CASE WHEN o_orderkey % 40 IN (3, 17, 31) THEN 0 ELSE sum(o_orderkey) END AS keys
+FROM orders GROUP BY ALL""")
+def load_files_one_job(spark, d):
+    """Orders as 40 text files, three of them with a line that is no order: one scan loads the others and logs all."""
+    folder = scratch_path(spark, "order-files")
+    o = table(spark, d, "orders").select((F.col("o_orderkey") % 40).cast("int").alias("file"), "o_orderkey", "o_orderstatus")
+    broken = F.col("file").isin(3, 17, 31) & (F.col("o_orderstatus") == "F")
+    line = F.when(broken, F.concat_ws("|", "o_orderkey", "o_orderstatus")).otherwise(F.concat_ws(",", "o_orderkey", "o_orderstatus"))
+    o.select("file", line.alias("value")).repartition("file").write.partitionBy("file").text(folder)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType())])
+    rows, log = load.scan_files(spark, f"{folder}/*", schema)
+    number = lambda c: F.regexp_extract(c, "file=([0-9]+)", 1).cast("int")
+    keys = rows.groupBy(number(load.FILE).alias("loaded")).agg(F.sum("o_orderkey").alias("keys"))
+    return log.select(number("file_name").alias("file"), "status", "n_rows").join(
+        keys, F.col("file") == F.col("loaded"), "left").select(
+        "file", "status", "n_rows", F.coalesce("keys", F.lit(0).cast("long")).alias("keys"))

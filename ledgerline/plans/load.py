@@ -25,10 +25,11 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerline.operators import merge
 from ledgerline.operators.conform import align, ensure_columns
+from ledgerline.session import scratch_path
 from ledgerline.sources.io import overwrite_load, overwrite_where
 
 # Load strategies and audit statuses.
@@ -312,6 +313,41 @@ def load_files(files: Sequence[str], load_one: Callable[[str], None]) -> list[tu
     return out
 
 
+CORRUPT, FILE = "_corrupt_record", "_file"
+
+
+def scan_files(spark: SparkSession, path: str | Sequence[str], schema: StructType, fmt: str = "csv",
+               options: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """I3 in one job: the rows of all whole files, and the job log of every file.
+
+    All CSV or JSON files are parsed by one scan, each row with its file and
+    with the raw text of a record that does not fit the schema, and written to
+    the shared folder.  A file with such a record is ``failed`` (the log has
+    the first of them and their number) and none of its rows are returned;
+    the others are ``completed``, those with no rows included (a file of no
+    byte at all is not listed: scans skip it).  The rows carry the file's path
+    in ``_file``.
+    """
+    whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    raw = (spark.read.format(fmt).schema(whole).options(**dict(options or {}))
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).load(path))
+    kept = scratch_path(spark, "files")
+    raw.select("*", F.col("_metadata.file_path").alias(FILE)).write.parquet(kept)
+    rows = spark.read.parquet(kept)
+    bad = F.col(CORRUPT).isNotNull()
+    per_file = rows.groupBy(F.col(FILE).alias("_read")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_bad"), F.min(CORRUPT).alias("first"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    failed = F.col("n_bad") > 0
+    log = (listed.join(per_file, F.col("path") == F.col("_read"), "left")
+           .select(F.col("path").alias("file_name"),
+                   F.when(failed, FAILED).otherwise(COMPLETED).alias("status"),
+                   F.when(failed, F.format_string("%d records do not fit, first: %s", "n_bad", "first")).otherwise("").alias("error"),
+                   F.when(failed, 0).otherwise(F.coalesce("n_rows", F.lit(0))).cast("long").alias("n_rows")))
+    lost = per_file.filter(failed).select(F.col("_read").alias(FILE))
+    return rows.join(lost, FILE, "left_anti").select(*schema.names, FILE), log
+
+
 def job_log(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFrame:
     """The outcome of :func:`load_files` as a job-log frame (file_name, status, error)."""
     return spark.createDataFrame(list(rows), "file_name string, status string, error string")

@@ -1,4 +1,4 @@
-"""Bucketed copy-on-write, whole sets of tables, streams from a version."""
+"""Bucketed copy-on-write, whole sets of tables, streams from a version, many files in one scan."""
 
 import os
 
@@ -94,3 +94,22 @@ def test_stream_starts_at_a_version(spark, tmp_shared):
     assert run(2) == list(range(20, 50))
     with pytest.raises(Exception, match="(?i)exist"):
         V.append_version(df, root, 4)
+
+
+def test_many_files_in_one_scan(spark, tmp_shared):
+    from pyspark.sql import types as T
+
+    from ledgerline.plans import load
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    os.makedirs(f"{tmp_shared}/files")
+    for k in range(1000):
+        lines = ["k,v", f"{k},a", f"{k},b"] + {5: ["no number,x"], 50: ["1,2,3,4"], 500: ["1,a", "z,z"]}.get(k, [])
+        with open(f"{tmp_shared}/files/f{k}.csv", "w") as f:
+            f.write("" if k == 7 else "k,v\n" if k == 8 else "\n".join(lines))
+    rows, log = load.scan_files(spark, f"{tmp_shared}/files", schema, options={"header": "true"})
+    status = {int(r["file_name"].rsplit("f", 1)[1][:-4]): (r["status"], r["n_rows"], r["error"]) for r in log.collect()}
+    assert {k for k, s in status.items() if s[0] == "failed"} == {5, 50, 500} and len(status) == 999
+    assert 7 not in status and status[8] == ("completed", 0, "") and status[9] == ("completed", 2, "")
+    assert status[5][1] == 0 and "1 records" in status[5][2] and "no number" in status[5][2]
+    got = rows.select("k").distinct().collect()
+    assert {r["k"] for r in got} == set(range(1000)) - {5, 50, 500, 7, 8} and rows.count() == 2 * 995
