@@ -249,10 +249,10 @@ def stream_from_version(spark, d):
 
 
 @register("load_files_one_job", """
-SELECT CAST(o_orderkey % 40 AS INTEGER) AS file, CASE WHEN o_orderkey % 40 IN (3, 17, 31) THEN 'failed' ELSE 'completed' END AS status,
-       CASE WHEN o_orderkey % 40 IN (3, 17, 31) THEN 0 ELSE count(*) END AS n_rows,
-       CASE WHEN o_orderkey % 40 IN (3, 17, 31) THEN 0 ELSE sum(o_orderkey) END AS keys
-FROM orders GROUP BY ALL""")
+WITH f AS (SELECT CAST(o_orderkey % 40 AS INTEGER) AS file, o_orderkey % 40 IN (3, 17, 31) AS bad, o_orderkey FROM orders)
+SELECT file, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS status, count(*) FILTER (WHERE NOT bad) AS n_rows,
+       CAST(coalesce(sum(o_orderkey) FILTER (WHERE NOT bad), 0) AS BIGINT) AS keys
+FROM f GROUP BY file, bad""")
 def load_files_one_job(spark, d):
     """Orders as 40 text files, three of them with a line that is no order: one scan loads the others and logs all."""
     folder = scratch_path(spark, "order-files")
