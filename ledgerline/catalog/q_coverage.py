@@ -195,27 +195,35 @@ def load_files_log(spark, d):
         "file_name", "status", (F.col("error") != "").alias("has_error"), F.coalesce("n", F.lit(0).cast("long")).alias("n_loaded"))
 
 
-# A config table is small; a longer one is not a config table.
-MAX_CONFIG_ROWS = 10_000
-
-
 @register("quality_missing_parameters", """
 SELECT n_name AS src_tbl, n_regionkey <> 0 AS accepted FROM nation""")
 def quality_missing_parameters(spark, d):
     """Config rows, one per nation; those of region 0 name no target table."""
     rows = table(spark, d, "nation").select(
         F.lit("erp").alias("src_system"), F.col("n_name").alias("src_tbl"), F.lit("overwrite").alias("load_strategy"),
-        F.when(F.col("n_regionkey") != 0, "hub.t").alias("tgt_tbl")).limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"a config table has at most {MAX_CONFIG_ROWS} rows")
-
-    def accepted(row):
-        try:
-            load.config_from_row(row.asDict())
-        except ValueError:
-            return False
-        return True
-    return spark.createDataFrame([(r["src_tbl"], accepted(r)) for r in rows], "src_tbl string, accepted boolean")
+        F.when(F.col("n_regionkey") != 0, "hub.t").alias("tgt_tbl"))
+    return load.missing_parameters(rows).select("src_tbl", (F.size("missing") == 0).alias("accepted"))
+
+
+@register("quality_config_rows", """
+SELECT o_orderkey AS id, array_to_string(list_filter([
+    CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 AND o_custkey % 5 = 1 THEN 'delete_sql' END,
+    CASE WHEN (o_orderstatus = 'P' OR o_custkey % 5 = 1) AND o_orderkey % 7 = 0 THEN 'merge_keys' END,
+    CASE WHEN o_custkey % 11 = 0 THEN 'tgt_tbl' END], lambda x: x IS NOT NULL), ',') AS missing
+FROM orders""")
+def quality_config_rows(spark, d):
+    """A config table of one row per order: what each row lacks, decided by the executors."""
+    o = table(spark, d, "orders")
+    status, even = F.col("o_orderstatus"), F.col("o_orderkey") % 2 == 0
+    rows = o.select(
+        F.col("o_orderkey").alias("id"), F.lit("erp").alias("SRC_SYSTEM"), F.lit("t").alias("src_tbl"),
+        F.when(F.col("o_custkey") % 11 != 0, "hub.t").otherwise("  ").alias("tgt_tbl"),
+        F.when(status == "P", "scd1").when(status == "F", "overwrite").otherwise("truncate").alias("load_strategy"),
+        F.when(F.col("o_orderkey") % 7 != 0, "a, b").otherwise(" , ").alias("tgt_merge_col_nm"),
+        F.when(F.col("o_custkey") % 5 == 1, "y").otherwise("N").alias("hard_delete_flag"),
+        F.when(even, "SELECT 1").alias("batch_sql_query"))
+    out = load.missing_parameters(rows, hash_col="md5_key")
+    return out.select("id", F.array_join("missing", ",").alias("missing"))
 
 
 # --- T2: several micro-batches -----------------------------------------------------------------------

@@ -141,6 +141,30 @@ def config_from_row(row: Mapping[str, object], hash_col: str | None = None, full
         extra=extra).validate()
 
 
+def missing_parameters(rows: DataFrame, hash_col: str | None = None, full_load: bool = False) -> DataFrame:
+    """Q5 for a whole config table: ``rows`` with ``missing``, the load parameters each row lacks (sorted).
+
+    The rule of :meth:`LoadConfig.validate` as one expression per row, so a
+    config frame of any size is checked by the executors.  ``delete_sql`` is
+    missing where an incremental SCD1 load deletes.
+    """
+    lower = {c.lower(): c for c in rows.columns}
+
+    def value(name: str) -> Column:
+        texts = [F.trim(F.col(f"`{lower[c]}`").cast("string")) for c in CONFIG_COLUMNS[name] if c in lower]
+        return F.coalesce(*[F.when(t != "", t) for t in texts], F.lit(None).cast("string"))
+
+    strategy = F.upper(F.coalesce(value("load_strategy"), F.lit("")))
+    deletes = F.coalesce(F.upper(value("hard_delete")) == "Y", F.lit(False))
+    scd1, by_key = strategy == SCD1, strategy.isin(SCD1, MERGE) | deletes
+    keys = F.filter(F.split(F.coalesce(value("merge_keys"), F.lit("")), ","), lambda k: F.trim(k) != "")
+    incremental = value("incremental_sql").isNotNull() & F.lit(not full_load)
+    lacks = [*[F.when(value(n).isNull(), n) for n in ("load_strategy", "src_system", "src_tbl", "tgt_tbl")],
+             F.when(by_key & (F.size(keys) == 0), "merge_keys"), F.when(scd1 & F.lit(not hash_col), "hash_col"),
+             F.when(scd1 & deletes & incremental & value("delete_sql").isNull(), "delete_sql")]
+    return rows.withColumn("missing", F.sort_array(F.array_compact(F.array(*lacks))))
+
+
 def run_hooks(spark: SparkSession, statements: Sequence[str]) -> None:
     """Run each configured SQL statement in order."""
     for s in statements:

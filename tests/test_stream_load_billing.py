@@ -246,16 +246,12 @@ def test_stock_ledger_flags_negative(spark):
         (1, "return", 5, False), (4, "rent", 3, False)]
 
 
-def test_missing_parameters_reads_every_config_row(spark, monkeypatch, tmp_path):
-    import pytest
+def test_missing_parameters_reads_every_config_row(spark, tmp_path):
     from ledgerline.catalog import q_coverage as q
     spark.range(250).selectExpr("id AS n_nationkey", "concat('n', id) AS n_name", "id % 5 AS n_regionkey").write.parquet(
         str(tmp_path / "nation.parquet"))
     rows = q.quality_missing_parameters(spark, str(tmp_path)).collect()
     assert len(rows) == 250 and sum(r["accepted"] for r in rows) == 200
-    monkeypatch.setattr(q, "MAX_CONFIG_ROWS", 249)
-    with pytest.raises(ValueError):
-        q.quality_missing_parameters(spark, str(tmp_path))
 
 
 def test_loads_count_in_the_pass_that_writes(spark):
@@ -279,3 +275,22 @@ def test_loads_count_in_the_pass_that_writes(spark):
             assert sorted(kept) == want and res.counts["update"] == 1 and res.counts["insert"] == 1
         if strategy in ("OVERWRITE", "TRUNCATE"):
             assert sorted(kept) == [(1, "a", "h1", None), (1, "b", "h2", None), (2, "c", "h3", None)]
+
+
+def test_config_frame_and_config_row_agree(spark):
+    """What is missing by the expression is what a LoadConfig refuses."""
+    import itertools
+    columns = ["src_system", "tgt_tbl", "load_strategy", "tgt_merge_col_nm", "hard_delete_required", "src_incr_query",
+               "src_delete_query"]
+    choices = [["erp", " "], ["hub.t", None], ["scd1", "OVERWRITE", "merge", None], ["k", " , "], ["Y", "N"], ["SELECT 1", None],
+               ["SELECT 2", ""]]
+    rows = [dict(zip(columns, r), src_tbl="t") for r in itertools.product(*choices)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} string" for c in rows[0]))
+    for hash_col, full in (("h", False), (None, False), ("h", True)):
+        got = load.missing_parameters(df, hash_col, full).collect()
+        for row, r in zip(rows, got):
+            try:
+                load.config_from_row(row, hash_col=hash_col, full_load=full)
+                assert r["missing"] == [], (row, r["missing"])
+            except ValueError as e:
+                assert r["missing"] and (r["missing"] == ["delete_sql"] or all(m in str(e) for m in set(r["missing"]) - {"delete_sql"}))
