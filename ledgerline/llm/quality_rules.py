@@ -2,8 +2,11 @@
 
 Every rule rejects on one or two text statistics.  ``plan_cascade`` measures,
 on a small sample, how long each rule takes and what share of rows it rejects,
-and orders the rules by rejection per cost; ``keep`` then evaluates them as
-one CASE expression, so a row rejected by an early rule never pays for the
+and orders the rules by rejection per cost.  A job over a small sample takes
+about the same whatever it computes, so the sample is repeated until a rule's
+time stands out from that of a run without rules, which is subtracted; costs
+count by powers of two, so that noise does not turn the order.  ``keep`` then
+evaluates the rules as one CASE expression, so a row rejected by an early rule never pays for the
 later ones.  The order changes the cost only: a document is kept when no rule
 rejects it, in any order.
 
@@ -15,6 +18,7 @@ the rules in their given order.  Whole texts are judged, whatever their size.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -113,36 +117,58 @@ RULES = BASE_RULES + METHOD_RULES
 
 @dataclass(frozen=True)
 class RuleCost:
+    """``seconds`` a row beyond a run without rules, and the share of rows rejected."""
     rule: Rule
     seconds: float
     rejected: float
 
     @property
     def gain(self) -> float:
-        return self.rejected / max(self.seconds, 1e-6)
+        """Rejection per cost, the cost as a power of two."""
+        return self.rejected / 2.0 ** round(math.log2(max(self.seconds, 1e-9)))
 
 
-def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
-                 sample_rows: int = 500, fraction: float = 0.05, seed: int = 7) -> list[RuleCost]:
+def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 500,
+                 fraction: float = 0.05, seed: int = 7, least_seconds: float = 0.2, most_repeats: int = 256,
+                 runs: int = 3) -> list[RuleCost]:
     """Rules with measured cost and rejected share, best rejection per cost first.
 
     The sample (at most ``sample_rows`` rows, each row taken with probability
     ``fraction``) serves the order only; no verdict depends on it.  ``take``
-    reads only as many partitions as it needs to fill the sample.
+    reads only as many partitions as it needs to fill the sample.  It is
+    repeated, up to ``most_repeats`` times, until the dearest rule takes
+    ``least_seconds`` more than no rule; of ``runs`` runs the fastest counts.
     """
     drawn = docs.select(text_of(text).alias("text")).sample(fraction=fraction, seed=seed).take(sample_rows)
     if not drawn:
         return [RuleCost(r, 0.0, 0.0) for r in rules]
     sample = docs.sparkSession.createDataFrame(drawn, "text string")
-    out = []
-    for r in rules:
-        probe = sample.agg(F.count_if(~keep_text(F.col("text"), [r])).alias("n"))
-        took = []
-        for _ in range(2):      # the first run also compiles
-            began = time.monotonic()
-            n = probe.first()["n"]
-            took.append(time.monotonic() - began)
-        out.append(RuleCost(r, min(took), n / len(drawn)))
+    rejects = [F.length("text") < 0, *[~keep_text(F.col("text"), [r]) for r in rules]]
+
+    def measured(repeats: int, times: int) -> tuple[list[float], list[int]]:
+        rows = sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("nth")) if repeats > 1 else sample
+        took, found = [], []
+        for c in rejects:
+            probe, best = rows.agg(F.count_if(c).alias("n")), math.inf
+            for _ in range(times):
+                began = time.monotonic()
+                n = probe.first()["n"]
+                best = min(best, time.monotonic() - began)
+            took.append(best)
+            found.append(n)
+        return took, found
+
+    _, found = measured(1, 1)                       # compiles; these are the rejected rows
+    repeats = 4
+    took, _ = measured(repeats, 1)
+    while max(took[1:], default=0.0) - took[0] < least_seconds and repeats < most_repeats:
+        repeats *= 4
+        took, _ = measured(repeats, 1)
+    if runs > 1:
+        again, _ = measured(repeats, runs - 1)
+        took = [min(a, b) for a, b in zip(took, again)]
+    rows = len(drawn) * repeats
+    out = [RuleCost(r, max(t - took[0], 0.0) / rows, n / len(drawn)) for r, t, n in zip(rules, took[1:], found[1:])]
     return sorted(out, key=lambda c: -c.gain)
 
 

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from ledgerline.llm import quality_rules as q
 
 
@@ -40,6 +42,22 @@ def test_plan_puts_the_cheap_and_selective_rule_first(spark, none):
     assert [c.rule for c in q.plan_cascade(none)] == list(q.RULES)
 
 
+def test_a_costly_rule_is_moved_back_and_the_order_is_stable(spark):
+    """Two rules reject the same rows; the one that computes much for it comes later, run after run."""
+    def dear(f):
+        h = F.col("text")
+        for _ in range(40):
+            h = F.sha2(h, 512)
+        return F.startswith(h, F.lit("no hash")) | (f.n_words < 60)
+    rules = (q.Rule("dear", dear), q.Rule("cheap", lambda f: f.n_words < 60), q.Rule("never", lambda f: f.n_words < 0))
+    docs = spark.createDataFrame([(k, "some words " * (k % 60 + 1)) for k in range(400)], "doc_id long, text string")
+    for _ in range(4):
+        planned = q.plan_cascade(docs, rules, fraction=1.0)
+        assert [c.rule.name for c in planned] == ["cheap", "dear", "never"]
+        cost = {c.rule.name: c.seconds for c in planned}
+        assert cost["dear"] > 2 * cost["cheap"]
+
+
 def test_clean_labelled_documents_stay(spark):
     """Of the documents labelled good, the method's own rules reject hardly any."""
     d = "/root/testdata/sf0.1"
