@@ -87,16 +87,34 @@ def lexical(pages: DataFrame) -> DataFrame:
         "suffix": F.regexp_extract("host", r"[^.]*\z", 0), "section": F.regexp_extract("path", "^/([^/]*)", 1)})
 
 
-def statistics(pages: DataFrame, labelled: DataFrame, key: str, prior: float = 10.0) -> DataFrame:
-    """Per value of ``key``: how common it is among all pages, and the share of blocked ones among the labelled.
+FOLDS = 5
 
-    The share is drawn to one half by ``prior`` imagined urls, so rare values
-    tell little.
-    """
+
+def fold() -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")
+
+
+def statistics(pages: DataFrame, labelled: DataFrame, key: str) -> DataFrame:
+    """Per value of ``key``: how common it is among all pages; blocked and all labelled ones, in total and by fold."""
     seen = pages.groupBy(key).agg(F.log1p(F.count("*")).alias(f"f_{key}_count"))
-    blocked = labelled.where("ruled IS NOT NULL").groupBy(key).agg(
-        ((F.count_if(F.col("ruled") == BLOCK) + prior / 2) / (F.count("*") + prior)).alias(f"f_{key}_blocked"))
-    return written(seen.join(blocked, key, "left").withColumnRenamed(key, f"__{key}"), f"url-{key}")
+    blocked = F.count_if(F.col("ruled") == BLOCK)
+    parts = (labelled.where("ruled IS NOT NULL").groupBy(key, fold().alias("fold"))
+             .agg(blocked.alias("blocked"), F.count("*").alias("n")))
+    known = parts.groupBy(key).agg(
+        F.sum("blocked").alias("__blocked"), F.sum("n").alias("__n"),
+        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("blocked", "n")))).alias("__folds"))   # FOLDS at most
+    return written(seen.join(known, key, "left").withColumnRenamed(key, f"__{key}"), f"url-{key}")
+
+
+def blocked_share(prior: float = 10.0) -> Column:
+    """The share of blocked pages among the labelled ones of a key, drawn to one half by ``prior`` imagined pages.
+
+    A labelled page sees those of other folds only, never its own label.
+    """
+    own = F.when(F.col("ruled").isNotNull(), F.try_element_at("__folds", fold()))
+    blocked = F.coalesce("__blocked", F.lit(0)) - F.coalesce(own["blocked"], F.lit(0))
+    n = F.coalesce("__n", F.lit(0)) - F.coalesce(own["n"], F.lit(0))
+    return (blocked + prior / 2) / (n + prior)
 
 
 OWN = ("f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_hyphens", "f_entropy",
@@ -106,11 +124,16 @@ FEATURES = OWN + tuple(f"f_{k}_{x}" for k in KEYS for x in ("count", "blocked"))
 
 
 def featurize(pages: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``pages`` (see ``with_rules``) with all features; the shares of blocked urls come from ``labelled`` pages."""
+    """``pages`` (see ``with_rules``) with all features; the shares of blocked urls come from ``labelled`` pages.
+
+    The shares of a page that a rule fits are out of fold, or the trees would
+    learn from a page's own label.
+    """
     out, known = lexical(pages), lexical(labelled)
     own = out
     for k in KEYS:
-        out = out.join(statistics(own, known, k), F.col(k) == F.col(f"__{k}"), "left").drop(f"__{k}")
+        out = out.join(statistics(own, known, k), F.col(k) == F.col(f"__{k}"), "left")
+        out = out.withColumn(f"f_{k}_blocked", blocked_share()).drop(f"__{k}", "__blocked", "__n", "__folds")
     return out.fillna(0.5, [f"f_{k}_blocked" for k in KEYS]).fillna(0.0, list(FEATURES))
 
 

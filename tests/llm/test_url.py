@@ -55,6 +55,31 @@ def test_held_out_accuracy(spark):
     assert right > 0.9 and right > common
 
 
+def test_shares_are_out_of_fold(spark):
+    """A labelled page's share counts the labelled pages of other folds, any other page's all of them."""
+    urls = [f"http://h{k}.{t}/{s}/x" for k in range(40) for t in ("net", "org", "dev") for s in ("fr", "de")]
+    pages = u.with_rules(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), RULES)
+    rows = u.featurize(pages, pages).withColumn("fold", u.fold()).collect()
+    for r in rows:
+        mine = [x for x in rows if x["ruled"] and x["suffix"] == r["suffix"] and not (r["ruled"] and x["fold"] == r["fold"])]
+        want = (sum(x["ruled"] == u.BLOCK for x in mine) + 5) / (len(mine) + 10)
+        assert r["f_suffix_blocked"] == pytest.approx(want), r["url"]
+
+
+def test_what_the_trees_know_beyond_a_rule(spark):
+    """Each rule's pages are held out in turn: reported, and better than nothing on some, since only urls are seen."""
+    pages = u.with_rules(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), RULES)
+    right = {}
+    for r in RULES:
+        mine = F.coalesce(F.col("rule") == r.text, F.lit(False))
+        features = u.featurize(pages, pages.where(~mine))
+        model = u.train(features.where(F.col("ruled").isNotNull() & ~mine))
+        held = u.judge(features.where(mine), model)
+        right[r.text] = held.agg(F.avg((F.col("judged") == F.col("ruled")).cast("double"))).first()[0]
+    print("held-out rules:", right)
+    assert len(right) == len(RULES) and all(v is None or 0.0 <= v <= 1.0 for v in right.values())
+
+
 def test_labels_of_one_kind_and_none(spark):
     pages = spark.createDataFrame([(1, "http://a.net/"), (2, "http://b.dev/")], "page_id long, url string")
     assert {r["verdict"] for r in u.filter_urls(pages, RULES).collect()} == {u.BLOCK}
