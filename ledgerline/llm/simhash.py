@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.batches import importable, map_batches, texts
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, written
 from ledgerline.llm.components import components
 
 SEED = 42
@@ -224,8 +224,9 @@ def near_duplicates(docs: DataFrame, width: int, max_bits: int = 2, id_col: str
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(find_links(nodes.select("fp"), max_bits, **search)).withColumnRenamed("node", "fp")
     grouped = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(names, "root").select("fp", "root", "component_id")
+    # written tables: each side of the joins then has a shuffle of its own, and a hot group or fingerprint can be split
+    names = written(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
+    named = written(grouped.join(names, "root").select("fp", "root", "component_id"), "simhash-groups")
     return fps.join(named, "fp").select(F.col("doc_id").alias(id_col), "text_hash", F.col("fp").alias("fingerprint"),
                                         "component_id", F.col("root").alias("__root"))
 
