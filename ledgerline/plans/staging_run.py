@@ -466,8 +466,10 @@ def run_staging(landing: DataFrame, cfg: S.StagingConfig = S.StagingConfig(), cr
     for name in SPECS:
         if name in wanted:
             made = attribute_table(rows, name) if name in melted else BUILDERS[name](ids, m, cfg)
-            # ids are made of distinct rows and hold the entity: nothing to make distinct, no hash to test
-            out[name] = project(made, replace(SPECS[name], keys=SPECS[name].keys[-1:]), created_by, as_of, distinct=False)
+            # ids are made of distinct rows and hold the entity: nothing to make distinct, no hash to test;
+            # an identifier is only ever made for an edge or an entity, and its foreign key may be a hash
+            keys = () if name == "business_entity_identifiers" else SPECS[name].keys[-1:]
+            out[name] = project(made, replace(SPECS[name], keys=keys), created_by, as_of, distinct=False)
     return out
 
 

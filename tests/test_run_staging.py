@@ -118,3 +118,22 @@ def test_many_rows_of_one_vendor_stay_linear(spark):
     for k in names:
         plan = out[k]._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan, k
+
+
+def test_ids_are_hashed_once_and_never_shuffled(spark):
+    """No exchange is keyed by a table's own id, no filter computes one, and the attribute tables share one pass."""
+    rows = [_row(sds_supplier_id="S1", vendor_name_cleaned="Acme", client_name="One", client_ecid="C1", supplier_ecid="SE1",
+                 vendor_email="a@b.test", vendor_phone_number="1", filter_do_not_campaign="N", filter_trust="Y",
+                 associated_people=PEOPLE, card_revenues=REVENUE, ind_card_match="Yes", filter_employee="N")]
+    out = run_staging(_frame(spark, rows))
+    for name, frame in out.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+        own = SPECS[name].keys[0]
+        if name != "business_entity":                 # its id is the entity's, made of the landing row
+            assert not any("hashpartitioning(" in x and own + "#" in x for x in plan), name
+        assert not any("Filter" in x and "sha2" in x for x in plan), name
+    melted = ["electronic_address", "telecommunication_address", "restrictions", "business_entity_characteristics",
+              "business_entity_receivables_attribute", "business_entity_industry_classification"]
+    for name in melted:
+        plan = out[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "attributes-" in plan and "PartitionFilters: [isnotnull(tbl" in plan, name
