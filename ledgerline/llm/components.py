@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, written
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -14,10 +14,12 @@ def _stars(links: DataFrame) -> DataFrame:
     Large star: every larger neighbour of a node is linked to the node's least
     neighbour.  Small star: every smaller neighbour, and the node itself, is
     linked to the least of them.  Only a minimum per node is aggregated (with
-    partial sums), so a node with very many links costs one row per task.
+    partial sums), so a node with very many links costs one row per task; and
+    the minima of the large star are a written table, so that in the join the
+    rows of such a node can be split.
     """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least-neighbours")
     large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
     large = large.distinct()                                      # b < a from here on
     least = large.groupBy("a").agg(F.min("b").alias("m"))
