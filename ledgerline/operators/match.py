@@ -142,7 +142,7 @@ def candidates(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname: s
               .withColumn("_r", F.slice("_r", F.lit(1), k + 1)).withColumn("_chosen", F.col("_r._i")))
     chosen = (rarest.select("_lk", "_b", "_ln", "_n", "_k", "_chosen", F.explode("_r").alias("_s"))
               .filter("_s.c > 0").select("_lk", "_b", "_ln", "_n", "_k", "_chosen", "_s._i", "_s._seg"))
-    return _saved(chosen, "match-segments").join(Rsub, key)
+    return chosen.join(Rsub, key)
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str, lname: str, rname: str,
