@@ -65,7 +65,9 @@ class BucketedTable:
 
     ``buckets`` is fixed for the life of a table: choose it so that one bucket
     is a few hundred megabytes.  The last ``keep`` commits stay readable;
-    bucket versions that none of them names are removed.
+    bucket versions that none of them names are removed.  One writer at a
+    time: a version left without a commit is taken for a job that died, and
+    written over.
     """
     root: str
     keys: Sequence[str]
