@@ -33,6 +33,10 @@ def _safe(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit(BEGIN), F.lit("<|im_start |>")), F.lit(END), F.lit("<|im_end |>"))
 
 
+def _body(content: Column) -> Column:
+    return F.concat(_safe(content), F.lit(END))
+
+
 def views(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", content: str = "text",
           system: tuple[str, ...] = ("system",), piece_turns: int = 256,
           by_rows: bool = False, piece_chars: int = 1 << 20) -> DataFrame:
@@ -64,12 +68,13 @@ def views(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
             .otherwise(F.concat(F.lit("user name="), _safe(F.col("speaker")))))
     return seen.select("conv_id", "perspective", "piece", "numbered", "turn", "speaker", "content",
                        F.concat(F.lit(BEGIN), role, F.lit("\n")).alias("head"),
-                       F.concat(_safe(F.col("content")), F.lit(END)).alias("body"), mine.alias("trained"))
+                       _body(F.col("content")).alias("body"), mine.alias("trained"))
 
 
 def dialogues(seen: DataFrame) -> DataFrame:
     """Pieces of whole dialogues: text, and ``mask``, the spans (code points, end exclusive) that the loss covers."""
-    row = F.struct("numbered", "turn", "speaker", "content", "head", "body", "trained")
+    # the body is made of the content once the rows have met, so that a text is shuffled once and not twice
+    row = F.struct("numbered", "turn", "speaker", "content", "head", "trained")
     pieces = (seen.groupBy("conv_id", "perspective", "piece")
               .agg(F.sort_array(F.collect_list(row)).alias("rows")))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)")
@@ -77,12 +82,12 @@ def dialogues(seen: DataFrame) -> DataFrame:
 
     def add(acc, r):
         start = acc["at"] + F.length(r["head"])
-        end = start + F.length(r["body"])
+        end = start + F.length(_body(r["content"]))
         span = F.array(F.struct(start.alias("start"), end.alias("end")))
         return F.struct((end + 1).alias("at"),
                         F.when(r["trained"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    text = F.array_join(F.transform("rows", lambda r: F.concat(r["head"], r["body"], F.lit("\n"))), "")
+    text = F.array_join(F.transform("rows", lambda r: F.concat(r["head"], _body(r["content"]), F.lit("\n"))), "")
     return pieces.select("conv_id", "perspective", "piece", F.size("rows").cast("long").alias("n_turns"),
                          text.alias("text"), F.aggregate("rows", zero, add, lambda acc: acc["spans"]).alias("mask"))
 
