@@ -177,3 +177,15 @@ def test_a_shared_prefix_makes_no_candidates(spark):
     passed = match.similar_pairs(src, main, *args)
     assert {(r["_lk"], r["_rk"]) for r in passed.collect()} >= {(k, k) for k in range(400)}
     assert passed.count() == 400 and tried <= 5 * 400, tried
+
+
+def test_short_names_make_few_candidates_in_a_large_block(spark):
+    """Names of two edits in one block: long segments lead to few pairs that do not pass, and lose none."""
+    names = [(k, hashlib.md5(str(k // 3).encode()).hexdigest()[:13] + str(k % 3), "T") for k in range(900)]
+    main = spark.createDataFrame(names, "k int, name string, tax string")
+    src = main.withColumn("name", F.concat(F.substring("name", 1, 5), F.lit("~"), F.substring("name", 7, 8)))
+    args = ("k", "k", "name", "name", "tax", "tax", 0.8)
+    tried = match.candidates(src, main, *args).select("_lk", "_rk").distinct().count()
+    passed = [(r["_lk"], r["_rk"]) for r in match.similar_pairs(src, main, *args).collect()]
+    assert sorted(passed) == sorted((a, b) for a in range(900) for b in range(a - a % 3, a - a % 3 + 3))
+    assert tried <= 2 * len(passed), tried
