@@ -119,3 +119,38 @@ def test_relationship_ids_compat_double_hash(spark):
     got = {r.business_entity_relationship_id for r in twice.collect()}
     assert got == {r.u for r in again.collect()}
     assert got.isdisjoint(r.business_entity_relationship_id for r in once.collect())
+
+
+def _wide_ids(spark):
+    rows = [(f"v{i % 4}", None if i % 3 else f"p{i % 4}", f"b{i % 5}", f"c{i % 5}", "c1" if i % 4 == 1 else None, f"t{i % 2}",
+             f"x{i % 4}") for i in range(40)] + [("b1", None, "b1", "c1", "c1", "t9", None)]
+    return spark.createDataFrame(rows, "vendor_entity_id string, vendor_contact_id string, buyer_entity_id string, "
+                                 "client_ecid string, supplier_ecid string, tax_id string, client_vendor_id string")
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_edges_and_identifiers_are_shuffled_once(spark):
+    """Each edge and each of its identifiers passes one exchange; only entities' identifiers meet the held ones."""
+    ids = _wide_ids(spark)
+    assert _exchanges(S.build_relationships(ids)) == 1
+    by_entity = S.build_identifiers(ids, S.StagingConfig(identifier_scope="entity"))
+    assert "Join" not in by_entity._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_identifiers_of_one_new_type_are_distinct_and_held_by_their_old(spark):
+    for scope in ("global", "entity"):
+        out = S.build_identifiers(_wide_ids(spark), S.StagingConfig(identifier_scope=scope)).collect()
+        assert len({r.identifier_id for r in out}) == len(out)
+        own = {(r.related_identifier, r.identifier_type, r.identifier_value) for r in out
+               if r.related_identifier_source == "business_entity"}
+        clients = {(f"v{i % 4}", "ecid", f"c{i % 5}") for i in range(40)} if scope == "entity" else set()
+        clients -= {("b1", "ecid", "c1")}
+        if scope == "entity":            # held for v1 as its supplier_ecid, but not as a client_ecid
+            assert ("v1", "ecid", "c1") in own
+        assert own == clients | {(f"v{i % 4}", "tax_id", f"t{i % 2}") for i in range(40)} | {("b1", "tax_id", "t9")}
+        edges = {r.related_identifier for r in out if r.related_identifier_source == "relationship"}
+        rel = {r.business_entity_relationship_id for r in S.build_relationships(_wide_ids(spark)).collect()}
+        assert edges <= rel and None not in edges
