@@ -22,6 +22,7 @@ from ledgerline.functions.keys import entity_id, firm_id, format_uuid, stable_uu
 from ledgerline.functions.scalar import (
     any_meaningful, any_not_null, parse_date, rating_triple, valid_name, yes_no,
 )
+from ledgerline.operators.dedupe import distinct_wide
 from ledgerline.operators.reshape import TYPE_RENAMES, class_of, melt, rename_types
 
 # Tags of the polymorphic foreign key.
@@ -273,12 +274,16 @@ def build_card_association(df: DataFrame, id_col: str, match_col: str, level_col
 
 def build_spend(df: DataFrame, payor: str, payee: str, date_cols: Mapping[str, str],
                 other: Mapping[str, Column], date_format: str = "yyyyMMdd") -> DataFrame:
-    """payor/payee ids, dates parsed from text (bad text → NULL), K1."""
+    """payor/payee ids, dates parsed from text (bad text → NULL), K1.
+
+    There are about as many rows as links, and few are equal.
+    """
     out = df.select(F.col(payor).alias("stg_payor_business_entity_id"),
                     F.col(payee).alias("stg_payee_business_entity_id"),
                     *[parse_date(F.col(src), date_format).alias(dst) for dst, src in date_cols.items()],
-                    *[c.alias(n) for n, c in other.items()]).distinct()
-    return _stamp(out, "spend_analysis_id", out.columns)
+                    *[c.alias(n) for n, c in other.items()])
+    one = distinct_wide(out, ["stg_payor_business_entity_id", "stg_payee_business_entity_id"])
+    return _stamp(one, "spend_analysis_id", out.columns)
 
 
 # ---------------------------------------------------------------------------
