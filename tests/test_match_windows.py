@@ -189,3 +189,42 @@ def test_short_names_make_few_candidates_in_a_large_block(spark):
     passed = [(r["_lk"], r["_rk"]) for r in match.similar_pairs(src, main, *args).collect()]
     assert sorted(passed) == sorted((a, b) for a in range(900) for b in range(a - a % 3, a - a % 3 + 3))
     assert tried <= 2 * len(passed), tried
+
+
+def test_names_of_many_edits_make_few_candidates_in_a_large_block(spark):
+    """Names of one prefix and five edits: long segments are cut where names differ, lead to few pairs that do not pass."""
+    names = [(k, f"Customer#{k % 40:09d} of {hashlib.md5(str(k).encode()).hexdigest()[:16]}", "T") for k in range(3000)]
+    main = spark.createDataFrame(names, "k int, name string, tax string")
+    src = main.withColumn("name", F.concat(F.substring("name", 1, 24), F.lit("~"), F.substring("name", 26, 20)))
+    args = ("k", "k", "name", "name", "tax", "tax", 0.85)
+    tried = match.candidates(src, main, *args).select("_lk", "_rk").distinct().count()
+    passed = [(r["_lk"], r["_rk"]) for r in match.similar_pairs(src, main, *args).collect()]
+    assert sorted(passed) == [(k, k) for k in range(3000)]
+    assert tried <= 2 * 3000, tried
+
+
+def test_names_of_many_edits_in_a_large_block_equal_brute_force(spark, monkeypatch):
+    """Up to six edits of any kind and place, common segments or none, blocks with a cut or without: no pair is lost."""
+    monkeypatch.setattr(match, "COMMON", 8)
+    rnd = random.Random(11)
+
+    def text(a, n):
+        return "".join(rnd.choice(a) for _ in range(n))
+    base = ["Acme " + text("abcdef0123", rnd.randint(15, 19)) + rnd.choice(["", " Inc"]) for _ in range(40)]
+    right, left = [], []
+    for i in range(160):
+        right.append((f"R{i}", rnd.choice("xy"), rnd.choice(base[:30]) if i % 2 else "Acme " + text("abc", 17)))
+    for i in range(160):
+        s = list(rnd.choice(right)[2])
+        for _ in range(rnd.randint(0, 6)):
+            place = rnd.choice([0, len(s) - 1, rnd.randrange(len(s))])
+            kind = rnd.randint(0, 2)
+            if kind == 0:
+                s[place] = rnd.choice("abcz")
+            elif kind == 1:
+                del s[place]
+            else:
+                s.insert(place + rnd.randint(0, 1), rnd.choice("abcz"))
+        left.append((f"L{i}", rnd.choice("xy"), "".join(s)))
+    for t in (0.8, 0.83):
+        assert spark_pairs(spark, left, right, t) == brute_pairs(left, right, t)
