@@ -101,3 +101,12 @@ def test_no_python_udf_in_plan(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("a"))
     plan = df.select(K.stable_uuid(["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_sixteen_bytes_are_the_id(spark):
+    rows = [("12", "Acme"), (None, " nan "), ("x", None), ("", "null")]
+    df = spark.createDataFrame(rows, "a string, b string").select(
+        K.stable_uuid(["a", "b"]).alias("u"), K.stable_bytes(["a", "b"]).alias("x"))
+    got = [(r.u, r.v) for r in df.select("u", K.uuid_of(F.col("x")).alias("v"), "x").collect()]
+    assert got[0][0] == ACME_12 and all(u == v or (u is None and v == "") for u, v in got)
+    assert [r.x is None for r in df.collect()] == [False, True, False, True]

@@ -1,11 +1,15 @@
 """Nested JSON handling and staging builders on invented fixtures."""
 
+import hashlib
+import random
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.catalog.q_staging import PEOPLE_SCHEMA
 from ledgerline.functions.keys import stable_uuid
 from ledgerline.operators import nested
+from ledgerline.operators.reshape import TYPE_RENAMES
 from ledgerline.plans import staging as S
 
 
@@ -154,3 +158,53 @@ def test_identifiers_of_one_new_type_are_distinct_and_held_by_their_old(spark):
         edges = {r.related_identifier for r in out if r.related_identifier_source == "relationship"}
         rel = {r.business_entity_relationship_id for r in S.build_relationships(_wide_ids(spark)).collect()}
         assert edges <= rel and None not in edges
+
+
+def test_identifiers_read_one_exchange(spark):
+    """Edges', entities' and held identifiers come from one exchange; a type that no edge has from one part of the result."""
+    for scope in ("global", "entity"):
+        out = S.build_identifiers(_wide_ids(spark), S.StagingConfig(identifier_scope=scope))
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("functions=[partial_bit_or") == 1
+        tax = out.filter("identifier_type = 'tax_id'")
+        assert tax._jdf.queryExecution().optimizedPlan().toString().count("bit_or") == 1
+        assert tax.count() == len({r.identifier_id for r in out.collect() if r.identifier_type == "tax_id"}) > 0
+
+
+def test_identifiers_equal_a_plain_version(spark):
+    """Missing buyers and vendors, ids that differ in case only, entities that are vendor and buyer, and shared values."""
+    rng = random.Random(4)
+    names = ["vendor_entity_id", "vendor_contact_id", "buyer_entity_id", "client_ecid", "supplier_ecid", "tax_id",
+             "client_vendor_id", "client_vendor_site_id"]
+    pools = [["v1", "V1", "v2", "b1", None], ["p1", None], ["b1", "b2", "B2", "v2", None], ["c1", "c2", "c3", None],
+             ["c1", "s2", None], ["t1", "c1", None], ["x1", "x2", None], ["x1", "y2", None]]
+    rows = [tuple(rng.choice(p) for p in pools) for _ in range(60)]
+    rows += [("v1", None, None, "c9", None, None, "x1", "y9"), ("v2", None, None, "c9", "c9", None, None, "y9")]
+    ids = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    firm = S.StagingConfig().firm_uuid
+
+    def hashed(*texts):
+        x = hashlib.sha256(",".join(t.strip().lower() for t in texts if t).encode()).hexdigest()
+        return "-".join((x[:8], x[8:12], x[12:16], x[16:20], x[20:32]))
+
+    for scope in ("global", "entity"):
+        rel, held, own = set(), set(), set()
+        for r in (dict(zip(names, row)) for row in rows):
+            v, b = r["vendor_entity_id"], r["buyer_entity_id"]
+            edges = []
+            if v and b:
+                edges += [(b, hashed("client", "firm", b, firm), ["client_ecid"]),
+                          (v, hashed(r["vendor_contact_id"], "supplier", "buyer", v, b), ["client_vendor_id", "client_vendor_site_id"])]
+            if v and r["supplier_ecid"]:
+                edges.append((v, hashed("client", "firm", v, firm), ["supplier_ecid"]))
+            for first, edge, types in edges:
+                rel |= {(edge, t, r[t]) for t in types if r[t]}
+                held |= {(first if scope == "entity" else None, t, r[t]) for t in types if r[t]}
+            own |= {(v, t, r[t]) for t in ["tax_id", *S.VENDOR_LINK_TYPES, "client_ecid", "supplier_ecid"] if v and r[t]}
+        own = {(v, t, x) for v, t, x in own if (v if scope == "entity" else None, t, x) not in held}
+        want = {(key, source, TYPE_RENAMES.get(t, t), x)
+                for some, source in ((rel, "relationship"), (own, "business_entity")) for key, t, x in some}
+        got = [tuple(r)[1:] for r in S.build_identifiers(ids, S.StagingConfig(identifier_scope=scope)).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        assert {t for _, s, t, _ in want if s == "business_entity"} >= {"tax_id", "ecid", "client_vendor_site_id"}
