@@ -38,12 +38,18 @@ from ledgerline.operators.reshape import EXTERNAL_CLASS, EXTERNAL_LEVELS, INTERN
 from ledgerline.plans import staging as S
 from ledgerline.session import scratch_path
 
-# Landing columns the staging build reads whatever the mapping says.
-LANDING_COLUMNS = (
-    "client_name", "client_ecid", "supplier_ecid", "vendor_name_cleaned", "sds_supplier_id", "vendor_contact_name",
-    "filter_individual", "stg_codelist", "registered_agents", "associated_people", "industries", "technologies",
-    "card_revenues", "card_transactions_stability",
-)
+# Landing columns the staging build reads whatever the mapping says: for ids, and for single tables.
+ID_COLUMNS = ("client_name", "client_ecid", "supplier_ecid", "vendor_name_cleaned", "sds_supplier_id", "vendor_contact_name")
+TABLE_COLUMNS = {
+    "business_entity_details": ("filter_individual",),
+    "business_entity_receivables_attribute": ("stg_codelist", "technologies"),
+    "business_entity_characteristics": ("registered_agents",),
+    "business_entity_contacts": ("associated_people",),
+    "business_entity_industry_classification": ("industries",),
+    "business_entity_card_revenues": ("card_revenues",),
+    "business_entity_card_transactions_stability": ("card_transactions_stability",),
+}
+LANDING_COLUMNS = (*ID_COLUMNS, *(c for columns in TABLE_COLUMNS.values() for c in columns))
 
 # Target tables of the mapping file, by the part of the run that reads them.
 DETAILS, CHARACTERISTICS = "business_entity_details", "business_entity_characteristics"
@@ -54,6 +60,8 @@ INDUSTRY, CARD = "business_entity_industry_classification", "business_entity_car
 # Mapped targets that have a rule of their own.
 MERGED_CODES, AGENTS_TARGET, CARD_MATCH = "product_segmentation_applicable", "registered_agents", "ind_card_match"
 TECH_TYPE = "payment_tech_used"
+# Output tables that the mapping file calls otherwise.
+MAPPED_AS = {"business_entity_receivables_attribute": RECEIVABLES}
 SPEND_DATES = ("period_start_date", "period_end_date")
 CARD_LEVELS = ("matched_level_2", "matched_level_3_summary", "matched_level_3_lineitem")
 # targets that come from JSON text and are built by their own step, not melted
@@ -174,8 +182,9 @@ class LandingMapping:
     def source(self, table: str, target: str) -> str | None:
         return next((s for s, t in self.pairs(table) if t == target), None)
 
-    def sources(self) -> list[str]:
-        return sorted({s for pairs in self._pairs.values() for s, _ in pairs})
+    def sources(self, tables: Iterable[str] | None = None) -> list[str]:
+        wanted = self._pairs if tables is None else tables
+        return sorted({s for table in wanted for s, _ in self.pairs(table)})
 
 
 # Mapping files are small configuration; a longer one is not a mapping.
@@ -423,13 +432,15 @@ def attribute_table(rows: DataFrame, name: str) -> DataFrame:
 
 
 def prepare(landing: DataFrame, m: LandingMapping, cfg: S.StagingConfig, employee_flag: str | None,
-            firm_flag: str | None) -> DataFrame:
-    """Landing rows of non-employees, projected to the columns in use, with all entity ids."""
+            firm_flag: str | None, wanted: Iterable[str] = tuple(SPECS)) -> DataFrame:
+    """Landing rows of non-employees, projected to the columns that the ``wanted`` tables use, with all entity ids."""
     df = landing.select(*[F.col(f"`{c}`").alias(c.strip().lower()) for c in landing.columns])
     if employee_flag and employee_flag in df.columns:
         df = df.filter(F.col(employee_flag) == "N")
-    used = dict.fromkeys([*LANDING_COLUMNS, *m.sources(), *[f"{s}_date" for s, _ in m.pairs(CHARACTERISTICS)
-                                                           if f"{s}_date" in df.columns]])
+    mapped = m.sources(MAPPED_AS.get(t, t) for t in wanted)
+    used = dict.fromkeys([*ID_COLUMNS, *(c for t in wanted for c in TABLE_COLUMNS.get(t, ())), *mapped])
+    if CHARACTERISTICS in wanted:
+        used |= dict.fromkeys(f"{s}_date" for s, _ in m.pairs(CHARACTERISTICS) if f"{s}_date" in df.columns)
     if firm_flag:
         used[firm_flag] = None
     df = clean_blanks(ensure_columns(df, {c: "string" for c in used}).select(*used))
@@ -454,7 +465,7 @@ def run_staging(landing: DataFrame, cfg: S.StagingConfig = S.StagingConfig(), cr
     if unknown:
         raise ValueError(f"unknown staging tables {sorted(unknown)}")
     m = landing_mapping(mapping)
-    ids = prepare(landing, m, cfg, employee_flag, firm_flag)
+    ids = prepare(landing, m, cfg, employee_flag, firm_flag, [name for name in SPECS if name in wanted])
     keep = materialize or (materialize is None and len(wanted) > 1)
     if keep:
         ids = _kept(ids, "landing")

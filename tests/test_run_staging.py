@@ -4,7 +4,10 @@ import json
 
 from pyspark.sql import functions as F
 
-from ledgerline.plans.staging_run import DEFAULT_MAPPING, LANDING_COLUMNS, SPECS, run_staging
+from ledgerline.plans import staging as S
+from ledgerline.plans.staging_run import (
+    DEFAULT_MAPPING, LANDING_COLUMNS, SPECS, TABLE_COLUMNS, landing_mapping, prepare, run_staging,
+)
 
 PEOPLE = json.dumps([{"name": "Ann Lee", "titles": ["CEO", "Founder", "Director"]},
                      {"name": "Bo Chan", "titles": ["CFO", "Treasurer", "Secretary"]}])
@@ -137,3 +140,20 @@ def test_ids_are_hashed_once_and_never_shuffled(spark):
     for name in melted:
         plan = out[name]._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "attributes-" in plan and "PartitionFilters: [isnotnull(tbl" in plan, name
+
+
+def test_landing_is_kept_with_the_columns_of_the_wanted_tables(spark):
+    full = _row(**{c: "x" for c in COLUMNS if c.startswith(("vendor_", "payment_", "ind_", "visa_"))} | {
+        "sds_supplier_id": "S1", "vendor_name_cleaned": "Acme", "client_name": "C", "client_ecid": "C1", "filter_employee": "N",
+        "filter_individual": "Y", "stg_codelist": "a;b", "registered_agents": "['A']", "associated_people": PEOPLE,
+        "card_revenues": REVENUE})
+    landing, m, cfg = _frame(spark, [full]), landing_mapping(None), S.StagingConfig()
+    some = set(prepare(landing, m, cfg, "filter_employee", None, ["physical_address", "business_entity_identifiers"]).columns)
+    assert {"vendor_country", "vendor_government_id", "vendor_contact_id", "buyer_entity_id"} <= some
+    assert some.isdisjoint({"industries", "card_revenues", "vendor_email", "vendor_credit_rating_moody", "payment_terms"})
+    every = set(prepare(landing, m, cfg, "filter_employee", None).columns)
+    assert {*LANDING_COLUMNS, *m.sources(), "vendor_credit_rating_moody_date"} <= every
+    whole = run_staging(landing)
+    for name in TABLE_COLUMNS:         # each table on its own reads all that it reads among the others
+        alone = run_staging(landing, tables=[name])[name].drop("created_date").collect()
+        assert alone == whole[name].drop("created_date").collect(), name
